@@ -1,8 +1,8 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import chat, sharding
+from . import chat, neardup, packing, sharding, topk
 
-MODULES = (sharding, chat)
+MODULES = (neardup, sharding, chat, topk, packing)
 
 
 def queries() -> dict:
