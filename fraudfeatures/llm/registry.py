@@ -1,8 +1,8 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import chat, neardup, packing, sharding, topk
+from . import chat, decontam, langid, neardup, packing, quality, sharding, topk, toxicity, urls
 
-MODULES = (neardup, sharding, chat, topk, packing)
+MODULES = (neardup, sharding, urls, langid, chat, topk, toxicity, packing, decontam, quality)
 
 
 def queries() -> dict:
