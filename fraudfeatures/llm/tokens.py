@@ -2,49 +2,56 @@
 
 from __future__ import annotations
 
+import re
 from array import array
 
-import regex
 from tokenizers import Tokenizer
 
 #: Characters on which normalization, lower-casing and splitting are the same for the tokenizer and for Python.
-PLAIN = regex.compile(r"[\t\n\r -~¡-įı-ɏ]*")
+PLAIN = re.compile("[\\t\\n\\r -~\u00a1-\u012f\u0131-\u024f]*")
+#: Among these, numbers and what is neither a letter nor a number nor white space.
+NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+MARKS = "!-/:-@\\[-`{-~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable ones stand for themselves, the others follow
+    from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(own)]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 
 class WordTokenizer:
-    """Ids of a tokenizer that lower-cases, splits texts into words by a pattern, and encodes each word by itself.
+    """Ids of a tokenizer that lower-cases, splits texts into words by a pattern, and encodes each word's bytes by itself.
 
     Words are encoded once while they stay in the cache. Texts with other characters than PLAIN, or with the opening of a
     control string, are given to the tokenizer whole.
     """
 
-    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    WORDS = re.compile(f"[^\\s{NUMBERS}{MARKS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{NUMBERS}]|[{MARKS}]+")
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 200_000):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.words: dict[str, bytes] = {}
         self.most_words = most_words
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as unsigned 16-bit numbers, little-endian."""
-        split: list[list[str] | None] = []
-        odd, missing = [], set()
+        """For each text its ids as unsigned 16-bit numbers in this machine's order."""
         if len(self.words) > self.most_words:
             self.words = {}
+        known, tokenize, out = self.words, self.model.tokenize, []
         for text in texts:
             if "<|" in text or not PLAIN.fullmatch(text):
-                split.append(None)
-                odd.append(text)
+                out.append(array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
                 continue
             words = self.WORDS.findall(text.lower())
-            split.append(words)
-            missing.update(words)
-        missing.difference_update(self.words)
-        new = list(missing)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.words[word] = array("H", found.ids).tobytes()
-        whole = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False) if odd else [])
-        get = self.words.__getitem__
-        return [array("H", next(whole).ids).tobytes() if w is None else b"".join(map(get, w)) for w in split]
+            for word in set(words).difference(known):
+                written = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+                known[word] = array("H", [t.id for t in tokenize(written)]).tobytes()
+            out.append(b"".join(map(known.__getitem__, words)))
+        return out
