@@ -6,7 +6,8 @@ Regions start at the depth that finds a pair of the wanted similarity with near
 also split by longer and longer prefixes, each region at its own depth. Each document is compared with the first of
 each of its regions, the pairs that fit best are confirmed on the full shingle sets, and what then hangs together is one
 component. After that, pairs of a region that lie in different components, and only these, are compared in blocks, so
-that no link between components is lost although a group of near copies never gives all its pairs.
+that no link between components is lost although a group of near copies never gives all its pairs: the likeliest pairs
+first, as many as would connect a block, and at last all that are left, whose links alone leave the task.
 """
 
 from __future__ import annotations
@@ -25,7 +26,10 @@ from .words import WordHashes, shingle_set, word_hashes
 
 DEPTH = 8  # minima of a tree, four bytes each
 LARGE_REGION = 64  # documents; a region beyond this is split by a longer prefix, too
-BLOCK = 1024  # documents of a region that one task compares with each other or with another block
+BLOCK = 512  # documents of a region that are compared with each other or with another block at a time
+FOREST_ROUNDS = 2
+KEY = ["region", "block_a", "block_b"]
+MEMBER = "region long, block_a int, block_b int, tree int, node long, component long, n_shingles long, own int, signature binary"
 ID_LIMIT = 1_000_000  # document ids to broadcast (8 MB); beyond, the join is by shuffle
 
 
@@ -99,9 +103,8 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long, agreement double")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """Of pairs (a, b), those whose full shingle sets have the similarity."""
-    top, bottom = similarity
+def _shingles(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """node, shingles: the full sets of the documents with these ids (doc_id, distinct)."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache = WordHashes()
@@ -109,26 +112,35 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: tuple[
             found = [shingle_set(word_hashes(t, cache), words).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"node": batch["doc_id"], "shingles": found})
 
+    ids = frozen(ids, "pair-ids")
+    ids = F.broadcast(ids) if ids.count() <= ID_LIMIT else ids
+    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    return frozen(found.mapInPandas(sets, "node long, shingles binary"), "sets")
+
+
+def _in_common(x: np.ndarray, y: np.ndarray) -> int:
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum())
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """Of pairs (a, b), those whose full shingle sets have the similarity."""
+    top, bottom = similarity
+
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keep = []
             for x, y in zip(batch["set_a"], batch["set_b"], strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
+                both = _in_common(x, y)
                 keep.append(both * bottom >= top * (len(x) + len(y) - both))
             yield batch.loc[keep, ["a", "b"]]
 
     pairs = frozen(pairs.select("a", "b").distinct(), "pairs")
-    ids = frozen(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    ids = F.broadcast(ids) if ids.count() <= ID_LIMIT else ids
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    found = found.mapInPandas(sets, "node long, shingles binary")
-    # A document is one row here; should rows repeat an id, the smallest set stands for it.
-    found = frozen(found, "sets")
+    found = _shingles(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, words)
     left, right = (found.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
     return joined.mapInPandas(meet, "a long, b long").distinct()
@@ -145,6 +157,121 @@ def _with_first(rows: DataFrame, depth: int) -> DataFrame:
     return key.join(regions, "region")
 
 
+def _mixed_blocks(regions: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The documents of regions with several components, each with every block pair it belongs to, those of a block pair
+    one after another. A region of up to BLOCK documents is one block."""
+    label = F.coalesce("component", "node").alias("component")
+    members = regions.join(labels, "node", "left").select("region", "tree", "node", label)
+    sizes = members.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+    members = members.join(sizes.where("x <> y").select("region", "n"), "region").join(nodes, "node")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    spread = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least("own", other).alias("block_a"), F.greatest("own", other).alias("block_b")),
+    )
+    dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = dealt.withColumn("at", F.explode(spread))
+    dealt = dealt.select("region", "at.block_a", "at.block_b", "tree", "node", "component", "n_shingles", "own", "signature")
+    return dealt.repartition(*KEY).sortWithinPartitions(*KEY, "node")
+
+
+def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each block pair, which follow one another."""
+    rest = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        if rest is not None:
+            batch = pd.concat([rest, batch], ignore_index=True)
+        keys = batch[KEY].to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield batch.iloc[a:b]
+        rest = batch.iloc[starts[-1] :]
+    if rest is not None:
+        yield rest
+
+
+class _Roots(dict):
+    """Union and find over component ids."""
+
+    def find(self, x: int) -> int:
+        while self.get(x, x) != x:
+            x = self[x] = self.get(self[x], self[x])
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self[max(x, y)] = min(x, y)
+        return x != y
+
+
+class _Search:
+    """What tasks do with the documents of block pairs."""
+
+    def __init__(self, trees: int, least: int, plausible: float, top: int, bottom: int):
+        self.trees, self.least, self.plausible, self.top, self.bottom = trees, least, plausible, top, bottom
+
+    def pairs(self, x: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions of pairs in different components whose signatures agree well enough and that share no region in an
+        earlier tree, with their agreement, highest first."""
+        tree, across = int(x["tree"].iloc[0]), x["block_a"].iloc[0] != x["block_b"].iloc[0]
+        flat = np.frombuffer(b"".join(x["signature"]), np.uint32).reshape(len(x), -1)
+        heads = flat.reshape(len(x), self.trees, -1)[:, :tree, : self.least]
+        size, part, own = (x[c].to_numpy() for c in ("n_shingles", "component", "own"))
+        order = np.argsort(size, kind="stable")
+        found = []
+        for at, i in enumerate(order[:-1]):
+            # Sets of too different size cannot have the similarity.
+            j = order[at + 1 : np.searchsorted(size[order], size[i] * self.bottom // self.top, "right")]
+            j = j[part[j] != part[i]]
+            if across:
+                j = j[own[j] != own[i]]
+            if len(j):
+                agreement = (flat[j] == flat[i]).mean(axis=1)
+                j, agreement = j[agreement >= self.plausible], agreement[agreement >= self.plausible]
+            if len(j) and tree:
+                new = ~(heads[j] == heads[i]).all(axis=2).any(axis=1)
+                j, agreement = j[new], agreement[new]
+            if len(j):
+                found.append((np.full(len(j), i), j, agreement))
+        if not found:
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        a, b, agreement = map(np.concatenate, zip(*found, strict=True))
+        order = np.argsort(-agreement, kind="stable")
+        return a[order], b[order], agreement[order]
+
+    def forest(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Pairs that connect the components of a block pair, if they hold: a spanning forest of the likeliest."""
+        for x in _runs_of(batches):
+            a, b, _ = self.pairs(x)
+            if len(a):
+                roots, part, ids = _Roots(), x["component"].tolist(), x["node"].to_numpy()
+                keep = [roots.join(part[i], part[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
+                yield pd.DataFrame({"a": ids[a[keep]], "b": ids[b[keep]]})
+
+    def candidates(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The documents that still are in such pairs."""
+        for x in _runs_of(batches):
+            a, b, _ = self.pairs(x)
+            if len(a):
+                yield x.iloc[np.union1d(a, b)]
+
+    def links(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The pairs that hold on the full sets, without those between components that others have linked."""
+        for x in _runs_of(batches):
+            a, b, _ = self.pairs(x)
+            roots, part, ids, out = _Roots(), x["component"].tolist(), x["node"].tolist(), []
+            sets = [np.frombuffer(s, np.uint64) for s in x["shingles"]]
+            for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                if roots.find(part[i]) != roots.find(part[j]):
+                    both = _in_common(sets[i], sets[j])
+                    if both * self.bottom >= self.top * (len(sets[i]) + len(sets[j]) - both):
+                        roots.join(part[i], part[j])
+                        out.append((ids[i], ids[j]))
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def near_duplicate_groups(
     docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (4, 5), trees: int = 16
 ) -> DataFrame:
@@ -178,45 +305,20 @@ def near_duplicate_groups(
     links = frozen(_confirmed(best, docs, words, similarity), "links")
     labels = connected_components(links)
 
-    # Pairs of a region that lie in different components: in blocks, each pair in the first tree where it meets.
-    label = F.coalesce("component", "node").alias("component")
-    members = regions.join(labels, "node", "left").select("region", "tree", "node", label)
-    mixed = members.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y").select("region", "n")
-    members = members.join(mixed, "region").join(nodes, "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    spread = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.struct(F.least("own", other).alias("block_a"), F.greatest("own", other).alias("block_b")),
-    )
-    dealt = members.withColumn("blocks", blocks).withColumn("own", own).withColumn("at", F.explode(spread))
-
-    def across(x: pd.DataFrame) -> pd.DataFrame:
-        tree, (block_a, block_b) = int(x["tree"].iloc[0]), x[["block_a", "block_b"]].iloc[0]
-        x = x.sort_values("n_shingles", kind="stable", ignore_index=True)
-        sig = np.frombuffer(b"".join(x["signature"]), ">u4").astype(np.uint32).reshape(len(x), trees, DEPTH)
-        flat, heads = sig.reshape(len(x), -1), sig[:, :, :least]
-        size, part, ids, own = (x[c].to_numpy() for c in ("n_shingles", "component", "node", "own"))
-        a, b = [], []
-        for i in range(len(x) - 1):
-            # Sets of too different size cannot have the similarity.
-            stop = np.searchsorted(size, size[i] * bottom // top, "right")
-            j = np.arange(i + 1, stop)
-            j = j[part[j] != part[i]]
-            if block_a != block_b:
-                j = j[own[j] != own[i]]
-            if len(j):
-                j = j[(flat[j] == flat[i]).mean(axis=1) >= plausible]
-            if len(j) and tree:
-                j = j[~(heads[j, :tree] == heads[i, :tree]).all(axis=2).any(axis=1)]
-            a += [ids[i]] * len(j)
-            b += ids[j].tolist()
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-    more = dealt.select("region", "tree", "at.block_a", "at.block_b", "node", "component", "n_shingles", "signature", "own")
-    more = more.groupBy("region", "block_a", "block_b").applyInPandas(across, "a long, b long")
-    links = links.unionByName(_confirmed(more, docs, words, similarity))
-    labels = connected_components(links)
+    # Pairs of a region that lie in different components. The likeliest that would connect them come first, at most as
+    # many as connect a block's documents; then all that are left, compared on their full sets where they meet.
+    search = _Search(trees, least, plausible, top, bottom)
+    for _ in range(FOREST_ROUNDS):
+        more = _mixed_blocks(regions, labels, nodes).mapInPandas(search.forest, "a long, b long")
+        links = frozen(links.unionByName(_confirmed(more, docs, words, similarity)), "links")
+        labels = connected_components(links)
+    blocks = _mixed_blocks(regions, labels, nodes)
+    left = frozen(blocks.mapInPandas(search.candidates, MEMBER), "left")
+    if not left.isEmpty():
+        sets = _shingles(left.select(F.col("node").alias("doc_id")).distinct(), docs, words)
+        rows = left.join(sets, "node").select(*left.columns, "shingles").repartition(*KEY).sortWithinPartitions(*KEY, "node")
+        links = links.unionByName(rows.mapInPandas(search.links, "a long, b long"))
+        labels = connected_components(links)
 
     classes = classes.join(labels, "node", "left")
     classes = classes.select("set_hi", "set_lo", "n_shingles", F.coalesce("component", "node").alias("component_id"))
