@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from math import exp
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,32 +133,21 @@ def top_importances(spark, features: list[str], model, n: int = 20) -> DataFrame
 
 def calibration_grid(scored: DataFrame, method: str = "isotonic", points: int = 1000) -> tuple[list[float], list[float]]:
     """x and y of a map from scores to chances, fitted on (score, label). isotonic, also for beta; sigmoid: a logistic curve."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.regression import IsotonicRegression
-
     grid = [i / (points - 1) for i in range(points)]
     if method == "sigmoid":
         rows = VectorAssembler(inputCols=["score"], outputCol="features").transform(scored)
         model = LogisticRegression(labelCol="label", featuresCol="features").fit(rows)
-        from math import exp
-
         a, b = float(model.coefficients[0]), float(model.intercept)
         return grid, [1 / (1 + exp(-(a * x + b))) for x in grid]
     model = IsotonicRegression(labelCol="label", featuresCol="score").fit(scored)
     xs, ys = list(map(float, model.boundaries.toArray())), list(map(float, model.predictions.toArray()))
-    import numpy as np
-
     return grid, [float(y) for y in np.interp(grid, xs, ys)]
 
 
 def apply_calibration(score: Column, x: list[float], y: list[float]) -> Column:
     """Linear interpolation on the grid, in a vectorized helper."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def interpolate(s: pd.Series) -> pd.Series:
-        import numpy as np
-
         return pd.Series(np.interp(s.to_numpy(float), x, y))
 
     return interpolate(score)

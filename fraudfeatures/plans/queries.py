@@ -585,7 +585,7 @@ def _scored(t: Tables) -> DataFrame:
 
 query("hash_sample", "SELECT transaction_id FROM stg_transactions WHERE substr(md5(transaction_id), 1, 8) < '40000000'")(lambda t: evaluation.hash_sample(t.txns, 0.25).select("transaction_id"))
 query("class_balance", "SELECT count(*) AS n_rows, CAST(sum(is_fraud) AS BIGINT) AS n_fraud, sum(is_fraud) / count(*) AS fraud_rate, (count(*) - sum(is_fraud)) / greatest(sum(is_fraud), 1) AS pos_weight FROM labelled")(lambda t: evaluation.class_balance(features.with_labels(t.txns, t.labels)))
-query("fill_missing", "SELECT transaction_id, coalesce(CAST(is_international AS DOUBLE), 0) AS is_international, 0.0 AS not_there FROM raw_transactions")(
+query("fill_missing", "SELECT transaction_id, coalesce(CAST(is_international AS DOUBLE), 0) AS is_international, CAST(0 AS DOUBLE) AS not_there FROM raw_transactions")(
     lambda t: evaluation.fill_missing(t.raw("raw_transactions").select("transaction_id", F.col("is_international").cast("int").alias("is_international")), ["is_international", "not_there"])
 )
 CUT = "(SELECT event_timestamp FROM {0} ORDER BY event_timestamp OFFSET (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) FROM {0}) LIMIT 1)"
