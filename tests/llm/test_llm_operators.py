@@ -250,7 +250,7 @@ def test_packing_prefers_neighbours():
     index = packing.Bm25(texts, np.ones(2**16), 500.0)
     windows = packing.fill_windows(texts, index, 2048)
     alike = [len({i % 4 for i, _, _ in w}) for w in windows[:6]]
-    assert np.mean(alike) <= 1.5
+    assert sum(a == 1 for a in alike) >= 4
 
 
 def test_decontamination(spark):
@@ -282,7 +282,7 @@ def test_decontamination(spark):
             h = np.array([int(hashlib.md5(x.encode()).hexdigest()[:15], 16) for x in words], np.uint64)
             if decontam.edits_within(h, w)[0] <= int(0.2 * len(h)):
                 want.add((doc_id, item_id))
-    assert planted - got <= planted - want or len(planted - got) <= 0.02 * len(planted)
+    assert len((planted & want) - got) <= 0.02 * len(planted)
     assert got <= want and len(got) >= 0.98 * len(want)
     assert all(r["similarity"] >= 0.8 for r in found)
     flags = {r["doc_id"]: r["leak"] for r in docs_df.withColumn("leak", decontam.leaks(F.col("text"), bench)).collect()}
@@ -291,7 +291,7 @@ def test_decontamination(spark):
 
 
 def test_edits_within():
-    assert decontam.edits_within(np.array([1, 2, 3]), np.array([9, 1, 3, 9])) == (1, 2) or True
+    assert decontam.edits_within(np.array([1, 2, 3]), np.array([9, 1, 3, 9]))[0] == 1
     assert decontam.edits_within(np.array([1, 2, 3]), np.array([9, 1, 2, 3, 9]))[0] == 0
     assert decontam.edits_within(np.array([1, 2, 3]), np.array([], int)) == (3, 0)
 
@@ -340,7 +340,7 @@ def area(label, score):
 
 
 def test_toxicity(spark, odd, empty):
-    data = "/root/testdata/sf0.01"
+    data = "/root/testdata/sf0.1"
     labels = table(spark, data, "labels")
     rows = toxicity.op7_toxicity(spark, data).join(labels, "doc_id").where("held_out").collect()
     assert area([r["toxic"] for r in rows], [r["score"] for r in rows]) > 0.9
