@@ -682,6 +682,7 @@ query("pr_curve", "SELECT score, round(tp / (tp + fp), 9) AS precision, round(tp
 )
 RANK_SQL = "round(sum(p * (neg - fp + n / 2)) / max(pos * neg), 9) AS roc_auc, round(sum(p * (tp / (tp + fp))) / max(pos), 9) AS pr_auc"
 query("roc_auc", f"SELECT {RANK_SQL}, round(coalesce(max(tp / pos) FILTER (tp / (tp + fp) >= 0.5), 0), 9) AS recall_at_precision FROM points")(lambda t: evaluation.ranking_metrics(_scored(t)))
+query("pr_auc", f"SELECT pr_auc FROM (SELECT {RANK_SQL} FROM points)")(lambda t: evaluation.ranking_metrics(_scored(t)).select("pr_auc"))
 query("confusion_at_threshold", "SELECT *, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall FROM (SELECT count(*) FILTER (score < 0.5 AND label = 0) AS tn, count(*) FILTER (score >= 0.5 AND label = 0) AS fp, count(*) FILTER (score < 0.5 AND label = 1) AS fn, count(*) FILTER (score >= 0.5 AND label = 1) AS tp FROM scored)")(lambda t: evaluation.confusion(_scored(t), 0.5))
 query("brier_score", "SELECT round(avg((score - label) * (score - label)), 9) AS brier FROM scored")(lambda t: evaluation.brier(_scored(t)))
 query("ece", "SELECT round(sum(CASE WHEN bin < 10 THEN n * abs(a - c) ELSE 0 END) / sum(n), 9) AS ece FROM (SELECT floor(score * 10) AS bin, count(*) AS n, avg(score) AS c, avg(label) AS a FROM scored GROUP BY 1)")(lambda t: evaluation.ece(_scored(t)))
