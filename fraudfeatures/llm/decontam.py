@@ -97,21 +97,22 @@ class Index:
     def keys(self, windows: np.ndarray) -> np.ndarray:
         """The keys of windows of one size (a row each): WALKS x SAMPLES columns."""
         count, n = windows.shape
-        padded = np.hstack([windows, np.full((count, 1), 0x5851F42D4C957F2D, np.uint64)])
-        rows, out = np.arange(count), np.empty((count, WALKS * SAMPLES), np.uint64)
+        padded = np.hstack([windows, np.full((count, 1), 0x5851F42D4C957F2D, np.uint64)]).ravel()
+        first, at = np.arange(count) * (n + 1), np.zeros((WALKS, count), np.int64)
+        places, seen = (self.places * 3 * n).astype(int), {}
+        wanted = set(places.ravel().tolist())
+        for j in range(max(wanted) + 1):  # all walks take a step
+            word = padded[first + at]
+            if j in wanted:
+                seen[j] = word
+            at += (word * self.bits[:, j : j + 1] >> np.uint64(63)).view(np.int64)
+            np.minimum(at, n, out=at)
+        out = np.empty((count, WALKS * SAMPLES), np.uint64)
         for walk in range(WALKS):
-            at, places = np.zeros(count, np.int64), (self.places[walk] * 3 * n).astype(int)
-            wanted, seen = set(places.ravel().tolist()), {}
-            for j in range(max(wanted) + 1):
-                word = padded[rows, at]
-                if j in wanted:
-                    seen[j] = word
-                at += (word * self.bits[walk, j] >> np.uint64(63)).astype(np.int64)
-                np.minimum(at, n, out=at)
             for s in range(SAMPLES):
                 key = np.full(count, ((n * WALKS + walk) * SAMPLES + s + 1) * 0xD6E8FEB86659FD93 % 2**64, np.uint64)
-                for j in places[s]:
-                    key = (key ^ seen[int(j)]) * np.uint64(0xBF58476D1CE4E5B9)
+                for j in places[walk, s]:
+                    key = (key ^ seen[int(j)][walk]) * np.uint64(0xBF58476D1CE4E5B9)
                     key ^= key >> np.uint64(31)
                 out[:, walk * SAMPLES + s] = key
         return out
@@ -129,10 +130,9 @@ class Index:
             low, high = np.searchsorted(known, hashes[at], "left"), np.searchsorted(known, hashes[at], "right")
             for place, a, b in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist(), strict=True):
                 for number, within in zip(item[a:b].tolist(), offset[a:b].tolist(), strict=True):
-                    d = self.edits[number]
-                    step = max(1, d // 2)
-                    laid[len(self.items[number][1])].add(place - within)
-                    laid[len(self.items[number][1])].update(range((place - within - d) // step * step, place - within + d + 1, step))
+                    # Starts are rounded, so that runs of one occurrence lay one window; the embedding bears small shifts.
+                    step = max(1, self.edits[number] // 3)
+                    laid[len(self.items[number][1])].add((place - within + step // 2) // step * step)
         found: dict[tuple[int, int], list[int]] = defaultdict(list)
         for n, places in laid.items():
             first = np.array(sorted(places))
@@ -158,6 +158,8 @@ class Index:
                     b = places.pop(0)
                 a, b = max(0, a - 2 * d), min(len(texts[t]), b + len(w) + 2 * d)
                 region = texts[t][a:b]
+                if len(w) - np.count_nonzero((w[:, None] == region).any(axis=1)) > d:
+                    continue  # each word that the region lacks is an edit
                 edits, end = edits_within(w, region)
                 if edits <= d and (best is None or edits < best[0]):
                     back, length = edits_within(w[::-1], region[:end][::-1])
@@ -176,12 +178,12 @@ def indexes(benchmark: DataFrame, ratio: float = RATIO) -> list[Index]:
 
 
 def _grouped(texts: pd.Series, cache: WordHashes) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Texts as words, some 100,000 words at a time, with the place of the first."""
+    """Texts as words, some 400,000 words at a time, with the place of the first."""
     at, group, size = 0, [], 0
     for i, text in enumerate(texts):
         group.append(words(text, cache))
         size += len(group[-1])
-        if size >= 100_000 or i == len(texts) - 1:
+        if size >= 400_000 or i == len(texts) - 1:
             yield at, group
             at, group, size = i + 1, [], 0
 
