@@ -1,8 +1,11 @@
 """Lexical retrieval packing.
 
-Documents are cut into windows as far as they fill them; what is left of each is packed. The rests are dealt to shards of
-a bounded number of documents, and each shard builds a BM25 inverted index over its rests, with document frequencies
-counted over all documents. A seed opens a window; the index returns its unused neighbours in order of their scores, and
+Documents are cut into windows as far as they fill them; what is left of each is packed. The rests are dealt by what they
+are about to shards of a bounded number of documents: each is known by its terms of high weight, in one random order of all
+terms, and shards are cut from the order of these lists, so that a first term that too many share is split by the next
+ones and equal lists by a salt. Two documents begin alike with the chance of the overlap of their terms (MinHash),
+however many others there are. Each shard builds a BM25 inverted index over its rests, with
+document frequencies counted over all documents. A seed opens a window; the index returns its unused neighbours in order of their scores, and
 those that fit fill the window greedily. What no whole neighbour fills is filled by the first part of the best
 neighbour left; its other part is the next seed. So every window is full but for a shard's last tokens, which go
 into sequences whose lengths are powers of two.
@@ -11,6 +14,7 @@ into sequences whose lengths are powers of two.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pandas as pd
@@ -22,7 +26,9 @@ from .common import frozen, table
 from .tokens import WordTokenizer
 
 SHARD = 2000  # documents of a shard, about
-QUERY_TERMS = 24  # a seed is looked up by the terms of highest weight
+KEY_SHARE = 0.5  # a document is dealt by the terms that have this share of its highest weight
+KEY_TERMS = 8  # of which the first ones are compared
+SAMPLED, SAMPLED_A_SHARD = 100_000, 16  # documents that the shards' bounds are read from: all up to the larger of them
 K1, B = 1.2, 0.75
 FULL = 2**62  # sequence ids of windows that a document fills alone begin here
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -64,6 +70,55 @@ def _frequencies(tokens: DataFrame, window: int) -> dict[int, int]:
     return {r["term"]: r["n"] for r in rows}
 
 
+def _key_places(ids: np.ndarray, place: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
+    """The first places of the terms of high BM25 weight; KEY_TERMS at most."""
+    terms, tf = np.unique(ids, return_counts=True)
+    weight = _weights(idf[terms], tf, len(ids), mean_length)
+    return np.sort(place[terms[weight >= KEY_SHARE * weight.max()]])[:KEY_TERMS]
+
+
+def _dealt(tokens: DataFrame, window: int, shards: int, n: int, idf: np.ndarray, mean_length: float) -> DataFrame:
+    """shard, doc_id, doc_tokens, rest: the rests that are not empty, those of like terms in one shard."""
+    # The table is frozen, so that its row numbers are, too.
+    row = F.monotonically_increasing_id()
+    numbered = tokens.select("doc_id", "doc_tokens", "ids", F.xxhash64(row).alias("salt"), F.xxhash64(row, F.lit(1)).alias("draw"))
+    place = np.random.default_rng(31).permutation(2**16)
+
+    def keys(ids: pd.Series, salt: pd.Series) -> np.ndarray:
+        out = np.empty(len(ids), f"S{2 * KEY_TERMS + 8}")
+        for i, (x, s) in enumerate(zip(ids, salt.to_numpy().astype(">i8"), strict=True)):
+            own = _key_places(_rest(x, window), place, idf, mean_length).astype(">u2").tobytes()
+            out[i] = own.ljust(2 * KEY_TERMS, b"\xff") + s.tobytes()
+        return out
+
+    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"key": keys(batch["ids"], batch["salt"]).tolist()})
+
+    bounds = np.zeros(0, f"S{2 * KEY_TERMS + 8}")
+    if shards > 1:
+        every = max(1, n // max(SAMPLED, SAMPLED_A_SHARD * shards))
+        some = numbered.where(F.octet_length("ids") % (2 * window) > 0).where(F.pmod("draw", F.lit(every)) == 0)
+        found = some.select("ids", "salt").mapInPandas(sampled, "key binary").toPandas()["key"]
+        found = np.sort(np.array([bytes(k) for k in found], bounds.dtype))
+        bounds = found[np.arange(1, shards) * len(found) // shards] if len(found) else bounds
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                some = batch.iloc[at : at + 500]
+                shard = np.searchsorted(bounds, keys(some["ids"], some["salt"]), "right") if len(bounds) else 0
+                rest = [_rest(x, window).tobytes() for x in some["ids"]]
+                yield pd.DataFrame({"shard": shard, "doc_id": some["doc_id"].astype("Int64"), "doc_tokens": some["doc_tokens"], "rest": rest})
+
+    rests = numbered.where(F.octet_length("ids") % (2 * window) > 0).select("doc_id", "doc_tokens", "ids", "salt")
+    return rests.mapInPandas(run, "shard long, doc_id long, doc_tokens long, rest binary")
+
+
+def _weights(idf: np.ndarray, tf: np.ndarray, sizes: np.ndarray | int, mean_length: float) -> np.ndarray:
+    return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes / mean_length))
+
+
 def _rest(ids: bytes, window: int) -> np.ndarray:
     return np.frombuffer(ids, "<u2", offset=len(ids) // (2 * window) * 2 * window)
 
@@ -77,25 +132,34 @@ class Bm25:
         of = np.repeat(np.arange(len(texts)), sizes)
         pairs, tf = np.unique(terms * len(texts) + of, return_counts=True)
         self.term, self.doc = pairs // len(texts), pairs % len(texts)
-        norm = K1 * (1 - B + B * sizes[self.doc] / mean_length)
-        self.weight = idf[self.term] * tf * (K1 + 1) / (tf + norm)
+        self.weight = _weights(idf[self.term], tf, sizes[self.doc], mean_length)
         self.starts = np.searchsorted(self.term, np.arange(len(idf) + 1))
-        self.idf, self.n = idf, len(texts)
+        self.n = len(texts)
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
-        terms, tf = np.unique(ids, return_counts=True)
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-self.idf[terms] * np.sqrt(tf), kind="stable")[:QUERY_TERMS]]
-        at = np.concatenate([np.arange(self.starts[t], self.starts[t + 1]) for t in terms] or [np.zeros(0, int)])
+        """Of each list, by all terms of ids."""
+        terms = np.unique(ids)
+        first, count = self.starts[terms], self.starts[terms.astype(np.int64) + 1] - self.starts[terms]
+        at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
         return np.bincount(self.doc[at], self.weight[at], self.n)
 
+    def without(self, used: np.ndarray) -> Bm25:
+        """The index without the lists that are used; the others keep their numbers and scores."""
+        out, keep = copy(self), ~used[self.doc]
+        out.term, out.doc, out.weight = self.term[keep], self.doc[keep], self.weight[keep]
+        out.starts = np.searchsorted(out.term, np.arange(len(self.starts)))
+        return out
+
 
 def fill_windows(texts: list[np.ndarray], index: Bm25, window: int) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (text, from, to). Each is full but for those at the end, of lengths that are powers of two."""
     sizes = np.array([len(t) for t in texts], np.int64)
     used, out = sizes == 0, []
     order, at = iter(np.argsort(-sizes, kind="stable").tolist()), None
+    indexed = len(used)
     while True:
+        if (~used).sum() < 0.8 * indexed:
+            index, indexed = index.without(used), int((~used).sum())
         if at is None:
             seed = next((i for i in order if not used[i]), None)
             if seed is None:
@@ -177,14 +241,9 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
         return out.astype({"doc_id": "Int64"})
 
     full = tokens.where(F.col("doc_tokens") >= window).mapInPandas(alone, PIECES)
-    whole = F.floor(F.octet_length("ids") / (2 * window)).cast("int") * (2 * window)
-    dealt = tokens.select(
-        # The table is frozen, so that its row numbers are, too; they deal rows evenly whatever their ids.
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"),
-        "doc_id",
-        "doc_tokens",
-        F.substr("ids", whole + 1).alias("rest"),
-    ).where(F.octet_length("rest") > 0)
+    shared = idf.copy()  # a term of one document alone brings it near to no other
+    shared[[term for term, df in counts.items() if df < 2]] = 0
+    dealt = _dealt(tokens, window, shards, n, shared, mean_length)
     packed = dealt.groupBy("shard").applyInPandas(shard_of, PIECES)
     return full.unionByName(packed)
 

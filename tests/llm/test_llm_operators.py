@@ -253,6 +253,41 @@ def test_packing_prefers_neighbours():
     assert sum(a == 1 for a in alike) >= 4
 
 
+def test_packing_neighbours_over_shards(spark, monkeypatch):
+    """Planted pairs share a window however many shards the table has."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "SHARD", 40)
+    whole = sorted(w[:-4] for w in Tokenizer.from_file(packing.tokenizer_path()).get_vocab() if w.endswith("</w>") and w[:-4].isalpha() and w.isascii())
+    rng = np.random.default_rng(8)
+    vocabulary = rng.permutation(whole)[:3000].tolist()
+    for n in (160, 640):
+        docs = []
+        for doc_id in range(n):
+            if doc_id < n // 2:
+                topic = [vocabulary[i] for i in rng.integers(400, 3000, 12)]
+                texts = {doc_id: topic, doc_id + n // 2: topic}
+                for i, own in texts.items():
+                    text = [vocabulary[j] for j in rng.integers(0, 400, 150)] + [own[j] for j in rng.integers(0, 12, 50)]
+                    docs.append((i, " ".join(rng.permutation(text).tolist())))
+        pieces = packing.pieces_digest(packing.retrieval_packing(spark.createDataFrame(docs, "doc_id long, text string"), packing.tokenizer_path(), 256)).toPandas()
+        check_packing(docs, pieces, whole=False)
+        assert (pieces.sequence_id // 2**32).nunique() >= n // 80
+        held = pieces.groupby("doc_id").sequence_id.agg(set)
+        together = np.mean([bool(held[i] & held[i + n // 2]) for i in range(n // 2)])
+        assert together >= 0.6, (n, together)  # in shards dealt at random 0.25 and 0.06 of the pairs could meet
+
+
+def test_packing_scores_all_terms():
+    rng = np.random.default_rng(9)
+    texts = [rng.integers(0, 300, 200).astype(np.uint16) for _ in range(30)]
+    index, seed = packing.Bm25(texts, np.linspace(1, 2, 2**16), 200.0), np.arange(300, dtype=np.uint16)
+    alone = sum(index.scores(seed[i : i + 1]) for i in range(300))
+    assert np.allclose(index.scores(seed), alone)
+    used = np.arange(30) % 2 == 0
+    assert np.allclose(index.without(used).scores(seed), np.where(used, 0, alone))
+
+
 def test_decontamination(spark):
     rng = np.random.default_rng(2)
     vocabulary = [f"t{i}" for i in range(400)]
