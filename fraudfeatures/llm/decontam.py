@@ -6,8 +6,9 @@ turns edits into differing places. Sampled places of embeddings are looked up am
 walks and samples, and what meets an item there is verified by its exact edit distance.
 
 Windows are laid where they can succeed: n words within d edits of an item leave a run of (n - d) / (d + 1) of its
-words untouched, so windows start only around the document's runs of that many words that occur in an item. No window
-within the distance is lost by this.
+words untouched, so windows start only around the document's runs of that many words that occur in an item, where the
+run lies in the item and shifted by up to d words. No passage within the distance is left without a window by this; whether
+a window then meets its item in a sampled place is a matter of chance.
 
 Words are what is left between white space and ASCII punctuation, with A-Z lower-cased.
 """
@@ -130,9 +131,11 @@ class Index:
             low, high = np.searchsorted(known, hashes[at], "left"), np.searchsorted(known, hashes[at], "right")
             for place, a, b in zip(at[low < high].tolist(), low[low < high].tolist(), high[low < high].tolist(), strict=True):
                 for number, within in zip(item[a:b].tolist(), offset[a:b].tolist(), strict=True):
-                    # Starts are rounded, so that runs of one occurrence lay one window; the embedding bears small shifts.
-                    step = max(1, self.edits[number] // 3)
-                    laid[len(self.items[number][1])].add((place - within + step // 2) // step * step)
+                    d = self.edits[number]
+                    step = max(1, d // 2)
+                    # Edits before the run shift the window; shifts are rounded, so that the runs of one occurrence share them.
+                    laid[len(self.items[number][1])].add(place - within)
+                    laid[len(self.items[number][1])].update(range((place - within - d) // step * step, place - within + d + 1, step))
         found: dict[tuple[int, int], list[int]] = defaultdict(list)
         for n, places in laid.items():
             first = np.array(sorted(places))
@@ -191,7 +194,8 @@ def _grouped(texts: pd.Series, cache: WordHashes) -> Iterator[tuple[int, list[np
 def find_leaks(docs: DataFrame, benchmark: DataFrame, ratio: float = RATIO) -> DataFrame:
     """doc_id, item_id, first_word, n_words, edits, similarity: for every document (doc_id, text) and benchmark item
     (item_id, text) the document's part that is nearest to the item, if it is within int(ratio * words of the item) word
-    edits. similarity is 1 - edits / words of the item.
+    edits. similarity is 1 - edits / words of the item. What is reported is exact, but the search is probabilistic: a
+    passage near the limit of edits is missed now and then.
 
     Null and empty texts and items match nothing. Rows with a null or repeated doc_id are searched like others; items of
     equal text are each reported. Texts are searched whole. Other columns are not read.

@@ -325,6 +325,19 @@ def test_decontamination(spark):
     assert decontam.find_leaks(docs_df, bench.limit(0)).count() == 0 and decontam.find_leaks(docs_df.limit(0), bench).count() == 0
 
 
+def test_decontamination_lays_unrounded_windows():
+    item, cache = " ".join(f"t{i}" for i in range(50)), decontam.WordHashes()
+    index, laid = decontam.Index([(0, item)]), []
+    keys = index.keys
+    index.keys = lambda windows: laid.extend(w.tobytes() for w in windows) or keys(windows)
+    want = decontam.words(item, cache).tobytes()
+    for before in range(12):
+        laid.clear()
+        text = decontam.words(" ".join([*(f"f{i}" for i in range(before)), item]), cache)
+        assert [x[1:] for x in index.find([text])] == [(0, before, 50, 0)]
+        assert want in laid, before
+
+
 def test_edits_within():
     assert decontam.edits_within(np.array([1, 2, 3]), np.array([9, 1, 3, 9]))[0] == 1
     assert decontam.edits_within(np.array([1, 2, 3]), np.array([9, 1, 2, 3, 9]))[0] == 0
