@@ -17,9 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, table
+from .common import fresh, frozen, table
 
-LABELLED = 20_000  # labelled URLs that the fit sees at most
+LABELLED = 20_000  # labelled URLs that the trees learn from at most; suffixes are counted over all
 SMOOTHING = 20.0
 FEATURES = ["length", "depth", "digits", "letters", "signs", "entropy", "parameters", "fragment", "host_length", "labels", "longest_number", "suffix_n", "suffix_bad"]
 
@@ -107,14 +107,17 @@ class UrlModel:
     base: float
 
 
-def _assembled(urls: DataFrame, url: str, suffixes: DataFrame, base: float, features: str) -> DataFrame:
-    """urls with a vector of features. A URL that is itself labelled is left out of its suffix's figures."""
+def _assembled(urls: DataFrame, url: str, suffixes: DataFrame, base: float, features: str, label: str | None = None) -> DataFrame:
+    """urls with a vector of features. With the column of their labels, each URL, which the suffixes must have counted, is
+    left out of its own suffix's figures."""
     parts = host(F.col(url)), path(F.col(url))
     names = {f: fresh(urls, f"f_{f}") for f in FEATURES}
     key, n, bad = (fresh(urls, c) for c in ("suffix_key", "suffix_rows", "suffix_bad_rows"))
     out = urls.withColumns({key: suffix(parts[0]), **{names[f]: c for f, c in lexical(F.col(url), *parts).items()}})
     known = suffixes.select(F.col("suffix").alias(key), F.col("n").alias(n), F.col("bad").alias(bad))
     out = out.join(known, key, "left")
+    if label is not None:
+        out = out.withColumns({n: F.col(n) - 1, bad: F.col(bad) - F.col(label)})
     out = out.withColumn(names["suffix_n"], F.log1p(F.coalesce(n, F.lit(0))))
     out = out.withColumn(names["suffix_bad"], (F.coalesce(bad, F.lit(0)) + SMOOTHING * base) / (F.coalesce(n, F.lit(0)) + SMOOTHING))
     out = VectorAssembler(inputCols=[names[f] for f in FEATURES], outputCol=features).transform(out)
@@ -122,17 +125,18 @@ def _assembled(urls: DataFrame, url: str, suffixes: DataFrame, base: float, feat
 
 
 def fit(labelled: DataFrame, trees: int = 12, depth: int = 3) -> UrlModel | None:
-    """labelled: (url, bad), null ones left out. At most LABELLED rows, those of the smallest hashes of their URLs, are
-    learned from. None unless both labels occur."""
+    """labelled: (url, bad), null ones left out. Suffixes and the share of bad ones are counted over all; the trees learn
+    from at most LABELLED rows, those of the smallest hashes of their URLs. None unless both labels occur among these."""
     some = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select("url", F.col("bad").cast("double").alias("bad"))
-    some = some.groupBy("url").agg(F.max("bad").alias("bad")).orderBy(F.xxhash64("url"), "url").limit(LABELLED)
+    every = frozen(some.groupBy("url").agg(F.max("bad").alias("bad")), "labelled_urls")
+    some = every.orderBy(F.xxhash64("url"), "url").limit(LABELLED)
     some = some.repartitionByRange(4, "url").sortWithinPartitions("url").cache()
-    total = some.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first()
-    if not total["n"] or not 0 < total["bad"] < total["n"]:
+    total, seen = (x.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first() for x in (every, some))
+    if not seen["n"] or not 0 < seen["bad"] < seen["n"]:
         return None
-    base = total["bad"] / total["n"]
-    suffixes = some.groupBy(suffix(host(F.col("url"))).alias("suffix")).agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
-    rows = _assembled(some, "url", suffixes, base, "features").withColumn("weight", F.when(F.col("bad") > 0, 0.5 / base).otherwise(0.5 / (1 - base)))
+    base, share = total["bad"] / total["n"], seen["bad"] / seen["n"]
+    suffixes = every.groupBy(suffix(host(F.col("url"))).alias("suffix")).agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    rows = _assembled(some, "url", suffixes, base, "features", "bad").withColumn("weight", F.when(F.col("bad") > 0, 0.5 / share).otherwise(0.5 / (1 - share)))
     booster = GBTClassifier(labelCol="bad", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, seed=7)
     return UrlModel(booster.fit(rows.select("bad", "features", "weight")), suffixes, base)
 

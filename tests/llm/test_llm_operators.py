@@ -444,6 +444,18 @@ def test_url_parts_and_rules(spark):
         assert row["host"] == "mine"
 
 
+def test_url_suffixes_count_all_labels(spark, monkeypatch):
+    monkeypatch.setattr(urls, "LABELLED", 40)
+    rows = [(f"http://h{i}.s{i % 5}.com/{i}", int(i % 5 == 0)) for i in range(300)]
+    model = urls.fit(spark.createDataFrame(rows, "url string, bad int"), trees=2)
+    assert {tuple(r) for r in model.suffixes.collect()} == {(f"s{i}.com", 60, 60.0 * (i == 0)) for i in range(5)}
+    assert model.base == 0.2
+    own = spark.createDataFrame([(rows[0][0], 1.0), (rows[1][0], 0.0)], "url string, bad double")
+    got = urls._assembled(own, "url", model.suffixes, model.base, "features", "bad").orderBy("url").collect()
+    for row, bad in zip(got, (59, 0), strict=True):  # its own label is left out
+        assert np.allclose(row["features"].toArray()[-2:], [np.log1p(59), (bad + 4) / 79])
+
+
 def test_url_trees(spark, small):
     rows = [(f"http://good.net/page/{i}", 0) for i in range(150)] + [(f"http://spam.net/x?a={i}&b={i * 7919}&c=1&d=2", 1) for i in range(80)]
     labelled = spark.createDataFrame([*rows, (None, 1), ("http://x.net/", None)], "url string, bad int")
