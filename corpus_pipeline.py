@@ -32,9 +32,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id."""
-    groups = neardup.near_duplicate_groups(docs, words=5, similarity=(4, 5))
-    return docs.join(groups.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near duplicates, that of the smallest id. Each row is a document of its own, whether its id
+    is null (such a row stays only where its group has no other) or repeated."""
+    row = fresh(docs, "row")
+    rows = frozen(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = neardup.near_duplicate_groups(rows.select(F.col(row).alias("doc_id"), "text"), words=5, similarity=(4, 5))
+    groups = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("group"))
+    members = frozen(groups.join(rows.select(row, "doc_id"), row), "members")
+    first = members.groupBy("group").agg(F.count("*").alias("n"), F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first"))
+    others = members.join(first.where("n > 1"), "group").where(F.col(row) != F.col("first")).select(row)
+    return rows.join(others, row, "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

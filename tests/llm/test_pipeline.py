@@ -19,6 +19,14 @@ def test_stages_keep_columns_and_order(spark, small):
     assert len(corpus_pipeline.STAGES) == 5 and packing.SHARD > 0
 
 
+def test_near_duplicates_keeps_one_row_of_each_group(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
+    rows = [(5, one), (5, one), (None, one), (None, one), (3, one), (7, one), (7, two), (None, ""), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(3, one), (7, two), (None, ""), (8, None)], key=str)
+
+
 def test_registry():
     import __spark_entry__
 
