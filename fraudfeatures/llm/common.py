@@ -2,21 +2,43 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from types import ModuleType
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session. Only where it is unset, as in tests, a
-    temporary folder is made and set."""
+    """The folder that all executors share: spark.checkpoint.dir of the session. It must be set, because a folder of one
+    machine's own would lose rows on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    root = f"file://{tempfile.mkdtemp(prefix='spark-')}"  # driver and executor are one process
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs within hand rows to Python in batches of 8 MB, so that wide rows do not fill a worker's memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8m")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def frozen(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -27,10 +49,18 @@ def frozen(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with small_batches(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: tuple, make: Callable[[], T]) -> T:
+    """What make() gives, made once in each Python worker and kept between its tasks. It is kept outside this package,
+    because the functions of tasks travel by value."""
+    kept = sys.modules.setdefault("worker_memory", ModuleType("worker_memory")).__dict__
+    return kept[key] if key in kept else kept.setdefault(key, make())
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not use, in any case."""
     taken = {c.lower() for c in df.columns}

@@ -1,13 +1,14 @@
 """Near duplicates by a MinHash LSH forest.
 
-Every document has a signature of `trees` runs of DEPTH minima. A tree orders the documents by one run; documents that
-share a prefix of it stand next to each other and form a region, and the longer the common prefix, the nearer they are.
-Regions start at the depth that finds a pair of the wanted similarity with near certainty; where a region is large, it is
-also split by longer and longer prefixes, each region at its own depth. Each document is compared with the first of
-each of its regions, the pairs that fit best are confirmed on the full shingle sets, and what then hangs together is one
-component. After that, pairs of a region that lie in different components, and only these, are compared in blocks, so
-that no link between components is lost although a group of near copies never gives all its pairs: the likeliest pairs
-first, as many as would connect a block, and at last all that are left, whose links alone leave the task.
+Every document has a signature of `trees` runs of DEPTH minima. Each tree sorts all documents by one run, so that those
+with a long common prefix stand next to each other. A document's candidate is, over all the orders, its neighbour of the
+longest common prefix: the depth that is looked at adapts to how crowded the documents' region is, from DEPTH minima down
+to the least depth that finds a pair of the wanted similarity with near certainty. Candidates whose signatures agree well
+enough are confirmed on the full shingle sets, and what hangs together is one component. In the next rounds the
+neighbours are the nearest documents of other components, so that components grow together however large they are.
+
+What neighbours have not shown is settled exactly: a region (the documents that share the least depth in a tree) that still
+holds several components is compared in blocks, only across components, and only the links leave the task.
 """
 
 from __future__ import annotations
@@ -17,20 +18,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, table
+from .common import frozen, per_worker, table
 from .components import connected_components
 from .words import WordHashes, shingle_set, word_hashes
 
 DEPTH = 8  # minima of a tree, four bytes each
-LARGE_REGION = 64  # documents; a region beyond this is split by a longer prefix, too
-BLOCK = 512  # documents of a region that are compared with each other or with another block at a time
-FOREST_ROUNDS = 2
+NEIGHBOUR_ROUNDS = 2  # rounds that look at neighbours; what is left is compared in blocks
+BLOCK = 1024  # documents of a region that are compared with each other or with another block at a time
+BLOCK_SHINGLES = 2_000_000  # shingles of a block's documents, about; 16 MB
+SETS_BATCH = 500_000  # shingles that a task hands over at a time
 KEY = ["region", "block_a", "block_b"]
 MEMBER = "region long, block_a int, block_b int, tree int, node long, component long, n_shingles long, own int, signature binary"
-ID_LIMIT = 1_000_000  # document ids to broadcast (8 MB); beyond, the join is by shuffle
+PLACE = "a long, a_component long, b long, b_component long, prefix int, part int, last boolean, tree int, run binary"
+ID_LIMIT = 300_000  # ids to broadcast (15 MB); beyond, the join is by shuffle
+PAIR = ["a", "a_component", "b", "b_component"]
 
 
 def least_depth(similarity: float, trees: int, miss: float = 2e-5) -> int:
@@ -57,11 +63,17 @@ def signature(shingles: np.ndarray, factor: np.ndarray, offset: np.ndarray) -> n
     return least
 
 
+def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set of shingles."""
+    mixed = (shingles ^ (shingles >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return int(shingles.sum().view(np.int64)), int((mixed ^ (mixed >> np.uint64(30))).sum().view(np.int64))
+
+
 def digests(docs: DataFrame, words: int, trees: int) -> DataFrame:
     """doc_id, n_shingles, set_hi and set_lo (fingerprint of the shingle set, 128 bits), signature."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, (factor, offset) = WordHashes(), _multipliers(trees)
+        cache, (factor, offset) = per_worker((WordHashes.__name__,), WordHashes), _multipliers(trees)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -69,9 +81,7 @@ def digests(docs: DataFrame, words: int, trees: int) -> DataFrame:
                 if not len(found):
                     rows.append((doc_id, 0, 0, 0, None))
                     continue
-                mixed = (found ^ (found >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-                hi, lo = int(found.sum().view(np.int64)), int((mixed ^ (mixed >> np.uint64(30))).sum().view(np.int64))
-                rows.append((doc_id, len(found), hi, lo, signature(found, factor, offset).astype(">u4").tobytes()))
+                rows.append((doc_id, len(found), *fingerprint(found), signature(found, factor, offset).astype(">u4").tobytes()))
             out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_hi", "set_lo", "signature"])
             out["doc_id"] = batch["doc_id"].to_numpy()
             yield out
@@ -80,6 +90,84 @@ def digests(docs: DataFrame, words: int, trees: int) -> DataFrame:
     return known.mapInPandas(run, "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary")
 
 
+def _prefix(depth: int) -> Column:
+    return F.substr("run", F.lit(1), F.lit(4 * depth))
+
+
+def _orders(nodes: DataFrame, labels: DataFrame, trees: int, least: int) -> DataFrame:
+    """A row for each document's place in each order: tree, run, node, component, n_shingles, region."""
+    runs = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.substr("signature", t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("run")))
+    rows = nodes.join(labels, "node").select("node", "component", "n_shingles", F.inline(runs))
+    return rows.withColumn("region", F.xxhash64("tree", _prefix(least)))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Regions that hold several components: region, n (documents), shingles (of all of them)."""
+    sizes = rows.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    return sizes.where("x <> y").select("region", "n", "shingles")
+
+
+def _common_prefix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.cumprod(a == b, axis=1).sum(axis=1)
+
+
+class _Places:
+    """The rows of one order that were seen last: the last one, and before it the last one of another component."""
+
+    def __init__(self):
+        self.rows: pd.DataFrame | None = None
+
+    def neighbours(self, batch: pd.DataFrame) -> pd.DataFrame:
+        """For each row of the batch the nearest row before it of another component in the same order, with the length of
+        their common prefix; none has 0."""
+        kept = 0 if self.rows is None else len(self.rows)
+        x = batch if self.rows is None else pd.concat([self.rows, batch], ignore_index=True)
+        node, part, tree = (x[c].to_numpy() for c in ("node", "component", "tree"))
+        run = np.frombuffer(b"".join(x["run"]), ">u4").reshape(len(x), DEPTH)
+        new = np.concatenate([[True], (part[1:] != part[:-1]) | (tree[1:] != tree[:-1])])
+        before = np.maximum.accumulate(np.where(new, np.arange(len(x)), 0)) - 1
+        at = np.maximum(before, 0)
+        prefix = np.where((before >= 0) & (tree == tree[at]), _common_prefix(run, run[at]), 0)
+        self.rows = x.iloc[[i for i in (before[-1], len(x) - 1) if i >= 0]]
+        out = pd.DataFrame({"a": node, "a_component": part, "b": node[at], "b_component": part[at], "prefix": prefix})
+        return out.iloc[kept:]
+
+
+def _lcp_neighbours(rows: DataFrame, least: int) -> DataFrame:
+    """For each document of rows (tree, run, node, component) with a neighbour of another component and at least this common prefix in
+    any order, that of the longest: PAIR. Orders are sorted over many tasks by range; the last place of each task meets
+    the first of the next one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        places, part, first = _Places(), TaskContext.get().partitionId(), None
+        ends = ["node", "component", "tree", "run"]
+        for batch in batches:
+            if len(batch):
+                first = batch.iloc[:1][ends] if first is None else first
+                out = places.neighbours(batch)
+                yield out.assign(part=pd.NA, last=None, tree=pd.NA, run=None)
+        if first is not None:
+            end = pd.concat([first, places.rows.iloc[-1:][ends]]).rename(columns={"node": "a", "component": "a_component"})
+            yield end.assign(b=pd.NA, b_component=pd.NA, prefix=pd.NA, part=part, last=[False, True])[PLACE.replace(",", "").split()[::2]]
+
+    ordered = rows.select("tree", "run", "node", "component").repartitionByRange("tree", "run", "node").sortWithinPartitions("tree", "run", "node")
+    places = frozen(ordered.mapInPandas(run, PLACE), "places")
+    # Two rows for each task of the sort.
+    ends = places.where("part IS NOT NULL").orderBy("part", "last").collect()
+    borders = []
+    for x, y in zip(ends[1::2], ends[2::2], strict=False):
+        same = int(_common_prefix(*(np.frombuffer(r["run"], ">u4")[None] for r in (x, y)))[0])
+        if x["tree"] == y["tree"] and x["a_component"] != y["a_component"] and same:
+            borders.append((y["a"], y["a_component"], x["a"], x["a_component"], same))
+    found = places.where("part IS NULL").select(*PAIR, "prefix")
+    if borders:
+        found = found.unionByName(rows.sparkSession.createDataFrame(borders, found.schema))
+    # The tie is broken by a hash, so that a crowd does not choose one and the same document.
+    best = F.max_by(F.struct("b", "b_component"), F.struct("prefix", F.xxhash64("a", "b"), "b"))
+    best = found.groupBy("a", "a_component").agg(F.max("prefix").alias("prefix"), best.alias("best")).where(F.col("prefix") >= least)
+    return best.select("a", "a_component", "best.b", "best.b_component")
+
+
 def _agreement(a: pd.Series, b: pd.Series) -> np.ndarray:
     left, right = (np.frombuffer(b"".join(x), np.uint32).reshape(len(x), -1) for x in (a, b))
     return (left == right).mean(axis=1)
@@ -90,32 +178,48 @@ def _plausible(similarity: float, trees: int) -> float:
     return similarity - 4.9 * math.sqrt(similarity * (1 - similarity) / (trees * DEPTH))
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Of pairs (a, b), those whose signatures agree well enough, with the agreement."""
+def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Of pairs (PAIR), those whose signatures agree well enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             if len(x):
-                x = x.assign(agreement=_agreement(x["sig_a"], x["sig_b"]))
-                yield x.loc[x["agreement"] >= least, ["a", "b", "agreement"]]
+                yield x.loc[_agreement(x["sig_a"], x["sig_b"]) >= least, PAIR]
 
     left, right = (nodes.select(F.col("node").alias(c), F.col("signature").alias(f"sig_{c}")) for c in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInPandas(run, "a long, b long, agreement double")
+    return pairs.join(left, "a").join(right, "b").select(*PAIR, "sig_a", "sig_b").mapInPandas(run, pairs.select(PAIR).schema)
+
+
+def _shingles(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node, shingles (sorted): the full sets of these nodes (node, distinct), from the text of one of their documents; a
+    text of the same doc_id that has another set is passed over."""
 
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = per_worker((WordHashes.__name__,), WordHashes)
 
-def _shingles(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """node, shingles: the full sets of the documents with these ids (doc_id, distinct)."""
+        def made(ids: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            values = pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(ends, values)], ["node", "shingles"])
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = WordHashes()
         for batch in batches:
-            found = [shingle_set(word_hashes(t, cache), words).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"node": batch["doc_id"], "shingles": found})
+            ids, found, size = [], [], 0
+            for node, hi, lo, text in zip(*(batch.column(c).to_pylist() for c in ("node", "set_hi", "set_lo", "text")), strict=True):
+                own = shingle_set(word_hashes(text, cache), words)
+                if fingerprint(own) != (hi, lo):
+                    continue
+                ids.append(node)
+                found.append(np.sort(own.view(np.int64)))
+                size += len(found[-1])
+                if size >= SETS_BATCH:
+                    yield made(ids, found)
+                    ids, found, size = [], [], 0
+            yield made(ids, found)
 
-    ids = frozen(ids, "pair-ids")
-    ids = F.broadcast(ids) if ids.count() <= ID_LIMIT else ids
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return frozen(found.mapInPandas(sets, "node long, shingles binary"), "sets")
+    one = frozen(nodes.join(wanted, "node", "left_semi").select("node", "doc_id", "set_hi", "set_lo"), "wanted")
+    one = F.broadcast(one) if one.count() <= ID_LIMIT else one
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(one, "doc_id").drop("doc_id")
+    return frozen(texts.mapInArrow(sets, "node long, shingles array<long>"), "sets")
 
 
 def _in_common(x: np.ndarray, y: np.ndarray) -> int:
@@ -126,51 +230,37 @@ def _in_common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum())
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
-    """Of pairs (a, b), those whose full shingle sets have the similarity."""
+def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similarity: tuple[int, int]) -> DataFrame:
+    """Links (a, b) between the components of those pairs (PAIR) whose full shingle sets have the similarity."""
     top, bottom = similarity
-
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["set_a"], batch["set_b"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = _in_common(x, y)
-                keep.append(both * bottom >= top * (len(x) + len(y) - both))
-            yield batch.loc[keep, ["a", "b"]]
-
-    pairs = frozen(pairs.select("a", "b").distinct(), "pairs")
-    found = _shingles(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, words)
+    pairs = frozen(pairs, "pairs")
+    found = _shingles(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, nodes, words)
     left, right = (found.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
-    return joined.mapInPandas(meet, "a long, b long").distinct()
-
-
-def _prefix(depth: int) -> Column:
-    return F.substr("run", F.lit(1), F.lit(4 * depth))
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    hold = both * bottom >= top * (F.size("set_a") + F.size("set_b") - both)
+    joined = pairs.join(left, "a").join(right, "b").where(hold)
+    return frozen(joined.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")).distinct(), "links")
 
 
-def _with_first(rows: DataFrame, depth: int) -> DataFrame:
-    """Rows (tree, run, node) of regions of two and more at this depth, with the region's first node and its size."""
-    key = rows.withColumn("region", F.xxhash64("tree", _prefix(depth)))
-    regions = key.groupBy("region").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
-    return key.join(regions, "region")
+def _joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (node, component) after links (a, b) between components."""
+    up = connected_components(links).select(F.col("node").alias("component"), F.col("component").alias("up"))
+    return frozen(labels.join(up, "component", "left").select("node", F.coalesce("up", "component").alias("component")), "labels")
 
 
-def _mixed_blocks(regions: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+def _mixed_blocks(nodes: DataFrame, labels: DataFrame, trees: int, least: int) -> DataFrame:
     """The documents of regions with several components, each with every block pair it belongs to, those of a block pair
-    one after another. A region of up to BLOCK documents is one block."""
-    label = F.coalesce("component", "node").alias("component")
-    members = regions.join(labels, "node", "left").select("region", "tree", "node", label)
-    sizes = members.groupBy("region").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-    members = members.join(sizes.where("x <> y").select("region", "n"), "region").join(nodes, "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    one after another. A small region is one block."""
+    rows = _orders(nodes, labels, trees, least).select("region", "tree", "node", "component")
+    members = rows.join(_mixed(_orders(nodes, labels, trees, least)), "region")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     spread = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.struct(F.least("own", other).alias("block_a"), F.greatest("own", other).alias("block_b")),
     )
     dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = dealt.withColumn("at", F.explode(spread))
+    dealt = dealt.join(nodes.select("node", "n_shingles", "signature"), "node")
     dealt = dealt.select("region", "at.block_a", "at.block_b", "tree", "node", "component", "n_shingles", "own", "signature")
     return dealt.repartition(*KEY).sortWithinPartitions(*KEY, "node")
 
@@ -228,28 +318,19 @@ class _Search:
             if across:
                 j = j[own[j] != own[i]]
             if len(j):
-                agreement = (flat[j] == flat[i]).mean(axis=1)
+                agreement = (flat[j] == flat[i]).mean(axis=1, dtype=np.float32)
                 j, agreement = j[agreement >= self.plausible], agreement[agreement >= self.plausible]
             if len(j) and tree:
                 new = ~(heads[j] == heads[i]).all(axis=2).any(axis=1)
                 j, agreement = j[new], agreement[new]
             if len(j):
-                found.append((np.full(len(j), i), j, agreement))
+                found.append((np.full(len(j), i, np.int32), j.astype(np.int32), agreement))
         if not found:
-            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+            return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)
         a, b, agreement = map(np.concatenate, zip(*found, strict=True))
         order = np.argsort(-agreement, kind="stable")
         return a[order], b[order], agreement[order]
 
-    def forest(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Pairs that connect the components of a block pair, if they hold: a spanning forest of the likeliest."""
-        for x in _runs_of(batches):
-            a, b, _ = self.pairs(x)
-            if len(a):
-                roots, part, ids = _Roots(), x["component"].tolist(), x["node"].to_numpy()
-                keep = [roots.join(part[i], part[j]) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
-                yield pd.DataFrame({"a": ids[a[keep]], "b": ids[b[keep]]})
-
     def candidates(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The documents that still are in such pairs."""
         for x in _runs_of(batches):
@@ -258,17 +339,18 @@ class _Search:
                 yield x.iloc[np.union1d(a, b)]
 
     def links(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The pairs that hold on the full sets, without those between components that others have linked."""
+        """Links (a, b) between components by pairs that hold on the full sets, without those between components that
+        other links of the task have joined."""
         for x in _runs_of(batches):
             a, b, _ = self.pairs(x)
-            roots, part, ids, out = _Roots(), x["component"].tolist(), x["node"].tolist(), []
-            sets = [np.frombuffer(s, np.uint64) for s in x["shingles"]]
+            roots, part, out = _Roots(), x["component"].tolist(), []
+            sets = x["shingles"].to_numpy()
             for i, j in zip(a.tolist(), b.tolist(), strict=True):
                 if roots.find(part[i]) != roots.find(part[j]):
                     both = _in_common(sets[i], sets[j])
                     if both * self.bottom >= self.top * (len(sets[i]) + len(sets[j]) - both):
                         roots.join(part[i], part[j])
-                        out.append((ids[i], ids[j]))
+                        out.append((part[i], part[j]))
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
@@ -278,51 +360,41 @@ def near_duplicate_groups(
     """For each row of docs (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Documents are linked if their sets of word shingles have bottom * intersection >= top * union; component_id is the
-    smallest doc_id that links lead to, and kept tells whether it is the document's own. Texts without words have
-    n_shingles 0, are linked with nothing and kept. Rows with a null doc_id are linked with nothing, their component_id
-    is null and they are kept. Rows that repeat a doc_id count as one document and share a component. Columns besides doc_id and text are not
-    read. A pair just at the similarity is not found with probability 2e-5.
+    smallest doc_id that links lead to, and kept tells whether it is the document's own. Texts without words, null and
+    empty ones included, have n_shingles 0, are linked with nothing and kept. Rows with a null doc_id are linked with nothing, their
+    component_id is null, their n_shingles 0, and they are kept. Rows that repeat a doc_id are linked each by its own text.
+    Columns besides doc_id and text are not read. An empty table gives no rows. A pair just at the similarity is not found with
+    probability 2e-5.
     """
     top, bottom = similarity
     least, plausible = least_depth(top / bottom, trees), _plausible(top / bottom, trees)
     digest = frozen(digests(docs, words, trees), "digests")
-    some = digest.where("n_shingles > 0")
-    classes = frozen(some.groupBy("set_hi", "set_lo", "n_shingles").agg(F.min("doc_id").alias("node")), "classes")
-    # One row for each set of shingles; copies are members of its class and need no pairs.
-    nodes = some.join(classes.select(F.col("node").alias("doc_id"), "set_hi", "set_lo", "n_shingles"), ["doc_id", "set_hi", "set_lo", "n_shingles"])
-    nodes = nodes.groupBy(F.col("doc_id").alias("node")).agg(F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
-    nodes = frozen(nodes, "nodes")
-
-    runs = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.substr("signature", t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("run")))
-    rows = nodes.select("node", F.inline(runs))
-    regions = frozen(_with_first(rows, least).select("tree", "run", "node", "region", "first", "n"), "regions")
-    pairs, level = regions.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")), regions
-    for depth in range(least + 1, DEPTH + 1):
-        level = _with_first(level.where(F.col("n") > LARGE_REGION).select("tree", "run", "node"), depth)
-        pairs = pairs.unionByName(level.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")))
-    near = _estimated(pairs.distinct(), nodes, plausible)
-    best = near.groupBy("a").agg(F.max_by("b", F.struct("agreement", -F.col("b"))).alias("b"))
-    links = frozen(_confirmed(best, docs, words, similarity), "links")
-    labels = connected_components(links)
-
-    # Pairs of a region that lie in different components. The likeliest that would connect them come first, at most as
-    # many as connect a block's documents; then all that are left, compared on their full sets where they meet.
+    # One node for each set of shingles; copies are members of it and need no pairs.
+    classes = digest.where("n_shingles > 0").groupBy("set_hi", "set_lo", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
+    nodes = frozen(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    labels = nodes.select("node", F.col("node").alias("component"))
+    for number in range(NEIGHBOUR_ROUNDS):
+        rows = _orders(nodes, labels, trees, least)
+        if number:
+            rows = rows.join(_mixed(rows).select("region"), "region", "left_semi")
+        near = _agreeing(_lcp_neighbours(rows, least), nodes, plausible)
+        links = _confirmed(near, docs, nodes, words, similarity)
+        if links.isEmpty():
+            break
+        labels = _joined_labels(labels, links)
+
+    # Pairs that no neighbour has shown: first which documents are in one, by their signatures, then their full sets.
     search = _Search(trees, least, plausible, top, bottom)
-    for _ in range(FOREST_ROUNDS):
-        more = _mixed_blocks(regions, labels, nodes).mapInPandas(search.forest, "a long, b long")
-        links = frozen(links.unionByName(_confirmed(more, docs, words, similarity)), "links")
-        labels = connected_components(links)
-    blocks = _mixed_blocks(regions, labels, nodes)
-    left = frozen(blocks.mapInPandas(search.candidates, MEMBER), "left")
+    left = frozen(_mixed_blocks(nodes, labels, trees, least).mapInPandas(search.candidates, MEMBER), "left")
     if not left.isEmpty():
-        sets = _shingles(left.select(F.col("node").alias("doc_id")).distinct(), docs, words)
+        sets = _shingles(left.select("node").distinct(), docs, nodes, words)
         rows = left.join(sets, "node").select(*left.columns, "shingles").repartition(*KEY).sortWithinPartitions(*KEY, "node")
-        links = links.unionByName(rows.mapInPandas(search.links, "a long, b long"))
-        labels = connected_components(links)
+        labels = _joined_labels(labels, frozen(rows.mapInPandas(search.links, "a long, b long").distinct(), "links"))
 
-    classes = classes.join(labels, "node", "left")
-    classes = classes.select("set_hi", "set_lo", "n_shingles", F.coalesce("component", "node").alias("component_id"))
-    out = digest.join(classes, ["set_hi", "set_lo", "n_shingles"], "left")
+    named = nodes.join(labels, "node").select("set_hi", "set_lo", "n_shingles", "component", "doc_id")
+    first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.drop("doc_id").join(first, "component").drop("component")
+    out = digest.join(named, ["set_hi", "set_lo", "n_shingles"], "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     nameless = docs.where("doc_id IS NULL").select(
         F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("n_shingles"), F.lit(None).cast("bigint").alias("component_id")

@@ -197,14 +197,26 @@ def test_top_k_odd_rows(spark):
     df = spark.createDataFrame(rows, "vec_id long, vector array<long>").withColumn("rank", F.lit(0))
     got = topk.exact_top_k(df, df.where("vec_id in (5, 30, 31)"), 10).collect()
     five = [(r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == 5]
-    assert sorted(five) == [(i + 1, v, 14) for i, v in enumerate([0, 1, 2, 3, 4, 6, 7, 8, 9, 10])]
-    assert sorted(r["vec_id"] for r in got if r["query_id"] == 30) == list(range(10))
+    assert sorted(five) == [(i + 1, v, 14) for i, v in enumerate([0, 0, 1, 1, 2, 2, 3, 3, 4, 4])], "two queries of one id, whose own rows take no part"
+    assert sorted(r["vec_id"] for r in got if r["query_id"] == 30) == [0, 1, 2, 3, 4, 5, 5, 6, 7, 8]
     assert not [r for r in got if r["query_id"] == 31]
     few = topk.exact_top_k(df.where("vec_id in (5, 40)"), df.where("vec_id = 5"), 10).collect()
-    assert [(r["vec_id"], r["score"]) for r in few] == [(40, -30)]
+    assert [(r["vec_id"], r["score"]) for r in few] == [(40, -30), (40, -30)]
     assert topk.exact_top_k(df.limit(0), df, 3).count() == 0
 
 
+def test_top_k_repeated_ids_match_sql(spark, tmp_path):
+    """Repeats of candidates and of queries, ties, nulls and odd components, against the SQL."""
+    rng = np.random.default_rng(3)
+    rows = [(int(i), [float(x) for x in rng.integers(-3, 4, 4) / 2]) for i in rng.integers(0, 60, 400)]
+    rows += [(100 * int(i), [float(x) for x in rng.integers(-3, 4, 4)]) for i in rng.integers(0, 3, 40)]
+    rows += [(7, None), (None, [1.0, 1.0, 1.0, 1.0]), (8, [1.0, None, 0.0, 0.0]), (9, [float("nan"), 0.0, 0.0, 0.0]), (200, [float("inf"), 0.0, 0.0, 0.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    same(topk.op6_exact_topk(spark, str(tmp_path)), con.execute(topk.OP6_SQL).fetchdf())
+
+
 def test_top_k_usable(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0, None],), ([float("nan")],), ([float("inf")],), (None,)], "v array<float>")
     assert [r[0] for r in df.select(topk.usable(F.col("v"))).collect()] == [True, False, False, False, False]
@@ -325,6 +337,38 @@ def test_decontamination(spark):
     assert decontam.find_leaks(docs_df, bench.limit(0)).count() == 0 and decontam.find_leaks(docs_df.limit(0), bench).count() == 0
 
 
+def test_decontamination_reaches_its_recall():
+    """Items with all the edits that are allowed, in texts of other words, as long as those of the given tables."""
+    rng = np.random.default_rng(12)
+    items = [(i, " ".join(f"v{x}" for x in rng.integers(0, 20_000, n))) for i, n in enumerate(rng.integers(20, 80, 300).tolist())]
+    few, many = (decontam.Index(items, recall=r) for r in (0.5, 0.99))
+    assert len(few.bits) < len(many.bits) <= decontam.MOST_WALKS
+    found = {len(few.bits): 0, len(many.bits): 0}
+    for number, (_, w) in enumerate(many.items):
+        text, _ = decontam.edited(w, many.edits[number], rng)
+        around = rng.integers(0, 2**63, (2, 150), np.uint64)
+        whole = np.concatenate([around[0], text, around[1]])
+        assert decontam.edits_within(w, whole)[0] <= many.edits[number]
+        for index in (few, many):
+            found[len(index.bits)] += any(x[1] == number for x in index.find([whole]))
+    assert found[len(many.bits)] >= 0.98 * len(items) and found[len(few.bits)] <= found[len(many.bits)]
+
+
+def test_decontamination_ties_and_long_texts():
+    item, cache = " ".join(f"t{i}" for i in range(30)), decontam.WordHashes()
+    index = decontam.Index([(0, item), (1, item)])
+    filler = " ".join(f"f{i}" for i in range(200_000))
+    text = decontam.words(f"{filler} {item} {filler} {item} {filler}", cache)
+    assert index.find([text]) == [(0, 0, 200_000, 30, 0), (0, 1, 200_000, 30, 0)], "of two equal places the first"
+
+
+def test_decontamination_refuses_large_benchmarks(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "MOST_ITEMS", 3)
+    bench = spark.createDataFrame([(i, f"a b {i}") for i in range(4)], "item_id long, text string")
+    with pytest.raises(ValueError, match="in parts"):
+        decontam.find_leaks(spark.createDataFrame([(1, "a b 1")], "doc_id long, text string"), bench)
+
+
 def test_decontamination_lays_unrounded_windows():
     item, cache = " ".join(f"t{i}" for i in range(50)), decontam.WordHashes()
     index, laid = decontam.Index([(0, item)]), []
@@ -444,10 +488,9 @@ def test_url_parts_and_rules(spark):
         assert row["host"] == "mine"
 
 
-def test_url_suffixes_count_all_labels(spark, monkeypatch):
-    monkeypatch.setattr(urls, "LABELLED", 40)
+def test_url_suffixes_count_all_labels(spark):
     rows = [(f"http://h{i}.s{i % 5}.com/{i}", int(i % 5 == 0)) for i in range(300)]
-    model = urls.fit(spark.createDataFrame(rows, "url string, bad int"), trees=2)
+    model = urls.fit(spark.createDataFrame(rows, "url string, bad int"), trees=2, labelled_rows=40)
     assert {tuple(r) for r in model.suffixes.collect()} == {(f"s{i}.com", 60, 60.0 * (i == 0)) for i in range(5)}
     assert model.base == 0.2
     own = spark.createDataFrame([(rows[0][0], 1.0), (rows[1][0], 0.0)], "url string, bad double")
@@ -456,6 +499,59 @@ def test_url_suffixes_count_all_labels(spark, monkeypatch):
         assert np.allclose(row["features"].toArray()[-2:], [np.log1p(59), (bad + 4) / 79])
 
 
+def url_parts(url):
+    """Host and path by string methods."""
+    url = url or ""
+    at = url.find("://")
+    rest = url[at + 3 :] if at >= 0 else ""
+    ends = lambda text, stops: min([len(text), *(text.index(c) for c in stops if c in text)])
+    host = rest[: ends(rest, "/?#")]
+    path = rest[len(host) :]
+    return "".join(c.lower() if c.isascii() else c for c in host), path[: ends(path, "?#")]
+
+
+def test_url_verdicts_against_plain_version(spark):
+    """Host, path and rule of every given page, repeats, odd and long URLs, and the verdict of each that a rule fits."""
+    pages = table(spark, "/root/testdata/sf0.01", "pages").select("page_id", "url")
+    odd_urls = ["", None, "x", "://", "a://", "HTTP://Sub.Example.ORG/ES/", "http://example.org/es/" + "x/" * 50_000, "a://b.com/fr/?/de/", "a://c.com#/de/", "a://\u00c9.com/de/\n"]
+    more = spark.createDataFrame([(-i - 1, u) for i, u in enumerate(odd_urls * 2)], "page_id long, url string")
+    pages = pages.unionByName(more)
+    model = urls.fit(urls.labelled_urls(pages, table(spark, "/root/testdata/sf0.01", "labels")))
+    got = urls.judge(pages, model).collect()
+    assert len(got) == pages.count()
+    for r in got:
+        host, path = url_parts(r["url"])
+        fits = [x for x in urls.RULES if (host == x.host or host.endswith("." + x.host)) and path.startswith(x.path)]
+        best = max(fits, key=lambda x: len(x.host) + len(x.path), default=None)
+        assert (r["host"], r["path"], r["rule"]) == (host, path, best and best.host + best.path), r["url"]
+        assert r["verdict"] == (best.verdict if best else "block" if r["score"] >= 0.5 else "allow") and 0 <= r["score"] <= 1
+    by_url = {}
+    assert all(by_url.setdefault(r["url"], r["verdict"]) == r["verdict"] for r in got)
+
+
+def test_url_trees_on_held_out_urls(spark):
+    """The trees learn from three quarters of labelled URLs and judge the last quarter; hosts of one kind are bad."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(1200):
+        bad = int(rng.random() < 0.3)
+        words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(3)]
+        url = f"http://{words[0]}.s{rng.integers(0, 40)}.net/" + (f"{rng.integers(10**8)}?{words[1]}={rng.integers(10**6)}&a=1" if bad != (rng.random() < 0.05) else "/".join(words))
+        rows.append((url, bad))
+    model = urls.fit(spark.createDataFrame(rows[:900], "url string, bad int"), trees=8)
+    scored = {r["url"]: r["score"] for r in urls.judge(spark.createDataFrame(rows[900:], "url string, bad int"), model).collect()}
+    assert area([b for _, b in rows[900:]], [scored[u] for u, _ in rows[900:]]) > 0.9
+
+
+def test_url_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert urls.op3_url_filter(spark, str(tmp_path)).count() == 0
+    spark.createDataFrame([(1, "a://x.com/de/1", ""), (2, None, None)], "page_id long, url string, html string").write.mode("overwrite").parquet(f"{tmp_path}/pages.parquet")
+    got = {r["page_id"]: r["verdict"] for r in urls.op3_url_filter(spark, str(tmp_path)).collect()}
+    assert got == {1: "block", 2: "allow"}, "without labels only the rules judge"
+
+
 def test_url_trees(spark, small):
     rows = [(f"http://good.net/page/{i}", 0) for i in range(150)] + [(f"http://spam.net/x?a={i}&b={i * 7919}&c=1&d=2", 1) for i in range(80)]
     labelled = spark.createDataFrame([*rows, (None, 1), ("http://x.net/", None)], "url string, bad int")
