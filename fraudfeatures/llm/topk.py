@@ -66,19 +66,19 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
     """vectors: (vec_id long, vector array<long>); queries: the same columns. For each query its k highest inner products
     with the vectors of other ids, ties to the smaller id: query_id, rank (from 1), vec_id, score.
 
-    All results if there are fewer than k. Null ids and null vectors take no part; of rows that repeat an id the one with
-    the smallest vector counts. A shorter vector counts as if filled up with zeros. Without vectors or queries the
-    result is empty. Other columns are not read.
+    All results if there are fewer than k. Null ids and null vectors take no part. Rows that repeat an id are vectors of
+    their own: a query may get an id more than once, and queries of one id share one list of k results over all their rows. A
+    shorter vector counts as if filled up with zeros. Without vectors or queries the result is empty. Other columns are
+    not read.
     """
     spark = vectors.sparkSession
 
     def clean(df: DataFrame) -> DataFrame:
-        some = df.select("vec_id", "vector").where("vec_id IS NOT NULL AND vector IS NOT NULL")
-        return some.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+        return df.select("vec_id", "vector").where("vec_id IS NOT NULL AND vector IS NOT NULL")
 
     table_schema = "vec_id long, pivot int, distance double, norm double, vector binary"
     vectors = frozen(clean(vectors), "vectors")
-    sample = [np.array(r["vector"], np.float64) for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()]
+    sample = [np.array(r["vector"], np.float64) for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(PIVOTS).collect()]
     nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not sample:
         return nothing
@@ -111,7 +111,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
         [tuple(map(int, r)) for r in rings[["pivot", "ring", "blocks"]].itertuples(index=False)], "pivot int, ring int, blocks int"
     )
     keyed = keyed.join(F.broadcast(sizes), ["pivot", "ring"])
-    keyed = keyed.select("pivot", "ring", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), "vec_id", "vector")
+    keyed = keyed.select("pivot", "ring", F.pmod(F.xxhash64("vec_id", "vector"), "blocks").cast("int").alias("block"), "vec_id", "vector")
 
     asked = clean(queries).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.lit(None).cast("long").alias("least"))
     asked = frozen(asked, "queries")
@@ -167,17 +167,17 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
 
     def search(asked: DataFrame, first: bool) -> DataFrame:
         at = asked.mapInPandas(targets(first), target_schema)
-        at = at.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(max(chunks, 1))).cast("int"))
+        at = at.withColumn("chunk", F.pmod(F.xxhash64("query_id", "query"), F.lit(max(chunks, 1))).cast("int"))
         at, place = frozen(at, "targets"), ["pivot", "ring", "block"]
         needed = at.select(*place, F.col("chunk").alias("asks")).distinct()
         blocks = keyed.join(needed, place).withColumnRenamed("asks", "chunk")
         return at.groupBy(*place, "chunk").cogroup(blocks.groupBy(*place, "chunk")).applyInPandas(best, "query_id long, vec_id long, score long")
 
-    found = search(asked, True).groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("scores"))
-    least = found.select("query_id", F.get("scores", F.lit(k - 1)).alias("least"))
-    asked = frozen(asked.drop("least").join(least, "query_id", "left"), "asked")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = search(asked, False).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    least = ranked(search(asked, True)).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+    asked = frozen(asked.drop("least").join(least, "query_id", "left"), "asked")
+    ranked = ranked(search(asked, False))
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
