@@ -5,7 +5,6 @@ from __future__ import annotations
 from math import exp
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import IsotonicRegression
@@ -42,18 +41,23 @@ def fill_missing(df: DataFrame, columns: list[str], value: float = 0.0) -> DataF
 
 
 def time_cutoff(df: DataFrame, fraction: float = 0.8, ts: str = "event_timestamp") -> DataFrame:
-    """cutoff: the time at row int(n * fraction) in order of time. Days are counted first, then only the day that holds the
-    row is ranked, so that no task sorts everything."""
-    days = df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("day")).agg(F.count("*").alias("n"))
-    rank = int((days.agg(F.sum("n")).first()[0] or 0) * fraction)
-    before = F.coalesce(F.sum("n").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # One row a day.
-    day = days.withColumn("before", before).where((F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))).first()
-    if day is None:
-        return df.agg(F.max(ts).alias("cutoff"))
-    rows = df.where(F.to_date(ts) == F.lit(day["day"])).groupBy(F.col(ts).alias("cutoff")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("cutoff"))
-    return rows.withColumn("upto", upto).where(F.col("upto") > rank - day["before"]).agg(F.min("cutoff").alias("cutoff"))
+    """cutoff: the time at row int(n * fraction) in order of time; null without rows. Rows are counted by day, then by second in
+    the day that holds the row, then by microsecond in the second, so that nothing is sorted and at most 86,400 counts of days or
+    seconds, or the distinct times of a second, come to the driver."""
+    day, second = 86_400_000_000, 1_000_000
+    rows = df.where(F.col(ts).isNotNull()).select(F.unix_micros(F.col(ts).cast("timestamp")).alias("t"))
+    rank, low = None, 0
+    for width in (day, second, 1):
+        counts = sorted(map(tuple, rows.groupBy(F.floor(F.col("t") / width).alias("at")).count().collect()))
+        rank = int(sum(n for _, n in counts) * fraction) if rank is None else rank
+        for low, n in counts:
+            if rank < n:
+                break
+            rank -= n
+        else:
+            return df.agg(F.max(ts).alias("cutoff"))
+        rows = rows.where((F.col("t") >= low * width) & (F.col("t") < (low + 1) * width))
+    return df.sparkSession.range(1).select(F.timestamp_micros(F.lit(low)).alias("cutoff"))
 
 
 def temporal_split(df: DataFrame, fraction: float = 0.8, ts: str = "event_timestamp", cutoff: Column | None = None) -> DataFrame:
@@ -75,23 +79,30 @@ def calibration_carve(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
     return df.withColumn("part", F.when(late, "calibration").otherwise(F.col("part")))
 
 
-def scaling_statistics(train: DataFrame, columns: list[str]) -> DataFrame:
+def quantiles(value: Column, shares: list[float], exact: bool = True) -> Column:
+    """Quantiles of a group. Exact ones, interpolated, hold a count for each distinct value in one task; others are within
+    1 / 10,000 of the rank and hold a bounded sketch."""
+    wanted = F.array(*map(F.lit, shares))
+    return F.percentile(value, wanted) if exact else F.percentile_approx(value.cast("double"), wanted, 10_000)
+
+
+def scaling_statistics(train: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """One row with the mean, spread, least, most and quartiles of every column, in one pass."""
     parts = []
     for c in columns:
-        q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        q = quantiles(F.col(c), [0.25, 0.5, 0.75], exact)
         parts += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), q.alias(f"{c}_q")]
     return train.agg(*parts)
 
 
-def numeric_scaling(df: DataFrame, train: DataFrame, columns: list[str], method: str = "standard") -> DataFrame:
+def numeric_scaling(df: DataFrame, train: DataFrame, columns: list[str], method: str = "standard", exact: bool = True) -> DataFrame:
     """columns scaled by what `train` alone tells. method: passthrough, standard, minmax, robust (median and quartile
     distance). A column that does not vary is only shifted."""
     if method == "passthrough":
         return df
     if method not in ("standard", "minmax", "robust"):
         raise ValueError(f"unknown method {method!r}")
-    told, scaled = scaling_statistics(train, columns).first(), {}
+    told, scaled = scaling_statistics(train, columns, exact).first(), {}
     for c in columns:
         if method == "standard":
             shift, width = told[f"{c}_mean"], told[f"{c}_std"]
@@ -104,23 +115,33 @@ def numeric_scaling(df: DataFrame, train: DataFrame, columns: list[str], method:
     return df.withColumns(scaled)
 
 
-def categorical_encoding(df: DataFrame, train: DataFrame, column: str, method: str = "ordinal") -> DataFrame:
+def categorical_encoding(df: DataFrame, train: DataFrame, column: str, method: str = "ordinal", most: int = 1000) -> DataFrame:
     """ordinal: the value's place among train's sorted values, -1 if unknown. onehot: a column of 0 and 1 for each value,
-    all 0 if unknown; values are few, as they become columns."""
+    all 0 if unknown; as values become columns, more than `most` of them are refused."""
     if method == "ordinal":
         order = F.row_number().over(Window.orderBy(column)) - 1
         places = train.where(F.col(column).isNotNull()).select(column).distinct().select(column, order.alias("place"))
         return df.join(places, column, "left").withColumn(f"{column}_code", F.coalesce("place", F.lit(-1))).drop("place")
-    values = [r[0] for r in train.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(1000).collect()]
+    values = [r[0] for r in train.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values; encode it as ordinal")
     return df.withColumns({f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in values})
 
 
 def train_classifier(df: DataFrame, features: list[str], label: str = "is_fraud", kind: str = "gbt", trees: int = 20, depth: int = 5, seed: int = 42):
-    """A tree model of MLlib on weighted classes: (the assembler, the model)."""
+    """A tree model of MLlib on weighted classes: (the assembler, the model). kind: gbt (boosted trees), sampled_gbt (boosted trees,
+    each on a part of the rows and features) or forest."""
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     balance = class_balance(df, label).first()
     rows = assembler.transform(fill_missing(df, features)).withColumn("weight", F.when(F.col(label) == 1, balance["pos_weight"]).otherwise(1.0))
-    made = {"gbt": lambda: GBTClassifier(maxIter=trees), "forest": lambda: RandomForestClassifier(numTrees=trees)}[kind]()
+    kinds = {
+        "gbt": lambda: GBTClassifier(maxIter=trees),
+        "sampled_gbt": lambda: GBTClassifier(maxIter=trees, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
+        "forest": lambda: RandomForestClassifier(numTrees=trees),
+    }
+    if kind not in kinds:
+        raise ValueError(f"kind {kind!r} is none of {', '.join(kinds)}")
+    made = kinds[kind]()
     made = made.setLabelCol(label).setFeaturesCol("features").setWeightCol("weight").setMaxDepth(depth).setSeed(seed)
     return assembler, made.fit(rows.select("features", label, "weight"))
 
@@ -133,6 +154,8 @@ def top_importances(spark, features: list[str], model, n: int = 20) -> DataFrame
 
 def calibration_grid(scored: DataFrame, method: str = "isotonic", points: int = 1000) -> tuple[list[float], list[float]]:
     """x and y of a map from scores to chances, fitted on (score, label). isotonic, also for beta; sigmoid: a logistic curve."""
+    if method not in ("isotonic", "beta", "sigmoid"):
+        raise ValueError(f"unknown method {method!r}")
     grid = [i / (points - 1) for i in range(points)]
     if method == "sigmoid":
         rows = VectorAssembler(inputCols=["score"], outputCol="features").transform(scored)
@@ -145,12 +168,23 @@ def calibration_grid(scored: DataFrame, method: str = "isotonic", points: int =
 
 
 def apply_calibration(score: Column, x: list[float], y: list[float]) -> Column:
-    """Linear interpolation on the grid, in a vectorized helper."""
-    @F.pandas_udf("double")
-    def interpolate(s: pd.Series) -> pd.Series:
-        return pd.Series(np.interp(s.to_numpy(float), x, y))
-
-    return interpolate(score)
+    """Linear interpolation between the points, constant outside them; x rises. Evenly spaced points are looked up by place."""
+    n, width = len(x), (x[-1] - x[0]) / max(1, len(x) - 1)
+    if n < 2:
+        return F.when(score.isNotNull(), F.lit(float(y[0])))
+    if all(abs(x[0] + i * width - v) < 1e-9 for i, v in enumerate(x)):
+        place = (F.least(F.greatest(score, F.lit(x[0])), F.lit(x[-1])) - F.lit(x[0])) / F.lit(width)
+        low = F.least(F.floor(place), F.lit(n - 2)).cast("int")
+        values = F.array(*map(F.lit, map(float, y)))
+        left, right = F.get(values, low), F.get(values, low + 1)
+        return F.when(score.isNotNull(), left + (right - left) * (place - low))
+    if n > 200:
+        raise ValueError("more than 200 points must be evenly spaced")
+    out = F.lit(float(y[0]))
+    for x0, x1, y0, y1 in zip(x, x[1:], y, y[1:], strict=False):
+        inside = F.least(F.greatest(score - F.lit(x0), F.lit(0.0)), F.lit(x1 - x0))
+        out = out + inside * F.lit((y1 - y0) / (x1 - x0))
+    return F.when(score.isNotNull(), out)
 
 
 def risk_band(score: Column) -> Column:
@@ -175,16 +209,32 @@ def scored_event(df: DataFrame, service: str = "fraud_scoring_v1") -> DataFrame:
     )
 
 
+CURVE_BUCKETS = 4096
+
+
 def curve(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """From (score, label): for each distinct score the true and false positives at it and above (tp, fp), those at it
-    (p, n) and the totals (pos, neg). One row for each distinct score, so that ties count together."""
+    (p, n) and the totals (pos, neg). One row for each distinct score, so that ties count together. Scores between 0 and 1 are added
+    up in buckets first and then within each, so that no task sorts all scores."""
     by = by or []
     counts = scored.groupBy(*by, "score").agg(F.sum(F.col("label").cast("bigint")).alias("p"), F.count("*").alias("rows"))
-    counts = counts.withColumn("n", F.col("rows") - F.col("p")).drop("rows")
-    above, all_ = Window.partitionBy(*by).orderBy(F.desc("score")), Window.partitionBy(*by)
-    return counts.withColumns({
-        "tp": F.sum("p").over(above), "fp": F.sum("n").over(above), "pos": F.sum("p").over(all_), "neg": F.sum("n").over(all_),
-    })
+    bucket = F.floor(F.greatest(F.least(F.col("score"), F.lit(1.0)), F.lit(0.0)) * CURVE_BUCKETS)
+    counts = counts.withColumns({"n": F.col("rows") - F.col("p"), "bucket": bucket}).drop("rows")
+    # CURVE_BUCKETS rows of each group at most.
+    sums = counts.groupBy(*by, "bucket").agg(F.sum("p").alias("p_in"), F.sum("n").alias("n_in"))
+    before = Window.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    all_ = Window.partitionBy(*by)
+    sums = sums.select(
+        *(F.col(c).alias(f"{c}_") for c in by), F.col("bucket").alias("bucket_"),
+        F.coalesce(F.sum("p_in").over(before), F.lit(0)).alias("p_above"), F.coalesce(F.sum("n_in").over(before), F.lit(0)).alias("n_above"),
+        F.sum("p_in").over(all_).alias("pos"), F.sum("n_in").over(all_).alias("neg"),
+    )
+    same = F.col("bucket").eqNullSafe(F.col("bucket_"))
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    within = Window.partitionBy(*by, "bucket").orderBy(F.desc("score"))
+    rows = counts.withColumns({"p_upto": F.sum("p").over(within), "n_upto": F.sum("n").over(within)}).join(sums, same)
+    return rows.select(*by, "score", "p", "n", (F.col("p_upto") + F.col("p_above")).alias("tp"), (F.col("n_upto") + F.col("n_above")).alias("fp"), "pos", "neg")
 
 
 def ranking_metrics(scored: DataFrame, by: list[str] | None = None, least_precision: float = 0.5) -> DataFrame:

@@ -10,6 +10,7 @@ from fraudfeatures.operators.windows import Rolling, parse_window, rolling, seco
 M5, M10, M15, H1 = (seconds("MINUTE", n) for n in (5, 10, 15, 60))
 D1, D7, D30 = (seconds("DAY", n) for n in (1, 7, 30))
 ID = ["transaction_id"]
+KEYS = ["transaction_id", "user_id", "device_id", "merchant_id", "event_timestamp"]
 
 
 def user_txn_columns(only: str | None = None) -> list[Rolling]:
@@ -53,18 +54,21 @@ def names(columns: list[Rolling]) -> list[str]:
     return [c.name for c in columns]
 
 
-def user_txn_stats(txns: DataFrame, engine: str = "auto") -> DataFrame:
-    cols = user_txn_columns()
+def user_txn_stats(txns: DataFrame, engine: str = "range") -> DataFrame:
+    cols, txns = user_txn_columns(), txns.select(*KEYS, "amount", "txn_status")
     return rolling(txns, "user_id", cols, engine=engine).select("transaction_id", "user_id", "event_timestamp", *names(cols))
 
 
-def user_txn_online_stats(txns: DataFrame, engine: str = "auto") -> DataFrame:
-    cols = user_txn_online_columns()
+def user_txn_online_stats(txns: DataFrame, engine: str = "range") -> DataFrame:
+    cols, txns = user_txn_online_columns(), txns.select(*KEYS, "amount")
     return rolling(txns, "user_id", cols, engine=engine).select("transaction_id", "user_id", "event_timestamp", *names(cols))
 
 
 def with_failed_logins(txns: DataFrame, logins: DataFrame) -> DataFrame:
-    """Transactions and failed logins in one table, told apart by is_txn. Windows run over both; keep_txns comes after."""
+    """Transactions and failed logins in one table, told apart by is_txn. Windows run over both; keep_txns comes after. txns
+    must not have columns is_txn and is_failed_login."""
+    if taken := {"is_txn", "is_failed_login"} & set(txns.columns):
+        raise ValueError(f"columns {', '.join(sorted(taken))} are taken")
     failed = logins.where("login_status = 'failed'").select("user_id", "event_timestamp")
     both = txns.withColumn("is_txn", F.lit(True)).unionByName(failed.withColumn("is_txn", F.lit(False)), allowMissingColumns=True)
     return both.withColumn("is_failed_login", ~F.col("is_txn"))
@@ -79,20 +83,20 @@ def _login_stats(txns: DataFrame, logins: DataFrame, cols: list[Rolling], engine
     return keep_txns(rolling(with_failed_logins(slim, logins), "user_id", cols, engine=engine))
 
 
-def user_login_stats(txns: DataFrame, logins: DataFrame, engine: str = "auto") -> DataFrame:
+def user_login_stats(txns: DataFrame, logins: DataFrame, engine: str = "range") -> DataFrame:
     return _login_stats(txns, logins, LOGIN, engine)
 
 
-def user_login_online_stats(txns: DataFrame, logins: DataFrame, engine: str = "auto") -> DataFrame:
+def user_login_online_stats(txns: DataFrame, logins: DataFrame, engine: str = "range") -> DataFrame:
     return _login_stats(txns, logins, LOGIN_ONLINE, engine)
 
 
-def device_stats(txns: DataFrame, engine: str = "auto") -> DataFrame:
-    return rolling(txns, "device_id", DEVICE, engine=engine).select("transaction_id", "device_id", "event_timestamp", *names(DEVICE))
+def device_stats(txns: DataFrame, engine: str = "range") -> DataFrame:
+    return rolling(txns.select(*KEYS), "device_id", DEVICE, engine=engine).select("transaction_id", "device_id", "event_timestamp", *names(DEVICE))
 
 
-def device_txn_online_stats(txns: DataFrame, engine: str = "auto") -> DataFrame:
-    return rolling(txns, "device_id", DEVICE_ONLINE, engine=engine).select("transaction_id", "device_id", "event_timestamp", *names(DEVICE_ONLINE))
+def device_txn_online_stats(txns: DataFrame, engine: str = "range") -> DataFrame:
+    return rolling(txns.select(*KEYS), "device_id", DEVICE_ONLINE, engine=engine).select("transaction_id", "device_id", "event_timestamp", *names(DEVICE_ONLINE))
 
 
 def with_labels(txns: DataFrame, labels: DataFrame) -> DataFrame:
@@ -102,19 +106,19 @@ def with_labels(txns: DataFrame, labels: DataFrame) -> DataFrame:
     return out.withColumn("fraud_value", F.col("is_fraud").cast("bigint")).drop("label_fraud")
 
 
-def merchant_stats(txns: DataFrame, labels: DataFrame, engine: str = "auto") -> DataFrame:
-    out = rolling(with_labels(txns, labels), "merchant_id", MERCHANT, engine=engine)
-    return out.select("transaction_id", "merchant_id", "event_timestamp", *names(MERCHANT))
+def merchant_stats(txns: DataFrame, labels: DataFrame, engine: str = "range") -> DataFrame:
+    slim = with_labels(txns.select(*KEYS, "amount"), labels).select(*KEYS, "amount", "fraud_value")
+    return rolling(slim, "merchant_id", MERCHANT, engine=engine).select("transaction_id", "merchant_id", "event_timestamp", *names(MERCHANT))
 
 
-def merchant_fraud_rate_asof_labels(txns: DataFrame, labels: DataFrame, window: int = D30, engine: str = "auto") -> DataFrame:
+def merchant_fraud_rate_asof_labels(txns: DataFrame, labels: DataFrame, window: int = D30, engine: str = "range") -> DataFrame:
     """As in merchant_stats, but a transaction counts as fraud only where its label had arrived before the row's second.
 
     A label that arrives at second l for a transaction of second s counts for rows from max(s, l) + 1 to s + window:
     the running number of such labels is kept by two changes each, as in a sweep.
     """
     known = labels.where("is_fraud").select("transaction_id", "label_timestamp")
-    counted = rolling(txns, "merchant_id", [Rolling("merchant_txn_count_30d", "count", window)], engine=engine)
+    counted = rolling(txns.select(*KEYS), "merchant_id", [Rolling("merchant_txn_count_30d", "count", window)], engine=engine)
     counted = counted.select("transaction_id", "merchant_id", "event_timestamp", "merchant_txn_count_30d")
     second = F.unix_timestamp("event_timestamp")
     frauds = txns.select("transaction_id", "merchant_id", second.alias("s")).join(known, ID)
@@ -137,7 +141,7 @@ def merchant_fraud_rate_asof_labels(txns: DataFrame, labels: DataFrame, window:
 OPERATIONS = {"ZCOUNT": "count", "ZRANGEBYSCORE_SUM": "sum", "ZCARD_WINDOWED": "distinct"}
 
 
-def window_from_registry(txns: DataFrame, name: str, key: str, operation: str, window: str, value: str | None = None, engine: str = "auto") -> DataFrame:
+def window_from_registry(txns: DataFrame, name: str, key: str, operation: str, window: str, value: str | None = None, engine: str = "range") -> DataFrame:
     """A feature built from its registry entry: an operation, a window such as `5m`, and the value it reads."""
     if operation not in OPERATIONS:
         raise ValueError(f"operation {operation!r} is none of {', '.join(OPERATIONS)}")
@@ -159,30 +163,30 @@ def _profile(df: DataFrame, users: DataFrame) -> DataFrame:
 PROFILE = ["user_account_age_days", "user_is_standard_account", "user_is_verified"]
 
 
-def with_user_features(txns: DataFrame, logins: DataFrame, users: DataFrame, engine: str = "auto") -> DataFrame:
+def with_user_features(txns: DataFrame, logins: DataFrame, users: DataFrame, engine: str = "range") -> DataFrame:
     """txns with all user features: one pass over transactions and failed logins together."""
     cols = [*user_txn_columns("is_txn"), *user_txn_online_columns("is_txn"), *LOGIN, *LOGIN_ONLINE]
     return _profile(keep_txns(rolling(with_failed_logins(txns, logins), "user_id", cols, engine=engine)), users)
 
 
-def user_features(txns: DataFrame, logins: DataFrame, users: DataFrame, engine: str = "auto") -> DataFrame:
+def user_features(txns: DataFrame, logins: DataFrame, users: DataFrame, engine: str = "range") -> DataFrame:
     cols = [*PROFILE, *names(user_txn_columns()), *names(LOGIN), *names(user_txn_online_columns()), *names(LOGIN_ONLINE)]
     slim = txns.select("transaction_id", "user_id", "device_id", "merchant_id", "amount", "txn_status", "event_timestamp")
     return with_user_features(slim, logins, users, engine).select("transaction_id", "user_id", "event_timestamp", *cols)
 
 
-def with_device_features(txns: DataFrame, engine: str = "auto") -> DataFrame:
+def with_device_features(txns: DataFrame, engine: str = "range") -> DataFrame:
     out = rolling(txns, "device_id", [*DEVICE, *DEVICE_ONLINE], engine=engine)
     return out.withColumn("device_is_shared_flag", (F.col("device_distinct_users_30d") > 2).cast("int"))
 
 
-def device_features(txns: DataFrame, engine: str = "auto") -> DataFrame:
+def device_features(txns: DataFrame, engine: str = "range") -> DataFrame:
     slim = txns.select("transaction_id", "user_id", "device_id", "event_timestamp")
     cols = [*names(DEVICE), "device_is_shared_flag", *names(DEVICE_ONLINE)]
     return with_device_features(slim, engine).select("transaction_id", "device_id", "event_timestamp", *cols)
 
 
-def with_merchant_features(txns: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "auto") -> DataFrame:
+def with_merchant_features(txns: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "range") -> DataFrame:
     """Also with is_fraud; category and tier stay null for an unknown merchant, its flags are 0."""
     out = rolling(with_labels(txns, labels), "merchant_id", MERCHANT, engine=engine)
     known = merchants.select("merchant_id", "merchant_category", "risk_tier", "is_online")
@@ -193,7 +197,7 @@ def with_merchant_features(txns: DataFrame, merchants: DataFrame, labels: DataFr
     })
 
 
-def merchant_features(txns: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "auto") -> DataFrame:
+def merchant_features(txns: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "range") -> DataFrame:
     slim = txns.select("transaction_id", "merchant_id", "amount", "event_timestamp")
     cols = ["merchant_category", "risk_tier", "merchant_is_high_risk", "merchant_is_online", *names(MERCHANT)]
     return with_merchant_features(slim, merchants, labels, engine).select("transaction_id", "merchant_id", "event_timestamp", *cols)
@@ -216,7 +220,7 @@ def _request(df: DataFrame) -> DataFrame:
     )
 
 
-def training_dataset(txns: DataFrame, logins: DataFrame, users: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "auto") -> DataFrame:
+def training_dataset(txns: DataFrame, logins: DataFrame, users: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "range") -> DataFrame:
     """One row for each transaction with all features and the label. The windows are chained on one table: an exchange
     for users, devices and merchants each, a join with the labels, and no join of feature tables."""
     slim = txns.drop("country_code", "ip_address", "decline_reason", "ingestion_timestamp")

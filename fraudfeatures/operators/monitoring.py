@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudfeatures.operators.evaluation import ranking_metrics, risk_band
+from fraudfeatures.operators.evaluation import quantiles, ranking_metrics, risk_band
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -35,18 +35,20 @@ def recent_scores(scores: DataFrame, n: int, *conditions: Column) -> DataFrame:
 
 
 def score_kpis(scores: DataFrame, now: Column, threshold: float = 0.5) -> DataFrame:
-    """One row: the last 24 hours' number, shares flagged and critical, mean and 95th percentile of latency, and how many of
-    each band in 24 hours, 7 and 30 days."""
+    """One row: the last 24 hours' number, shares flagged and critical, mean and 95th percentile of latency, how many of
+    each band in 24 hours, 7 and 30 days, and, where the log has their columns, how often the two feature sources answered."""
     age, band = F.unix_timestamp(now) - F.unix_timestamp("scored_at"), risk_band(F.col("fraud_score"))
     last = lambda days: (age >= 0) & (age < days * 86400)
     day = last(1)
     share = lambda c: F.round(F.avg(F.when(day, F.when(c, 1.0).otherwise(0.0))), 9)
+    sources = [c for c in ("feast_offline_ok", "redis_online_ok") if c in scores.columns]
     return scores.where(last(30)).agg(
         F.count_if(day).alias("scored_24h"),
         share(F.col("fraud_score") >= threshold).alias("flagged_24h"),
         share(band == "critical").alias("critical_24h"),
         F.round(F.avg(F.when(day, F.col("fraud_score"))), 9).alias("mean_score_24h"),
         F.percentile(F.when(day, F.col("latency_ms")), 0.95).alias("p95_latency_24h"),
+        *(share(F.coalesce(F.col(c), F.lit(False))).alias(f"{c}_24h") for c in sources),
         *(F.count_if(last(d) & (band == b)).alias(f"{b}_{d}d") for d in (1, 7, 30) for b in ("low", "medium", "high", "critical")),
     )
 
@@ -57,7 +59,8 @@ def hourly_flag_rate(scores: DataFrame, now: Column, hours: int = 48, threshold:
     return rows.agg(F.count("*").alias("n"), F.round(F.avg(F.when(F.col("fraud_score") >= threshold, 1.0).otherwise(0.0)), 9).alias("flag_rate"))
 
 
-def score_snapshot_daily(scores: DataFrame) -> DataFrame:
+def score_snapshot_daily(scores: DataFrame, exact: bool = True) -> DataFrame:
+    """For each model and day: number, mean, spread, shares, latencies' percentiles (exact: see quantiles), histogram and bands."""
     s, band = F.col("fraud_score"), risk_band(F.col("fraud_score"))
     return scores.groupBy("model_version", F.to_date("scored_at").alias("day")).agg(
         F.count("*").alias("n"),
@@ -65,7 +68,7 @@ def score_snapshot_daily(scores: DataFrame) -> DataFrame:
         F.round(F.stddev_pop(s), 9).alias("std_score"),
         F.round(F.avg(F.when(s > 0.5, 1.0).otherwise(0.0)), 9).alias("share_over_50"),
         F.round(F.avg(F.when(s > 0.8, 1.0).otherwise(0.0)), 9).alias("share_over_80"),
-        *(F.round(F.percentile("latency_ms", p / 100), 9).alias(f"p{p}_latency") for p in (50, 95, 99)),
+        *(F.round(quantiles(F.col("latency_ms"), [p / 100], exact)[0], 9).alias(f"p{p}_latency") for p in (50, 95, 99)),
         *(F.count_if(F.floor(s * 10) == i).alias(f"bin_{i}") for i in range(10)),
         *(F.count_if(band == b).alias(f"n_{b}") for b in ("low", "medium", "high", "critical")),
     )
@@ -77,10 +80,11 @@ def unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(stack.alias("feature", "value")).where("value IS NOT NULL")
 
 
-def psi(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
-    """feature, psi: how far the current values have moved between the reference's quantile bins; shares are 1e-6 at least."""
+def psi(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10, exact: bool = True) -> DataFrame:
+    """feature, psi: how far the current values have moved between the reference's quantile bins; shares are 1e-6 at least.
+    exact: of the quantiles; see quantiles."""
     ref, cur = unpivoted(reference, columns), unpivoted(current, columns)
-    edges = ref.groupBy("feature").agg(F.array_distinct(F.percentile("value", F.array(*(F.lit(i / bins) for i in range(1, bins))))).alias("edges"))
+    edges = ref.groupBy("feature").agg(F.array_distinct(quantiles(F.col("value"), [i / bins for i in range(1, bins)], exact)).alias("edges"))
     # A row for each feature.
     place = lambda df: df.join(F.broadcast(edges), "feature").select("feature", F.size(F.filter("edges", lambda e: e < F.col("value"))).alias("bin"))
     both = place(ref).withColumn("r", F.lit(1)).withColumn("c", F.lit(0)).unionByName(place(cur).withColumn("r", F.lit(0)).withColumn("c", F.lit(1)))
@@ -90,13 +94,24 @@ def psi(reference: DataFrame, current: DataFrame, columns: list[str], bins: int
     return counts.withColumn("part", (p - q) * F.log(p / q)).groupBy("feature").agg(F.round(F.sum("part"), 6).alias("psi"))
 
 
+KS_BUCKETS = 256
+
+
 def ks_statistic(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    """feature, ks: the largest distance between the two empirical distributions. Values are counted before any window."""
+    """feature, ks: the largest distance between the two empirical distributions. Values are counted, the counts added up in
+    buckets of about equal numbers of values first and then within each, so that no task sorts all values of a feature."""
     r, c = unpivoted(reference, columns).withColumns({"r": F.lit(1), "c": F.lit(0)}), unpivoted(current, columns).withColumns({"r": F.lit(0), "c": F.lit(1)})
     counts = r.unionByName(c).groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    upto, all_ = Window.partitionBy("feature").orderBy("value"), Window.partitionBy("feature")
-    cdf = lambda x: F.sum(x).over(upto) / F.greatest(F.sum(x).over(all_), F.lit(1))
-    return counts.withColumn("d", F.abs(cdf("r") - cdf("c"))).groupBy("feature").agg(F.round(F.max("d"), 9).alias("ks"))
+    edges = counts.groupBy("feature").agg(F.percentile_approx("value", F.array(*(F.lit(i / KS_BUCKETS) for i in range(1, KS_BUCKETS))), 2000).alias("edges"))
+    # A row for each feature.
+    counts = counts.join(F.broadcast(edges), "feature").withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col("value")))).drop("edges")
+    before, all_ = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("feature")
+    sums = counts.groupBy("feature", "bucket").agg(F.sum("r").alias("r_in"), F.sum("c").alias("c_in"))
+    sums = sums.select("feature", "bucket", *(F.coalesce(F.sum(f"{x}_in").over(before), F.lit(0)).alias(f"{x}_before") for x in "rc"), *(F.sum(f"{x}_in").over(all_).alias(f"{x}_all") for x in "rc"))
+    within = Window.partitionBy("feature", "bucket").orderBy("value")
+    rows = counts.select("feature", "bucket", *(F.sum(x).over(within).alias(f"{x}_upto") for x in "rc")).join(sums, ["feature", "bucket"])
+    cdf = lambda x: (F.col(f"{x}_upto") + F.col(f"{x}_before")) / F.greatest(F.col(f"{x}_all"), F.lit(1))
+    return rows.groupBy("feature").agg(F.round(F.max(F.abs(cdf("r") - cdf("c"))), 9).alias("ks"))
 
 
 def drift_alerts(psis: DataFrame, rows: int, warn: float = 0.1, severe: float = 0.2, least_rows: int = 100) -> DataFrame:

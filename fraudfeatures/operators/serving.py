@@ -5,19 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudfeatures.operators.windows import Rolling, rolling
+
 TTL = 3 * 86400
 WINDOWS = {"5m": 300, "10m": 600, "15m": 900, "1h": 3600}
 
 
-def pit_join(left: DataFrame, right: DataFrame, key: str, columns: list[str], ts: str = "event_timestamp", ttl: int = TTL, tie: str = "transaction_id") -> DataFrame:
+def pit_join(left: DataFrame, right: DataFrame, key: str, columns: list[str], ts: str = "event_timestamp", ttl: int = TTL, tie: str = "transaction_id", span: int | None = None) -> DataFrame:
     """left with the columns of the newest right row of the same key at or before its time and no older than ttl seconds,
-    else nulls. Of right rows of equal time the larger tie column wins. One exchange, by key."""
+    else nulls. Of right rows of equal time the larger tie column wins. One exchange, by key; with span (seconds) keys are cut
+    into spans of time whose last rows are carried forward, for keys that hold more rows than a task should sort."""
     taken = {c: f"asof_{c}" for c in left.columns}
     l = left.select(F.struct(*left.columns).alias("l"), F.col(key).alias("k"), F.col(ts).alias("at"), F.lit(1).alias("kind"))  # noqa: E741
     r = right.select(F.struct(F.col(ts).alias("asof_ts"), *columns).alias("r"), F.col(key).alias("k"), F.col(ts).alias("at"), F.lit(0).alias("kind"), F.col(tie).alias("tie"))
     both = l.unionByName(r, allowMissingColumns=True)
-    newest = F.last("r", ignorenulls=True).over(Window.partitionBy("k").orderBy("at", "kind", "tie").rowsBetween(Window.unboundedPreceding, 0))
+    parts = ["k"]
+    if span is not None:
+        both, parts = both.withColumn("span", F.floor(F.unix_timestamp("at") / span)), ["k", "span"]
+        ends = both.where("kind = 0").groupBy("k", "span").agg(F.max_by("r", F.struct("at", "tie")).alias("end"))
+        spans = both.select("k", "span").distinct().join(ends, ["k", "span"], "left")
+        before = Window.partitionBy("k").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+        spans = spans.select("k", "span", F.last("end", ignorenulls=True).over(before).alias("carried"))
+    newest = F.last("r", ignorenulls=True).over(Window.partitionBy(*parts).orderBy("at", "kind", "tie").rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumn("r", newest).where("kind = 1")
+    if span is not None:
+        out = out.join(spans, ["k", "span"], "left").withColumn("r", F.coalesce("r", "carried"))
     fresh = F.unix_timestamp("at") - F.unix_timestamp("r.asof_ts") <= ttl
     return out.select("l.*", *(F.when(fresh, F.col(f"r.{c}")).alias(c if c not in taken else taken[c]) for c in columns))
 
@@ -31,13 +43,13 @@ def override_from_log(features: DataFrame, log: DataFrame, columns: list[str]) -
 
 
 def materialize_latest(features: DataFrame, key: str, start: Column | None = None, end: Column | None = None) -> DataFrame:
-    """The newest row of each key within [start, end]; of equal times the larger transaction id. The maximum of a struct is
-    taken on the map side first."""
+    """The newest row of each key within [start, end]; of equal times the larger transaction id. Each task keeps its newest row of
+    a key before the exchange, which falls away where features are already dealt by the key."""
     rows = features.where(F.col(key).isNotNull())
     for bound, kept in ((start, lambda b: F.col("event_timestamp") >= b), (end, lambda b: F.col("event_timestamp") <= b)):
         rows = rows if bound is None else rows.where(kept(bound))
-    newest = F.max_by(F.struct(*features.columns), F.struct("event_timestamp", "transaction_id")).alias("row")
-    return rows.groupBy(key).agg(newest).select("row.*")
+    newest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("event_timestamp"), F.desc("transaction_id")))
+    return rows.withColumn("newest_first", newest).where("newest_first = 1").drop("newest_first")
 
 
 def online_lookup(requests: DataFrame, users: DataFrame, devices: DataFrame, merchants: DataFrame) -> DataFrame:
@@ -81,38 +93,33 @@ def cold_fallback(requests: DataFrame, offline: DataFrame, latest: DataFrame, co
     return out.withColumns(values).drop("latest")
 
 
-def online_features_at(requests: DataFrame, txns: DataFrame, logins: DataFrame) -> DataFrame:
+def online_features_at(requests: DataFrame, txns: DataFrame, logins: DataFrame, engine: str = "range") -> DataFrame:
     """For requests (request_id, user_id, device_id, now) the 14 sliding features as a serving store answers them: events
     from now - W up to now, both ends included. A transaction counts once however often it came; merchants are a set that
     keeps the last time; failed logins of one second are one. Sums are rounded to four places.
 
-    Requests and events meet by hour, not by all pairs: an event of hour h can only matter to requests of h and h + 1.
+    Requests ride along with the events as probes of rolling windows that end a second after them; engine: see rolling.
     """
-    day = 3600
-    asked = requests.select("request_id", "user_id", "device_id", F.unix_timestamp("now").alias("t"))
-    hours = F.explode(F.array(F.floor(F.col("t") / day), F.floor(F.col("t") / day) - 1))
-    asked = asked.withColumn("hour", hours)
-    hour = F.floor(F.col("s") / day).alias("hour")
-    events = txns.select("transaction_id", "user_id", "device_id", "merchant_id", "amount", F.unix_timestamp("event_timestamp").alias("s"))
-    events = events.dropDuplicates(["transaction_id"]).select("*", hour)
-    failed = logins.where("login_status = 'failed'").select("user_id", F.unix_timestamp("event_timestamp").alias("s")).distinct().select("*", hour)
-    age = F.col("t") - F.col("s")
-    near = lambda df: df.where((age >= 0) & (age <= 3600))
-    user = near(asked.drop("device_id").join(events.drop("device_id"), ["user_id", "hour"]))
-    within = lambda w: age <= WINDOWS[w]
-    of_user = user.groupBy("request_id").agg(
-        *(F.count_if(within(w)).alias(f"user_txn_count_{w}") for w in ("5m", "10m", "1h")),
-        *(F.round(F.coalesce(F.sum(F.when(within(w), F.col("amount"))).cast("double"), F.lit(0.0)), 4).alias(f"user_txn_amount_sum_{w}") for w in ("5m", "10m", "1h")),
-        *(F.count_distinct(F.when(within(w), F.col("merchant_id"))).alias(f"user_distinct_merchants_{w}") for w in ("5m", "10m", "1h")),
-    )
-    device = near(asked.drop("user_id").join(events.select("device_id", "hour", "s"), ["device_id", "hour"]))
-    of_device = device.groupBy("request_id").agg(*(F.count_if(within(w)).alias(f"device_txn_count_{w}") for w in ("5m", "10m", "1h")))
-    login = near(asked.drop("device_id").join(failed, ["user_id", "hour"]))
-    of_login = login.groupBy("request_id").agg(*(F.count_if(within(w)).alias(f"user_failed_logins_{w}") for w in ("15m", "1h")))
-    out = requests.select("request_id", "user_id", "device_id", "now")
-    for part in (of_user, of_device, of_login):
-        out = out.join(part, "request_id", "left").fillna(0, [c for c in part.columns if c != "request_id"])
-    return out
+    at = lambda ts: F.timestamp_seconds(F.unix_timestamp(ts))
+    asked = requests.select("request_id", "user_id", "device_id", at(F.col("now") + F.expr("INTERVAL 1 SECOND")).alias("at"))
+    events = txns.select("transaction_id", "user_id", "device_id", "merchant_id", "amount", at("event_timestamp").alias("at")).dropDuplicates(["transaction_id"])
+    failed = logins.where("login_status = 'failed'").select("user_id", at("event_timestamp").alias("at")).distinct()
+    sizes = {w: n + 1 for w, n in WINDOWS.items()}
+    columns = [
+        *(Rolling(f"user_txn_count_{w}", "count", sizes[w], "is_txn") for w in ("5m", "10m", "1h")),
+        *(Rolling(f"user_txn_amount_sum_{w}", "sum", sizes[w], "amount") for w in ("5m", "10m", "1h")),
+        *(Rolling(f"user_distinct_merchants_{w}", "distinct", sizes[w], "merchant_id") for w in ("5m", "10m", "1h")),
+        *(Rolling(f"user_failed_logins_{w}", "count", sizes[w], "is_login") for w in ("15m", "1h")),
+    ]
+    both = events.drop("device_id").withColumn("is_txn", F.lit(True)).unionByName(failed.withColumn("is_login", F.lit(True)), allowMissingColumns=True)
+    both = both.unionByName(asked.drop("device_id").withColumn("is_probe", F.lit(True)), allowMissingColumns=True)
+    of_user = rolling(both, "user_id", columns, "at", engine).where("is_probe").select("request_id", *(c.name for c in columns))
+    sums = {c.name: F.round(c.name, 4) for c in columns if c.kind == "sum"}
+    counts = [Rolling(f"device_txn_count_{w}", "count", sizes[w], "is_txn") for w in ("5m", "10m", "1h")]
+    both = events.select("device_id", "at", F.lit(True).alias("is_txn")).unionByName(asked.drop("user_id").withColumn("is_probe", F.lit(True)), allowMissingColumns=True)
+    of_device = rolling(both, "device_id", counts, "at", engine).where("is_probe").select("request_id", *(c.name for c in counts))
+    out = requests.select("request_id", "user_id", "device_id", "now").join(of_user.withColumns(sums), "request_id", "left").join(of_device, "request_id", "left")
+    return out.select("request_id", "user_id", "device_id", "now", *(c.name for c in columns[:-2]), *(c.name for c in counts), *(c.name for c in columns[-2:]))
 
 
 def split_member(member: Column) -> tuple[Column, Column]:

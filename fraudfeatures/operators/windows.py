@@ -1,10 +1,14 @@
 """Rolling windows over the seconds before each row.
 
 A window of N seconds at a row of second t holds the rows of the same key with seconds from t - N to t - 1: the row itself and
-others of its second are left out. Two ways compute the same numbers. RANGE frames read each row's frame anew, which is
-fast while frames are small. The sweep writes each row as a change when it enters and leaves each window, and adds the
-changes up in order of time; keys are cut into spans of time whose totals are carried forward, so that neither long
-frames nor a key that holds much of the data weigh on one task.
+others of its second are left out. Two engines compute the same numbers, both by differences of running totals, so that the
+length of a window costs nothing. The engine `range` sorts each key in one task: a window is the total up to t - 1 less the
+total up to t - N - 1. The engine `sweep` is for keys that hold more rows than a task should sort: it writes each row as a
+change when it enters and leaves each window, adds the changes up in order of time within spans of a few hours, and carries
+the totals from span to span.
+
+A value counts once in a window: it enters with an occurrence that none precedes by N seconds or less, and leaves N seconds
+after one that none follows so closely.
 """
 
 from __future__ import annotations
@@ -16,8 +20,7 @@ from pyspark.sql import functions as F
 
 UNITS = {"MINUTE": 60, "HOUR": 3600, "DAY": 86400}
 KINDS = ("count", "sum", "avg", "distinct")
-FRAME_ROWS = 2_000  # rows of a key, beyond which RANGE frames cost more than a sweep
-SPAN = 7 * 86400  # seconds of a key that a sweep adds up in one piece
+SPAN = 6 * 3600  # seconds of a key that a sweep adds up in one piece
 
 
 def seconds(unit: str, n: int) -> int:
@@ -46,29 +49,43 @@ def epoch(ts: Column | str) -> Column:
     return F.unix_timestamp(F.col(ts).cast("timestamp") if isinstance(ts, str) else ts.cast("timestamp"))
 
 
-def rolling(df: DataFrame, key: str, columns: list[Rolling], ts: str = "event_timestamp", engine: str = "auto") -> DataFrame:
-    """df with these columns more. engine: range, sweep, or auto, which sweeps if a key has more than FRAME_ROWS rows."""
-    if engine == "auto":
-        most = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        engine = "range" if most <= FRAME_ROWS else "sweep"
-    return {"range": _ranges, "sweep": _sweep}[engine](df, key, columns, ts)
+def rolling(df: DataFrame, key: str, columns: list[Rolling], ts: str = "event_timestamp", engine: str = "range") -> DataFrame:
+    """df with these columns more. engine: range, or sweep where single keys hold very many rows."""
+    if engine not in ENGINES:
+        raise ValueError(f"engine {engine!r} is none of {', '.join(ENGINES)}")
+    return ENGINES[engine](df, key, columns, ts)
 
 
 def _ranges(df: DataFrame, key: str, columns: list[Rolling], ts: str) -> DataFrame:
-    out, second = {}, epoch(ts)
-    for c in columns:
-        frame = Window.partitionBy(key).orderBy(second).rangeBetween(-c.seconds, -1)
-        value = F.col(c.value) if isinstance(c.value, str) else c.value
+    second, at = "rolling_second", Window.partitionBy(key).orderBy("rolling_second")
+    upto = lambda back: at.rangeBetween(Window.unboundedPreceding, -back)
+    out, base = {}, df.withColumn(second, epoch(ts))
+    values = {i: F.col(c.value) if isinstance(c.value, str) else c.value for i, c in enumerate(columns) if c.value is not None}
+    kinds = dict(df.select(*(v.alias(str(i)) for i, v in values.items())).dtypes) if values else {}
+    gaps: dict[str, tuple[str, str]] = {}
+    for i, c in enumerate(columns):
+        if c.kind == "distinct" and str(c.value) not in gaps:
+            names = gaps[str(c.value)] = (f"rolling_before_{i}", f"rolling_after_{i}")
+            near = Window.partitionBy(key, values[i]).orderBy(second)
+            base = base.withColumns({names[0]: F.col(second) - F.lag(second).over(near), names[1]: F.lead(second).over(near) - F.col(second)})
+    for i, c in enumerate(columns):
+        value = values.get(i)
+        less = lambda agg, n=c.seconds: F.coalesce(agg.over(upto(1)), F.lit(0)) - F.coalesce(agg.over(upto(n + 1)), F.lit(0))
         if c.kind == "count":
-            out[c.name] = F.count("*" if value is None else F.when(value, True)).over(frame)
-        elif c.kind == "sum":
-            out[c.name] = F.coalesce(F.sum(value).over(frame).cast("double"), F.lit(0.0))
-        elif c.kind == "avg":
-            known = F.sum(value).over(frame).cast("double") / F.count(value).over(frame)
-            out[c.name] = F.coalesce(F.when(F.count(value).over(frame) > 0, known), F.lit(0.0))
+            out[c.name] = less(F.count("*" if value is None else F.when(value, True)))
+        elif c.kind == "distinct":
+            before, after = gaps[str(c.value)]
+            far = lambda gap, v=value, n=c.seconds: F.when(v.isNotNull() & F.coalesce(F.col(gap) > n, F.lit(True)), True)
+            entered, left = F.count(far(before)).over(upto(1)), F.count(far(after)).over(upto(c.seconds + 1))
+            out[c.name] = F.coalesce(entered, F.lit(0)) - F.coalesce(left, F.lit(0))
         else:
-            out[c.name] = F.size(F.collect_set(value).over(frame)).cast("bigint")
-    return df.withColumns(out)
+            # Differences of floating totals would carry their rounding along.
+            exact = kinds[str(i)] not in ("double", "float")
+            frame = at.rangeBetween(-c.seconds, -1)
+            total = (less(F.sum(value)) if exact else F.coalesce(F.sum(value).over(frame), F.lit(0))).cast("double")
+            n = less(F.count(value))
+            out[c.name] = total if c.kind == "sum" else F.when(n > 0, total / n).otherwise(0.0)
+    return base.withColumns(out).drop(second, *(name for names in gaps.values() for name in names))
 
 
 def _sweep(df: DataFrame, key: str, columns: list[Rolling], ts: str) -> DataFrame:
@@ -133,6 +150,9 @@ def _sweep(df: DataFrame, key: str, columns: list[Rolling], ts: str) -> DataFram
     return found.select(f"{row}.*", *(v.alias(k) for k, v in out.items()))
 
 
+ENGINES = {"range": _ranges, "sweep": _sweep}
+
+
 def _values(columns: list[Rolling]) -> list[Column]:
     return [(F.col(c.value) if isinstance(c.value, str) else c.value).alias(f"sweep_value_{i}") for i, c in enumerate(columns) if c.value is not None]
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,11 +180,22 @@ def _folder(t: Tables, name: str) -> str:
     return jobs.shared_folder(t.spark, name)
 
 
-@query("read_raw_tables", "SELECT 'orders' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'customer', count(*) FROM customer")
+RAW_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{', '.join(c)}' AS column_names, count(*) AS n_rows, {'count(ip_address)' if 'ip_address' in c else '0'} AS n_addresses FROM {n}" for n, c in tables.RAW_COLUMNS.items()
+)
+
+
+@query("read_raw_tables", RAW_SQL)
 def _(t):
-    read = tables.read_raw_tables(t.spark, t.sf_dir, ["orders.parquet", "customer.parquet"])
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(n.split(".")[0]).alias("table_name"), "n") for n, df in read.items()]
-    return parts[0].unionByName(parts[1])
+    folder = _folder(t, "raw")
+    for name in tables.RAW_COLUMNS:
+        t.raw(name).withColumn("not_read", F.lit(1)).write.parquet(f"{folder}/{name}")
+    parts = []
+    for name, df in tables.read_raw_tables(t.spark, folder).items():
+        addresses = F.count("ip_address") if "ip_address" in df.columns else F.lit(0).cast("bigint")
+        counts = df.agg(F.count("*").alias("n_rows"), addresses.alias("n_addresses"))
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.lit(", ".join(df.columns)).alias("column_names"), "n_rows", "n_addresses"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("full_refresh_load", "SELECT transaction_id, amount, event_timestamp FROM stg_transactions")
@@ -225,11 +239,14 @@ def _(t):
     return _values(t).groupBy("topic", "key").agg(F.count("*").alias("n"))
 
 
-@query("decode_stream_value", "SELECT transaction_id, amount, is_international, local_hour, event_timestamp FROM stream_transactions WHERE local_hour <> 3")
+@query("decode_stream_value", """SELECT transaction_id, amount, is_international, local_hour, event_timestamp, CAST(NULL AS BIGINT) AS n_bad FROM stream_transactions WHERE local_hour <> 3
+ UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, count(*) FROM stream_transactions WHERE local_hour = 3""")
 def _(t):
-    bad = F.when(F.get_json_object("value", "$.local_hour") == "3", F.substring("value", 1, 40)).otherwise(F.col("value"))
-    good, _ = tables.decode(_values(t).select(bad.alias("value")))
-    return good.select("transaction_id", "amount", "is_international", "local_hour", "event_timestamp")
+    cut = F.when(F.get_json_object("value", "$.local_hour") == "3", F.substring("value", 1, 40)).otherwise(F.col("value"))
+    values = _values(t).select(cut.alias("value"))
+    good, _ = tables.decode(values)
+    good = good.select("transaction_id", "amount", "is_international", "local_hour", "event_timestamp")
+    return good.unionByName(tables.decoded_counts(values).select(F.col("bad").alias("n_bad")), allowMissingColumns=True)
 
 
 @query("confluent_header", "SELECT event_id % 70000 AS schema_id, event_id % 9 <> 0 AS valid, count(*) AS n FROM events WHERE event_id % 9 <> 0 GROUP BY ALL UNION ALL SELECT NULL, false, count(*) FROM events WHERE event_id % 9 = 0")
@@ -241,12 +258,13 @@ def _(t):
     return events.select(number.alias("schema_id"), valid.alias("valid")).groupBy("schema_id", "valid").agg(F.count("*").alias("n"))
 
 
-@query("idempotent_txn_sink", "SELECT transaction_id, amount FROM stg_transactions")
+@query("idempotent_txn_sink", "SELECT transaction_id, amount, CAST(strftime(event_timestamp, '%Y%m') AS INTEGER) AS event_month FROM stg_transactions")
 def _(t):
-    path, df = _folder(t, "sink"), t.txns.select("transaction_id", "amount")
+    path, month = _folder(t, "sink"), F.date_format("event_timestamp", "yyyyMM").cast("int")
+    df = t.txns.select("transaction_id", "amount", month.alias("event_month"))
     half = df.where(F.crc32("transaction_id") % 2 == 0)
     for batch in (half, df, df.unionByName(half)):
-        tables.append_missing(batch, path)
+        tables.append_missing(batch, path, partition="event_month")
     return t.spark.read.parquet(path)
 
 
@@ -361,10 +379,17 @@ query("user_features", "SELECT * FROM user_features")(Tables.user_features)
 query("device_features", "SELECT * FROM device_features")(Tables.device_features)
 query("merchant_features", "SELECT * FROM merchant_features")(Tables.merchant_features)
 query("training_dataset", "SELECT * FROM training")(Tables.training)
-VECTOR_SQL = ", ".join("CAST(" + ("coalesce(txn_amount * 2, 0)" if c == "txn_amount" else f"coalesce({c}, 0)") + " AS DOUBLE)" for c in registry.FRAUD_V1)
-query("feature_vector", f"SELECT transaction_id, array_to_string([{', '.join(f'CAST(round(x * 10000) AS BIGINT)' for _ in [0])} FOR x IN [{VECTOR_SQL}]], ',') AS vector FROM training")(
-    lambda t: t.training().withColumn("request_txn_amount", F.col("txn_amount") * 2).transform(lambda df: df.select("transaction_id", F.array_join(F.transform(registry.feature_vector(df), lambda x: F.round(x * 10000).cast("bigint").cast("string")), ",").alias("vector")))
-)
+ASKED_SQL = "CASE WHEN CAST(substr(transaction_id, 3) AS BIGINT) % 3 = 2 THEN txn_amount * 2 ELSE 0 END"
+VECTOR_SQL = ", ".join(f"CAST({ASKED_SQL if c == 'txn_amount' else f'coalesce({c}, 0)'} AS DOUBLE)" for c in registry.FRAUD_V1)
+
+
+@query("feature_vector", f"SELECT transaction_id, array_to_string([CAST(round(x * 10000) AS BIGINT) FOR x IN [{VECTOR_SQL}]], ',') AS vector FROM training")
+def _(t):
+    """The request's amounts win, though a third of them is null and a third no number."""
+    n = F.substring("transaction_id", 3, 20).cast("bigint") % 3
+    df = t.training().withColumn("request_txn_amount", F.when(n == 1, "abc").when(n == 2, (F.col("txn_amount") * 2).cast("string")))
+    whole = F.transform(registry.feature_vector(df), lambda x: F.round(x * 10000).cast("bigint").cast("string"))
+    return df.select("transaction_id", F.array_join(whole, ",").alias("vector"))
 
 
 @query("pit_join", f"""SELECT l.login_event_id, CASE WHEN {sec('l.event_timestamp')} - {sec('f.event_timestamp')} <= 259200 THEN f.txn END AS transaction_id,
@@ -384,11 +409,30 @@ def _(t):
     return serving.override_from_log(online, log, ["user_txn_count_1h"])
 
 
-@query("registry_validate")
-def _(t):
-    wrong = registry.validate({"user": t.user_features(), "device": t.device_features(), "merchant": t.merchant_features()})
+FAULTS = [
+    "fraud_v1: nope is not known", "fraud_v1: txn_amount repeats", "device_txn_count_1d: column not_there is not in the device table",
+    "local_hour: mode request needs a source", "user_txn_count_5m: operation SUM is none of ZCOUNT, ZRANGEBYSCORE_SUM, ZCARD_WINDOWED",
+    "user_txn_count_10m: key user:all lacks {user_id}", "user_txn_count_1h: mode online needs window", "seller_score: entity seller is not known",
+    "user_age: mode odd",
+]
+
+
+@query("registry_validate", "SELECT problem, n_rows FROM (VALUES " + ", ".join(f"('{f}')" for f in FAULTS) + ") AS v(problem), (SELECT count(*) AS n_rows FROM stg_transactions)")
+def _(t):
+    """A registry with faults, against the feature tables; the right one has none."""
+    views = {"user": t.user_features(), "device": t.device_features(), "merchant": t.merchant_features()}
+    if problems := registry.validate(views):
+        raise ValueError(problems)
+    known = registry.features()
+    changes = {
+        "device_txn_count_1d": {"source": "not_there"}, "local_hour": {"source": None}, "user_txn_count_5m": {"operation": "SUM"},
+        "user_txn_count_10m": {"key": "user:all"}, "user_txn_count_1h": {"window": None},
+    }
+    known |= {name: replace(known[name], **change) for name, change in changes.items()}
+    known |= {"seller_score": registry.Feature("seller_score", "seller", "batch", "x"), "user_age": registry.Feature("user_age", "user", "odd")}
+    found = registry.validate(views, known, {"fraud_v1": [*registry.FRAUD_V1, "nope", "txn_amount"]})
     counted = t.txns.agg(F.count("*").alias("n_rows"))
-    return counted.select(F.lit(len(wrong)).alias("problems"), "n_rows")
+    return counted.select(F.explode(F.array(*map(F.lit, found))).alias("problem"), "n_rows")
 
 
 # --- latest state ----------------------------------------------------------------------------------------------------
@@ -504,7 +548,7 @@ def _streamed_buckets(t: Tables, make, key: str, window: str) -> DataFrame:
     """Buckets of a stream in update mode, upserted batch by batch."""
     folder = _folder(t, f"buckets-{window}")
     sink, read = jobs.upserting(f"{folder}/table", [key, "window_start"])
-    stream = jobs.deduplicated(_stream(t), watermark="40 days")
+    stream = jobs.deduplicated(_stream(t))
     jobs.run_once(make(stream, window), sink, f"{folder}/checkpoint")
     return read(t.spark)
 
@@ -527,7 +571,7 @@ query("velocity_merge", "SELECT user_id, count(*) AS txn_count, CAST(sum(CAST(am
 def _(t):
     folder, stream = _folder(t, "dedup"), _stream(t)
     twice = stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    once = jobs.deduplicated(twice, watermark="40 days").select("transaction_id", "user_id", "amount")
+    once = jobs.deduplicated(twice).select("transaction_id", "user_id", "amount")
     once.writeStream.format("parquet").option("path", f"{folder}/table").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.parquet(f"{folder}/table")
 
@@ -542,40 +586,74 @@ def _(t):
     return jobs.velocity_parity(buckets, sliding.select("user_id", "window_start", "txn_count"), "user_id")
 
 
-def _sliding(t: Tables, logins: bool) -> DataFrame:
+def _sliding(t: Tables, logins: bool, key: str = "user_id") -> DataFrame:
     """The sliding state over the stream of transactions (and failed logins)."""
-    folder, common = _folder(t, "sliding"), ["transaction_id", "user_id", "merchant_id", "amount", "is_login", "event_timestamp"]
+    folder, common = _folder(t, "sliding"), ["transaction_id", key, "merchant_id", "amount", "is_login", "event_timestamp"]
     events = _stream(t).where("amount > 0").withColumn("is_login", F.lit(False)).select(common)
     if logins:
         failed = _stream(t, "raw_login_events").where("lower(trim(login_status)) = 'failed'")
-        failed = failed.select(F.lit(None).cast("string").alias("transaction_id"), "user_id", F.lit(None).cast("string").alias("merchant_id"), F.lit(0.0).alias("amount"), F.lit(True).alias("is_login"), "event_timestamp")
+        failed = failed.select(F.lit(None).cast("string").alias("transaction_id"), key, F.lit(None).cast("string").alias("merchant_id"), F.lit(0.0).alias("amount"), F.lit(True).alias("is_login"), "event_timestamp")
         events = events.unionByName(failed)
     sink, read = jobs.upserting(f"{folder}/table", ["key", "transaction_id"])
-    jobs.run_once(jobs.sliding_features(events, "user_id"), sink, f"{folder}/checkpoint")
+    jobs.run_once(jobs.sliding_features(events, key), sink, f"{folder}/checkpoint")
     return read(t.spark)
 
 
-query("sliding_state")(lambda t: _sliding(t, False))
-query("login_failure_state")(lambda t: _sliding(t, True).select("key", "transaction_id", "failed_logins_15m", "failed_logins_1h"))
+EVENTS_SQL = f"(SELECT transaction_id, user_id, device_id, merchant_id, amount, {sec()} AS s FROM stream_transactions WHERE amount > 0)"
+FAILED_SQL = f"(SELECT user_id, {sec()} AS s FROM raw_login_events WHERE lower(trim(login_status)) = 'failed')"
+STATE = [f"{c}_{w}" for c in ("txn_count", "txn_amount_sum", "distinct_merchants") for w in ("5m", "10m", "1h")]
 
 
-@query("scored_stream", SCORED_SQL.replace("FROM stream_transactions", "FROM stream_transactions WHERE amount > 0"))
+def _state_sql(entity: str) -> str:
+    """What each transaction sees of its key's transactions up to itself: those of an hour ago are gone."""
+    parts = ", ".join(
+        f"count(*) FILTER (p.s >= t.s - {n}) AS txn_count_{w}, round(coalesce(sum(p.amount) FILTER (p.s >= t.s - {n}), 0), 4) AS txn_amount_sum_{w}, count(DISTINCT p.merchant_id) FILTER (p.s >= t.s - {n}) AS distinct_merchants_{w}" for w, n in SHORT
+    )
+    return f"""SELECT '{entity}' AS entity, t.{entity}_id AS key, t.transaction_id, {parts} FROM {EVENTS_SQL} t
+ JOIN {EVENTS_SQL} p ON p.{entity}_id = t.{entity}_id AND p.s > t.s - 3600 AND (p.s < t.s OR p.s = t.s AND p.transaction_id <= t.transaction_id) GROUP BY ALL"""
+
+
+@query("sliding_state", f"SELECT entity, key, transaction_id, {', '.join(STATE)} FROM ({_state_sql('user')} UNION ALL BY NAME {_state_sql('device')})")
 def _(t):
-    """A stream joined with a snapshot, scored; rows that cannot be scored are left out."""
-    snapshot = serving.materialize_latest(features.device_txn_online_stats(t.txns), "device_id").select("device_id", "device_txn_count_1h")
-    scored = _score(_stream(t).where("amount > 0").join(snapshot, "device_id", "left").fillna(0, ["device_txn_count_1h"]))
-    return _landed(t, "scored", evaluation.scored_event(scored)).select("transaction_id", "fraud_score", "risk_band", "is_flagged")
+    parts = [_sliding(t, False, f"{e}_id").select(F.lit(e).alias("entity"), "key", "transaction_id", *STATE) for e in ("user", "device")]
+    return parts[0].unionByName(parts[1])
 
 
-query("kafka_txn_source", "SELECT transaction_id, amount, channel FROM stream_transactions")(
-    lambda t: tables.decode(_values(t).select("value"))[0].select("transaction_id", "amount", "channel")
-)
-query("kafka_sink_scored", SCORED_SQL.replace("SELECT transaction_id, fraud_score", "SELECT 'txn.scored' AS topic, transaction_id, fraud_score"))(
-    lambda t: tables.scored_values(evaluation.scored_event(_score(t.raw("stream_transactions")))).select(
-        "topic", *(F.get_json_object("value", f"$.{c}").cast(kind).alias(c) for c, kind in (("transaction_id", "string"), ("fraud_score", "double"), ("risk_band", "string"), ("is_flagged", "boolean")))
-    )
+query("login_failure_state", f"""SELECT t.user_id AS key, t.transaction_id, count(DISTINCT l.s) FILTER (l.s >= t.s - 900) AS failed_logins_15m, count(DISTINCT l.s) AS failed_logins_1h
+ FROM {EVENTS_SQL} t LEFT JOIN {FAILED_SQL} l ON l.user_id = t.user_id AND l.s > t.s - 3600 AND l.s <= t.s GROUP BY ALL""")(
+    lambda t: _sliding(t, True).select("key", "transaction_id", "failed_logins_15m", "failed_logins_1h")
 )
 
+
+@query("scored_stream", SCORED_SQL.replace("SELECT transaction_id", "SELECT CAST(NULL AS BIGINT) AS n_failed, transaction_id").replace("FROM stream_transactions", "FROM stream_transactions WHERE amount > 0") + " UNION ALL SELECT count(*), NULL, NULL, NULL, NULL FROM stream_transactions WHERE amount <= 0")
+def _(t):
+    """A stream joined with a snapshot, scored; rows that cannot be scored land apart and are counted."""
+    snapshot = serving.materialize_latest(features.device_txn_online_stats(t.txns), "device_id").select("device_id", "device_txn_count_1h")
+    good, failed = jobs.split_failed(_stream(t), F.col("amount") > 0)
+    scored = _score(good.join(snapshot, "device_id", "left").fillna(0, ["device_txn_count_1h"]))
+    landed = _landed(t, "scored", evaluation.scored_event(scored)).select("transaction_id", "fraud_score", "risk_band", "is_flagged")
+    counted = _landed(t, "failed", failed.select("transaction_id", "event_timestamp")).agg(F.count("*").alias("n_failed"))
+    return landed.unionByName(counted, allowMissingColumns=True)
+
+
+@query("kafka_txn_source", "SELECT transaction_id, amount, channel FROM stream_transactions")
+def _(t):
+    """Values come as a stream of lines here; from topics the same job reads them as they are."""
+    folder = _folder(t, "topics")
+    _values(t).select("value").write.text(f"{folder}/values")
+    good, _ = tables.decode(tables.kafka_txn_source(t.spark, "", format="text", path=f"{folder}/values"))
+    return _landed(t, "decoded", good).select("transaction_id", "amount", "channel")
+
+
+@query("kafka_sink_scored", SCORED_SQL.replace("SELECT transaction_id, fraud_score", "SELECT 'txn.scored' AS topic, transaction_id, fraud_score"))
+def _(t):
+    folder = _folder(t, "published")
+    values = tables.scored_values(evaluation.scored_event(_score(_stream(t))))
+    tables.kafka_sink(values, "", f"{folder}/checkpoint", "parquet", f"{folder}/values").trigger(availableNow=True).start().awaitTermination()
+    kinds = (("transaction_id", "string"), ("fraud_score", "double"), ("risk_band", "string"), ("is_flagged", "boolean"))
+    return t.spark.read.parquet(f"{folder}/values").select("topic", *(F.get_json_object("value", f"$.{c}").cast(kind).alias(c) for c, kind in kinds))
+
+
 # --- training sets and evaluation ------------------------------------------------------------------------------------
 
 
@@ -672,10 +750,23 @@ def _(t):
     return out
 
 
-GRID = ([0.0, 0.25, 0.5, 1.0], [0.0, 0.1, 0.6, 1.0])
-query("calibrate_scores", "SELECT transaction_id, round(CASE WHEN fraud_score < 0.25 THEN fraud_score * 0.4 WHEN fraud_score < 0.5 THEN 0.1 + (fraud_score - 0.25) * 2 ELSE 0.6 + (fraud_score - 0.5) * 0.8 END, 6) AS calibrated FROM score_log")(
-    lambda t: t.scores.select("transaction_id", F.round(evaluation.apply_calibration(F.col("fraud_score"), *GRID), 6).alias("calibrated"))
-)
+TENTH_SQL = "floor({0} * 10) / 10"
+
+
+@query("calibrate_scores", f"""SELECT transaction_id, round(y, 6) AS calibrated FROM score_log JOIN (
+  SELECT x, max(low) AS y FROM (SELECT k.x AS x, p.i, min(p.mean) AS low FROM bins k JOIN runs p ON p.i <= k.x AND p.j >= k.x GROUP BY k.x, p.i) GROUP BY x) ON x = {TENTH_SQL.format('fraud_score')}""")
+def _(t):
+    """Isotonic regression of the labels on tenths of scores; in the SQL a tenth's value is the greatest least mean of runs of
+    tenths around it."""
+    tenth = F.floor(F.col("score") * 10) / 10
+    grid = evaluation.calibration_grid(_scored(t).select(tenth.alias("score"), F.col("label").cast("double").alias("label")), points=11)
+    return t.scores.select("transaction_id", F.round(evaluation.apply_calibration(F.floor(F.col("fraud_score") * 10) / 10, *grid), 6).alias("calibrated"))
+
+
+ORACLES["calibrate_scores"] = ORACLES["calibrate_scores"].replace(f"{WITH}\n", f"""{WITH},
+bins AS (SELECT {TENTH_SQL.format('score')} AS x, sum(label) AS y, count(*) AS n FROM scored GROUP BY 1),
+runs AS (SELECT i.x AS i, j.x AS j, sum(b.y) / sum(b.n) AS mean FROM bins i JOIN bins j ON i.x <= j.x JOIN bins b ON b.x BETWEEN i.x AND j.x GROUP BY 1, 2)
+""")
 query("choose_threshold", "SELECT coalesce(max_by(score, (precision, score)), 0.5) AS threshold FROM (SELECT score, tp / (tp + fp) AS precision, tp / pos AS recall FROM points) WHERE recall >= 0.8")(lambda t: evaluation.choose_threshold(_scored(t)))
 query("pr_curve", "SELECT score, round(tp / (tp + fp), 9) AS precision, round(tp / pos, 9) AS recall FROM points")(
     lambda t: evaluation.curve(_scored(t)).select("score", F.round(F.col("tp") / (F.col("tp") + F.col("fp")), 9).alias("precision"), F.round(F.col("tp") / F.col("pos"), 9).alias("recall"))
@@ -718,8 +809,11 @@ query("recent_scores", "SELECT transaction_id, fraud_score, scored_at FROM score
 )
 BANDS_SQL = ", ".join(f"count(*) FILTER (a >= 0 AND a < {d * 86400} AND b = '{b}') AS {b}_{d}d" for d in (1, 7, 30) for b in ("low", "medium", "high", "critical"))
 query("score_kpis", f"""SELECT count(*) FILTER (d) AS scored_24h, round(avg(CASE WHEN fraud_score >= 0.5 THEN 1.0 ELSE 0.0 END) FILTER (d), 9) AS flagged_24h, round(avg(CASE WHEN b = 'critical' THEN 1.0 ELSE 0.0 END) FILTER (d), 9) AS critical_24h,
- round(avg(fraud_score) FILTER (d), 9) AS mean_score_24h, quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) FILTER (d) AS p95_latency_24h, {BANDS_SQL}
- FROM (SELECT *, {AGE} AS a, {AGE} >= 0 AND {AGE} < 86400 AS d, {BAND.format('fraud_score')} AS b FROM score_log) WHERE a >= 0 AND a < 2592000""")(lambda t: monitoring.score_kpis(t.scores, _now()))
+ round(avg(fraud_score) FILTER (d), 9) AS mean_score_24h, quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) FILTER (d) AS p95_latency_24h,
+ round(avg(CASE WHEN CAST(substr(transaction_id, 3) AS BIGINT) % 10 <> 0 THEN 1.0 ELSE 0.0 END) FILTER (d), 9) AS feast_offline_ok_24h, round(avg(CASE WHEN CAST(substr(transaction_id, 3) AS BIGINT) % 20 <> 3 THEN 1.0 ELSE 0.0 END) FILTER (d), 9) AS redis_online_ok_24h, {BANDS_SQL}
+ FROM (SELECT *, {AGE} AS a, {AGE} >= 0 AND {AGE} < 86400 AS d, {BAND.format('fraud_score')} AS b FROM score_log) WHERE a >= 0 AND a < 2592000""")(
+    lambda t: monitoring.score_kpis(t.scores.withColumns({"feast_offline_ok": F.substring("transaction_id", 3, 20).cast("bigint") % 10 != 0, "redis_online_ok": F.substring("transaction_id", 3, 20).cast("bigint") % 20 != 3}), _now())
+)
 query("hourly_flag_rate", f"SELECT date_trunc('hour', scored_at) AS hour, count(*) AS n, round(avg(CASE WHEN fraud_score >= 0.5 THEN 1.0 ELSE 0.0 END), 9) AS flag_rate FROM score_log WHERE {AGE} >= 0 AND {AGE} < 172800 GROUP BY 1")(lambda t: monitoring.hourly_flag_rate(t.scores, _now()))
 DAILY_SQL = ", ".join([
     *(f"round(quantile_cont(CAST(latency_ms AS DOUBLE), {p / 100}), 9) AS p{p}_latency" for p in (50, 95, 99)),
@@ -749,6 +843,14 @@ def _(t):
     return monitoring.drift_alerts(monitoring.psi(old, new, ["amount", "local_hour"]), new.count())
 
 
+@query("retrain_rule", f"SELECT count(*) FILTER (psi >= 0.0005) AS critical_features, count(*) FILTER (psi >= 0.0005) >= 2 AS retrain FROM ({PSI_SQL})")
+def _(t):
+    """The rule that asks for a new model once enough features have drifted, with bounds low enough for this data."""
+    old, new = _halves(t)
+    alerts = monitoring.drift_alerts(monitoring.psi(old, new, ["amount", "local_hour"]), new.count())
+    return monitoring.retrain(alerts, critical=0.0005, least=2)
+
+
 def _ranks_sql(rows: str, by: str) -> str:
     return f"""SELECT {by}, {RANK_SQL} FROM (SELECT {by}, score, p, n, sum(p) OVER w AS tp, sum(n) OVER w AS fp, sum(p) OVER (PARTITION BY {by}) AS pos, sum(n) OVER (PARTITION BY {by}) AS neg FROM (
  SELECT {by}, score, sum(label) AS p, count(*) - sum(label) AS n FROM ({rows}) GROUP BY 1, 2) WINDOW w AS (PARTITION BY {by} ORDER BY score DESC)) GROUP BY 1"""

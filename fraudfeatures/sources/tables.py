@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,11 +18,27 @@ TRANSACTION = T.StructType([
 ])
 
 
-def read_raw_tables(spark: SparkSession, source: str, tables: list[str], format: str = "parquet", key: str | None = None, partitions: int = 64, bounds: tuple[int, int] | None = None, **options: str) -> dict[str, DataFrame]:
-    """The named tables with addresses as text. format jdbc reads a table in `partitions` ranges of the numeric key between
-    the bounds; others read folders under the source."""
+#: What is read of each raw table. Addresses are read as text.
+RAW_COLUMNS = {
+    "raw_users": ["user_id", "email", "phone", "country_code", "signup_date", "account_type", "is_verified", "event_timestamp", "ingestion_timestamp"],
+    "raw_devices": ["device_id", "user_id", "device_fingerprint", "platform", "os_version", "ip_address", "country_code", "event_timestamp", "ingestion_timestamp"],
+    "raw_merchants": ["merchant_id", "merchant_name", "merchant_category", "country_code", "is_online", "risk_tier", "event_timestamp", "ingestion_timestamp"],
+    "raw_transactions": [
+        "transaction_id", "user_id", "device_id", "merchant_id", "amount", "currency", "payment_method", "country_code", "ip_address",
+        "is_international", "txn_status", "decline_reason", "local_hour", "event_timestamp", "ingestion_timestamp",
+    ],
+    "raw_login_events": ["login_event_id", "user_id", "device_id", "ip_address", "country_code", "login_status", "failure_reason", "event_timestamp", "ingestion_timestamp"],
+    "fraud_labels": ["transaction_id", "is_fraud", "fraud_type", "label_source", "label_timestamp", "ingestion_timestamp"],
+}
+
+
+def read_raw_tables(spark: SparkSession, source: str, tables: list[str] | None = None, format: str = "parquet", key: str | None = None, partitions: int = 64, bounds: tuple[int, int] | None = None, **options: str) -> dict[str, DataFrame]:
+    """The raw tables, or those named, with RAW_COLUMNS and addresses as text. format jdbc reads a table in `partitions` ranges of
+    the numeric key between the bounds; others read folders under the source."""
+    if unknown := set(tables or ()) - set(RAW_COLUMNS):
+        raise ValueError(f"no raw tables: {', '.join(sorted(unknown))}")
     out = {}
-    for name in tables:
+    for name in tables or RAW_COLUMNS:
         if format == "jdbc":
             reader = spark.read.format("jdbc").option("url", source).option("dbtable", name).options(**options)
             if key and bounds:
@@ -29,7 +46,7 @@ def read_raw_tables(spark: SparkSession, source: str, tables: list[str], format:
             df = reader.load()
         else:
             df = spark.read.format(format).options(**options).load(f"{source}/{name}")
-        out[name] = df.withColumn("ip_address", F.col("ip_address").cast("string")) if "ip_address" in df.columns else df
+        out[name] = df.select(*(F.col(c).cast("string").alias(c) if c == "ip_address" else c for c in RAW_COLUMNS[name]))
     return out
 
 
@@ -94,6 +111,13 @@ def decode(values: DataFrame, schema: T.StructType = TRANSACTION, key: str = "tr
     return parsed.where(good).select("row.*"), parsed.where(~F.coalesce(good, F.lit(False))).select("value")
 
 
+def decoded_counts(values: DataFrame, schema: T.StructType = TRANSACTION, key: str = "transaction_id") -> DataFrame:
+    """good and bad: how many values decode keeps and how many it sets apart."""
+    row = F.from_json("value", schema, {"mode": "PERMISSIVE", **JSON})
+    good = values.select(row[key].isNotNull().alias("good"))
+    return good.agg(F.count_if(F.coalesce("good", F.lit(False))).alias("good"), F.count_if(~F.coalesce("good", F.lit(False))).alias("bad"))
+
+
 def confluent_header(value: Column) -> tuple[Column, Column, Column]:
     """(valid, schema id, body) of a framed value: a zero byte, four bytes of schema id, most significant first, the body."""
     number = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long")
@@ -111,9 +135,10 @@ def scored_values(scored: DataFrame) -> DataFrame:
     return scored.select(F.lit("txn.scored").alias("topic"), F.col("user_id").alias("key"), F.to_json(F.struct(*scored.columns), JSON).alias("value"))
 
 
-def kafka_sink(values: DataFrame, servers: str, checkpoint: str):
-    """Publishes a stream of (topic, key, value)."""
-    return values.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("checkpointLocation", checkpoint)
+def kafka_sink(values: DataFrame, servers: str, checkpoint: str, format: str = "kafka", path: str | None = None):
+    """Publishes a stream of (topic, key, value): to the topics, or to files under the path in another format."""
+    writer = values.writeStream.format(format).option("checkpointLocation", checkpoint)
+    return writer.option("kafka.bootstrap.servers", servers) if format == "kafka" else writer.option("path", path)
 
 
 def missing_rows(batch: DataFrame, target: DataFrame, id: str = "transaction_id") -> DataFrame:
@@ -122,17 +147,23 @@ def missing_rows(batch: DataFrame, target: DataFrame, id: str = "transaction_id"
     return one.join(target.select(id), id, "left_anti").select(batch.columns)
 
 
-def append_missing(batch: DataFrame, path: str, id: str = "transaction_id") -> None:
-    """For foreachBatch: appends what the table at the path lacks; a repeated batch adds nothing."""
-    spark = batch.sparkSession
+def append_missing(batch: DataFrame, path: str, id: str = "transaction_id", partition: str | None = None) -> None:
+    """For foreachBatch: appends what the table at the path lacks; a repeated batch adds nothing. partition: a column that
+    follows from the id, such as the month of its row; the table is partitioned by it, and only the batch's partitions are
+    read."""
+    spark, batch = batch.sparkSession, batch.persist()
     try:
         target = spark.read.schema(batch.schema).parquet(path)
-        target.limit(1).count()
-    except Exception as error:  # the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(error):
+        if partition is not None:
+            # A value for each partition that the batch touches.
+            target = target.where(F.col(partition).isin([r[0] for r in batch.select(partition).distinct().collect()]))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         target = batch.limit(0)
-    missing_rows(batch, target, id).write.mode("append").parquet(path)
+    writer = missing_rows(batch, target, id).write.mode("append")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    batch.unpersist()
 
 
 def outbox_backlog(outbox: DataFrame, n: int) -> DataFrame:

@@ -6,8 +6,11 @@ foreachBatch, so that a window shows from its first event on; rows later than th
 
 from __future__ import annotations
 
+import heapq
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +32,11 @@ def land(stream: DataFrame, path: str, checkpoint: str):
     return landed(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy("event_month").option("path", path)
 
 
+def split_failed(df: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows for which good holds, the others, which are to be counted and kept apart); a null is a failure."""
+    return df.where(F.coalesce(good, F.lit(False))), df.where(~F.coalesce(good, F.lit(False)))
+
+
 def deduplicated(stream: DataFrame, id: str = "transaction_id", watermark: str = WATERMARK) -> DataFrame:
     """One row of each id: on a stream within the watermark, in a batch over all."""
     if stream.isStreaming:
@@ -47,7 +55,7 @@ def velocity(txns: DataFrame, key: str, window: str, distinct: str, internationa
     if international:
         parts.append(F.count_if("is_international").alias("intl_count"))
     return txns.groupBy(key, F.window("event_timestamp", WINDOWS[window]).alias("w")).agg(*parts).select(
-        key, F.col("w.start").alias("window_start"), *("txn_count txn_amount".split()), f"{distinct}_set", *(["intl_count"] if international else [])
+        key, F.col("w.start").alias("window_start"), "txn_count", "txn_amount", f"{distinct}_set", *(["intl_count"] if international else [])
     )
 
 
@@ -89,14 +97,19 @@ def slide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Ite
         return
     kinds, names, seconds, amounts = state.get if state.exists else ([], [], [], [])
     held = {(k, n): (s, a) for k, n, s, a in zip(kinds, names, seconds, amounts, strict=True)}
+    number = count()
+    ends = [(s, next(number), name) for name, (s, _) in held.items()]  # when what was written
+    heapq.heapify(ends)
     batch, out = pd.concat(list(batches)).sort_values(["s", "transaction_id"], kind="stable", na_position="first"), []
     for r in batch.itertuples():
-        if r.is_login:
-            held["login", f"login:{r.s}"] = (r.s, 0.0)
-        else:
-            held["txn", r.transaction_id] = (r.s, r.amount)
-            held["merchant", r.merchant_id] = (r.s, 0.0)
-        held = {k: v for k, v in held.items() if v[0] > r.s - 3600}
+        added = {("login", f"login:{r.s}"): 0.0} if r.is_login else {("txn", r.transaction_id): r.amount, ("merchant", r.merchant_id): 0.0}
+        for name, amount in added.items():
+            held[name] = (r.s, amount)
+            heapq.heappush(ends, (r.s, next(number), name))
+        while ends and ends[0][0] <= r.s - 3600:
+            old, _, name = heapq.heappop(ends)
+            if name in held and held[name][0] == old:
+                del held[name]
         if not r.is_login:
             out.append({"key": key[0], "transaction_id": r.transaction_id, "s": r.s, **sliding_values(held, r.s)})
     parts = [[k for k, _ in held], [n for _, n in held], [v[0] for v in held.values()], [v[1] for v in held.values()]]
@@ -158,11 +171,12 @@ def upserting(path: str, keys: list[str]) -> tuple[Callable[[DataFrame, int], No
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder where all executors can write: under spark.checkpoint.dir, or a temporary one where that is unset."""
+    """A new folder where all executors can write: under spark.checkpoint.dir. Only a local session, whose executors are this
+    process, may leave that unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        import tempfile
-
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
