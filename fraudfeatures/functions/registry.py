@@ -89,7 +89,7 @@ def validate(tables: dict[str, DataFrame], known: dict[str, Feature] | None = No
     """What is wrong: features of services that do not exist or repeat, unknown entities and modes, what a mode asks for and a
     feature lacks, unknown operations, keys without the entity's id, batch features whose entity's table lacks their column.
     Empty if all is well."""
-    known, services = known or features(), services or SERVICES
+    known, services = features() if known is None else known, SERVICES if services is None else services
     wrong = [f"{s}: {f} is not known" for s, names in services.items() for f in names if f not in known]
     wrong += [f"{s}: {f} repeats" for s, names in services.items() for f in sorted({f for f in names if names.count(f) > 1})]
     for f in known.values():

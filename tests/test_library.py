@@ -1,6 +1,9 @@
 """Serving, sources, streams, evaluation, checks and the registry on small hand-made tables."""
 
+import random
+from dataclasses import replace
 from datetime import datetime, timedelta
+from math import exp
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,12 +25,25 @@ def test_registry():
     assert registry.validate({}) == []
     bad = {"x": registry.Feature("x", "user", "batch", "x"), "y": registry.Feature("y", "user", "odd")}
     assert registry.validate({}, bad, {"s": ["x", "z", "x"]}) == ["s: z is not known", "s: x repeats", "y: mode odd"]
+    online = registry.Feature("f", "device", "online", None, 0.0, "ZCOUNT", "5m", "device:{device_id}:n")
+    cases = {
+        "f: entity shop is not known": {"entity": "shop", "key": "{shop_id}"}, "f: mode online needs operation": {"operation": None},
+        "f: mode online needs window": {"window": None}, "f: mode online needs key": {"key": None},
+        "f: operation SUM is none of ZCOUNT, ZRANGEBYSCORE_SUM, ZCARD_WINDOWED": {"operation": "SUM"},
+        "f: key device:{user_id} lacks {device_id}": {"key": "device:{user_id}"}, "f: mode batch needs a source": {"mode": "batch"},
+        "f: mode request needs a source": {"mode": "request"},
+    }
+    assert registry.validate({}, {"f": online}, {}) == []
+    for want, change in cases.items():
+        assert registry.validate({}, {"f": replace(online, **change)}, {}) == [want]
 
 
 def test_feature_vector_order_and_defaults(spark):
     df = spark.createDataFrame([(5.0, 7.0, "abc", None)], "txn_amount double, request_txn_amount double, is_international string, local_hour int")
     vector = df.select(registry.feature_vector(df).alias("v")).first()["v"]
     assert len(vector) == 35 and vector[:3] == [7.0, 0.0, 0.0]
+    df = spark.createDataFrame([("abc", 5.0), (None, 5.0), ("2", 5.0)], "request_local_hour string, offline_local_hour double")
+    assert [r["v"][2] for r in df.select(registry.feature_vector(df).alias("v")).collect()] == [0.0, 0.0, 2.0], "the request wins, null or not"
 
 
 def test_requests(spark):
@@ -41,6 +57,11 @@ def test_pit_join_age_and_ties(spark):
     right = spark.createDataFrame([("u", at(10), "t_1", 1), ("u", at(100), "t_2", 2), ("u", at(100), "t_3", 3)], "k string, event_timestamp timestamp, transaction_id string, x int")
     got = {(r["k"], r["event_timestamp"]): r["x"] for r in serving.pit_join(left, right, "k", ["x"]).collect()}
     assert got == {("u", at(100)): 3, ("u", at(400_000)): None, ("v", at(5)): None, ("u", at(9)): None}
+    rng = random.Random(5)
+    left = spark.createDataFrame([(rng.choice("uv"), at(rng.randrange(10**6)), i) for i in range(200)], "k string, event_timestamp timestamp, i int")
+    right = spark.createDataFrame([(rng.choice("uv"), at(rng.randrange(10**6)), f"t_{i % 40}", i) for i in range(200)], "k string, event_timestamp timestamp, transaction_id string, x int")
+    whole, cut = (sorted(map(tuple, serving.pit_join(left, right, "k", ["x"], span=s).collect()), key=str) for s in (None, 50_000))
+    assert whole == cut
 
 
 def test_online_features(spark):
@@ -59,6 +80,10 @@ def test_split_member(spark):
 
 
 def test_sinks_are_idempotent(spark, tmp_path):
+    months = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2), ("c", 2)], "transaction_id string, month int")
+    for batch in (months.where("month = 1"), months, months.where("month = 2")):
+        tables.append_missing(batch, f"{tmp_path}/months", partition="month")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/months").collect())) == [("a", 1), ("b", 2), ("c", 2)]
     df = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "transaction_id string, x int")
     for _ in range(2):
         tables.append_missing(df, f"{tmp_path}/t")
@@ -97,6 +122,82 @@ def test_ranking_metrics_with_ties(spark):
     assert evaluation.choose_threshold(df).first()[0] == 0.5
 
 
+def test_calibration_fits(spark):
+    """Isotonic against pooling of neighbours, sigmoid against the curve that labels were drawn from, both applied natively."""
+    rng = random.Random(6)
+    rows = [(round(s, 2), int(rng.random() < 1 / (1 + exp(-(4 * s - 2))))) for s in (rng.random() for _ in range(3000))]
+    df = spark.createDataFrame(rows, "score double, label int")
+    pools = []  # [sum of labels, rows, scores]
+    for score in sorted({s for s, _ in rows}):
+        own = [y for s, y in rows if s == score]
+        pools.append([sum(own), len(own), [score]])
+        while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
+            y, n, scores = pools.pop()
+            pools[-1] = [pools[-1][0] + y, pools[-1][1] + n, pools[-1][2] + scores]
+    want = {s: y / n for y, n, scores in pools for s in scores}
+    x, y = evaluation.calibration_grid(df, "isotonic", points=101)
+    got = {r["score"]: r["c"] for r in df.select("score", evaluation.apply_calibration(F.col("score"), x, y).alias("c")).distinct().collect()}
+    assert all(abs(got[s] - want[s]) < 1e-9 for s in want)
+    x, y = evaluation.calibration_grid(df, "sigmoid")
+    assert max(abs(b - 1 / (1 + exp(-(4 * a - 2)))) for a, b in zip(x, y, strict=True)) < 0.06
+    points = spark.createDataFrame([(-1.0,), (0.1,), (0.3,), (0.75,), (2.0,), (None,)], "s double")
+    uneven = [r[0] for r in points.select(evaluation.apply_calibration(F.col("s"), [0.0, 0.25, 0.5, 1.0], [0.0, 0.1, 0.6, 1.0])).collect()]
+    assert [None if v is None else round(v, 9) for v in uneven] == [0.0, 0.04, 0.2, 0.8, 1.0, None]
+    with pytest.raises(ValueError):
+        evaluation.calibration_grid(df, "other")
+
+
+def test_curve_and_ks_against_plain_versions(spark):
+    rng = random.Random(7)
+    rows = [(round(rng.random() ** 3, 4), int(rng.random() < 0.3)) for _ in range(2000)]
+    got = {r["score"]: (r["tp"], r["fp"], r["pos"], r["neg"]) for r in evaluation.curve(spark.createDataFrame(rows, "score double, label int")).collect()}
+    pos = sum(y for _, y in rows)
+    assert got == {s: (sum(y for t, y in rows if t >= s), sum(1 - y for t, y in rows if t >= s), pos, len(rows) - pos) for s in {s for s, _ in rows}}
+    a, b = [rng.gauss(0, 1) for _ in range(900)], [round(rng.gauss(0.3, 2), 1) for _ in range(700)]
+    frames = [spark.createDataFrame([(v,) for v in x], "v double") for x in (a, b)]
+    want = max(abs(sum(v <= t for v in a) / 900 - sum(v <= t for v in b) / 700) for t in {*a, *b})
+    assert abs(monitoring.ks_statistic(*frames, ["v"]).first()["ks"] - want) < 1e-8
+
+
+def test_retrain(spark):
+    df = spark.createDataFrame([("a", 0.5), ("b", 0.7), ("c", 0.51), ("d", 0.1)], "feature string, psi double")
+    assert tuple(monitoring.retrain(df).first()) == (3, True) and tuple(monitoring.retrain(df.where("psi < 0.6")).first()) == (2, False)
+
+
+def test_onehot_refuses_many_values(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(5)], "x string")
+    with pytest.raises(ValueError):
+        evaluation.categorical_encoding(df, df, "x", "onehot", most=4)
+    assert len(evaluation.categorical_encoding(df, df, "x", "onehot", most=5).columns) == 6
+
+
+@pytest.mark.parametrize("kind", ["gbt", "sampled_gbt", "forest"])
+def test_tree_models_learn(spark, kind):
+    rng = random.Random(8)
+    rows = [(rng.random(), rng.random()) for _ in range(400)]
+    df = spark.createDataFrame([(a, b, int(a + b > 1.2)) for a, b in rows], "a double, b double, is_fraud int")
+    assembler, model = evaluation.train_classifier(df, ["a", "b"], kind=kind, trees=8, depth=3)
+    out = model.transform(assembler.transform(df))
+    assert out.where("prediction = is_fraud").count() > 360
+    with pytest.raises(ValueError):
+        evaluation.train_classifier(df, ["a", "b"], kind="other")
+
+
+def test_registry_without_optional_packages(monkeypatch):
+    import sys
+    import warnings
+
+    import __spark_entry__
+
+    for name in [m for m in sys.modules if m.startswith(("fraudfeatures.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    for name in ("tokenizers", "xxhash"):
+        monkeypatch.setitem(sys.modules, name, None)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        assert "training_dataset" in __spark_entry__.queries() and "pipeline" not in __spark_entry__.queries()
+
+
 def test_calibration_grid_is_monotone(spark):
     df = spark.createDataFrame([(i / 100, int(i % 7 < i // 15)) for i in range(100)], "score double, label int")
     for method in ("isotonic", "sigmoid"):
