@@ -124,7 +124,6 @@ def _sweep(df: DataFrame, key: str, columns: list[Rolling], ts: str) -> DataFram
             )))
             changes = changes.unionByName(both, allowMissingColumns=True)
     totals = [c for c in changes.columns if c not in ("sweep_key", at)]
-    changes = changes.groupBy("sweep_key", at).agg(*(F.sum(c).alias(c) for c in totals))
     probes = base.select("sweep_key", F.col("sweep_second").alias(at), row)
     both = changes.unionByName(probes, allowMissingColumns=True).withColumn("sweep_span", F.floor(F.col(at) / SPAN))
 

@@ -698,7 +698,7 @@ MODEL_FEATURES = ["txn_amount", "local_hour", "user_txn_count_7d", "user_txn_amo
 def _trained(t: Tables):
     """(rows with part, their features, assembler, model), fitted on the train part."""
     rows = evaluation.temporal_split(evaluation.fill_missing(t.training(), MODEL_FEATURES)).select("transaction_id", "part", "is_fraud", *MODEL_FEATURES)
-    rows.persist()
+    rows = tables.full_refresh(rows, _folder(t, "learned"))
     return rows, *evaluation.train_classifier(rows.where("part = 'train'"), MODEL_FEATURES, trees=5, depth=3)
 
 
