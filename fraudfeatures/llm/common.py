@@ -55,10 +55,22 @@ def frozen(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
 
 
 def per_worker(key: tuple, make: Callable[[], T]) -> T:
-    """What make() gives, made once in each Python worker and kept between its tasks. It is kept outside this package,
-    because the functions of tasks travel by value."""
+    """What make() gives, made once in each Python worker and kept between its tasks until another thing is asked for. It is
+    kept outside this package, because the functions of tasks travel by value."""
     kept = sys.modules.setdefault("worker_memory", ModuleType("worker_memory")).__dict__
-    return kept[key] if key in kept else kept.setdefault(key, make())
+    if key not in kept:
+        kept.clear()
+        kept[key] = make()
+    return kept[key]
+
+
+def sampled(df: DataFrame, n: int, key: str) -> DataFrame:
+    """n rows of df, or all if it has fewer: those of the smallest hashes of the key, which does not repeat. Of more, a share is
+    drawn by the hash first, so that no task hands on n rows of its own."""
+    draw, total = F.pmod(F.xxhash64(key), F.lit(2**31)), df.count()
+    if total > 2 * n:
+        df = df.where(draw < int(2**31 * min(1.0, (n + 6 * n**0.5 + 50) / total)))
+    return df.orderBy(draw, key).limit(n)
 
 
 def fresh(df: DataFrame, name: str) -> str:

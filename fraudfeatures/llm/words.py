@@ -9,7 +9,7 @@ import xxhash
 class WordHashes(dict):
     """64-bit hashes of words, kept while there are fewer than `most` of them."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
