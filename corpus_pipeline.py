@@ -15,16 +15,31 @@ from fraudfeatures.llm import decontam, langid, neardup, packing, quality
 from fraudfeatures.llm.common import fresh, frozen, table
 
 
+#: A text is kept if the probability of its language is so many times that of a guess, at least.
+ABOVE_GUESS = 1.25
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told: texts with a letter in which the network is surer of a language than a guess.
+
+    Null and empty texts and those without a letter go, texts of any length are read whole, repeated rows fare alike, nulls
+    in other columns change nothing, and an empty table stays empty. Where no document has a language to learn from, all texts with
+    a letter are kept.
+    """
     model = langid.fit(langid.training_rows(docs))
-    found = fresh(docs, "found")
-    told = docs.withColumn(found, langid.language(F.col("text"), model)["lang_pred"])
-    return told.where(F.col(found) != langid.UNDETERMINED).drop(found)
+    if model is None:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    found, least = fresh(docs, "found"), min(0.9, ABOVE_GUESS / len(model.languages))
+    told = docs.withColumn(found, langid.language(F.col("text"), model))
+    return told.where((F.col(found)["lang_pred"] != langid.UNDETERMINED) & (F.col(found)["score"] >= least)).drop(found)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are good by the combined views."""
+    """Documents that are good by the combined views.
+
+    A null or empty text, source, language or length is judged as such; repeated rows fare alike; an empty table stays empty. Without
+    labels of both kinds everything is kept.
+    """
     views = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = fresh(docs, "score")
     scored = docs.withColumn(score, quality.quality_of(docs, views))
@@ -32,8 +47,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates, that of the smallest id. Each row is a document of its own, whether its id
-    is null (such a row stays only where its group has no other) or repeated."""
+    """One row of each group of near duplicates, that of the smallest id.
+
+    Each row is a document of its own, whether its id is null (such a row stays only where its group has no other) or repeated. Rows
+    without words, null and empty texts included, are in no group and stay; an empty table stays empty.
+    """
     row = fresh(docs, "row")
     rows = frozen(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     groups = neardup.near_duplicate_groups(rows.select(F.col(row).alias("doc_id"), "text"), words=5, similarity=(4, 5))
@@ -45,13 +63,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark.
+
+    Null and empty texts hold none and stay, long texts are searched whole, repeated rows fare alike, and with an empty benchmark
+    everything stays.
+    """
     leak = fresh(docs, "leak")
     return docs.withColumn(leak, decontam.leaks(F.col("text"), table(spark, sf_dir, "benchmark"))).where(~F.col(leak)).drop(leak)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of sequences of 2048 tokens."""
+    """The pieces of sequences of 2048 tokens.
+
+    A null or empty text is its end token alone; rows with a null or repeated id are documents of their own; long texts are cut into
+    windows and lose nothing; an empty table gives no pieces.
+    """
     return packing.pieces_digest(packing.retrieval_packing(docs, packing.tokenizer_path(), 2048, 1))
 
 
@@ -62,7 +88,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("decontamination", decontamination),
     ("packing", pack),
 ]
-#: Trained models decide on the rows, which SQL cannot express; the tests hold each stage against a plain version.
+#: Trained models decide on the rows, which SQL cannot express. The tests hold near duplicates and decontamination against all
+#: pairs and exact edit distances, packing against the tokenizer's ids, and the models' stages against their operators' scores.
 ORACLE_SQL = None
 
 

@@ -32,9 +32,11 @@ NEIGHBOUR_ROUNDS = 2  # rounds that look at neighbours; what is left is compared
 BLOCK = 1024  # documents of a region that are compared with each other or with another block at a time
 BLOCK_SHINGLES = 2_000_000  # shingles of a block's documents, about; 16 MB
 SETS_BATCH = 500_000  # shingles that a task hands over at a time
+CHUNK = 64  # documents of a block whose pairs are held at a time
 KEY = ["region", "block_a", "block_b"]
 MEMBER = "region long, block_a int, block_b int, tree int, node long, component long, n_shingles long, own int, signature binary"
 PLACE = "a long, a_component long, b long, b_component long, prefix int, part int, last boolean, tree int, run binary"
+LABEL_LIMIT = 500_000  # labels to broadcast (16 bytes each)
 ID_LIMIT = 300_000  # ids to broadcast (15 MB); beyond, the join is by shuffle
 PAIR = ["a", "a_component", "b", "b_component"]
 
@@ -94,10 +96,18 @@ def _prefix(depth: int) -> Column:
     return F.substr("run", F.lit(1), F.lit(4 * depth))
 
 
-def _orders(nodes: DataFrame, labels: DataFrame, trees: int, least: int) -> DataFrame:
-    """A row for each document's place in each order: tree, run, node, component, n_shingles, region."""
+def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """nodes with their component; those without a label are components of their own."""
+    if labels is None:
+        return nodes.withColumn("component", F.col("node"))
+    return nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _orders(nodes: DataFrame, labels: DataFrame | None, trees: int, least: int) -> DataFrame:
+    """A row for each document's place in each order: tree, run, node, component, n_shingles, region. Without labels each is
+    a component of its own."""
     runs = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), F.substr("signature", t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("run")))
-    rows = nodes.join(labels, "node").select("node", "component", "n_shingles", F.inline(runs))
+    rows = _labelled(nodes, labels).select("node", "component", "n_shingles", F.inline(runs))
     return rows.withColumn("region", F.xxhash64("tree", _prefix(least)))
 
 
@@ -242,13 +252,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int,
     return frozen(joined.select(F.col("a_component").alias("a"), F.col("b_component").alias("b")).distinct(), "links")
 
 
-def _joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """labels (node, component) after links (a, b) between components."""
-    up = connected_components(links).select(F.col("node").alias("component"), F.col("component").alias("up"))
-    return frozen(labels.join(up, "component", "left").select("node", F.coalesce("up", "component").alias("component")), "labels")
+def _joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """labels (node, component), of nodes that have links alone, after links (a, b) between components. They are marked to be
+    broadcast if they are few enough, so that the wide rows that they are joined with need not be exchanged."""
+    new = connected_components(links)
+    if labels is not None:
+        up = new.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        old = labels.join(up, "component", "left").select("node", F.coalesce("up", "component").alias("component"))
+        new = frozen(old.unionByName(new.join(labels, "node", "left_anti")), "labels")
+    return F.broadcast(new) if new.count() <= LABEL_LIMIT else new
 
 
-def _mixed_blocks(nodes: DataFrame, labels: DataFrame, trees: int, least: int) -> DataFrame:
+def _mixed_blocks(nodes: DataFrame, labels: DataFrame | None, trees: int, least: int) -> DataFrame:
     """The documents of regions with several components, each with every block pair it belongs to, those of a block pair
     one after another. A small region is one block."""
     rows = _orders(nodes, labels, trees, least).select("region", "tree", "node", "component")
@@ -302,9 +317,9 @@ class _Search:
     def __init__(self, trees: int, least: int, plausible: float, top: int, bottom: int):
         self.trees, self.least, self.plausible, self.top, self.bottom = trees, least, plausible, top, bottom
 
-    def pairs(self, x: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs(self, x: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Positions of pairs in different components whose signatures agree well enough and that share no region in an
-        earlier tree, with their agreement, highest first."""
+        earlier tree: those of CHUNK documents at a time, the likeliest first."""
         tree, across = int(x["tree"].iloc[0]), x["block_a"].iloc[0] != x["block_b"].iloc[0]
         flat = np.frombuffer(b"".join(x["signature"]), np.uint32).reshape(len(x), -1)
         heads = flat.reshape(len(x), self.trees, -1)[:, :tree, : self.least]
@@ -324,33 +339,35 @@ class _Search:
                 new = ~(heads[j] == heads[i]).all(axis=2).any(axis=1)
                 j, agreement = j[new], agreement[new]
             if len(j):
-                found.append((np.full(len(j), i, np.int32), j.astype(np.int32), agreement))
-        if not found:
-            return np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.float32)
-        a, b, agreement = map(np.concatenate, zip(*found, strict=True))
-        order = np.argsort(-agreement, kind="stable")
-        return a[order], b[order], agreement[order]
+                found.append((np.full(len(j), i), j, agreement))
+            if found and (at % CHUNK == CHUNK - 1 or at == len(order) - 2):
+                a, b, agreement = map(np.concatenate, zip(*found, strict=True))
+                likeliest = np.argsort(-agreement, kind="stable")
+                yield a[likeliest], b[likeliest]
+                found = []
 
     def candidates(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The documents that still are in such pairs."""
         for x in _runs_of(batches):
-            a, b, _ = self.pairs(x)
-            if len(a):
-                yield x.iloc[np.union1d(a, b)]
+            wanted = np.zeros(len(x), bool)
+            for a, b in self.pairs(x):
+                wanted[a] = wanted[b] = True
+            if wanted.any():
+                yield x.loc[wanted]
 
     def links(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Links (a, b) between components by pairs that hold on the full sets, without those between components that
         other links of the task have joined."""
         for x in _runs_of(batches):
-            a, b, _ = self.pairs(x)
             roots, part, out = _Roots(), x["component"].tolist(), []
             sets = x["shingles"].to_numpy()
-            for i, j in zip(a.tolist(), b.tolist(), strict=True):
-                if roots.find(part[i]) != roots.find(part[j]):
-                    both = _in_common(sets[i], sets[j])
-                    if both * self.bottom >= self.top * (len(sets[i]) + len(sets[j]) - both):
-                        roots.join(part[i], part[j])
-                        out.append((part[i], part[j]))
+            for a, b in self.pairs(x):
+                for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                    if roots.find(part[i]) != roots.find(part[j]):
+                        both = _in_common(sets[i], sets[j])
+                        if both * self.bottom >= self.top * (len(sets[i]) + len(sets[j]) - both):
+                            roots.join(part[i], part[j])
+                            out.append((part[i], part[j]))
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
@@ -372,10 +389,10 @@ def near_duplicate_groups(
     # One node for each set of shingles; copies are members of it and need no pairs.
     classes = digest.where("n_shingles > 0").groupBy("set_hi", "set_lo", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
     nodes = frozen(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    labels = nodes.select("node", F.col("node").alias("component"))
-    for number in range(NEIGHBOUR_ROUNDS):
+    labels = None
+    for _ in range(NEIGHBOUR_ROUNDS):
         rows = _orders(nodes, labels, trees, least)
-        if number:
+        if labels is not None:
             rows = rows.join(_mixed(rows).select("region"), "region", "left_semi")
         near = _agreeing(_lcp_neighbours(rows, least), nodes, plausible)
         links = _confirmed(near, docs, nodes, words, similarity)
@@ -391,7 +408,7 @@ def near_duplicate_groups(
         rows = left.join(sets, "node").select(*left.columns, "shingles").repartition(*KEY).sortWithinPartitions(*KEY, "node")
         labels = _joined_labels(labels, frozen(rows.mapInPandas(search.links, "a long, b long").distinct(), "links"))
 
-    named = nodes.join(labels, "node").select("set_hi", "set_lo", "n_shingles", "component", "doc_id")
+    named = _labelled(nodes, labels).select("set_hi", "set_lo", "n_shingles", "component", "doc_id")
     first = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.drop("doc_id").join(first, "component").drop("component")
     out = digest.join(named, ["set_hi", "set_lo", "n_shingles"], "left")
@@ -406,5 +423,23 @@ def op1_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"), words=3, similarity=(85, 100))
 
 
+OP1_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s FROM split
+), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS total, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY 1, 2
+), links AS (SELECT a, b FROM common WHERE 100 * shared >= 85 * (total - shared)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other
+), least AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY 1)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(l.other, s.doc_id)) AS component_id, s.doc_id <= coalesce(l.other, s.doc_id) AS kept
+FROM sets s LEFT JOIN least l USING (doc_id)
+"""
+
 QUERIES = {"op1_minhash_neardup": op1_minhash_neardup}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_minhash_neardup": OP1_SQL}
