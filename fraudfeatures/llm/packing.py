@@ -1,10 +1,10 @@
 """Lexical retrieval packing.
 
-Documents are cut into windows as far as they fill them; what is left of each is packed. The rests are dealt by what they
-are about to shards of a bounded number of documents: each is known by its terms of high weight, in one random order of all
-terms, and shards are cut from the order of these lists, so that a first term that too many share is split by the next
-ones and equal lists by a salt. Two documents begin alike with the chance of the overlap of their terms (MinHash),
-however many others there are. Each shard builds a BM25 inverted index over its rests, with
+Documents are cut into windows as far as they fill them; what is left of each is packed. The rests are sorted by what they
+are about: each is known by its terms of high weight, in one random order of all terms, and the lists of these are sorted
+over all tasks by range, equal ones by a salt. Two documents begin alike with the chance of the overlap of their terms
+(MinHash), however many others there are. Shards are cut from this order, SHARD documents each, so that a first term that
+too many share is split by the next ones. Each shard builds a BM25 inverted index over its rests, with
 document frequencies counted over all documents. A seed opens a window; the index returns its unused neighbours in order of their scores, and
 those that fit fill the window greedily. What no whole neighbour fills is filled by the first part of the best
 neighbour left; its other part is the next seed. So every window is full but for a shard's last tokens, which go
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from copy import copy
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, table
+from .common import frozen, per_worker, table
 from .tokens import WordTokenizer
 
 SHARD = 2000  # documents of a shard, about
 KEY_SHARE = 0.5  # a document is dealt by the terms that have this share of its highest weight
 KEY_TERMS = 8  # of which the first ones are compared
-SAMPLED, SAMPLED_A_SHARD = 100_000, 16  # documents that the shards' bounds are read from: all up to the larger of them
+SHARD_BITS = 13  # a task numbers its shards with so many bits
+COMMON = 16  # a term that more than a sixteenth of a shard's documents have is common
 K1, B = 1.2, 0.75
 FULL = 2**62  # sequence ids of windows that a document fills alone begin here
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -39,7 +41,8 @@ def tokenized(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame
     documents fill alone."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer, part, full = WordTokenizer(path), TaskContext.get().partitionId(), 0
+        tokenizer = per_worker((WordTokenizer.__name__, path), lambda: WordTokenizer(path))
+        part, full = TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
             for at in range(0, len(batch), 500):
@@ -61,8 +64,9 @@ def _frequencies(tokens: DataFrame, window: int) -> dict[int, int]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(2**16, np.int64)
         for batch in batches:
-            for ids in batch["ids"]:
-                counts[np.unique(_rest(ids, window))] += 1
+            for at in range(0, len(batch), 500):
+                _, terms, _ = _counted([_rest(x, window) for x in batch["ids"].iloc[at : at + 500]])
+                counts += np.bincount(terms, minlength=2**16)
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"term": seen, "n": counts[seen]})
 
@@ -70,49 +74,53 @@ def _frequencies(tokens: DataFrame, window: int) -> dict[int, int]:
     return {r["term"]: r["n"] for r in rows}
 
 
-def _key_places(ids: np.ndarray, place: np.ndarray, idf: np.ndarray, mean_length: float) -> np.ndarray:
-    """The first places of the terms of high BM25 weight; KEY_TERMS at most."""
-    terms, tf = np.unique(ids, return_counts=True)
-    weight = _weights(idf[terms], tf, len(ids), mean_length)
-    return np.sort(place[terms[weight >= KEY_SHARE * weight.max()]])[:KEY_TERMS]
+def _distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in order, and how often each occurs."""
+    ids = np.sort(ids)
+    starts = np.flatnonzero(np.concatenate([ids[:1] == ids[:1], ids[1:] != ids[:-1]]))
+    return ids[starts], np.diff(starts, append=len(ids))
 
 
-def _dealt(tokens: DataFrame, window: int, shards: int, n: int, idf: np.ndarray, mean_length: float) -> DataFrame:
-    """shard, doc_id, doc_tokens, rest: the rests that are not empty, those of like terms in one shard."""
-    # The table is frozen, so that its row numbers are, too.
-    row = F.monotonically_increasing_id()
-    numbered = tokens.select("doc_id", "doc_tokens", "ids", F.xxhash64(row).alias("salt"), F.xxhash64(row, F.lit(1)).alias("draw"))
-    place = np.random.default_rng(31).permutation(2**16)
+def _counted(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, term, times) for the distinct terms of each of these lists of ids, in this order."""
+    of = np.repeat(np.arange(len(texts), dtype=np.int64) << 16, [len(t) for t in texts])
+    pairs, times = _distinct(of | np.concatenate([*texts, np.zeros(0, np.uint16)]))
+    return pairs >> 16, pairs & 0xFFFF, times
 
-    def keys(ids: pd.Series, salt: pd.Series) -> np.ndarray:
-        out = np.empty(len(ids), f"S{2 * KEY_TERMS + 8}")
-        for i, (x, s) in enumerate(zip(ids, salt.to_numpy().astype(">i8"), strict=True)):
-            own = _key_places(_rest(x, window), place, idf, mean_length).astype(">u2").tobytes()
-            out[i] = own.ljust(2 * KEY_TERMS, b"\xff") + s.tobytes()
-        return out
 
-    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"key": keys(batch["ids"], batch["salt"]).tolist()})
+def _keys(texts: list[np.ndarray], place: np.ndarray, idf: np.ndarray, mean_length: float) -> list[bytes]:
+    """Of each list, none empty, the first places of its terms of high BM25 weight; KEY_TERMS at most."""
+    of, terms, times = _counted(texts)
+    weight = _weights(idf[terms], times, np.array([len(t) for t in texts])[of], mean_length)
+    starts = np.searchsorted(of, np.arange(len(texts)))
+    high = weight >= KEY_SHARE * np.maximum.reduceat(weight, starts)[of]
+    of, places = of[high], place[terms[high]]
+    order = np.lexsort((places, of))
+    of, places = of[order], places[order].astype(">u2")
+    starts = np.searchsorted(of, np.arange(len(texts) + 1))
+    return [places[a : min(b, a + KEY_TERMS)].tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
 
-    bounds = np.zeros(0, f"S{2 * KEY_TERMS + 8}")
-    if shards > 1:
-        every = max(1, n // max(SAMPLED, SAMPLED_A_SHARD * shards))
-        some = numbered.where(F.octet_length("ids") % (2 * window) > 0).where(F.pmod("draw", F.lit(every)) == 0)
-        found = some.select("ids", "salt").mapInPandas(sampled, "key binary").toPandas()["key"]
-        found = np.sort(np.array([bytes(k) for k in found], bounds.dtype))
-        bounds = found[np.arange(1, shards) * len(found) // shards] if len(found) else bounds
+
+def _dealt(tokens: DataFrame, window: int, idf: np.ndarray, mean_length: float) -> DataFrame:
+    """doc_id, doc_tokens, rest: the rests that are not empty, sorted over tasks by range, so that those of like terms follow
+    one another."""
+    # The table is frozen, so that its row numbers are, too.
+    row = F.monotonically_increasing_id()
+    numbered = tokens.select("doc_id", "doc_tokens", "ids", F.xxhash64(row).alias("salt"), row.alias("row"))
+    place = np.random.default_rng(31).permutation(2**16)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 some = batch.iloc[at : at + 500]
-                shard = np.searchsorted(bounds, keys(some["ids"], some["salt"]), "right") if len(bounds) else 0
-                rest = [_rest(x, window).tobytes() for x in some["ids"]]
-                yield pd.DataFrame({"shard": shard, "doc_id": some["doc_id"].astype("Int64"), "doc_tokens": some["doc_tokens"], "rest": rest})
+                rests = [_rest(x, window) for x in some["ids"]]
+                out = some[["doc_id", "doc_tokens", "salt", "row"]].astype({"doc_id": "Int64"})
+                yield out.assign(key=_keys(rests, place, idf, mean_length), rest=[x.tobytes() for x in rests])
 
-    rests = numbered.where(F.octet_length("ids") % (2 * window) > 0).select("doc_id", "doc_tokens", "ids", "salt")
-    return rests.mapInPandas(run, "shard long, doc_id long, doc_tokens long, rest binary")
+    rests = numbered.where(F.octet_length("ids") % (2 * window) > 0)
+    keyed = rests.mapInPandas(run, "doc_id long, doc_tokens long, salt long, row long, key binary, rest binary")
+    order = ["key", "salt", "row"]
+    return frozen(keyed, "keyed").repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "doc_tokens", "rest")
 
 
 def _weights(idf: np.ndarray, tf: np.ndarray, sizes: np.ndarray | int, mean_length: float) -> np.ndarray:
@@ -124,29 +132,46 @@ def _rest(ids: bytes, window: int) -> np.ndarray:
 
 
 class Bm25:
-    """An inverted index over lists of ids."""
+    """An inverted index over lists of ids. Terms that many lists have are kept as rows of weights for all lists, others as
+    postings."""
 
     def __init__(self, texts: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        sizes = np.array([len(t) for t in texts])
+        self.n, sizes = len(texts), np.array([len(t) for t in texts])
         terms = np.concatenate([*texts, np.zeros(0, np.uint16)]).astype(np.int64)
-        of = np.repeat(np.arange(len(texts)), sizes)
-        pairs, tf = np.unique(terms * len(texts) + of, return_counts=True)
-        self.term, self.doc = pairs // len(texts), pairs % len(texts)
-        self.weight = _weights(idf[self.term], tf, sizes[self.doc], mean_length)
+        pairs, tf = _distinct(terms * self.n + np.repeat(np.arange(self.n), sizes))
+        term, doc = pairs // max(self.n, 1), pairs % max(self.n, 1)
+        weight = _weights(idf[term], tf, sizes[doc], mean_length)
+        common = np.flatnonzero(np.bincount(term, minlength=len(idf)) > max(8, self.n // COMMON))
+        self.row = np.full(len(idf), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows, of = np.zeros((len(common), self.n), np.float32), self.row[term]
+        self.rows[of[of >= 0], doc[of >= 0]] = weight[of >= 0]
+        self.term, self.doc, self.weight = term[of < 0], doc[of < 0], weight[of < 0]
         self.starts = np.searchsorted(self.term, np.arange(len(idf) + 1))
-        self.n = len(texts)
-
-    def scores(self, ids: np.ndarray) -> np.ndarray:
-        """Of each list, by all terms of ids."""
-        terms = np.unique(ids)
-        first, count = self.starts[terms], self.starts[terms.astype(np.int64) + 1] - self.starts[terms]
+        self.kept = np.arange(self.n)  # numbers of the lists that take part
+
+    def by_common(self) -> np.ndarray:
+        """Of each list (row) the part of the scores of all lists that common terms give."""
+        return (self.rows > 0).astype(np.float32).T @ self.rows
+
+    def scores(self, ids: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
+        """Of each list, by all terms of ids. common: the part of common terms, if it is known."""
+        terms = _distinct(ids)[0]
+        of = self.row[terms]
+        terms, of = terms[of < 0].astype(np.int64), of[of >= 0]
+        first, count = self.starts[terms], self.starts[terms + 1] - self.starts[terms]
         at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-        return np.bincount(self.doc[at], self.weight[at], self.n)
+        found = np.bincount(self.doc[at], self.weight[at], len(self.kept))
+        out = np.zeros(self.n)
+        out[self.kept] = found + (np.ones(len(of), np.float32) @ self.rows[of] if common is None else common[self.kept])
+        return out
 
     def without(self, used: np.ndarray) -> Bm25:
         """The index without the lists that are used; the others keep their numbers and scores."""
-        out, keep = copy(self), ~used[self.doc]
-        out.term, out.doc, out.weight = self.term[keep], self.doc[keep], self.weight[keep]
+        out, keep = copy(self), ~used[self.kept]
+        at, number = keep[self.doc], np.cumsum(keep) - 1
+        out.term, out.doc, out.weight = self.term[at], number[self.doc[at]], self.weight[at]
+        out.rows, out.kept = self.rows[:, keep], self.kept[keep]
         out.starts = np.searchsorted(out.term, np.arange(len(self.starts)))
         return out
 
@@ -155,10 +180,10 @@ def fill_windows(texts: list[np.ndarray], index: Bm25, window: int) -> list[list
     """Sequences of pieces (text, from, to). Each is full but for those at the end, of lengths that are powers of two."""
     sizes = np.array([len(t) for t in texts], np.int64)
     used, out = sizes == 0, []
-    order, at = iter(np.argsort(-sizes, kind="stable").tolist()), None
+    order, at, common = iter(np.argsort(-sizes, kind="stable").tolist()), None, index.by_common()
     indexed = len(used)
     while True:
-        if (~used).sum() < 0.8 * indexed:
+        if (~used).sum() < 0.7 * indexed:
             index, indexed = index.without(used), int((~used).sum())
         if at is None:
             seed = next((i for i in order if not used[i]), None)
@@ -166,16 +191,16 @@ def fill_windows(texts: list[np.ndarray], index: Bm25, window: int) -> list[list
                 return out
             at, used[seed] = (seed, 0), True
         pieces, room = [(at[0], at[1], int(sizes[at[0]]))], window - int(sizes[at[0]]) + at[1]
-        score, at = index.scores(texts[at[0]]), None
+        score, at = index.scores(texts[at[0]], common[at[0]]), None
         free = np.flatnonzero(~used)
-        near = free[np.lexsort((free, -score[free]))]
-        for i in near[sizes[near] <= room].tolist():
-            if sizes[i] <= room:
-                pieces.append((i, 0, int(sizes[i])))
-                room -= int(sizes[i])
-                used[i] = True
-                if not room:
-                    break
+        near = free[np.argsort(-score[free], kind="stable")]
+        fits, own = near, sizes[near]
+        while room and len(fits := fits[own <= room]):
+            own, i = sizes[fits], int(fits[0])
+            pieces.append((i, 0, int(own[0])))
+            room -= int(own[0])
+            used[i] = True
+            fits, own = fits[1:], own[1:]
         if room and not used.all():
             best = next(i for i in near.tolist() if not used[i])
             pieces.append((best, 0, room))
@@ -206,7 +231,6 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
     """
     tokens = frozen(tokenized(docs, tokenizer_path, window, end_id), "tokens")
     n = tokens.count()
-    shards = max(1, -(-n // SHARD))
     counts = _frequencies(tokens, window)
     rests = F.octet_length("ids") / 2 - F.floor(F.octet_length("ids") / (2 * window)) * window
     mean_length = max(1.0, tokens.agg(F.avg(rests)).first()[0] or 1.0)
@@ -227,10 +251,21 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
                 out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
                 yield out.astype({"doc_id": "Int64"})
 
-    def shard_of(x: pd.DataFrame) -> pd.DataFrame:
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The sequences of a task, shard by shard."""
+        part, shard, rest = TaskContext.get().partitionId(), 0, None
+        for batch in chain(batches, [None]):
+            rest = batch if rest is None else rest if batch is None else pd.concat([rest, batch], ignore_index=True)
+            while rest is not None and len(rest) and (batch is None or len(rest) >= SHARD):
+                if shard >= 2**SHARD_BITS:
+                    raise ValueError(f"a task has more than {2**SHARD_BITS} shards: raise spark.sql.shuffle.partitions")
+                yield pack(rest.iloc[:SHARD], (part << SHARD_BITS | shard) << 32)
+                rest, shard = rest.iloc[SHARD:], shard + 1
+
+    def pack(x: pd.DataFrame, base: int) -> pd.DataFrame:
         texts = [np.frombuffer(r, "<u2") for r in x["rest"]]
         ids, total = x["doc_id"].astype("Int64").tolist(), x["doc_tokens"].tolist()
-        base, rows = int(x["shard"].iloc[0]) << 32, []
+        rows = []
         for number, pieces in enumerate(fill_windows(texts, Bm25(texts, idf, mean_length), window)):
             offset = 0
             for i, a, b in pieces:
@@ -243,9 +278,8 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
     full = tokens.where(F.col("doc_tokens") >= window).mapInPandas(alone, PIECES)
     shared = idf.copy()  # a term of one document alone brings it near to no other
     shared[[term for term, df in counts.items() if df < 2]] = 0
-    dealt = _dealt(tokens, window, shards, n, shared, mean_length)
-    packed = dealt.groupBy("shard").applyInPandas(shard_of, PIECES)
-    return full.unionByName(packed)
+    dealt = _dealt(tokens, window, shared, mean_length)
+    return full.unionByName(dealt.mapInPandas(packed, PIECES))
 
 
 def pieces_digest(pieces: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Callable
 
 from tokenizers import Tokenizer
 
@@ -25,33 +26,57 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 
 
+#: What ASCII texts may hold to be PLAIN.
+ASCII_PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F)])
+
+
+class _Kept(dict):
+    """What a function gives, kept for the last `most` keys at least and twice as many at most: when there are that many,
+    those not asked for since the time before are forgotten."""
+
+    def __init__(self, made: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.made, self.most, self.older = made, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(key)
+        found = self[key] = self.made(key) if found is None else found
+        return found
+
+
 class WordTokenizer:
-    """Ids of a tokenizer that lower-cases, splits texts into words by a pattern, and encodes each word's bytes by itself.
+    """Ids of a tokenizer that lower-cases, splits texts into words by a pattern, and encodes each word's bytes by itself. No
+    word holds white space, so that what stands between white space can be encoded by itself and kept.
 
-    Words are encoded once while they stay in the cache. Texts with other characters than PLAIN, or with the opening of a
-    control string, are given to the tokenizer whole.
+    Texts with other characters than PLAIN, or with the opening of a control string, are given to the tokenizer whole.
+    Vocabularies of more than 65,536 ids are refused.
     """
 
     WORDS = re.compile(f"[^\\s{NUMBERS}{MARKS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{NUMBERS}]|[{MARKS}]+")
 
-    def __init__(self, path: str, most_words: int = 200_000):
+    def __init__(self, path: str, most_words: int = 400_000, most_chunks: int = 200_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
-        self.most_words = most_words
+        if self.tokenizer.get_vocab_size() > 2**16:
+            raise ValueError(f"{path}: ids are kept in 16 bits; it has {self.tokenizer.get_vocab_size()}")
+        tokenize, split = self.tokenizer.model.tokenize, self.WORDS.findall
+
+        def word(text: str) -> bytes:
+            written = text if text.isascii() else text.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return array("H", [t.id for t in tokenize(written)]).tobytes()
+
+        words = _Kept(word, most_words).__getitem__
+        self.chunks = _Kept(lambda chunk: b"".join(map(words, split(chunk))), most_chunks)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as unsigned 16-bit numbers in this machine's order."""
-        if len(self.words) > self.most_words:
-            self.words = {}
-        known, tokenize, out = self.words, self.model.tokenize, []
+        known, out = self.chunks.__getitem__, []
         for text in texts:
-            if "<|" in text or not PLAIN.fullmatch(text):
+            plain = not text.encode().translate(None, ASCII_PLAIN) if text.isascii() else PLAIN.fullmatch(text)
+            if plain and "<|" not in text:
+                out.append(b"".join(map(known, text.lower().split())))
+            else:
                 out.append(array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
-                continue
-            words = self.WORDS.findall(text.lower())
-            for word in set(words).difference(known):
-                written = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
-                known[word] = array("H", [t.id for t in tokenize(written)]).tobytes()
-            out.append(b"".join(map(known.__getitem__, words)))
         return out
