@@ -6,9 +6,11 @@ cost a part of the likeness, and spaced-out letters nothing, because runs of sin
 The machine works on the kernel's values with landmark strings, made orthonormal (Nyström). As its decision is a weighted sum
 of kernel values, it is a weight for each subsequence; texts are scored by looking these up, position by position.
 
-Labels are given for documents, but a few words make a document toxic. So the words of labelled sentences are the
-instances: those of clean documents are negative, and of each toxic document the words that stand out are
-positive; these are chosen anew after each of a few rounds. A document's score is that of its worst word, calibrated.
+Labels are given for documents, but a few words make a document toxic. So the words of labelled documents' sentences are the
+instances, not whole sentences: those of clean documents are negative, and of each toxic document the words that stand out
+are positive; these are chosen anew after each of a few rounds. A document's score is that of its worst word, calibrated.
+Digits and signs that stand for letters, spaced letters and marks within words are read as letters before the kernel sees
+them; inserted, dropped and changed letters are left to the kernel.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import is_held_out, table
+from .common import is_held_out, sampled, table
 from .linear import fit_logistic, fit_svm, sigmoid
 
 LENGTH, SPAN, LAMBDA = 4, 6, 0.6
@@ -109,13 +111,15 @@ def subsequences(c: np.ndarray) -> list[np.ndarray]:
 
 @dataclass
 class Machine:
-    """weight: of each subsequence code; bias; slope and shift of the calibration of a document's worst word."""
+    """weight: of each subsequence code; bias; slope and shift of the calibration of a document's worst word; landmarks and their
+    coefficients in the decision, which the weights add up."""
 
     weight: np.ndarray
     bias: float
     slope: float
     shift: float
     landmarks: list[bytes]
+    coefficients: np.ndarray
 
     def words(self, words: list[bytes]) -> np.ndarray:
         """The decision value of each of these words, which have a boundary on either side."""
@@ -166,8 +170,10 @@ def _kernel(words: list[bytes], landmarks: list[bytes]) -> tuple[np.ndarray, np.
         sizes = np.array([len(w) + SPAN for w in part])
         joined = np.frombuffer(b"".join(w + b"\0" * SPAN for w in part), np.uint8)
         of, held = np.repeat(np.arange(len(part)), sizes), np.zeros(len(part) * len(by_code))
-        for decay, code in zip(DECAY, subsequences(joined), strict=True):
-            held += decay * np.bincount(of * len(by_code) + place[code], minlength=len(held))
+        left = np.repeat(np.cumsum(sizes) - SPAN, sizes) - np.arange(len(joined))
+        for p, decay, code in zip(PATTERNS, DECAY, subsequences(joined), strict=True):
+            inside = left > p[-1]  # a word's subsequences end within it
+            held += decay * np.bincount(of[inside] * len(by_code) + place[code[inside]], minlength=len(held))
         held = held.reshape(len(part), -1)
         out[at : at + 1000] = held[:, :-1] @ by_code[:-1] / word_norm(sizes - SPAN)[:, None]
     return out, np.fromiter(codes, np.int64, len(codes)), by_code[:-1]
@@ -226,7 +232,7 @@ def train(
         chosen = [[w for w in c if value[positions[w]] > 0] or [max(c, key=lambda w: value[positions[w]])] for c in candidates]
         table_ = np.zeros(2 ** (5 * LENGTH), np.float32)
         table_[codes] = by_code @ (root @ svm[:-1])
-        machine = Machine(table_, float(svm[-1]), 1.0, 0.0, marks)
+        machine = Machine(table_, float(svm[-1]), 1.0, 0.0, marks, root @ svm[:-1])
         # The clean words that are taken for toxic are learned from in the next round.
         worst = machine.words(bad)
         hard = [bad[i] for i in np.argsort(-worst, kind="stable")[: negatives // 4] if worst[i] > -1]
@@ -251,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500) -> Machine |
     known = known.where(~is_held_out(F.col("doc_id")))
     totals = {r["bad"]: r["n"] for r in known.groupBy((F.col("toxic") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
     share = totals.get(True, 0) / max(1, sum(totals.values()))
-    parts = [known.where(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for c in ("toxic > 0", "toxic <= 0")]
+    parts = [sampled(known.where(c), per_label, "doc_id") for c in ("toxic > 0", "toxic <= 0")]
     # 2 x per_label rows at most.
     some = docs.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
 
