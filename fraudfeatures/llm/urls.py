@@ -17,9 +17,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, frozen, table
+from .common import fresh, frozen, sampled, table
 
-LABELLED = 20_000  # labelled URLs that the trees learn from at most; suffixes are counted over all
+SUFFIX_LIMIT = 200_000  # suffixes to broadcast (some 10 MB); beyond, the join is by shuffle
 SMOOTHING = 20.0
 FEATURES = ["length", "depth", "digits", "letters", "signs", "entropy", "parameters", "fragment", "host_length", "labels", "longest_number", "suffix_n", "suffix_bad"]
 
@@ -100,7 +100,8 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
 
 @dataclass
 class UrlModel:
-    """The trees, the labelled URLs and bad ones of each suffix, and the share of bad ones overall."""
+    """The trees, the labelled URLs and bad ones of each suffix (a written table, marked to be broadcast if it is small
+    enough), and the share of bad ones overall."""
 
     trees: GBTClassificationModel
     suffixes: DataFrame
@@ -124,18 +125,20 @@ def _assembled(urls: DataFrame, url: str, suffixes: DataFrame, base: float, feat
     return out.drop(key, n, bad, *names.values())
 
 
-def fit(labelled: DataFrame, trees: int = 12, depth: int = 3) -> UrlModel | None:
-    """labelled: (url, bad), null ones left out. Suffixes and the share of bad ones are counted over all; the trees learn
-    from at most LABELLED rows, those of the smallest hashes of their URLs. None unless both labels occur among these."""
+def fit(labelled: DataFrame, trees: int = 12, depth: int = 3, labelled_rows: int = 20_000) -> UrlModel | None:
+    """labelled: (url, bad), null ones left out; a URL with both labels is bad. Suffixes and the share of bad ones are
+    counted over all; the trees learn from at most labelled_rows URLs, those of the smallest hashes. None unless both
+    labels occur among these."""
     some = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select("url", F.col("bad").cast("double").alias("bad"))
     every = frozen(some.groupBy("url").agg(F.max("bad").alias("bad")), "labelled_urls")
-    some = every.orderBy(F.xxhash64("url"), "url").limit(LABELLED)
-    some = some.repartitionByRange(4, "url").sortWithinPartitions("url").cache()
+    some = sampled(every, labelled_rows, "url")
+    some = frozen(some.repartitionByRange(4, "url").sortWithinPartitions("url"), "learned_urls")
     total, seen = (x.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first() for x in (every, some))
     if not seen["n"] or not 0 < seen["bad"] < seen["n"]:
         return None
     base, share = total["bad"] / total["n"], seen["bad"] / seen["n"]
-    suffixes = every.groupBy(suffix(host(F.col("url"))).alias("suffix")).agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    suffixes = frozen(every.groupBy(suffix(host(F.col("url"))).alias("suffix")).agg(F.count("*").alias("n"), F.sum("bad").alias("bad")), "suffixes")
+    suffixes = F.broadcast(suffixes) if suffixes.count() <= SUFFIX_LIMIT else suffixes
     rows = _assembled(some, "url", suffixes, base, "features", "bad").withColumn("weight", F.when(F.col("bad") > 0, 0.5 / share).otherwise(0.5 / (1 - share)))
     booster = GBTClassifier(labelCol="bad", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, seed=7)
     return UrlModel(booster.fit(rows.select("bad", "features", "weight")), suffixes, base)
@@ -145,8 +148,9 @@ def judge(urls: DataFrame, model: UrlModel | None, rules: tuple[Rule, ...] = RUL
     """urls with host, path, rule, score and verdict (columns of these names get underscores in front): allow or block by
     the longest rule that fits, else by the trees' score, block from 0.5 on.
 
-    A null or malformed URL has an empty host and path and is judged by the trees like others; without a model the
-    score is 0 and the verdict allow. Repeated URLs are judged alike.
+    A null, empty or malformed URL has an empty host and path and is judged by the trees like others; URLs of any length are
+    read whole. Without a model (no labels, or of one kind only) the score is 0 and the verdict allow where no rule
+    fits. Repeated URLs are judged alike; an empty table gives no rows.
     """
     columns = urls.columns
     names = {c: fresh(urls, c) for c in ("host", "path", "rule", "score", "verdict")}
