@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import is_held_out, table
+from .common import frozen, is_held_out, table
 
 UNDETERMINED = "und"
 WINDOW = 128  # bytes
@@ -145,20 +145,19 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden:
     return model
 
 
-def fit(labelled: DataFrame, per_language: int = 300, max_languages: int = 64, per_document: int = 4) -> ByteGru | None:
-    """A network fitted on labelled (doc_id, text, lang): at most per_language documents of each of the max_languages most
-    frequent languages, those with the smallest hashes of their ids, and per_document windows of each. Null languages
-    and texts without letters are not learned from; None if nothing is left."""
+def fit(labelled: DataFrame, per_language: int = 300, per_document: int = 4) -> ByteGru | None:
+    """A network fitted on labelled (doc_id, text, lang): of every language at most per_language documents, those with the
+    smallest hashes of their ids, and per_document windows of each. Null languages and texts without letters are not
+    learned from; None if nothing is left."""
     some = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    counts = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    languages = sorted(r["lang"] for r in counts)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = some.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
+    # per_language ids of each language.
+    chosen = frozen(chosen.select("doc_id", "lang").distinct(), "chosen")
+    languages = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
     if not languages:
         return None
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = some.select("doc_id", "lang").where(F.col("lang").isin(languages))
-    chosen = chosen.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).select("doc_id").distinct()
-    # per_language x max_languages ids at most.
-    texts = some.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text", "lang")
+    texts = some.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -172,7 +171,6 @@ def fit(labelled: DataFrame, per_language: int = 300, max_languages: int = 64, p
     rows = texts.mapInPandas(cut, "doc_id long, start long, lang string, window binary").collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["start"], r["lang"]))
     number = {lang: i for i, lang in enumerate(languages)}
-    rows = [r for r in rows if r["lang"] in number]
     windows = np.frombuffer(b"".join(bytes(r["window"]) for r in rows), np.uint8).reshape(-1, 64)
     return train(windows, np.array([number[r["lang"]] for r in rows]), languages)
 
