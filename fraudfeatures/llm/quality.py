@@ -1,16 +1,18 @@
 """Quality by co-training of two views.
 
-One classifier sees the text (how words repeat, what characters it is made of), the other what is known about the page:
-source, language and length. Both start from the labelled documents. In each round each of them labels the documents of
-an unlabelled pool it is most sure about, for the other to learn from. Then each is calibrated on labelled documents
-that neither learned from, and the calibrated views are combined into one score for every document.
+One classifier sees the text: how words repeat, what characters it is made of, and which words it has, as the evidence that
+these words give by the labelled documents (naive Bayes over hashed words, each labelled document judged by the words of
+the others' half). The other sees what is known about the page: source, language and length. Both start from the labelled documents.
+In each round both score all documents, whose labels they do not look at, and what one of them is sure about is learned by the
+other: as counts for each combination of page data, as sums of gradients for the text. Then each is calibrated on labelled
+documents that neither learned from, and the calibrated views are combined into one score for every document.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -18,12 +20,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import is_held_out, table
+from .common import frozen, is_held_out, per_worker, sampled, table
 from .linear import fit_logistic, logit, sigmoid
+from .words import WordHashes
 
-LABELLED, POOL = 4000, 4000  # documents that the fit sees at most
 THRESHOLD = 0.5
-SOURCES, LANGUAGES, LENGTHS = 64, 16, 24
+SOURCES, LANGUAGES, LENGTHS = 256, 32, 24
+WORDS = 2**16  # buckets that words are hashed into
 UPPER = np.zeros(256, bool)
 UPPER[ord("A") : ord("Z") + 1] = True
 LETTER = UPPER.copy()
@@ -36,18 +39,18 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 PLAIN_MARK = np.zeros(256, bool)
 PLAIN_MARK[[ord(c) for c in ".,;:'\"()-"]] = True
 GROUPS = np.stack([UPPER, LETTER, DIGIT, SPACE, PLAIN_MARK, ~(LETTER | DIGIT | SPACE | PLAIN_MARK)]).astype(float)
-TEXT_FEATURES = 16
+SURFACE = 16
+TEXT_FEATURES = SURFACE + 1
 
 
-def text_features(text: str | None) -> np.ndarray:
-    """How the whole text is made; zeros for a null or empty one."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    out = np.zeros(TEXT_FEATURES)
+def surface(raw: bytes, words: list[bytes]) -> np.ndarray:
+    """How a whole text is made; zeros for an empty one."""
+    out = np.zeros(SURFACE)
     if not raw:
         return out
     counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     upper, letter, digit, space, mark, symbol = GROUPS @ counts / len(raw)
-    words, lines = raw.split(), raw.split(b"\n")
+    lines = raw.split(b"\n")
     n = max(1, len(words))
     found = Counter(words)
     same = sum(a == b for a, b in zip(words, words[1:], strict=False))
@@ -57,7 +60,7 @@ def text_features(text: str | None) -> np.ndarray:
         min(len(raw) / n, 40) / 40,
         len(found) / n,
         np.log1p(len(found)) / np.log1p(n),
-        found.most_common(1)[0][1] / n if found else 0,
+        max(found.values(), default=0) / n,
         same / n,
         len(set(lines)) / len(lines),
         min(len(lines) / n, 1),
@@ -67,110 +70,211 @@ def text_features(text: str | None) -> np.ndarray:
         space,
         mark,
         symbol,
-        (counts[GROUPS[1] == 0].max() if len(raw) else 0) / len(raw),
+        counts[GROUPS[1] == 0].max() / len(raw),
     )
     return out
 
 
-def page_features(source: str | None, lang: str | None, length: float | None) -> np.ndarray:
-    """What is known about the page, as hashed indicators; a null has an indicator of its own."""
+def buckets(words: list[bytes], hashes: WordHashes) -> np.ndarray:
+    """The distinct buckets of a text's words, A-Z lower-cased."""
+    found = {hashes[w] % WORDS for w in {w.lower() for w in words}}
+    return np.sort(np.fromiter(found, np.uint16, len(found)))
+
+
+def text_view(text: str | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """surface and buckets of the whole text; a null text is like an empty one."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    words = raw.split()
+    return surface(raw, words), buckets(words, hashes)
+
+
+def page_places(source: str | None, lang: str | None, length: float | None) -> tuple[int, int, int]:
+    """What is known about the page, as three hashed places; a null has a place of its own."""
     place = lambda x, n: 0 if x is None else 1 + xxhash.xxh64_intdigest(x) % (n - 1)
-    out = np.zeros(SOURCES + LANGUAGES + LENGTHS)
-    out[place(source, SOURCES)] = 1
-    out[SOURCES + place(lang, LANGUAGES)] = 1
     unknown = length is None or not length >= 0
-    out[SOURCES + LANGUAGES + (0 if unknown else 1 + min(LENGTHS - 2, int(np.log2(1 + length))))] = 1
+    return place(source, SOURCES), place(lang, LANGUAGES), 0 if unknown else 1 + min(LENGTHS - 2, int(np.log2(1 + length)))
+
+
+def page_features(places: np.ndarray) -> np.ndarray:
+    """Indicators of rows of places."""
+    out = np.zeros((len(places), SOURCES + LANGUAGES + LENGTHS))
+    for column, shift in enumerate((0, SOURCES, SOURCES + LANGUAGES)):
+        out[np.arange(len(places)), places[:, column] + shift] = 1
     return out
 
 
-@dataclass
+def word_evidence(found: list[np.ndarray], label: np.ndarray) -> np.ndarray:
+    """For each bucket the logarithm of how much likelier it is in good documents than in bad ones."""
+    counts = np.zeros((2, WORDS))
+    for b, y in zip(found, label, strict=True):
+        counts[int(y), b] += 1
+    share = (counts + 1) / (np.bincount(label.astype(int), minlength=2)[:, None] + 2)
+    return (np.log(share[1]) - np.log(share[0])).astype(np.float32)
+
+
+def mean_evidence(found: np.ndarray, evidence: np.ndarray) -> float:
+    return float(evidence[found].mean()) if len(found) else 0.0
+
+
+@dataclass(frozen=True)
 class Views:
+    """evidence: of each bucket; mean and spread: of the text's features; text and page: the weights of the views."""
+
+    evidence: np.ndarray
     mean: np.ndarray
     spread: np.ndarray
-    text: np.ndarray
-    page: np.ndarray
-    calibration: tuple[np.ndarray, np.ndarray]
-    combination: np.ndarray
+    text: np.ndarray | None = None
+    page: np.ndarray | None = None
+    calibration: tuple[np.ndarray, np.ndarray] | None = None
+    combination: np.ndarray | None = None
 
     def bent(self, x: np.ndarray) -> np.ndarray:
         z = np.clip((x - self.mean) / self.spread, -6, 6)
         return np.hstack([z, z * z])
 
-    def score(self, text: np.ndarray, page: np.ndarray) -> np.ndarray:
-        return sigmoid(logit(self.evidence(text, page), self.combination))
+    def raw(self, text: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Decision values of the two views."""
+        half = np.cumsum([0, SOURCES, LANGUAGES])
+        return logit(self.bent(text), self.text), self.page[places + half].sum(axis=1) + self.page[-1]
 
-    def evidence(self, text: np.ndarray, page: np.ndarray) -> np.ndarray:
-        raw = logit(self.bent(text), self.text), logit(page, self.page)
+    def calibrated(self, text: np.ndarray, places: np.ndarray) -> np.ndarray:
+        raw = self.raw(text, places)
         return np.column_stack([logit(r[:, None], c) for r, c in zip(raw, self.calibration, strict=True)])
 
+    def score(self, text: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return sigmoid(logit(self.calibrated(text, places), self.combination))
 
-def co_train(text: np.ndarray, page: np.ndarray, label: np.ndarray, rounds: int = 5, sure: float = 0.97, share: float = 0.05) -> Views | None:
-    """label: 1 good, 0 bad, -1 unknown. None unless both labels occur at least five times."""
-    known = np.flatnonzero(label >= 0)
-    if min((label == 1).sum(), (label == 0).sum()) < 5:
-        return None
-    test, learn = known[::4], np.setdiff1d(known, known[::4])
-    views = Views(text.mean(axis=0), text.std(axis=0) + 1e-6, None, None, None, None)
-    x = (views.bent(text), page)
-    given = [dict(zip(learn.tolist(), label[learn].tolist(), strict=True)) for _ in x]
-    pool = np.flatnonzero(label < 0)
 
-    def fitted(view: int) -> np.ndarray:
-        at, y = np.array(list(given[view])), np.array(list(given[view].values()), float)
-        return fit_logistic(x[view][at], y, ridge=1.0)
+VIEW = "doc_id long, surface array<double>, buckets binary, places array<int>"
+
+
+def viewed(docs: DataFrame) -> DataFrame:
+    """VIEW of docs (doc_id, text, lang, source, n_chars)."""
 
-    weights = [fitted(0), fitted(1)]
-    for _ in range(rounds):
-        for view in (0, 1):
-            p = sigmoid(logit(x[view][pool], weights[view]))
-            most = max(1, int(share * len(pool)))
-            for value, chance in ((1, p), (0, 1 - p)):
-                top = np.argsort(-chance, kind="stable")[:most]
-                for i in pool[top[chance[top] >= sure]].tolist():
-                    given[1 - view].setdefault(i, value)
-        weights = [fitted(0), fitted(1)]
-    views.text, views.page = weights
-    y = label[test].astype(float)
-    views.calibration = tuple(fit_logistic(logit(x[v][test], weights[v])[:, None], y, ridge=0.1) for v in (0, 1))
-    views.combination = fit_logistic(views.evidence(text[test], page[test]), y, ridge=0.1)
-    return views
-
-
-def _features(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = per_worker((WordHashes.__name__,), WordHashes)
         for x in batches:
-            text = [text_features(t).tolist() for t in x["text"]]
-            pages = zip(x["source"], x["lang"], x["n_chars"], strict=True)
-            page = [page_features(*(None if pd.isna(v) else v for v in row)).tolist() for row in pages]
-            yield pd.DataFrame({"doc_id": x["doc_id"], "label": x["label"], "text": text, "page": page})
+            views = [text_view(t, hashes) for t in x["text"]]
+            known = ((None if pd.isna(v) else v for v in row) for row in zip(x["source"], x["lang"], x["n_chars"], strict=True))
+            places = [list(page_places(*row)) for row in known]
+            yield pd.DataFrame({"doc_id": x["doc_id"], "surface": [v[0].tolist() for v in views], "buckets": [v[1].tobytes() for v in views], "places": places})
 
-    return docs.mapInPandas(run, "doc_id long, label int, text array<double>, page array<double>")
+    return docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("double").alias("n_chars")).mapInPandas(run, VIEW)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Views | None:
-    """The views, fitted on LABELLED labelled documents and POOL unlabelled ones at most, those with the smallest hashes
-    of their ids. docs: (doc_id, text, lang, source, n_chars); labels: (doc_id, quality); of rows that repeat a doc_id
-    the lowest label counts. Documents that are held out are not learned from, in neither group."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    known = known.withColumn("label", (F.col("label") > 0).cast("int"))
-    rows = docs.where("doc_id IS NOT NULL").where(~is_held_out(F.col("doc_id")))
-    ids = rows.select("doc_id").distinct().join(known, "doc_id", "left")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = ids.where("label IS NOT NULL").orderBy(*order).limit(LABELLED).unionByName(ids.where("label IS NULL").orderBy(*order).limit(POOL))
-    chosen = chosen.withColumn("label", F.coalesce("label", F.lit(-1)))
-    # LABELLED + POOL rows at most.
-    some = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("label", "text", "lang", "source", "n_chars")).alias("row"))
-    found = _features(some.select("doc_id", "row.label", "row.text", "row.lang", "row.source", "row.n_chars")).collect()
-    found = sorted(found, key=lambda r: r["doc_id"])
-    if not found:
+def _matrix(x: pd.DataFrame, evidence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(features of the text, places) of rows of VIEW."""
+    words = [mean_evidence(np.frombuffer(b, np.uint16), evidence) for b in x["buckets"]]
+    return np.column_stack([np.stack(x["surface"].to_list()), words]), np.stack(x["places"].to_list())
+
+
+def _statistics(views: DataFrame, evidence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of the text's features over all documents."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2, TEXT_FEATURES))
+        n = 0
+        for x in batches:
+            if len(x):
+                text, _ = _matrix(x, evidence)
+                total, n = total + [text.sum(axis=0), (text * text).sum(axis=0)], n + len(x)
+        yield pd.DataFrame({"n": [n], "sums": [total.ravel().tolist()]})
+
+    sums = F.array(*(F.sum(F.col("sums")[i]) for i in range(2 * TEXT_FEATURES)))
+    row = views.mapInPandas(run, "n long, sums array<double>").agg(F.sum("n").alias("n"), sums.alias("sums")).first()
+    first, second = np.array(row["sums"]).reshape(2, -1) / row["n"]
+    return first, np.sqrt(np.maximum(second - first**2, 0)) + 1e-6
+
+
+def _exchange(views: DataFrame, told: Views, sure: float) -> tuple[np.ndarray, np.ndarray, float, pd.DataFrame]:
+    """What the views tell each other about all documents, whose labels are not looked at: gradient and curvature of the
+    text's weights by the page's labels with their number, and (source, language, length, label, n) by the text's."""
+    size = 2 * TEXT_FEATURES + 1
+    limit = float(np.log(sure / (1 - sure)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums, counts = np.zeros(size + size * size + 1), Counter()
+        for x in batches:
+            if not len(x):
+                continue
+            text, places = _matrix(x, told.evidence)
+            by_text, by_page = told.raw(text, places)
+            at = np.abs(by_page) >= limit
+            z = np.hstack([told.bent(text[at]), np.ones((at.sum(), 1))])
+            p = sigmoid(by_text[at])
+            sums[:size] += z.T @ (p - (by_page[at] > 0))
+            sums[size:-1] += ((z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z).ravel()
+            sums[-1] += at.sum()
+            at = np.abs(by_text) >= limit
+            counts.update(zip(*places[at].T.tolist(), (by_text[at] > 0).astype(int).tolist(), strict=True))
+        rows = [(*k, float(v), None) for k, v in counts.items()] + [(-1, -1, -1, -1, 0.0, sums.tolist())]
+        yield pd.DataFrame(rows, columns=["source", "lang", "length", "label", "n", "sums"])
+
+    rows = frozen(views.mapInPandas(run, "source int, lang int, length int, label int, n double, sums array<double>"), "exchanged")
+    # SOURCES x LANGUAGES x LENGTHS x 2 rows at most, and one of sums.
+    counts = rows.where("label >= 0").groupBy("source", "lang", "length", "label").agg(F.sum("n").alias("n")).toPandas()
+    total = rows.where("label < 0").select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+    sums = np.zeros(size + size * size + 1)
+    sums[total["i"]] = total["v"]
+    return sums[:size], sums[size:-1].reshape(size, size), float(sums[-1]), counts
+
+
+def co_train(views: DataFrame, labelled: pd.DataFrame, rounds: int, sure: float, trust: float) -> Views | None:
+    """labelled: rows of VIEW with a label of 0 or 1, in order; every fourth is kept for calibration. views: all documents that
+    may be learned from."""
+    if min((labelled["label"] == 1).sum(), (labelled["label"] == 0).sum()) < 5:
         return None
-    text, page, label = (np.array([r[c] for r in found], t) for c, t in (("text", float), ("page", float), ("label", int)))
-    return co_train(text, page, label)
+    found = [np.frombuffer(b, np.uint16) for b in labelled["buckets"]]
+    label, number = labelled["label"].to_numpy(float), np.arange(len(labelled))
+    test = number % 4 == 0
+    told = Views(word_evidence([found[i] for i in number[~test]], label[~test]), np.zeros(0), np.zeros(0))
+    told = replace(told, **dict(zip(("mean", "spread"), _statistics(views, told.evidence), strict=True)))
+    text, places = _matrix(labelled, told.evidence)
+    for half in (0, 1):  # a document that is learned from is judged by the words of the other half
+        own, other = (~test & (number // 4 % 2 == h) for h in (half, 1 - half))
+        evidence = word_evidence([found[i] for i in number[other]], label[other])
+        text[own, -1] = [mean_evidence(found[i], evidence) for i in number[own]]
+    x, y, pages = told.bent(text[~test]), label[~test], page_features(places[~test])
+    told = replace(told, text=fit_logistic(x, y, ridge=1.0), page=fit_logistic(pages, y, ridge=1.0))
+    for _ in range(rounds):
+        slope, curve, n, counts = _exchange(views, told, sure)
+        # The text: a step of Newton's method on the labelled documents and the others together.
+        z, w = np.hstack([x, np.ones((len(x), 1))]), min(1.0, trust * len(x) / max(n, 1.0))
+        p, penalty = sigmoid(z @ told.text), np.append(np.ones(x.shape[1]), 1e-6)
+        slope = z.T @ (p - y) + penalty * told.text + w * slope
+        curve = (z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z + np.diag(penalty) + w * curve
+        step = np.linalg.solve(curve, slope)
+        page, weight = told.page, np.ones(len(y))
+        if len(counts):
+            more = counts["n"].to_numpy() * min(1.0, trust * len(x) / counts["n"].sum())
+            both = np.vstack([pages, page_features(counts[["source", "lang", "length"]].to_numpy())])
+            page = fit_logistic(both, np.append(y, counts["label"].to_numpy(float)), np.append(weight, more), ridge=1.0)
+        told = replace(told, text=told.text - step * min(1, 5 / (np.abs(step).max() + 1e-9)), page=page)
+    raw = told.raw(text[test], places[test])
+    told = replace(told, calibration=tuple(fit_logistic(r[:, None], label[test], ridge=0.1) for r in raw))
+    return replace(told, combination=fit_logistic(told.calibrated(text[test], places[test]), label[test], ridge=0.1))
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = 4000, rounds: int = 3, sure: float = 0.97, trust: float = 1.0) -> Views | None:
+    """The views, fitted on at most labelled_rows labelled documents, those of the smallest hashes of their ids, and on what the
+    views say of all documents. docs: (doc_id, text, lang, source, n_chars); labels: (doc_id, quality); of rows that repeat a
+    doc_id the lowest label and the smallest row count. Documents that are held out and null ids are not learned from. sure:
+    the chance from which a view's word is taken; trust: what all words of a view weigh at most, against the labelled
+    documents. None unless each label occurs five times."""
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    known = known.select("doc_id", (F.col("label") > 0).cast("int").alias("label"))
+    rows = docs.where("doc_id IS NOT NULL").where(~is_held_out(F.col("doc_id"))).select("doc_id", "text", "lang", "source", "n_chars")
+    views = frozen(viewed(rows), "views")
+    # labelled_rows ids at most.
+    some = sampled(frozen(views.select("doc_id").distinct().join(known, "doc_id"), "labelled"), labelled_rows, "doc_id")
+    some = views.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min(F.struct("label", "surface", "buckets", "places")).alias("row"))
+    labelled = some.select("doc_id", "row.*").toPandas().sort_values("doc_id", ignore_index=True)
+    return co_train(views, labelled, rounds, sure, trust) if len(labelled) else None
 
 
 def quality(text: Column, lang: Column, source: Column, n_chars: Column, views: Views | None) -> Column:
-    """The chance that a document is good, from the whole text and the page's data. Nulls have features of their own;
-    everything gets 1 if there are no views."""
+    """The chance that a document is good, from the whole text and the page's data. Nulls have features of their own, an
+    empty text is like a null one, repeated rows score alike; everything gets 1 if there are no views."""
     if views is None:
         return F.lit(1.0)
 
@@ -178,12 +282,13 @@ def quality(text: Column, lang: Column, source: Column, n_chars: Column, views:
     def score(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> pd.Series:
         if not len(text):
             return pd.Series(dtype="float64")
-        x = np.array([text_features(t) for t in text])
-        pages: dict = {}
-        rows = zip(source, lang, n_chars, strict=True)
-        rows = [tuple(None if pd.isna(v) else v for v in row) for row in rows]
-        y = np.array([pages[r] if r in pages else pages.setdefault(r, page_features(*r)) for r in rows])
-        return pd.Series(views.score(x, y))
+        hashes, pages, x, y = per_worker((WordHashes.__name__,), WordHashes), {}, [], []
+        for t, *row in zip(text, source, lang, n_chars, strict=True):
+            made, found = text_view(t, hashes)
+            x.append(np.append(made, mean_evidence(found, views.evidence)))
+            row = tuple(None if pd.isna(v) else v for v in row)
+            y.append(pages[row] if row in pages else pages.setdefault(row, page_places(*row)))
+        return pd.Series(views.score(np.array(x), np.array(y)))
 
     return score(text, lang, source, n_chars.cast("double"))
 
