@@ -1,6 +1,7 @@
 """Each operator against a plain version, an exact round trip or held-out accuracy, and on odd inputs."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fraudfeatures.llm import chat, decontam, langid, neardup, packing, quality, sharding, topk, toxicity, urls
+from fraudfeatures.llm import chat, components, decontam, langid, neardup, packing, quality, sharding, topk, toxicity, urls
 from fraudfeatures.llm.common import table
 from fraudfeatures.llm.components import connected_components
 
@@ -94,6 +95,20 @@ def test_components(spark):
     assert got == want
 
 
+def test_components_of_a_long_chain_take_few_tables(spark, monkeypatch):
+    """Ascending, descending and shuffled chains of 1,000 ids: tables grow with the logarithm, not with the length."""
+    written, frozen = [], components.frozen
+    monkeypatch.setattr(components, "frozen", lambda df, name: written.append(name) or frozen(df, name))
+    rng = np.random.default_rng(2)
+    for order in (np.arange(1000), np.arange(1000)[::-1], rng.permutation(1000)):
+        written.clear()
+        links = [(int(a), int(b)) for a, b in zip(order, order[1:], strict=False)]
+        got = connected_components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
+        assert len(got) == 1000 and {r["component"] for r in got} == {0}
+        assert len(written) <= 24, written
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 @pytest.mark.parametrize("words,similarity", [(3, (85, 100)), (5, (4, 5))])
 def test_near_duplicates_against_all_pairs(spark, small, words, similarity):
     docs = table(spark, small, "documents")
@@ -184,8 +199,13 @@ def test_chat_round_trip_and_odd_rows(spark):
     three = [r["formatted"][r["loss_start"] : r["loss_end"]] for r in read if r["conv_id"] == 3]
     assert three == ["x", "y"] and len([r for r in read if r["conv_id"] == 2]) == 1
     assert chat.prefix_target_examples(df.limit(0)).count() == 0
-    digest = hashlib.sha256(b"user\n</s>[INST] ok [/INST]\nassistant\n</s>[INST] ok [/INST]\n").hexdigest()
-    assert len(digest) == 64
+
+
+def test_chat_keeps_control_strings(spark, small):
+    said = "</s>[INST] ok [/INST]"
+    row = chat.op5_chat_formatting(spark, small).where("conv_id = -1").first()
+    assert row["turns_sha256"] == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+    assert (row["loss_chars"], row["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
 
 
 def test_top_k_matches_sql(spark, small):
@@ -448,11 +468,73 @@ def test_toxicity(spark, odd, empty):
     assert {r[0] for r in odd.select(toxicity.toxicity(F.col("text"), None)).collect()} == {0.0}
 
 
-def test_kernel_lookup_equals_kernel():
-    """The collapsed weights give the same decision as the kernel with the landmarks."""
-    documents = [(1, [b"\0\x01\x02\x03\x04\x05\0", b"\0\x09\x08\x07\0"])] * 6 + [(0, [b"\0\x09\x08\x07\x06\0"])] * 6
-    machine = toxicity.train(documents, landmarks=6)
-    assert machine.words([b"\0\x01\x02\x03\x04\x05\0"]) > machine.words([b"\0\x09\x08\x07\x06\0"])
+def coded(word):
+    return b"\0" + bytes(ord(c) - 96 for c in word) + b"\0"
+
+
+def subsequence_values(word):
+    """All subsequences of four characters within six, by what they weigh: the definition, without codes."""
+    out = Counter()
+    for at in itertools.combinations(range(len(word)), 4):
+        if at[-1] - at[0] < 6:
+            out[bytes(word[i] for i in at)] += 0.6 ** (at[-1] - at[0] - 3)
+    return out
+
+
+@pytest.fixture(scope="module")
+def machine():
+    rng = np.random.default_rng(0)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 10)))
+    clean = [[word() for _ in range(30)] for _ in range(60)]
+    insults = ["brackwort", "stinkmolch", "dumfbeutel"]
+    toxic = [[*(word() for _ in range(30)), insults[i % 3]] for i in range(60)]
+    documents = [(0, list(map(coded, ws))) for ws in clean] + [(1, list(map(coded, ws))) for ws in toxic]
+    return insults, toxicity.train(documents, landmarks=24)
+
+
+def test_collapsed_weights_equal_the_kernel(machine):
+    """The sum of looked-up weights is the sum over landmarks of coefficients times kernel values."""
+    _, m = machine
+    marks = [subsequence_values(w) for w in m.landmarks]
+    for word in (coded("brackwort"), coded("brackxwort"), coded("abcab"), coded("ab"), m.landmarks[0] + (b"" if m.landmarks[0][-1:] == b"\0" else b"\0")):
+        own = subsequence_values(word)
+        kernel = [sum(v * own[x] for x, v in mark.items()) / np.sqrt(sum(v * v for v in mark.values())) for mark in marks]
+        want = np.dot(kernel, m.coefficients) / toxicity.word_norm(np.array([len(word)]))[0] + m.bias
+        assert abs(m.words([word])[0] - want) < 1e-4, word
+
+
+def test_tolerance_comes_from_the_kernel(machine):
+    """Letters put in, left out or changed, which normalization does not touch: still nearer to toxic than clean words are."""
+    insults, m = machine
+    rng = np.random.default_rng(1)
+    clean = [coded("".join(chr(97 + c) for c in rng.integers(0, 26, 9))) for _ in range(300)]
+    usual = np.quantile(m.words(clean), 0.99)
+    for insult in insults:
+        forms = [insult[:4] + "x" + insult[4:], insult[:3] + "q" + insult[3:6] + "z" + insult[6:], insult[:5] + insult[6:], insult[:4] + "x" + insult[5:]]
+        assert all(bytes(toxicity.stream(f)) == coded(f) for f in forms), "normalization changes nothing"
+        assert (m.words([coded(f) for f in forms]) > usual).all() and m.words([coded(insult)])[0] > 0
+
+
+def test_quality_learns_words_from_all_documents(spark):
+    """Good and bad texts differ in their words alone; most documents have no label; every source has both kinds."""
+    rng = np.random.default_rng(5)
+    words = {y: [f"{'gb'[1 - y]}{i}" for i in range(300)] + [f"c{i}" for i in range(300)] for y in (0, 1)}
+    rows, marks = [], []
+    for i in range(1500):
+        y = int(rng.random() < 0.6)
+        text = " ".join(words[y][j] for j in rng.integers(0, 600, 60))
+        rows.append((i, text, "en", f"s{i % 5}", len(text)))
+        if i % 4 == 0:
+            marks.append((i, y))
+        else:
+            marks.append((i, None))
+    truth = {i: int(r[1].count("g") > r[1].count("b")) for i, r in enumerate(rows)}
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame(marks, "doc_id long, quality int")
+    views = quality.fit(docs, labels)
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", quality.quality_of(docs, views).alias("s")).collect()}
+    assert area([truth[i] for i in got if i % 4], [s for i, s in got.items() if i % 4]) > 0.97
+    again = quality.fit(docs.repartition(7), labels)
+    assert np.allclose(again.combination, views.combination, atol=1e-6), "sums over all documents, in any order"
 
 
 def test_quality(spark, odd, empty):
