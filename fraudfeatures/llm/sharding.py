@@ -1,9 +1,10 @@
 """Uniform shuffle into shards of exact size, by a hypergeometric communication matrix.
 
-The rows lie in blocks. How many rows of each block go to each shard is drawn first, exactly as a uniform shuffle of all
-rows would have it (a multivariate hypergeometric draw with the block sizes and the shard sizes as margins). Each block
-then permutes its rows and deals them out by those counts, the rows are exchanged, and each shard permutes what it got.
-Only the matrix of counts, of a fixed size (blocks x shards), is drawn on the driver; rows stay in DataFrame operations.
+The rows lie in blocks, which are the partitions that they are read in. Each block permutes its rows where they lie. How many
+rows of each block go to each shard is drawn exactly as a uniform shuffle of all rows would have it (a multivariate
+hypergeometric draw with the block sizes and the shard sizes as margins), and each block deals its rows out by those counts.
+Then the rows are exchanged, once, and each shard permutes what it got. Only the matrix of counts (partitions x shards) is
+drawn on the driver; rows stay in DataFrame operations.
 """
 
 from __future__ import annotations
@@ -68,45 +69,47 @@ def communication_matrix(block_sizes: list[int], shard_sizes: list[int], seed: i
     return out
 
 
-def shuffle_into_shards(
-    df: DataFrame, shards: int, seed: int = 0, blocks: int = 256, runs: int = 64
-) -> DataFrame:
+def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0, blocks: int = 16_384, run_rows: int = 500_000) -> DataFrame:
     """df with two columns more, `shard` (0 to shards - 1) and `slot` (gapless from 0 within the shard); if df has
     columns of these names, theirs get underscores in front.
 
     Shard sizes differ by one at most. Every arrangement of the rows is equally likely, given the seed's randomness.
     Repeated rows, null keys and nulls in any column are rows like others, since each row gets a number of its own,
     frozen in the shared folder before anything is drawn. An empty df gives no rows; with fewer rows than shards the
-    last shards stay empty. blocks and runs (sub-blocks of a shard that are sorted apart) bound the size of a task: use
-    about rows / 1,000,000 and rows / shards / 1,000,000 at least.
+    last shards stay empty. Partitions of df are blocks, merged without an exchange if they are more than `blocks`. A shard is
+    sorted in runs of about run_rows rows, so that the size of a task does not grow with the table.
     """
-    if shards < 1 or blocks < 1 or runs < 1:
-        raise ValueError("shards, blocks and runs must be positive")
+    if shards < 1 or blocks < 1 or run_rows < 1:
+        raise ValueError("shards, blocks and run_rows must be positive")
     spark, columns = df.sparkSession, df.columns
     taken = df
     row_no, block = fresh(taken, "row_no"), fresh(taken, "block_no")
     rank, deal, run = fresh(taken, "rank_no"), fresh(taken, "deal_to"), fresh(taken, "run_no")
     shard, slot = fresh(taken, "shard"), fresh(taken, "slot")
-    numbered = df.withColumn(row_no, F.monotonically_increasing_id())
-    numbered = frozen(numbered.withColumn(block, F.pmod(F.xxhash64(row_no), F.lit(blocks)).cast("int")), "shards")
-
-    # At most `blocks` counts, whatever the number of rows.
-    sizes = {r[0]: r[1] for r in numbered.groupBy(block).count().collect()}
-    block_sizes = [sizes.get(b, 0) for b in range(blocks)]
-    total = sum(block_sizes)
+    # First permutation, in each block: rows are sorted by a hash of their number and numbered anew, the block's number in
+    # the upper bits, the place in the block in the lower 33.
+    numbered = df.coalesce(blocks).withColumn(row_no, F.monotonically_increasing_id())
+    numbered = numbered.sortWithinPartitions(F.xxhash64(row_no, F.lit(seed), F.lit("block")), row_no)
+    numbered = frozen(numbered.withColumn(row_no, F.monotonically_increasing_id()), "shards")
+    placed = numbered.withColumns({block: F.shiftright(row_no, 33), rank: F.col(row_no).bitwiseAND(F.lit(2**33 - 1)) + 1})
+
+    # A count for each block.
+    sizes = {r[0]: r[1] for r in placed.groupBy(block).count().collect()}
+    numbers = sorted(sizes)
+    total = sum(sizes.values())
     shard_sizes = [total // shards + (s < total % shards) for s in range(shards)]
     rows = []
-    for b, counts in enumerate(communication_matrix(block_sizes, shard_sizes, seed)):
+    for b, counts in zip(numbers, communication_matrix([sizes[b] for b in numbers], shard_sizes, seed), strict=True):
         ends, end = [], 0
         for count in counts:
             ends.append(end := end + count)
         rows.append((b, ends))
-    ends = spark.createDataFrame(rows, f"`{block}` int, `{deal}` array<bigint>")
-
-    # First permutation, in each block; the block's next counts[s] rows go to shard s.
-    local = Window.partitionBy(block).orderBy(F.xxhash64(row_no, F.lit(seed), F.lit("block")), row_no)
-    dealt = numbered.withColumn(rank, F.row_number().over(local)).join(F.broadcast(ends), block)
+    # blocks x shards counts: 5 MB for 40 shards.
+    ends = spark.createDataFrame(rows, f"`{block}` bigint, `{deal}` array<bigint>")
+    # The block's next counts[s] rows go to shard s.
+    dealt = placed.join(F.broadcast(ends), block)
     dealt = dealt.withColumn(shard, F.size(F.filter(deal, lambda end: end < F.col(rank)))).drop(deal, rank)
+    runs = max(8, -(-total // shards // run_rows))
 
     # Second permutation, in each shard, by a random number whose leading part tells the run: runs are sorted apart and
     # begin where the runs before them end.
@@ -116,8 +119,8 @@ def shuffle_into_shards(
     before = Window.partitionBy(shard).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(shard, run, F.coalesce(F.sum(deal).over(before), F.lit(0)).alias(deal))
     own = Window.partitionBy(shard, run).orderBy(number, row_no)
-    # starts has shards x runs rows at most.
-    placed = dealt.withColumn(rank, F.row_number().over(own)).join(F.broadcast(starts), [shard, run])
+    # starts has shards x runs rows at most: a row for some run_rows rows of df.
+    placed = dealt.withColumn(rank, F.row_number().over(own)).join(starts, [shard, run])
     return placed.withColumn(slot, F.col(deal) + F.col(rank) - 1).select(*columns, F.col(shard), F.col(slot))
 
 
