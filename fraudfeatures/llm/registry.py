@@ -1,8 +1,8 @@
 """The queries of this subpackage, and their SQL where SQL can express them."""
 
-from . import chat, decontam, langid, neardup, packing, quality, sharding, topk, toxicity, urls
+from . import chat, codes, decontam, embdup, importance, langid, neardup, packing, quality, sharding, topk, toxicity, urls
 
-MODULES = (neardup, sharding, urls, langid, chat, topk, toxicity, packing, decontam, quality)
+MODULES = (neardup, sharding, urls, langid, chat, topk, toxicity, packing, decontam, quality, importance, codes, embdup)
 
 
 def queries() -> dict:
