@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Feature:
-    """mode: request, batch or online. source: the column of the batch table, or the field of a request. An online feature has an
-    operation over a window on the events of a key, written with the entity's id in braces. default: where there is no value."""
+    """mode: request, batch or online. source: the column of the batch table, the field of a request, or the value that an online feature
+    sums up or counts. An online feature has an operation over a window on the events (txn, or login for failed logins) of a key, written
+    with the entity's id in braces. default: where there is no value."""
 
     name: str
     entity: str | None
@@ -21,6 +22,7 @@ class Feature:
     operation: str | None = None
     window: str | None = None
     key: str | None = None
+    events: str = "txn"
 
 
 #: The entities and their ids.
@@ -57,7 +59,14 @@ ONLINE = [f for f in FRAUD_FULL if f.endswith(("_5m", "_10m", "_15m", "_1h"))]
 def _online(name: str, entity: str) -> Feature:
     what, window = name.removeprefix(f"{entity}_").rsplit("_", 1)
     operation = "ZRANGEBYSCORE_SUM" if "sum" in what else "ZCARD_WINDOWED" if "distinct" in what else "ZCOUNT"
-    return Feature(name, entity, "online", None, 0.0, operation, window, f"{entity}:{{{ENTITIES[entity]}}}:{what}")
+    source = {"ZRANGEBYSCORE_SUM": "amount", "ZCARD_WINDOWED": "merchant_id"}.get(operation)
+    return Feature(name, entity, "online", source, 0.0, operation, window, f"{entity}:{{{ENTITIES[entity]}}}:{what}", "login" if "login" in what else "txn")
+
+
+def online_names(service: str, known: dict[str, Feature] | None = None, services: dict[str, list[str]] | None = None) -> list[str]:
+    """The online features of a service, in its order."""
+    known, services = features() if known is None else known, SERVICES if services is None else services
+    return [f for f in services[service] if known[f].mode == "online"]
 
 
 def features() -> dict[str, Feature]:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from math import exp
 
 import numpy as np
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudfeatures.operators.quantiles import exact_quantiles
+
 BANDS = ((0.80, "critical"), (0.50, "high"), (0.20, "medium"))
 
 
@@ -67,9 +70,35 @@ def temporal_split(df: DataFrame, fraction: float = 0.8, ts: str = "event_timest
     return df.withColumn("part", F.when(F.col(ts) < cutoff, "train").otherwise("oot"))
 
 
-def stratified_split(df: DataFrame, fraction: float = 0.8, seed: int = 42, id: str = "transaction_id") -> DataFrame:
-    """With `part`: train or test by a hash of seed and id, which keeps the label rate in expectation."""
-    return df.withColumn("part", F.when(_share(F.concat(F.lit(str(seed)), F.col(id)), fraction), "train").otherwise("test"))
+SPLIT_DIGITS = 4  # hex digits of a hash that make a bucket
+
+
+def stratified_split(df: DataFrame, fraction: float = 0.8, seed: int = 42, id: str = "transaction_id", label: str | None = "is_fraud") -> DataFrame:
+    """With `part`: train for exactly floor(fraction * n) of the n rows of each label (null is one; label None: of all rows), those of the
+    smallest hashes of seed and id, ties by id; else test. Rows with a null id come last.
+
+    Rows are counted by label and the hash's leading digits; only the one bucket of a label that holds the cut is ranked.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must lie between 0 and 1")
+    cls, hashed, bucket = (F.lit(0) if label is None else F.col(label)), F.col("split_hash"), F.col("split_bucket")
+    # ~ comes after all hex digits.
+    rows = df.withColumn("split_hash", F.coalesce(F.md5(F.concat(F.lit(str(seed)), F.col(id).cast("string"))), F.lit("~" * 32)))
+    rows = rows.withColumns({"split_class": cls, "split_bucket": F.substring("split_hash", 1, SPLIT_DIGITS)})
+    # 16**SPLIT_DIGITS + 1 rows of each label at most.
+    counts = rows.groupBy("split_class", "split_bucket").agg(F.count("*").alias("split_n"))
+    of = Window.partitionBy("split_class")
+    upto, total = F.sum("split_n").over(of.orderBy("split_bucket")), F.sum("split_n").over(of)
+    counts = counts.withColumns({"split_upto": upto, "split_want": F.floor(F.lit(fraction) * total)})
+    cut = counts.where((F.col("split_upto") > F.col("split_want")) & (F.col("split_upto") - F.col("split_n") <= F.col("split_want")))
+    cut = cut.select(F.col("split_class").alias("cut_class"), F.col("split_bucket").alias("cut_bucket"), (F.col("split_want") - F.col("split_upto") + F.col("split_n")).alias("cut_take"))
+    # A row for each label. A label whose rows are all train has none.
+    rows = rows.join(F.broadcast(cut), rows["split_class"].eqNullSafe(cut["cut_class"]), "left")
+    inside = F.coalesce(bucket == F.col("cut_bucket"), F.lit(False))
+    whole = rows.where(~inside).withColumn("part", F.when(F.coalesce(bucket < F.col("cut_bucket"), F.lit(True)), "train").otherwise("test"))
+    place = F.row_number().over(Window.partitionBy("split_class").orderBy(hashed, F.col(id)))
+    ranked = rows.where(inside).withColumn("part", F.when(place <= F.col("cut_take"), "train").otherwise("test"))
+    return whole.unionByName(ranked).select(*df.columns, "part")
 
 
 def calibration_carve(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
@@ -79,20 +108,30 @@ def calibration_carve(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
     return df.withColumn("part", F.when(late, "calibration").otherwise(F.col("part")))
 
 
-def quantiles(value: Column, shares: list[float], exact: bool = True) -> Column:
-    """Quantiles of a group. Exact ones, interpolated, hold a count for each distinct value in one task; others are within
-    1 / 10,000 of the rank and hold a bounded sketch."""
-    wanted = F.array(*map(F.lit, shares))
-    return F.percentile(value, wanted) if exact else F.percentile_approx(value.cast("double"), wanted, 10_000)
+def quantiles(value: Column, shares: list[float]) -> Column:
+    """Quantiles of a group within 1 / 10,000 of the rank, from a bounded sketch. Exact ones: operators.quantiles."""
+    return F.percentile_approx(value.cast("double"), F.array(*map(F.lit, shares)), 10_000)
 
 
 def scaling_statistics(train: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
-    """One row with the mean, spread, least, most and quartiles of every column, in one pass."""
-    parts = []
+    """One row with the mean, spread, least, most and quartiles of every column: one pass, and those of a selection for exact quartiles."""
+    parts, shares = [], [0.25, 0.5, 0.75]
     for c in columns:
-        q = quantiles(F.col(c), [0.25, 0.5, 0.75], exact)
-        parts += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"), q.alias(f"{c}_q")]
-    return train.agg(*parts)
+        parts += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+        parts += [] if exact else [quantiles(F.col(c), shares).alias(f"{c}_q")]
+    out = train.agg(*parts)
+    if exact and columns:
+        found = exact_quantiles(unpivoted(train, columns), ["feature"], "value", shares)
+        # A row for each column.
+        out = out.crossJoin(F.broadcast(found.agg(F.map_from_entries(F.collect_list(F.struct("feature", "quantiles"))).alias("all_q"))))
+        out = out.withColumns({f"{c}_q": F.try_element_at("all_q", F.lit(c)) for c in columns}).drop("all_q")
+    return out
+
+
+def unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
+    """feature, value: a row for each column, nulls left out."""
+    stack = F.stack(F.lit(len(columns)), *(x for c in columns for x in (F.lit(c), F.col(c).cast("double"))))
+    return df.select(stack.alias("feature", "value")).where("value IS NOT NULL")
 
 
 def numeric_scaling(df: DataFrame, train: DataFrame, columns: list[str], method: str = "standard", exact: bool = True) -> DataFrame:
@@ -102,7 +141,7 @@ def numeric_scaling(df: DataFrame, train: DataFrame, columns: list[str], method:
         return df
     if method not in ("standard", "minmax", "robust"):
         raise ValueError(f"unknown method {method!r}")
-    told, scaled = scaling_statistics(train, columns, exact).first(), {}
+    told, scaled = scaling_statistics(train, columns, exact and method == "robust").first(), {}
     for c in columns:
         if method == "standard":
             shift, width = told[f"{c}_mean"], told[f"{c}_std"]
@@ -129,8 +168,8 @@ def categorical_encoding(df: DataFrame, train: DataFrame, column: str, method: s
 
 
 def train_classifier(df: DataFrame, features: list[str], label: str = "is_fraud", kind: str = "gbt", trees: int = 20, depth: int = 5, seed: int = 42):
-    """A tree model of MLlib on weighted classes: (the assembler, the model). kind: gbt (boosted trees), sampled_gbt (boosted trees,
-    each on a part of the rows and features) or forest."""
+    """A model of MLlib on weighted classes: (the assembler, the model). kind: gbt (boosted trees), sampled_gbt (boosted trees, each on a
+    part of the rows and features), forest, or gaussian (naive Bayes, fitted by one pass of sums)."""
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     balance = class_balance(df, label).first()
     rows = assembler.transform(fill_missing(df, features)).withColumn("weight", F.when(F.col(label) == 1, balance["pos_weight"]).otherwise(1.0))
@@ -138,11 +177,14 @@ def train_classifier(df: DataFrame, features: list[str], label: str = "is_fraud"
         "gbt": lambda: GBTClassifier(maxIter=trees),
         "sampled_gbt": lambda: GBTClassifier(maxIter=trees, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
         "forest": lambda: RandomForestClassifier(numTrees=trees),
+        "gaussian": lambda: NaiveBayes(modelType="gaussian"),
     }
     if kind not in kinds:
         raise ValueError(f"kind {kind!r} is none of {', '.join(kinds)}")
     made = kinds[kind]()
-    made = made.setLabelCol(label).setFeaturesCol("features").setWeightCol("weight").setMaxDepth(depth).setSeed(seed)
+    made = made.setLabelCol(label).setFeaturesCol("features").setWeightCol("weight")
+    if kind != "gaussian":
+        made = made.setMaxDepth(depth).setSeed(seed)
     return assembler, made.fit(rows.select("features", label, "weight"))
 
 
@@ -199,6 +241,16 @@ def with_band(df: DataFrame, threshold: float = 0.5, score: str = "fraud_score")
     return df.withColumns({score: rounded, "risk_band": risk_band(rounded), "is_flagged": rounded >= threshold})
 
 
+def scored(rows: DataFrame, features: list[str], assembler, model, grid: tuple[list[float], list[float]] | None = None, threshold: float = 0.5) -> DataFrame:
+    """rows with fraud_score (the model's chance of fraud, through the calibration's points if given, to six places), risk_band and
+    is_flagged. Features that are absent or null count as 0; other columns keep their values."""
+    inputs = fill_missing(rows.select(F.struct(*rows.columns).alias("scored_row"), *(c for c in features if c in rows.columns)), features)
+    chance = vector_to_array("probability")[1]
+    out = model.transform(assembler.transform(inputs)).select("scored_row.*", chance.alias("raw_fraud_score"))
+    score = F.col("raw_fraud_score") if grid is None else apply_calibration(F.col("raw_fraud_score"), *grid)
+    return with_band(out.withColumn("fraud_score", score).drop("raw_fraud_score"), threshold)
+
+
 def scored_event(df: DataFrame, service: str = "fraud_scoring_v1") -> DataFrame:
     """The 14 fields of a scored transaction."""
     return df.select(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudfeatures.operators.windows import Rolling, parse_window, rolling, seconds
+from fraudfeatures.operators.windows import Rolling, parse_window, rolling, seconds, windows_of
+from fraudfeatures.sources.work import stored
 
 M5, M10, M15, H1 = (seconds("MINUTE", n) for n in (5, 10, 15, 60))
 D1, D7, D30 = (seconds("DAY", n) for n in (1, 7, 30))
@@ -175,9 +176,12 @@ def user_features(txns: DataFrame, logins: DataFrame, users: DataFrame, engine:
     return with_user_features(slim, logins, users, engine).select("transaction_id", "user_id", "event_timestamp", *cols)
 
 
+def _shared_flag(df: DataFrame) -> DataFrame:
+    return df.withColumn("device_is_shared_flag", (F.col("device_distinct_users_30d") > 2).cast("int"))
+
+
 def with_device_features(txns: DataFrame, engine: str = "range") -> DataFrame:
-    out = rolling(txns, "device_id", [*DEVICE, *DEVICE_ONLINE], engine=engine)
-    return out.withColumn("device_is_shared_flag", (F.col("device_distinct_users_30d") > 2).cast("int"))
+    return _shared_flag(rolling(txns, "device_id", [*DEVICE, *DEVICE_ONLINE], engine=engine))
 
 
 def device_features(txns: DataFrame, engine: str = "range") -> DataFrame:
@@ -188,7 +192,10 @@ def device_features(txns: DataFrame, engine: str = "range") -> DataFrame:
 
 def with_merchant_features(txns: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "range") -> DataFrame:
     """Also with is_fraud; category and tier stay null for an unknown merchant, its flags are 0."""
-    out = rolling(with_labels(txns, labels), "merchant_id", MERCHANT, engine=engine)
+    return _merchant_profile(rolling(with_labels(txns, labels), "merchant_id", MERCHANT, engine=engine), merchants)
+
+
+def _merchant_profile(out: DataFrame, merchants: DataFrame) -> DataFrame:
     known = merchants.select("merchant_id", "merchant_category", "risk_tier", "is_online")
     out = out.join(known, "merchant_id", "left")
     return out.withColumns({
@@ -220,13 +227,30 @@ def _request(df: DataFrame) -> DataFrame:
     )
 
 
-def training_dataset(txns: DataFrame, logins: DataFrame, users: DataFrame, merchants: DataFrame, labels: DataFrame, engine: str = "range") -> DataFrame:
-    """One row for each transaction with all features and the label. The windows are chained on one table: an exchange
-    for users, devices and merchants each, a join with the labels, and no join of feature tables."""
+#: Users hold few rows each; a device or merchant may hold a third of all.
+TRAINING_ENGINES = {"user": "range", "device": "sweep", "merchant": "sweep"}
+
+
+def training_dataset(txns: DataFrame, logins: DataFrame, users: DataFrame, merchants: DataFrame, labels: DataFrame, engines: dict[str, str] | None = None) -> DataFrame:
+    """One row for each transaction with all features and the label. The transactions are numbered and written once; the windows of
+    users, devices and merchants each take the few columns that they need from that table and give back their values by number,
+    and these are joined to the wide rows once. engines: of each kind; see rolling."""
+    engines = TRAINING_ENGINES | (engines or {})
     slim = txns.drop("country_code", "ip_address", "decline_reason", "ingestion_timestamp")
-    out = with_user_features(slim, logins, users, engine)
-    out = with_device_features(out, engine)
-    return _request(with_merchant_features(out, merchants, labels, engine))
+    base = stored(with_labels(slim, labels).withColumn("row_no", F.monotonically_increasing_id()), "numbered")
+    of_user = with_failed_logins(base.select("row_no", "user_id", "device_id", "merchant_id", "amount", "txn_status", "event_timestamp"), logins)
+    user_columns = [*user_txn_columns("is_txn"), *user_txn_online_columns("is_txn"), *LOGIN, *LOGIN_ONLINE]
+    if engines["user"] == "sweep":
+        of_user = stored(of_user, "with-logins")
+    parts = [
+        windows_of(of_user, "row_no", "user_id", user_columns, engine=engines["user"]),
+        windows_of(base.select("row_no", "user_id", "device_id", "event_timestamp"), "row_no", "device_id", [*DEVICE, *DEVICE_ONLINE], engine=engines["device"]),
+        windows_of(base.select("row_no", "merchant_id", "amount", "fraud_value", "event_timestamp"), "row_no", "merchant_id", MERCHANT, engine=engines["merchant"]),
+    ]
+    out = base
+    for part in parts:
+        out = out.join(part, "row_no")
+    return _request(_merchant_profile(_shared_flag(_profile(out, users)), merchants))
 
 
 def training_dataset_by_join(txns: DataFrame, users: DataFrame, devices: DataFrame, merchants: DataFrame, labels: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudfeatures.operators.evaluation import quantiles, ranking_metrics, risk_band
+from fraudfeatures.operators.evaluation import quantiles, ranking_metrics, risk_band, unpivoted
+from fraudfeatures.operators.quantiles import exact_quantiles
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -42,15 +43,17 @@ def score_kpis(scores: DataFrame, now: Column, threshold: float = 0.5) -> DataFr
     day = last(1)
     share = lambda c: F.round(F.avg(F.when(day, F.when(c, 1.0).otherwise(0.0))), 9)
     sources = [c for c in ("feast_offline_ok", "redis_online_ok") if c in scores.columns]
-    return scores.where(last(30)).agg(
+    rows = scores.where(last(30))
+    counts = rows.agg(
         F.count_if(day).alias("scored_24h"),
         share(F.col("fraud_score") >= threshold).alias("flagged_24h"),
         share(band == "critical").alias("critical_24h"),
         F.round(F.avg(F.when(day, F.col("fraud_score"))), 9).alias("mean_score_24h"),
-        F.percentile(F.when(day, F.col("latency_ms")), 0.95).alias("p95_latency_24h"),
         *(share(F.coalesce(F.col(c), F.lit(False))).alias(f"{c}_24h") for c in sources),
         *(F.count_if(last(d) & (band == b)).alias(f"{b}_{d}d") for d in (1, 7, 30) for b in ("low", "medium", "high", "critical")),
     )
+    slow = exact_quantiles(rows.where(day), [], "latency_ms", [0.95])
+    return counts.join(slow.select(F.col("quantiles")[0].alias("p95_latency_24h")), F.lit(True), "left")  # a row each, or none
 
 
 def hourly_flag_rate(scores: DataFrame, now: Column, hours: int = 48, threshold: float = 0.5) -> DataFrame:
@@ -59,32 +62,45 @@ def hourly_flag_rate(scores: DataFrame, now: Column, hours: int = 48, threshold:
     return rows.agg(F.count("*").alias("n"), F.round(F.avg(F.when(F.col("fraud_score") >= threshold, 1.0).otherwise(0.0)), 9).alias("flag_rate"))
 
 
+LATENCIES = (50, 95, 99)
+
+
 def score_snapshot_daily(scores: DataFrame, exact: bool = True) -> DataFrame:
-    """For each model and day: number, mean, spread, shares, latencies' percentiles (exact: see quantiles), histogram and bands."""
+    """For each model and day: number, mean, spread, shares, latencies' percentiles, histogram and bands. exact: percentiles by
+    selection, else within 1 / 10,000 of the rank, in the same pass as the rest."""
     s, band = F.col("fraud_score"), risk_band(F.col("fraud_score"))
-    return scores.groupBy("model_version", F.to_date("scored_at").alias("day")).agg(
+    rows, keys = scores.withColumn("day", F.to_date("scored_at")), ["model_version", "day"]
+    out = rows.groupBy(keys).agg(
         F.count("*").alias("n"),
         F.round(F.avg(s), 9).alias("mean_score"),
         F.round(F.stddev_pop(s), 9).alias("std_score"),
         F.round(F.avg(F.when(s > 0.5, 1.0).otherwise(0.0)), 9).alias("share_over_50"),
         F.round(F.avg(F.when(s > 0.8, 1.0).otherwise(0.0)), 9).alias("share_over_80"),
-        *(F.round(quantiles(F.col("latency_ms"), [p / 100], exact)[0], 9).alias(f"p{p}_latency") for p in (50, 95, 99)),
+        *([] if exact else [quantiles(F.col("latency_ms"), [p / 100 for p in LATENCIES]).alias("quantiles")]),
         *(F.count_if(F.floor(s * 10) == i).alias(f"bin_{i}") for i in range(10)),
         *(F.count_if(band == b).alias(f"n_{b}") for b in ("low", "medium", "high", "critical")),
     )
+    if exact:
+        out = _joined(out, exact_quantiles(rows, keys, "latency_ms", [p / 100 for p in LATENCIES]).drop("n"), keys)
+    return out.withColumns({f"p{p}_latency": F.round(F.col("quantiles")[i], 9) for i, p in enumerate(LATENCIES)}).drop("quantiles")
 
 
-def unpivoted(df: DataFrame, columns: list[str]) -> DataFrame:
-    """feature, value: a row for each column, nulls left out."""
-    stack = F.stack(F.lit(len(columns)), *(x for c in columns for x in (F.lit(c), F.col(c).cast("double"))))
-    return df.select(stack.alias("feature", "value")).where("value IS NOT NULL")
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left with right's other columns where all keys are equal, nulls included."""
+    of = {k: f"{k}_of" for k in keys}
+    right = right.withColumnsRenamed(of)
+    same = [F.col(k).eqNullSafe(F.col(o)) for k, o in of.items()]
+    return left.join(right, same, "left").drop(*of.values())
 
 
 def psi(reference: DataFrame, current: DataFrame, columns: list[str], bins: int = 10, exact: bool = True) -> DataFrame:
-    """feature, psi: how far the current values have moved between the reference's quantile bins; shares are 1e-6 at least.
-    exact: of the quantiles; see quantiles."""
+    """feature, psi: how far the current values have moved between the reference's quantile bins; shares are 1e-6 at least, so that a
+    table without values counts as one whose bins all hold that. A feature without reference values has no bins and gives no row.
+    exact: quantiles by selection, else within 1 / 10,000 of the rank."""
     ref, cur = unpivoted(reference, columns), unpivoted(current, columns)
-    edges = ref.groupBy("feature").agg(F.array_distinct(quantiles(F.col("value"), [i / bins for i in range(1, bins)], exact)).alias("edges"))
+    shares = [i / bins for i in range(1, bins)]
+    edges = exact_quantiles(ref, ["feature"], "value", shares) if exact else ref.groupBy("feature").agg(quantiles(F.col("value"), shares).alias("quantiles"))
+    edges = edges.select("feature", F.array_distinct("quantiles").alias("edges"))
     # A row for each feature.
     place = lambda df: df.join(F.broadcast(edges), "feature").select("feature", F.size(F.filter("edges", lambda e: e < F.col("value"))).alias("bin"))
     both = place(ref).withColumn("r", F.lit(1)).withColumn("c", F.lit(0)).unionByName(place(cur).withColumn("r", F.lit(0)).withColumn("c", F.lit(1)))
@@ -146,12 +162,14 @@ def label_feedback(scores: DataFrame, labels: DataFrame, threshold: float = 0.5)
     rows = scores.join(known, "transaction_id", "left")
     lag = (F.unix_timestamp("label_timestamp") - F.unix_timestamp("scored_at")) / 3600
     false = F.when((F.col("fraud_score") >= threshold) & F.col("is_fraud").isNotNull(), F.when(F.col("is_fraud"), 0.0).otherwise(1.0))
-    return rows.groupBy(F.to_date("scored_at").alias("day")).agg(
+    rows = rows.withColumn("day", F.to_date("scored_at"))
+    out = rows.groupBy("day").agg(
         F.count("*").alias("n"),
         F.round(F.avg(F.col("is_fraud").isNotNull().cast("double")), 9).alias("coverage"),
-        F.round(F.percentile(lag, 0.5), 6).alias("median_lag_hours"),
         F.round(F.avg(false), 9).alias("false_alarm_rate"),
     )
+    medians = exact_quantiles(rows, ["day"], lag, [0.5]).select("day", F.round(F.col("quantiles")[0], 6).alias("median_lag_hours"))
+    return _joined(out, medians, ["day"])
 
 
 def model_comparison(champion: DataFrame, challenger: DataFrame, labels: DataFrame, threshold: float = 0.5, gain: float = 1.05) -> DataFrame:
@@ -179,17 +197,17 @@ def training_serving_skew(served: DataFrame, recomputed: DataFrame, columns: lis
 
 def feature_freshness(views: dict[str, tuple[DataFrame, list[str]]], now: Column, cadence: int) -> DataFrame:
     """For each view's features: the view's newest time, whether that is older than twice the cadence (seconds), the share of
-    nulls, and quartiles."""
+    nulls, and quartiles (exact, by selection)."""
     out = None
     for name, (df, columns) in views.items():
-        parts = [F.max("event_timestamp").alias("newest"), F.count("*").alias("n")]
-        for c in columns:
-            parts += [F.count(c).alias(f"n_{c}"), *(F.percentile(F.col(c).cast("double"), p / 100).alias(f"p{p}_{c}") for p in (25, 50, 75))]
-        wide = df.agg(*parts)
-        stack = F.stack(F.lit(len(columns)), *(x for c in columns for x in (F.lit(c), F.col(f"n_{c}"), F.col(f"p25_{c}"), F.col(f"p50_{c}"), F.col(f"p75_{c}"))))
-        rows = wide.select("newest", "n", stack.alias("feature", "known", "p25", "p50", "p75"))
+        wide = df.agg(F.max("event_timestamp").alias("newest"), F.count("*").alias("n"), *(F.count(c).alias(f"n_{c}") for c in columns))
+        stack = F.stack(F.lit(len(columns)), *(x for c in columns for x in (F.lit(c), F.col(f"n_{c}"))))
+        rows = wide.select("newest", "n", stack.alias("feature", "known"))
         stale = F.unix_timestamp(now) - F.unix_timestamp("newest") > 2 * cadence
-        rows = rows.select(F.lit(name).alias("view_name"), "feature", "newest", stale.alias("stale"), F.round(1 - F.col("known") / F.col("n"), 9).alias("null_rate"), *(F.round(p, 6).alias(p) for p in ("p25", "p50", "p75")))
+        rows = rows.select(F.lit(name).alias("view_name"), "feature", "newest", stale.alias("stale"), F.round(1 - F.col("known") / F.col("n"), 9).alias("null_rate"))
+        quartiles = exact_quantiles(unpivoted(df, columns), ["feature"], "value", [0.25, 0.5, 0.75])
+        quartiles = quartiles.select("feature", *(F.round(F.col("quantiles")[i], 6).alias(p) for i, p in enumerate(("p25", "p50", "p75"))))
+        rows = rows.join(quartiles, "feature", "left")
         out = rows if out is None else out.unionByName(rows)
     return out
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudfeatures.operators.windows import Rolling, rolling
+from fraudfeatures.functions import registry
+from fraudfeatures.operators.features import OPERATIONS
+from fraudfeatures.operators.windows import Rolling, parse_window, rolling
 
 TTL = 3 * 86400
 WINDOWS = {"5m": 300, "10m": 600, "15m": 900, "1h": 3600}
@@ -62,24 +64,23 @@ def online_lookup(requests: DataFrame, users: DataFrame, devices: DataFrame, mer
     return out.withColumn("feast_ok", F.coalesce("feast_ok", F.lit(False)))
 
 
-def latest_features(txns: DataFrame) -> DataFrame:
-    """entity_type, entity_id, features (a map), event_timestamp: of each user and device the newest transaction's."""
+def latest_rows(txns: DataFrame) -> DataFrame:
+    """entity_type, entity_id, features (a map), event_timestamp, transaction_id: what each transaction says of its user and device. A
+    batch or a stream, which is read once."""
     amount, hour, intl = (F.col(c).cast("double") for c in ("amount", "local_hour", "is_international"))
     common = [F.lit("last_txn_amount"), amount, F.lit("last_txn_local_hour"), hour]
     user = F.create_map(*common, F.lit("last_is_international"), intl, F.lit("last_txn_intl_flag"), intl)
-    rows = [
-        txns.select(F.lit(kind).alias("entity_type"), F.col(f"{kind}_id").alias("entity_id"), value.alias("features"), "event_timestamp", "transaction_id")
+    said = [
+        F.struct(F.lit(kind).alias("entity_type"), F.col(f"{kind}_id").alias("entity_id"), value.alias("features"))
         for kind, value in (("user", user), ("device", F.create_map(*common)))
     ]
-    newest = F.max_by(F.struct("features", "event_timestamp"), F.struct("event_timestamp", "transaction_id")).alias("row")
-    return rows[0].unionByName(rows[1]).groupBy("entity_type", "entity_id").agg(newest).select("entity_type", "entity_id", "row.*")
+    return txns.select(F.inline(F.array(*said)), "event_timestamp", "transaction_id")
 
 
-def merge_latest(stored: DataFrame, new: DataFrame) -> DataFrame:
-    """A snapshot of latest_features with later rows taken in; stored rows win ties."""
-    rows = stored.withColumn("newer", F.lit(1)).unionByName(new.withColumn("newer", F.lit(0)))
-    newest = F.max_by(F.struct("features", "event_timestamp"), F.struct("event_timestamp", "newer")).alias("row")
-    return rows.groupBy("entity_type", "entity_id").agg(newest).select("entity_type", "entity_id", "row.*")
+def latest_features(txns: DataFrame) -> DataFrame:
+    """entity_type, entity_id, features (a map), event_timestamp: of each user and device the newest transaction's."""
+    newest = F.max_by(F.struct("features", "event_timestamp"), F.struct("event_timestamp", "transaction_id")).alias("row")
+    return latest_rows(txns).groupBy("entity_type", "entity_id").agg(newest).select("entity_type", "entity_id", "row.*")
 
 
 def cold_fallback(requests: DataFrame, offline: DataFrame, latest: DataFrame, columns: list[str]) -> DataFrame:
@@ -122,6 +123,44 @@ def online_features_at(requests: DataFrame, txns: DataFrame, logins: DataFrame,
     return out.select("request_id", "user_id", "device_id", "now", *(c.name for c in columns[:-2]), *(c.name for c in counts), *(c.name for c in columns[-2:]))
 
 
+def service_features_at(service: str, requests: DataFrame, txns: DataFrame, logins: DataFrame, engine: str = "range", known: dict | None = None, services: dict | None = None) -> DataFrame:
+    """The online features of a registered service, compiled from their entries, as of the times of requests (request_id, the ids of the
+    entities that the service needs, now): request_id and the features in the service's order.
+
+    Entries are grouped by the entity of their key. Each entity's events and requests make one table, and all of its windows are laid
+    in one pass over it. Events from now - W up to now count, both ends included; a transaction counts once however often it came,
+    failed logins of one second are one; sums are rounded to four places; an empty window gives the entry's default.
+    """
+    entries = registry.features() if known is None else known
+    names = registry.online_names(service, entries, services)
+    out = requests.select("request_id")
+    for entity in sorted({entries[n].entity for n in names}):
+        out = out.join(_entity_windows(entity, [entries[n] for n in names if entries[n].entity == entity], requests, txns, logins, engine), "request_id", "left")
+    return out.select("request_id", *(F.coalesce(F.col(n), F.lit(entries[n].default)).cast("double" if entries[n].operation == "ZRANGEBYSCORE_SUM" else "bigint").alias(n) for n in names))
+
+
+def _entity_windows(entity: str, entries: list, requests: DataFrame, txns: DataFrame, logins: DataFrame, engine: str) -> DataFrame:
+    """request_id and the entries' values, all of one entity."""
+    key, columns = registry.ENTITIES[entity], []
+    at = lambda ts: F.timestamp_seconds(F.unix_timestamp(ts))
+    for e in entries:
+        if e.operation not in OPERATIONS or (OPERATIONS[e.operation] != "count" and not e.source):
+            raise ValueError(f"{e.name}: operation {e.operation} on {e.source} cannot be compiled")
+        # A second more, because requests are probes a second after their time.
+        columns.append(Rolling(e.name, OPERATIONS[e.operation], parse_window(e.window) + 1, f"is_{e.events}" if OPERATIONS[e.operation] == "count" else e.source))
+    values = sorted({e.source for e in entries if e.operation != "ZCOUNT"})
+    both = requests.select("request_id", key, at(F.col("now") + F.expr("INTERVAL 1 SECOND")).alias("at"))
+    kinds = {e.events for e in entries}
+    if "txn" in kinds:
+        once = txns.select("transaction_id", key, *(c for c in values if c != key), at("event_timestamp").alias("at")).dropDuplicates(["transaction_id"])
+        both = both.unionByName(once.drop("transaction_id").withColumn("is_txn", F.lit(True)), allowMissingColumns=True)
+    if "login" in kinds:
+        failed = logins.where("login_status = 'failed'").select(key, at("event_timestamp").alias("at")).distinct()
+        both = both.unionByName(failed.withColumn("is_login", F.lit(True)), allowMissingColumns=True)
+    found = rolling(both, key, columns, "at", engine).where("request_id IS NOT NULL")
+    return found.select("request_id", *(F.round(c.name, 4).alias(c.name) if c.kind == "sum" else c.name for c in columns))
+
+
 def split_member(member: Column) -> tuple[Column, Column]:
     """`id:amount`, split on the last colon."""
     amount = F.substring_index(member, ":", -1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,9 @@ from fraudfeatures.functions import registry
 from fraudfeatures.operators import checks, evaluation, features, monitoring, serving, staging
 from fraudfeatures.operators.windows import Rolling, rolling
 from fraudfeatures.plans import fixtures
-from fraudfeatures.sources import tables
-from fraudfeatures.streaming import jobs
+from fraudfeatures.sources import catalog, tables, work
+from fraudfeatures.streaming import jobs, scoring
+from fraudfeatures.streaming import store as store_module
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -47,10 +49,10 @@ class Tables:
         return features.user_features(self.txns, self.logins, self.users)
 
     def device_features(self) -> DataFrame:
-        return features.device_features(self.txns)
+        return features.device_features(self.txns, "sweep")
 
     def merchant_features(self) -> DataFrame:
-        return features.merchant_features(self.txns, self.merchants, self.labels)
+        return features.merchant_features(self.txns, self.merchants, self.labels, "sweep")
 
     def training(self) -> DataFrame:
         return features.training_dataset(self.txns, self.logins, self.users, self.merchants, self.labels)
@@ -62,7 +64,8 @@ def query(name: str, sql: str | None = None):
     def register(make):
         QUERIES[name] = lambda spark, sf_dir: make(Tables(spark, sf_dir))
         if sql:
-            ORACLES[name] = f"{WITH}\n{sql}"
+            # A clause of the query's own goes on where the common one ends.
+            ORACLES[name] = f"{WITH},\n{sql.removeprefix('WITH ')}" if sql.startswith("WITH ") else f"{WITH}\n{sql}"
         return make
 
     return register
@@ -177,7 +180,7 @@ BAND = "CASE WHEN {0} >= 0.8 THEN 'critical' WHEN {0} >= 0.5 THEN 'high' WHEN {0
 
 
 def _folder(t: Tables, name: str) -> str:
-    return jobs.shared_folder(t.spark, name)
+    return work.shared_folder(t.spark, name)
 
 
 RAW_SQL = " UNION ALL ".join(
@@ -242,11 +245,14 @@ def _(t):
 @query("decode_stream_value", """SELECT transaction_id, amount, is_international, local_hour, event_timestamp, CAST(NULL AS BIGINT) AS n_bad FROM stream_transactions WHERE local_hour <> 3
  UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, count(*) FROM stream_transactions WHERE local_hour = 3""")
 def _(t):
+    """Values of a stream, some cut short: good and bad rows are written in one pass and counted while it runs."""
+    folder = _folder(t, "decoded")
     cut = F.when(F.get_json_object("value", "$.local_hour") == "3", F.substring("value", 1, 40)).otherwise(F.col("value"))
-    values = _values(t).select(cut.alias("value"))
-    good, _ = tables.decode(values)
-    good = good.select("transaction_id", "amount", "is_international", "local_hour", "event_timestamp")
-    return good.unionByName(tables.decoded_counts(values).select(F.col("bad").alias("n_bad")), allowMissingColumns=True)
+    parsed = tables.parsed(tables.routed(_stream(t)).select(cut.alias("value")))
+    counts = jobs.counted_run(jobs.observed(parsed, "decoded", F.col("row.transaction_id").isNotNull()), jobs.apart(f"{folder}/table"), f"{folder}/checkpoint")
+    good = jobs.read_apart(t.spark, f"{folder}/table", True).select("row.*").select("transaction_id", "amount", "is_international", "local_hour", "event_timestamp")
+    counted = t.spark.range(1).select(F.lit(counts.totals["decoded"]["bad"]).cast("bigint").alias("n_bad"))
+    return good.unionByName(counted, allowMissingColumns=True)
 
 
 @query("confluent_header", "SELECT event_id % 70000 AS schema_id, event_id % 9 <> 0 AS valid, count(*) AS n FROM events WHERE event_id % 9 <> 0 GROUP BY ALL UNION ALL SELECT NULL, false, count(*) FROM events WHERE event_id % 9 = 0")
@@ -374,11 +380,22 @@ query("window_from_registry", f"SELECT transaction_id, user_id, event_timestamp,
 query("merchant_fraud_rate_asof_labels", f"""SELECT t.transaction_id, any_value(t.merchant_id) AS merchant_id, any_value(t.event_timestamp) AS event_timestamp,
  coalesce(count(*) FILTER (l.is_fraud AND {sec('l.label_timestamp')} < {sec('t.event_timestamp')}) / nullif(count(p.transaction_id), 0), 0.0) AS merchant_fraud_rate_30d
  FROM stg_transactions t LEFT JOIN stg_transactions p ON p.merchant_id = t.merchant_id AND {sec('p.event_timestamp')} BETWEEN {sec('t.event_timestamp')} - {D30} AND {sec('t.event_timestamp')} - 1
- LEFT JOIN stg_fraud_labels l ON l.transaction_id = p.transaction_id GROUP BY t.transaction_id""")(lambda t: features.merchant_fraud_rate_asof_labels(t.txns, t.labels))
+ LEFT JOIN stg_fraud_labels l ON l.transaction_id = p.transaction_id GROUP BY t.transaction_id""")(lambda t: features.merchant_fraud_rate_asof_labels(t.txns, t.labels, engine="sweep"))
 query("user_features", "SELECT * FROM user_features")(Tables.user_features)
 query("device_features", "SELECT * FROM device_features")(Tables.device_features)
 query("merchant_features", "SELECT * FROM merchant_features")(Tables.merchant_features)
 query("training_dataset", "SELECT * FROM training")(Tables.training)
+
+
+def _stored_training(t: Tables) -> DataFrame:
+    """The training set from feature tables that are stored in buckets of the transaction's id."""
+    folder, buckets = _folder(t, "bucketed"), 8
+    made = {"txns": t.txns, "labels": t.labels, "users": t.user_features(), "devices": t.device_features(), "merchants": t.merchant_features()}
+    kept = {name: catalog.store_bucketed(df, f"{name}_{folder.rsplit('-', 1)[1]}", f"{folder}/{name}", buckets=buckets) for name, df in made.items()}
+    return features.training_dataset_by_join(kept["txns"], kept["users"], kept["devices"], kept["merchants"], kept["labels"])
+
+
+query("training_dataset_stored", "SELECT * FROM training")(_stored_training)
 ASKED_SQL = "CASE WHEN CAST(substr(transaction_id, 3) AS BIGINT) % 3 = 2 THEN txn_amount * 2 ELSE 0 END"
 VECTOR_SQL = ", ".join(f"CAST({ASKED_SQL if c == 'txn_amount' else f'coalesce({c}, 0)'} AS DOUBLE)" for c in registry.FRAUD_V1)
 
@@ -458,8 +475,12 @@ LATEST_SQL = " UNION ALL ".join(f"SELECT '{k}' AS entity_type, {k}_id AS entity_
 
 @query("latest_features", LATEST_SQL)
 def _(t):
-    latest = serving.latest_features(t.raw("stream_transactions"))
-    return latest.select("entity_type", "entity_id", F.col("features")["last_txn_amount"].alias("amount"), F.col("features")["last_txn_local_hour"].alias("hour"), "event_timestamp")
+    """Kept by a stream over several batches, each of them merged twice, as after a failure."""
+    folder = _folder(t, "latest")
+    rows = serving.latest_rows(_stream(t))
+    store = store_module.KeyedStore(t.spark, f"{folder}/table", rows.schema, ["entity_type", "entity_id"], ["event_timestamp", "transaction_id"], buckets=8)
+    jobs.run_once(rows, lambda batch, number: [store.merge(batch, number) for _ in range(2)], f"{folder}/checkpoint")
+    return store.read().select("entity_type", "entity_id", F.col("features")["last_txn_amount"].alias("amount"), F.col("features")["last_txn_local_hour"].alias("hour"), "event_timestamp")
 
 
 @query("cold_fallback", f"""SELECT r.transaction_id, u.user_id IS NOT NULL AS feast_ok, coalesce(u.user_txn_count_7d, 0) AS user_txn_count_7d, CASE WHEN u.user_id IS NULL THEN coalesce(l.amount, 0) ELSE 0 END AS last_txn_amount
@@ -494,21 +515,28 @@ def _(t):
     return serving.online_features_at(requests, t.txns, t.logins).drop("user_id", "device_id", "now")
 
 
-# --- streams ---------------------------------------------------------------------------------------------------------
+@query("service_features", _at_sql())
+def _(t):
+    """The online features of a service, compiled from the registry."""
+    device = F.concat(F.lit("d_"), (F.col("login_event_id") % 40).cast("string"))
+    requests = t.logins.select(F.col("login_event_id").alias("request_id"), "user_id", device.alias("device_id"), F.col("event_timestamp").alias("now"))
+    return serving.service_features_at("fraud_full", requests, t.txns, t.logins)
 
 
-def _stream(t: Tables, name: str = "stream_transactions") -> DataFrame:
-    """A fixture table as a stream that reads the given file."""
-    source = "events"
-    schema = t.spark.read.parquet(f"{t.sf_dir}/{source}.parquet").schema
-    events = t.spark.readStream.schema(schema).option("pathGlobFilter", f"{source}.parquet" if not _is_folder(t, source) else "*.parquet")
-    events = events.parquet(f"{t.sf_dir}/{source}.parquet" if _is_folder(t, source) else t.sf_dir)
-    return fixtures.raw_from(t.spark, name, events)
+# --- streams ---------------------------------------------------------------------------------------------------------
 
 
-def _is_folder(t: Tables, name: str) -> bool:
-    files = t.spark.read.parquet(f"{t.sf_dir}/{name}.parquet").inputFiles()
-    return not any(f.rstrip("/").endswith(f"/{name}.parquet") for f in files)
+def _stream(t: Tables, name: str = "stream_transactions", slices: int = 3) -> DataFrame:
+    """A fixture table as a stream: the given events are written in slices of time, oldest first, and read a file at a time, so that
+    a run has several batches."""
+    folder, events = _folder(t, "source"), t.spark.read.parquet(f"{t.sf_dir}/events.parquet")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    place = F.floor((at - F.lit(first)) / F.lit((last or 0) - (first or 0) + 1) * slices)
+    for i in range(slices):
+        events.where(place == i).write.mode("append").parquet(folder)
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return fixtures.raw_from(t.spark, name, stream)
 
 
 def _landed(t: Tables, name: str, stream: DataFrame) -> DataFrame:
@@ -547,10 +575,7 @@ def _bucket_sql(key: str, interval: str, distinct: str, international: bool) ->
 def _streamed_buckets(t: Tables, make, key: str, window: str) -> DataFrame:
     """Buckets of a stream in update mode, upserted batch by batch."""
     folder = _folder(t, f"buckets-{window}")
-    sink, read = jobs.upserting(f"{folder}/table", [key, "window_start"])
-    stream = jobs.deduplicated(_stream(t))
-    jobs.run_once(make(stream, window), sink, f"{folder}/checkpoint")
-    return read(t.spark)
+    return jobs.upserted(make(jobs.deduplicated(_stream(t)), window), f"{folder}/table", [key, "window_start"], f"{folder}/checkpoint").read()
 
 
 def _counted(buckets: DataFrame, distinct: str) -> DataFrame:
@@ -576,14 +601,31 @@ def _(t):
     return t.spark.read.parquet(f"{folder}/table")
 
 
-@query("velocity_parity", "SELECT count(*) AS n, CAST(0 AS DOUBLE) AS off_rate FROM (SELECT DISTINCT user_id, time_bucket(INTERVAL 1 HOUR, event_timestamp) FROM stg_transactions)")
-def _(t):
-    """Hourly buckets against the sliding hour just before each bucket's end."""
-    buckets = jobs.user_velocity(t.txns, "1h")
-    ends = buckets.select("user_id", "window_start").withColumn("event_timestamp", F.col("window_start") + F.expr("INTERVAL 1 HOUR"))
-    both = t.txns.select("user_id", "event_timestamp", F.lit(True).alias("is_txn")).unionByName(ends.withColumn("is_txn", F.lit(False)), allowMissingColumns=True)
-    sliding = rolling(both, "user_id", [Rolling("txn_count", "count", 3600, "is_txn")]).where("NOT is_txn")
-    return jobs.velocity_parity(buckets, sliding.select("user_id", "window_start", "txn_count"), "user_id")
+def _parity(t: Tables, lost: str = "false") -> DataFrame:
+    """Hourly buckets of the stream against its sliding hour at each bucket's end, joined as streams. lost: a condition of transactions
+    that do not reach the sliding state."""
+    folder = _folder(t, "parity")
+    far, rows = F.lit("2100-01-01").cast("timestamp"), t.txns.select("transaction_id", "user_id", "merchant_id", "amount", "is_international", "event_timestamp")
+    last = rows.agg(F.max("event_timestamp")).first()[0]
+    for i, part in enumerate((rows.where("event_timestamp < TIMESTAMP '2024-01-12 00:00:00'"), rows.where("event_timestamp >= TIMESTAMP '2024-01-12 00:00:00'"))):
+        part.write.mode("append").parquet(f"{folder}/source")
+    # A row of the far future moves the watermark past all ends; the condition on the time keeps it out behind the watermark.
+    t.spark.range(1).select(far.alias("event_timestamp"), F.lit("end").alias("user_id")).write.mode("append").parquet(f"{folder}/source")
+    stream = lambda: t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source")
+    before = F.col("event_timestamp") <= F.lit(last)
+    sides = {
+        "buckets": jobs.finished_velocity(stream().withWatermark("event_timestamp", "10 minutes").where(before), "user_id", "merchant_id"),
+        "sliding": jobs.sliding_at_ends(stream().withWatermark("event_timestamp", "10 minutes").where(before & ~F.expr(lost)), "user_id"),
+    }
+    with jobs.settings(t.spark, jobs.ROCKSDB):
+        for name, side in sides.items():
+            jobs.landed_run(side, f"{folder}/{name}", f"{folder}/{name}-checkpoint")
+        landed = [t.spark.readStream.schema(side.schema).parquet(f"{folder}/{name}") for name, side in sides.items()]
+        jobs.landed_run(jobs.parity_rows(*landed), f"{folder}/both", f"{folder}/both-checkpoint")
+    return jobs.velocity_parity(t.spark.read.parquet(f"{folder}/both"))
+
+
+query("velocity_parity", "SELECT count(*) AS n, CAST(0 AS DOUBLE) AS off_rate FROM (SELECT DISTINCT user_id, time_bucket(INTERVAL 1 HOUR, event_timestamp) FROM stg_transactions)")(_parity)
 
 
 def _sliding(t: Tables, logins: bool, key: str = "user_id") -> DataFrame:
@@ -594,9 +636,8 @@ def _sliding(t: Tables, logins: bool, key: str = "user_id") -> DataFrame:
         failed = _stream(t, "raw_login_events").where("lower(trim(login_status)) = 'failed'")
         failed = failed.select(F.lit(None).cast("string").alias("transaction_id"), key, F.lit(None).cast("string").alias("merchant_id"), F.lit(0.0).alias("amount"), F.lit(True).alias("is_login"), "event_timestamp")
         events = events.unionByName(failed)
-    sink, read = jobs.upserting(f"{folder}/table", ["key", "transaction_id"])
-    jobs.run_once(jobs.sliding_features(events, key), sink, f"{folder}/checkpoint")
-    return read(t.spark)
+    with jobs.settings(t.spark, jobs.ROCKSDB):
+        return jobs.upserted(jobs.sliding_features(events, key), f"{folder}/table", ["key", "transaction_id"], f"{folder}/checkpoint").read()
 
 
 EVENTS_SQL = f"(SELECT transaction_id, user_id, device_id, merchant_id, amount, {sec()} AS s FROM stream_transactions WHERE amount > 0)"
@@ -625,15 +666,51 @@ query("login_failure_state", f"""SELECT t.user_id AS key, t.transaction_id, coun
 )
 
 
-@query("scored_stream", SCORED_SQL.replace("SELECT transaction_id", "SELECT CAST(NULL AS BIGINT) AS n_failed, transaction_id").replace("FROM stream_transactions", "FROM stream_transactions WHERE amount > 0") + " UNION ALL SELECT count(*), NULL, NULL, NULL, NULL FROM stream_transactions WHERE amount <= 0")
-def _(t):
-    """A stream joined with a snapshot, scored; rows that cannot be scored land apart and are counted."""
-    snapshot = serving.materialize_latest(features.device_txn_online_stats(t.txns), "device_id").select("device_id", "device_txn_count_1h")
-    good, failed = jobs.split_failed(_stream(t), F.col("amount") > 0)
-    scored = _score(good.join(snapshot, "device_id", "left").fillna(0, ["device_txn_count_1h"]))
-    landed = _landed(t, "scored", evaluation.scored_event(scored)).select("transaction_id", "fraud_score", "risk_band", "is_flagged")
-    counted = _landed(t, "failed", failed.select("transaction_id", "event_timestamp")).agg(F.count("*").alias("n_failed"))
-    return landed.unionByName(counted, allowMissingColumns=True)
+STREAM_FEATURES = ["amount", "local_hour", "user_txn_count_30d", "user_avg_ticket_30d", "device_txn_count_7d"]
+_LATEST = "QUALIFY row_number() OVER (PARTITION BY {0} ORDER BY event_timestamp DESC, transaction_id DESC) = 1"
+#: Gaussian naive Bayes with equal weight for both classes, fitted on staged transactions and applied to the stream's.
+STREAM_MODEL_SQL = f"""WITH users AS (SELECT * FROM int_user_txn WHERE event_timestamp <= TIMESTAMP '2024-01-20 00:00:00' {_LATEST.format('user_id')}),
+ devices AS (SELECT * FROM int_device WHERE event_timestamp <= TIMESTAMP '2024-01-20 00:00:00' {_LATEST.format('device_id')}),
+ inputs AS (SELECT t.transaction_id, CAST(t.amount AS DOUBLE) AS amount, CAST(t.local_hour AS DOUBLE) AS local_hour, CAST(coalesce(u.user_txn_count_30d, 0) AS DOUBLE) AS user_txn_count_30d,
+  coalesce(u.user_avg_ticket_30d, 0) AS user_avg_ticket_30d, CAST(coalesce(d.device_txn_count_7d, 0) AS DOUBLE) AS device_txn_count_7d
+  FROM stream_transactions t LEFT JOIN users u USING (user_id) LEFT JOIN devices d USING (device_id) WHERE t.amount > 0),
+ long AS (UNPIVOT inputs ON amount, local_hour, user_txn_count_30d, user_avg_ticket_30d, device_txn_count_7d INTO NAME feature VALUE x),
+ told AS (SELECT feature, is_fraud, avg(x) AS m, avg(x * x) - avg(x) * avg(x) AS v FROM long JOIN labelled USING (transaction_id) GROUP BY 1, 2),
+ sums AS (SELECT transaction_id, is_fraud, sum(-0.5 * ln(2 * pi() * v) - (x - m) * (x - m) / (2 * v)) AS s FROM long JOIN told USING (feature) GROUP BY 1, 2),
+ chances AS (SELECT transaction_id, 1 / (1 + exp(sum(CASE WHEN is_fraud = 0 THEN s ELSE -s END))) AS fraud_score FROM sums GROUP BY 1)"""
+
+
+def _stream_scorer(t: Tables, kind: str = "gaussian") -> scoring.StreamScorer:
+    """Snapshots of users and devices as of a day, and a model fitted on transactions with these snapshots' features."""
+    folder, day = _folder(t, "snapshots"), F.lit("2024-01-20 00:00:00").cast("timestamp")
+    stores = {}
+    for key, made in (("user_id", features.user_txn_stats(t.txns)), ("device_id", features.device_stats(t.txns, "sweep"))):
+        rows = serving.materialize_latest(made, key, end=day).select(key, *(c for c in STREAM_FEATURES if c in made.columns))
+        stores[key] = store_module.KeyedStore(t.spark, f"{folder}/{key}", rows.schema, [key], buckets=8)
+        stores[key].merge(rows, 0)
+    empty = scoring.StreamScorer(STREAM_FEATURES, None, None, stores)
+    txns = t.raw("stream_transactions").where("amount > 0").select("transaction_id", "user_id", "device_id", "amount", "local_hour")
+    rows = features.with_labels(empty.with_features(txns), t.labels)
+    assembler, model = evaluation.train_classifier(rows, STREAM_FEATURES, kind=kind, trees=5, depth=3)
+    return replace(empty, assembler=assembler, model=model)
+
+
+def _scored_stream(t: Tables, scorer: scoring.StreamScorer) -> tuple[DataFrame, int]:
+    """(scored rows, the number of those that could not be scored, as it was observed) of a run over several batches."""
+    folder = _folder(t, "scored")
+    stream = jobs.observed(_stream(t), "scored", F.col("amount") > 0)
+    counts = jobs.counted_run(stream, scorer.sink(f"{folder}/table"), f"{folder}/checkpoint")
+    return jobs.read_apart(t.spark, f"{folder}/table", True), counts.totals["scored"]["bad"]
+
+
+@query("scored_stream", STREAM_MODEL_SQL + f""" SELECT CAST(NULL AS BIGINT) AS n_failed, transaction_id, round(fraud_score, 4) AS fraud_score, {BAND.format('fraud_score')} AS risk_band, fraud_score >= 0.5 AS is_flagged FROM (SELECT transaction_id, round(fraud_score, 6) AS fraud_score FROM chances)
+ UNION ALL SELECT count(*), NULL, NULL, NULL, NULL FROM stream_transactions WHERE amount <= 0""")
+def _(t):
+    """A fitted model on a stream, with features of users and devices looked up for each batch; rows that cannot be scored land apart
+    and are counted while the stream runs."""
+    landed, failed = _scored_stream(t, _stream_scorer(t))
+    rows = evaluation.scored_event(landed).select("transaction_id", F.round("fraud_score", 4).alias("fraud_score"), "risk_band", "is_flagged")
+    return rows.unionByName(t.spark.range(1).select(F.lit(failed).cast("bigint").alias("n_failed")), allowMissingColumns=True)
 
 
 @query("kafka_txn_source", "SELECT transaction_id, amount, channel FROM stream_transactions")
@@ -669,7 +746,9 @@ query("fill_missing", "SELECT transaction_id, coalesce(CAST(is_international AS
 CUT = "(SELECT event_timestamp FROM {0} ORDER BY event_timestamp OFFSET (SELECT CAST(floor(count(*) * 0.8) AS BIGINT) FROM {0}) LIMIT 1)"
 SPLIT_SQL = f"SELECT transaction_id, event_timestamp, CASE WHEN event_timestamp < {CUT.format('stg_transactions')} THEN 'train' ELSE 'oot' END AS part FROM stg_transactions"
 query("temporal_split", SPLIT_SQL)(lambda t: evaluation.temporal_split(t.txns).select("transaction_id", "event_timestamp", "part"))
-query("stratified_split", "SELECT transaction_id, CASE WHEN substr(md5(concat('42', transaction_id)), 1, 8) < 'cccccccc' THEN 'train' ELSE 'test' END AS part FROM stg_transactions")(lambda t: evaluation.stratified_split(t.txns).select("transaction_id", "part"))
+query("stratified_split", "SELECT transaction_id, CASE WHEN row_number() OVER (PARTITION BY is_fraud ORDER BY md5(concat('42', transaction_id)), transaction_id) <= floor(0.8 * count(*) OVER (PARTITION BY is_fraud)) THEN 'train' ELSE 'test' END AS part FROM labelled")(
+    lambda t: evaluation.stratified_split(features.with_labels(t.txns.select("transaction_id"), t.labels)).select("transaction_id", "part")
+)
 query("calibration_carve", f"SELECT transaction_id, CASE WHEN part = 'train' AND event_timestamp >= {CUT.format(f'(SELECT * FROM ({SPLIT_SQL}) WHERE part = {chr(39)}train{chr(39)})')} THEN 'calibration' ELSE part END AS part FROM ({SPLIT_SQL})")(
     lambda t: evaluation.calibration_carve(evaluation.temporal_split(t.txns)).select("transaction_id", "part")
 )
@@ -703,10 +782,8 @@ def _trained(t: Tables):
 
 
 def _predicted(rows: DataFrame, assembler, model) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
-    out = model.transform(assembler.transform(rows))
-    return out.select("transaction_id", "part", F.col("is_fraud").alias("label"), vector_to_array("probability")[1].alias("score"))
+    out = evaluation.scored(rows, MODEL_FEATURES, assembler, model)
+    return out.select("transaction_id", "part", F.col("is_fraud").alias("label"), F.col("fraud_score").alias("score"))
 
 
 @query("train_classifier")
@@ -885,7 +962,17 @@ query("top_risky", "SELECT CAST(scored_at AS DATE) AS day, transaction_id, fraud
 query("score_detail", "SELECT s.transaction_id, s.fraud_score, f.user_txn_count_1h FROM score_log s LEFT JOIN int_user_online f USING (transaction_id)")(
     lambda t: monitoring.score_detail(t.scores, features.user_txn_online_stats(t.txns)).select("transaction_id", "fraud_score", "user_txn_count_1h")
 )
-query("log_retention", f"SELECT transaction_id, scored_at FROM score_log WHERE date_diff('day', CAST(scored_at AS DATE), DATE '{NOW[:10]}') < 7")(lambda t: monitoring.retained(t.scores, "scored_at", _now(), 7).select("transaction_id", "scored_at"))
+
+
+@query("log_retention", f"SELECT transaction_id, scored_at FROM score_log WHERE date_diff('day', CAST(scored_at AS DATE), DATE '{NOW[:10]}') < 7")
+def _(t):
+    """Day partitions of a table, dropped without rewriting what stays."""
+    folder = _folder(t, "log")
+    database = f"log_{folder.rsplit('-', 1)[1]}"
+    catalog.day_database(t.spark, database, folder)
+    catalog.append_days(t.scores.select("transaction_id", "scored_at"), f"{database}.scores", "scored_at")
+    catalog.drop_days(t.spark, f"{database}.scores", datetime.fromisoformat(NOW), 7)
+    return t.spark.table(f"{database}.scores").select("transaction_id", "scored_at")
 
 
 def queries() -> dict:

@@ -104,18 +104,15 @@ def kafka_txn_source(spark: SparkSession, servers: str, pattern: str = r"^txn\.r
     return spark.readStream.format(format).load(path)
 
 
-def decode(values: DataFrame, schema: T.StructType = TRANSACTION, key: str = "transaction_id") -> tuple[DataFrame, DataFrame]:
-    """(rows, bad values): JSON values decoded; those that do not parse or lack the key are kept apart, not fatal."""
-    parsed = values.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE", **JSON}).alias("row"))
-    good = F.col(f"row.{key}").isNotNull()
-    return parsed.where(good).select("row.*"), parsed.where(~F.coalesce(good, F.lit(False))).select("value")
+def parsed(values: DataFrame, schema: T.StructType = TRANSACTION) -> DataFrame:
+    """value and row, which is null or lacks fields where the value does not parse."""
+    return values.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE", **JSON}).alias("row"))
 
 
-def decoded_counts(values: DataFrame, schema: T.StructType = TRANSACTION, key: str = "transaction_id") -> DataFrame:
-    """good and bad: how many values decode keeps and how many it sets apart."""
-    row = F.from_json("value", schema, {"mode": "PERMISSIVE", **JSON})
-    good = values.select(row[key].isNotNull().alias("good"))
-    return good.agg(F.count_if(F.coalesce("good", F.lit(False))).alias("good"), F.count_if(~F.coalesce("good", F.lit(False))).alias("bad"))
+def decode(values: DataFrame, schema: T.StructType = TRANSACTION, key: str = "transaction_id") -> tuple[DataFrame, DataFrame]:
+    """(rows, bad values): JSON values decoded; those that do not parse or lack the key are kept apart, not fatal."""
+    rows, good = parsed(values, schema), F.col(f"row.{key}").isNotNull()
+    return rows.where(good).select("row.*"), rows.where(~F.coalesce(good, F.lit(False))).select("value")
 
 
 def confluent_header(value: Column) -> tuple[Column, Column, Column]:

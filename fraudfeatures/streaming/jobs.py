@@ -6,21 +6,22 @@ foreachBatch, so that a window shows from its first event on; rows later than th
 
 from __future__ import annotations
 
-import heapq
-import tempfile
-import uuid
+import time
+from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import count
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.listener import StreamingQueryListener
+
+from fraudfeatures.operators import serving
+from fraudfeatures.streaming.store import KeyedStore
 
 WATERMARK = "10 minutes"
 WINDOWS = {"5m": "5 minutes", "1h": "1 hour", "24h": "1 day"}
-ONLINE = {"user_txn": ("5m", "10m", "1h"), "login": ("15m", "1h")}
-SECONDS = {"5m": 300, "10m": 600, "15m": 900, "1h": 3600}
 
 
 def landed(stream: DataFrame) -> DataFrame:
@@ -32,11 +33,6 @@ def land(stream: DataFrame, path: str, checkpoint: str):
     return landed(stream).writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy("event_month").option("path", path)
 
 
-def split_failed(df: DataFrame, good: Column) -> tuple[DataFrame, DataFrame]:
-    """(rows for which good holds, the others, which are to be counted and kept apart); a null is a failure."""
-    return df.where(F.coalesce(good, F.lit(False))), df.where(~F.coalesce(good, F.lit(False)))
-
-
 def deduplicated(stream: DataFrame, id: str = "transaction_id", watermark: str = WATERMARK) -> DataFrame:
     """One row of each id: on a stream within the watermark, in a batch over all."""
     if stream.isStreaming:
@@ -67,6 +63,13 @@ def device_velocity(txns: DataFrame, window: str) -> DataFrame:
     return velocity(txns, "device_id", window, "user_id", international=False)
 
 
+def latest(stream: DataFrame, path: str, checkpoint: str, buckets: int = 32) -> KeyedStore:
+    """Keeps the latest features of each user and device of a stream of transactions: a batch is reduced to a row for each entity
+    before it is merged, and the newest event time wins, of equal ones the larger transaction id, in whatever order batches come."""
+    rows = serving.latest_rows(stream)
+    return upserted(rows, path, ["entity_type", "entity_id"], checkpoint, ["event_timestamp", "transaction_id"], buckets)
+
+
 def velocity_merge(buckets: DataFrame, key: str, distinct: str, since: Column) -> DataFrame:
     """Stored windows from `since` on, merged per key."""
     rows = buckets.where(F.col("window_start") >= since)
@@ -75,51 +78,77 @@ def velocity_merge(buckets: DataFrame, key: str, distinct: str, since: Column) -
     return sums.join(sets, key, "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
 
 
-def velocity_parity(buckets: DataFrame, sliding: DataFrame, key: str, tolerance: float = 0.01) -> DataFrame:
-    """n and off_rate: of (key, window_start) in both, how many counts differ by more than the tolerance."""
-    both = buckets.select(key, "window_start", F.col("txn_count").alias("a")).join(sliding.select(key, "window_start", F.col("txn_count").alias("b")), [key, "window_start"])
-    off = F.abs(F.col("a") - F.col("b")) > tolerance * F.greatest("b", F.lit(1))
+def finished_velocity(txns: DataFrame, key: str, distinct: str) -> DataFrame:
+    """The hourly windows of a stream with a watermark, each once, when that has passed its end: key, window_end, txn_count. For append
+    mode."""
+    rows = velocity(txns, key, "1h", distinct, international=False)
+    return rows.select(F.col(key).alias("key"), (F.col("window_start") + F.expr("INTERVAL 1 HOUR")).alias("window_end"), "txn_count")
+
+
+class SlidingEnds(StatefulProcessor):
+    """The number of transactions in the hour before each full hour in whose own hour a key had any: a timer at the full hour answers
+    from the transactions that are held, each once by second and id, and drops those before it."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.minutes = handle.getMapState("minutes", "minute long", "seconds array<double>, ids array<string>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new: dict[int, set] = {}
+        for r in pd.concat(list(rows)).itertuples():
+            new.setdefault(int(r.s // 60), set()).add((float(r.s), r.transaction_id or ""))
+        for minute, entries in new.items():
+            held = self.minutes.getValue((minute,)) if self.minutes.containsKey((minute,)) else ((), ())
+            entries |= set(zip(map(float, held[0]), held[1], strict=True))
+            self.minutes.updateValue((minute,), tuple(list(c) for c in zip(*sorted(entries), strict=True)))
+        for hour in {minute // 60 for minute in new}:
+            self.handle.registerTimer((hour + 1) * HOUR * 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        end, n = expiredTimerInfo.getExpiryTimeInMs() // 1000, 0
+        for minute, entries in list(self.minutes.iterator()):
+            n += sum(end - HOUR <= s < end for s in entries[0])
+            if minute[0] < end // 60:
+                self.minutes.removeKey((minute[0],))
+        yield pd.DataFrame({"key": [key[0]], "window_end": [pd.Timestamp(end, unit="s")], "txn_count": [n]})
+
+    def close(self) -> None:
+        pass
+
+
+def sliding_at_ends(txns: DataFrame, key: str) -> DataFrame:
+    """The sliding hour at the end of each hour, of a stream with a watermark: key, window_end, txn_count. For append mode; needs ROCKSDB
+    as the state store."""
+    rows = txns.where(F.col(key).isNotNull()).select("event_timestamp", F.col(key).alias("key"), "transaction_id", F.unix_timestamp("event_timestamp").cast("double").alias("s"))
+    return rows.groupBy("key").transformWithStateInPandas(SlidingEnds(), "key string, window_end timestamp, txn_count long", "append", "eventTime")
+
+
+def parity_rows(buckets: DataFrame, sliding: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """Joins two streams of (key, window_end, txn_count) by key and event time: key, window_end, buckets_count, sliding_count. Neither side
+    waits for longer than the watermark's delay."""
+    a = buckets.withWatermark("window_end", watermark).withColumnRenamed("txn_count", "buckets_count").alias("a")
+    b = sliding.withWatermark("window_end", watermark).withColumnRenamed("txn_count", "sliding_count").alias("b")
+    joined = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.window_end") == F.col("b.window_end")))
+    return joined.select("a.key", "a.window_end", "buckets_count", "sliding_count")
+
+
+def velocity_parity(both: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """n and off_rate of parity_rows: the share of counts that differ by more than the tolerance."""
+    off = F.abs(F.col("buckets_count") - F.col("sliding_count")) > tolerance * F.greatest("sliding_count", F.lit(1))
     return both.agg(F.count("*").alias("n"), F.round(F.avg(F.when(off, 1.0).otherwise(0.0)), 9).alias("off_rate"))
 
 
-STATE = "kinds array<string>, names array<string>, seconds array<double>, amounts array<double>"
-
-
-def slide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The last hour of a user's or device's transactions and failed logins.
-
-    Each event is added, what is an hour or more older than it is trimmed, and a row with the windows' values up to it is given
-    out. A transaction counts once; a merchant keeps the time it was last written, even if that is earlier; failed logins of one
-    time are one. The state goes a day after the last event.
-    """
-    if state.hasTimedOut:
-        state.remove()
-        return
-    kinds, names, seconds, amounts = state.get if state.exists else ([], [], [], [])
-    held = {(k, n): (s, a) for k, n, s, a in zip(kinds, names, seconds, amounts, strict=True)}
-    number = count()
-    ends = [(s, next(number), name) for name, (s, _) in held.items()]  # when what was written
-    heapq.heapify(ends)
-    batch, out = pd.concat(list(batches)).sort_values(["s", "transaction_id"], kind="stable", na_position="first"), []
-    for r in batch.itertuples():
-        added = {("login", f"login:{r.s}"): 0.0} if r.is_login else {("txn", r.transaction_id): r.amount, ("merchant", r.merchant_id): 0.0}
-        for name, amount in added.items():
-            held[name] = (r.s, amount)
-            heapq.heappush(ends, (r.s, next(number), name))
-        while ends and ends[0][0] <= r.s - 3600:
-            old, _, name = heapq.heappop(ends)
-            if name in held and held[name][0] == old:
-                del held[name]
-        if not r.is_login:
-            out.append({"key": key[0], "transaction_id": r.transaction_id, "s": r.s, **sliding_values(held, r.s)})
-    parts = [[k for k, _ in held], [n for _, n in held], [v[0] for v in held.values()], [v[1] for v in held.values()]]
-    state.update(tuple(parts))
-    last = max([batch["s"].max() * 1000, state.getCurrentWatermarkMs()])
-    state.setTimeoutTimestamp(int(last) + 86_400_000)
-    if out:
-        yield pd.DataFrame(out)
+def landed_run(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Everything there is of a stream, appended to files."""
+    writer = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
+#: Seconds of each window, and whether an event exactly so old still counts. What is an hour old is gone.
+SPANS = {"5m": (300, True), "10m": (600, True), "15m": (900, True), "1h": (3600, False)}
+TXN_WINDOWS, LOGIN_WINDOWS = ("5m", "10m", "1h"), ("15m", "1h")
+HOUR, IDLE_MS = 3600, 86_400_000
 SLIDING_SCHEMA = (
     "key string, transaction_id string, s double, txn_count_5m long, txn_count_10m long, txn_count_1h long, txn_amount_sum_5m double, "
     "txn_amount_sum_10m double, txn_amount_sum_1h double, distinct_merchants_5m long, distinct_merchants_10m long, "
@@ -127,56 +156,203 @@ SLIDING_SCHEMA = (
 )
 
 
-def sliding_values(held: dict, now: float) -> dict:
-    """The windows' values at a time, from (kind, name) -> (second, amount)."""
-    out = {}
-    for w in ("5m", "10m", "1h"):
-        txns = [v for (kind, _), v in held.items() if kind == "txn" and v[0] >= now - SECONDS[w]]
-        out[f"txn_count_{w}"] = len(txns)
-        out[f"txn_amount_sum_{w}"] = round(sum(v[1] for v in txns), 4)
-        out[f"distinct_merchants_{w}"] = sum(kind == "merchant" and v[0] >= now - SECONDS[w] for (kind, _), v in held.items())
-    for w in ("15m", "1h"):
-        out[f"failed_logins_{w}"] = sum(kind == "login" and v[0] >= now - SECONDS[w] for (kind, _), v in held.items())
-    return out
+class _Held:
+    """How many distinct members lie in a window, and the sum of their amounts, exact to a part in 2**40."""
+
+    def __init__(self):
+        self.times: Counter = Counter()
+        self.total = 0
+
+    def add(self, member, amount: float) -> None:
+        self.times[member] += 1
+        if self.times[member] == 1:
+            self.total += round(amount * 2**40)
+
+    def drop(self, member, amount: float) -> None:
+        self.times[member] -= 1
+        if not self.times[member]:
+            del self.times[member]
+            self.total -= round(amount * 2**40)
+
+
+def sliding_values(events: list[tuple], asked: set[int] | None = None) -> Iterator[tuple[int, dict]]:
+    """From events (second, kind, name, amount, merchant) in order, (place, the windows' values up to it) of each transaction, or those asked for.
+
+    A transaction of one id and amount counts once in a window, a merchant once, and failed logins of one second once. Each window has a
+    running state of its own that every event enters once and leaves once.
+    """
+    state = {(kind, w): _Held() for kind, windows in (("txn", TXN_WINDOWS), ("merchant", TXN_WINDOWS), ("login", LOGIN_WINDOWS)) for w in windows}
+    first = dict.fromkeys(SPANS, 0)
+
+    def members(event: tuple):
+        s, kind, name, amount, merchant = event
+        return [("login", s, 0.0)] if kind == "login" else [("txn", (name, amount), amount), ("merchant", merchant, 0.0)]
+
+    for i, event in enumerate(events):
+        for kind, member, amount in members(event):
+            for w in LOGIN_WINDOWS if kind == "login" else TXN_WINDOWS:
+                state[kind, w].add(member, amount)
+        for w, (seconds, inclusive) in SPANS.items():
+            while (age := event[0] - events[first[w]][0]) > seconds or (age == seconds and not inclusive):
+                for kind, member, amount in members(events[first[w]]):
+                    if (kind, w) in state:
+                        state[kind, w].drop(member, amount)
+                first[w] += 1
+        if event[1] == "txn" and (asked is None or i in asked):
+            out = {f"txn_count_{w}": len(state["txn", w].times) for w in TXN_WINDOWS}
+            out |= {f"txn_amount_sum_{w}": round(state["txn", w].total / 2**40, 4) for w in TXN_WINDOWS}
+            out |= {f"distinct_merchants_{w}": len(state["merchant", w].times) for w in TXN_WINDOWS}
+            yield i, out | {f"failed_logins_{w}": len(state["login", w].times) for w in LOGIN_WINDOWS}
+
+
+class SlidingState(StatefulProcessor):
+    """The last hour of a user's or device's transactions and failed logins, in typed state.
+
+    Events lie in a map by minute, so that a batch writes only the minutes it adds to and removes those that have passed. Each
+    transaction gives a row with its windows' values by event time, among all that is known of the key when it comes; what is an
+    hour or more older than the newest event is trimmed. A timer clears the key when the watermark passes a day after its newest
+    event. (TTL of states goes by the clock alone, so it could not be replayed.)
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.minutes = handle.getMapState("minutes", "minute long", "seconds array<double>, kinds array<string>, names array<string>, amounts array<double>, merchants array<string>")
+        self.newest = handle.getValueState("newest", "second double, timer long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        newest, timer = self.newest.get() if self.newest.exists() else (None, None)
+        held = {int(minute[0]): list(zip(*map(list, entries), strict=True)) for minute, entries in self.minutes.iterator()} if newest is not None else {}
+        batch = pd.concat(list(rows))
+        new = set()
+        for r in batch.itertuples():
+            event = (float(r.s), "login", "", 0.0, "") if r.is_login else (float(r.s), "txn", r.transaction_id or "", float(r.amount), r.merchant_id or "")
+            new.add(event)
+        newest = max([newest or 0.0, *(e[0] for e in new)])
+        late = {e for entries in held.values() for e in entries if e[0] > min(x[0] for x in new) - HOUR}
+        events = sorted(late | new, key=lambda e: (e[0], e[1] != "login", e[2], e[3], e[4]))
+        asked = {i for i, e in enumerate(events) if e in new}
+        out = [{"key": key[0], "transaction_id": events[i][2], "s": events[i][0], **values} for i, values in sliding_values(events, asked)]
+
+        for minute in {int(e[0] // 60) for e in new if e[0] > newest - HOUR}:
+            entries = sorted({*held.get(minute, []), *(e for e in new if e[0] // 60 == minute)}, key=lambda e: (e[0], e[1], e[2], e[3], e[4]))
+            self.minutes.updateValue((minute,), tuple(list(c) for c in zip(*entries, strict=True)))
+        for minute in held:
+            if (minute + 1) * 60 <= newest - HOUR:
+                self.minutes.removeKey((minute,))
+        ends = max(int(newest * 1000), timerValues.getCurrentWatermarkInMs()) + IDLE_MS
+        if timer != ends:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(ends)
+        self.newest.update((newest, ends))
+        if out:
+            yield pd.DataFrame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.minutes.clear()
+        self.newest.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def sliding_features(events: DataFrame, key: str, watermark: str = WATERMARK) -> DataFrame:
     """A stream of (key, transaction_id, merchant_id, amount, is_login, event_timestamp) as a stream of each transaction's sliding
-    features."""
-    rows = events.withWatermark("event_timestamp", watermark).select(
-        "event_timestamp", F.col(key).alias("key"), "transaction_id", "merchant_id", F.col("amount").cast("double").alias("amount"), "is_login",
+    features. Needs ROCKSDB as the state store. Rows with a null key are left out."""
+    rows = events.withWatermark("event_timestamp", watermark).where(F.col(key).isNotNull()).select(
+        "event_timestamp", F.col(key).alias("key"), "transaction_id", "merchant_id", F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("amount"), "is_login",
         F.unix_timestamp("event_timestamp").cast("double").alias("s"),
     )
-    return rows.groupBy("key").applyInPandasWithState(slide, SLIDING_SCHEMA, STATE, "update", "EventTimeTimeout")
+    return rows.groupBy("key").transformWithStateInPandas(SlidingState(), SLIDING_SCHEMA, "update", "eventTime")
+
 
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
-def run_once(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update") -> None:
-    """Everything there is, then an end."""
-    stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink).trigger(availableNow=True).start().awaitTermination()
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session with these settings; a stream keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-def upserting(path: str, keys: list[str]) -> tuple[Callable[[DataFrame, int], None], Callable[[SparkSession], DataFrame]]:
-    """(a sink, a reader): every batch is written under its number, which a repeated batch replaces; the reader gives the
-    latest row of each key."""
+
+class Counts(StreamingQueryListener):
+    """Adds up what streams observe while they run (DataFrame.observe): totals[name of the observation][metric]. Batches that are
+    repeated after a failure report again, so that a count is one of rows handled."""
+
+    def __init__(self):
+        self.totals: dict[str, Counter] = {}
+        self.batches: Counter = Counter()
+        self.rows_read = 0
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows_read += event.progress.numInputRows
+        for name, row in event.progress.observedMetrics.items():
+            self.batches[name] += 1
+            self.totals.setdefault(name, Counter()).update({k: v or 0 for k, v in row.asDict().items()})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+def observed(stream: DataFrame, name: str, good: Column) -> DataFrame:
+    """The stream, with `is_good` (a null is bad), counted as good and bad while it passes by."""
+    out = stream.withColumn("is_good", F.coalesce(good, F.lit(False)))
+    return out.observe(name, F.count_if("is_good").alias("good"), F.count_if(~F.col("is_good")).alias("bad"))
+
+
+def counted_run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", wait: float = 60.0) -> Counts:
+    """run_once, and what it observed."""
+    counts = Counts()
+    streams = stream.sparkSession.streams
+    streams.addListener(counts)
+    try:
+        query = run_once(stream, sink, checkpoint, mode)
+        ends = time.monotonic() + wait
+        while str(query.runId) not in counts.ended and time.monotonic() < ends:  # events come a little after the end
+            time.sleep(0.05)
+    finally:
+        streams.removeListener(counts)
+    return counts
+
+
+def apart(path: str, part: str = "is_good") -> Callable[[DataFrame, int], None]:
+    """A sink that writes a batch in one pass, good and bad rows to folders of their own; a repeated batch replaces itself."""
 
     def sink(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch_no", F.lit(number)).write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    def read(spark: SparkSession) -> DataFrame:
-        rows = spark.read.option("basePath", path).parquet(path)
-        columns = [c for c in rows.columns if c not in ("batch", "batch_no")]
-        return rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch_no").alias("row")).select("row.*")
-
-    return sink, read
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder where all executors can write: under spark.checkpoint.dir. Only a local session, whose executors are this
-    process, may leave that unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        batch.write.mode("overwrite").partitionBy(part).parquet(f"{path}/batch={number}")
+
+    return sink
+
+
+def read_apart(spark: SparkSession, path: str, good: bool) -> DataFrame:
+    """The good or the bad rows that `apart` has written."""
+    return spark.read.option("basePath", path).parquet(path).where(F.col("is_good") == good).drop("batch", "is_good")
+
+
+def run_once(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update"):
+    """Everything there is, in as many batches as the source is cut into, then an end; the ended query."""
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(sink).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def upserted(stream: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str] | None = None, buckets: int = 32) -> KeyedStore:
+    """Runs a stream in update mode into a store of the newest row of each key."""
+    store = KeyedStore(stream.sparkSession, path, stream.schema, keys, order, buckets)
+    run_once(stream, store.merge, checkpoint)
+    return store

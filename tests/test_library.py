@@ -211,12 +211,6 @@ def test_score_log_keeps_the_first(spark):
     assert [(r["transaction_id"], r["fraud_score"]) for r in got] == [("a", 0.2)]
 
 
-def test_sliding_values():
-    held = {("txn", "a"): (0.0, 1.0), ("txn", "b"): (3500.0, 2.0), ("merchant", "m"): (3500.0, 0.0), ("login", "x"): (3000.0, 0.0)}
-    got = jobs.sliding_values(held, 3600.0)
-    assert (got["txn_count_5m"], got["txn_count_1h"], got["txn_amount_sum_1h"], got["distinct_merchants_5m"], got["failed_logins_15m"]) == (1, 2, 3.0, 1, 1)
-
-
 def test_stream_state_equals_the_batch_lookup(spark, small):
     """W7 against M5 on the given events; only what comes in the same second may differ."""
     from fraudfeatures.plans import queries
