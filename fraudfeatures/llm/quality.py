@@ -1,11 +1,12 @@
 """Quality by co-training of two views.
 
 One classifier sees the text: how words repeat, what characters it is made of, and which words it has, as the evidence that
-these words give by the labelled documents (naive Bayes over hashed words, each labelled document judged by the words of
-the others' half). The other sees what is known about the page: source, language and length. Both start from the labelled documents.
-In each round both score all documents, whose labels they do not look at, and what one of them is sure about is learned by the
-other: as counts for each combination of page data, as sums of gradients for the text. Then each is calibrated on labelled
-documents that neither learned from, and the calibrated views are combined into one score for every document.
+these words give (naive Bayes over hashed words). The other sees what is known about the page: source, language and length. Both start
+from the labelled documents. In each round both score all other documents, and what one of them is sure about the other learns: the
+text's evidence takes in the words of documents that the page view is sure of, counted by label over all documents, and the page
+view the page data of documents that the text view is sure of. A view is sure beyond the decision values where labelled documents,
+judged by a fit without them, bear it out. Then each view is calibrated on labelled documents that neither learned from and that took no
+part in the exchange, and the calibrated views are combined into one score for every document.
 """
 
 from __future__ import annotations
@@ -103,12 +104,17 @@ def page_features(places: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_evidence(found: list[np.ndarray], label: np.ndarray) -> np.ndarray:
-    """For each bucket the logarithm of how much likelier it is in good documents than in bad ones."""
+def word_counts(found: list[np.ndarray], label: np.ndarray) -> np.ndarray:
+    """By label, in how many documents each bucket occurs."""
     counts = np.zeros((2, WORDS))
     for b, y in zip(found, label, strict=True):
         counts[int(y), b] += 1
-    share = (counts + 1) / (np.bincount(label.astype(int), minlength=2)[:, None] + 2)
+    return counts
+
+
+def evidence_of(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each bucket the logarithm of how much likelier it is in good documents than in bad ones. n: documents by label."""
+    share = (counts + 1) / (n[:, None] + 2)
     return (np.log(share[1]) - np.log(share[0])).astype(np.float32)
 
 
@@ -168,108 +174,130 @@ def _matrix(x: pd.DataFrame, evidence: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.column_stack([np.stack(x["surface"].to_list()), words]), np.stack(x["places"].to_list())
 
 
-def _statistics(views: DataFrame, evidence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and spread of the text's features over all documents."""
+def _statistics(views: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of the texts' surface over all documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((2, TEXT_FEATURES))
-        n = 0
+        total, n = np.zeros((2, SURFACE)), 0
         for x in batches:
             if len(x):
-                text, _ = _matrix(x, evidence)
+                text = np.stack(x["surface"].to_list())
                 total, n = total + [text.sum(axis=0), (text * text).sum(axis=0)], n + len(x)
         yield pd.DataFrame({"n": [n], "sums": [total.ravel().tolist()]})
 
-    sums = F.array(*(F.sum(F.col("sums")[i]) for i in range(2 * TEXT_FEATURES)))
-    row = views.mapInPandas(run, "n long, sums array<double>").agg(F.sum("n").alias("n"), sums.alias("sums")).first()
+    sums = F.array(*(F.sum(F.col("sums")[i]) for i in range(2 * SURFACE)))
+    row = views.select("surface").mapInPandas(run, "n long, sums array<double>").agg(F.sum("n").alias("n"), sums.alias("sums")).first()
     first, second = np.array(row["sums"]).reshape(2, -1) / row["n"]
     return first, np.sqrt(np.maximum(second - first**2, 0)) + 1e-6
 
 
-def _exchange(views: DataFrame, told: Views, sure: float) -> tuple[np.ndarray, np.ndarray, float, pd.DataFrame]:
-    """What the views tell each other about all documents, whose labels are not looked at: gradient and curvature of the
-    text's weights by the page's labels with their number, and (source, language, length, label, n) by the text's."""
-    size = 2 * TEXT_FEATURES + 1
-    limit = float(np.log(sure / (1 - sure)))
+def cutoffs(decision: np.ndarray, label: np.ndarray, sure: float) -> tuple[float, float]:
+    """(low, high): the widest ranges of decision values, up to low and from high on, in which at least `sure` of the labels are 0 and 1,
+    of five documents or more; infinite where there is none. Equal values count together."""
+    out = []
+    for sign in (-1, 1):
+        order = np.argsort(-sign * decision, kind="stable")
+        right = np.cumsum(label[order] == (sign > 0)) / np.arange(1, len(order) + 1)
+        ends = np.append(decision[order][1:] != decision[order][:-1], True)
+        at = np.flatnonzero(ends & (right >= sure) & (np.arange(len(order)) >= 4))
+        out.append(decision[order][at[-1]] if len(at) else sign * np.inf)
+    return float(out[0]), float(out[1])
+
+
+def _exchange(views: DataFrame, told: Views, by_text: tuple[float, float], by_page: tuple[float, float]) -> tuple[np.ndarray, np.ndarray, pd.DataFrame]:
+    """What the views tell each other about documents whose labels are not looked at, beyond their cutoffs: the counts of words and the
+    number of documents by the page's label, and (source, language, length, label, n) by the text's."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums, counts = np.zeros(size + size * size + 1), Counter()
+        words, n, pages = np.zeros((2, WORDS), np.int64), np.zeros(2, np.int64), Counter()
         for x in batches:
             if not len(x):
                 continue
             text, places = _matrix(x, told.evidence)
-            by_text, by_page = told.raw(text, places)
-            at = np.abs(by_page) >= limit
-            z = np.hstack([told.bent(text[at]), np.ones((at.sum(), 1))])
-            p = sigmoid(by_text[at])
-            sums[:size] += z.T @ (p - (by_page[at] > 0))
-            sums[size:-1] += ((z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z).ravel()
-            sums[-1] += at.sum()
-            at = np.abs(by_text) >= limit
-            counts.update(zip(*places[at].T.tolist(), (by_text[at] > 0).astype(int).tolist(), strict=True))
-        rows = [(*k, float(v), None) for k, v in counts.items()] + [(-1, -1, -1, -1, 0.0, sums.tolist())]
-        yield pd.DataFrame(rows, columns=["source", "lang", "length", "label", "n", "sums"])
-
-    rows = frozen(views.mapInPandas(run, "source int, lang int, length int, label int, n double, sums array<double>"), "exchanged")
-    # SOURCES x LANGUAGES x LENGTHS x 2 rows at most, and one of sums.
-    counts = rows.where("label >= 0").groupBy("source", "lang", "length", "label").agg(F.sum("n").alias("n")).toPandas()
-    total = rows.where("label < 0").select(F.posexplode("sums").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).toPandas()
-    sums = np.zeros(size + size * size + 1)
-    sums[total["i"]] = total["v"]
-    return sums[:size], sums[size:-1].reshape(size, size), float(sums[-1]), counts
+            of_text, of_page = told.raw(text, places)
+            for y, sure in enumerate((of_page <= by_page[0], of_page >= by_page[1])):
+                held = [np.frombuffer(b, np.uint16) for b in x["buckets"][sure]]
+                words[y] += np.bincount(np.concatenate([*held, np.zeros(0, np.uint16)]), minlength=WORDS)
+                n[y] += sure.sum()
+            for y, sure in enumerate((of_text <= by_text[0], of_text >= by_text[1])):
+                pages.update(zip(*places[sure].T.tolist(), [y] * int(sure.sum()), strict=True))
+        label, bucket = np.nonzero(words)
+        yield pd.DataFrame({"kind": 0, "a": bucket, "b": 0, "c": 0, "label": label, "n": words[label, bucket]})
+        yield pd.DataFrame({"kind": 1, "a": 0, "b": 0, "c": 0, "label": [0, 1], "n": n})
+        if pages:
+            yield pd.DataFrame([(2, *k, v) for k, v in pages.items()], columns=["kind", "a", "b", "c", "label", "n"])
+
+    rows = views.mapInPandas(run, "kind int, a int, b int, c int, label int, n long")
+    # 2 x WORDS counts of words, and SOURCES x LANGUAGES x LENGTHS x 2 of page data at most.
+    rows = rows.groupBy("kind", "a", "b", "c", "label").agg(F.sum("n").alias("n")).toPandas()
+    words, n = np.zeros((2, WORDS)), np.zeros(2)
+    of = {kind: rows[rows["kind"] == kind] for kind in (0, 1, 2)}
+    words[of[0]["label"], of[0]["a"]] = of[0]["n"]
+    n[of[1]["label"]] = of[1]["n"]
+    return words, n, of[2].rename(columns={"a": "source", "b": "lang", "c": "length"}).sort_values(["source", "lang", "length", "label"], ignore_index=True)
 
 
 def co_train(views: DataFrame, labelled: pd.DataFrame, rounds: int, sure: float, trust: float) -> Views | None:
-    """labelled: rows of VIEW with a label of 0 or 1, in order; every fourth is kept for calibration. views: all documents that
-    may be learned from."""
+    """labelled: rows of VIEW with a label of 0 or 1, in order; every fourth is kept for calibration. views: the documents that the
+    views label for each other, none of them labelled."""
     if min((labelled["label"] == 1).sum(), (labelled["label"] == 0).sum()) < 5:
         return None
     found = [np.frombuffer(b, np.uint16) for b in labelled["buckets"]]
     label, number = labelled["label"].to_numpy(float), np.arange(len(labelled))
-    test = number % 4 == 0
-    told = Views(word_evidence([found[i] for i in number[~test]], label[~test]), np.zeros(0), np.zeros(0))
-    told = replace(told, **dict(zip(("mean", "spread"), _statistics(views, told.evidence), strict=True)))
-    text, places = _matrix(labelled, told.evidence)
-    for half in (0, 1):  # a document that is learned from is judged by the words of the other half
-        own, other = (~test & (number // 4 % 2 == h) for h in (half, 1 - half))
-        evidence = word_evidence([found[i] for i in number[other]], label[other])
-        text[own, -1] = [mean_evidence(found[i], evidence) for i in number[own]]
-    x, y, pages = told.bent(text[~test]), label[~test], page_features(places[~test])
-    told = replace(told, text=fit_logistic(x, y, ridge=1.0), page=fit_logistic(pages, y, ridge=1.0))
+    test, half = number % 4 == 0, number // 4 % 2
+    counted = lambda at: (word_counts([found[i] for i in number[at]], label[at]), np.bincount(label[at].astype(int), minlength=2))
+    parts = [counted(~test & (half == h)) for h in (0, 1)]
+    surface, spread = _statistics(views.select("surface").unionByName(views.sparkSession.createDataFrame(labelled[["surface"]])))
+    places = np.stack(labelled["places"].to_list())
+    y, pages, own_half = label[~test], page_features(places[~test]), half[~test]
+
+    def learned(words: np.ndarray, n: np.ndarray, counts: pd.DataFrame | None) -> tuple[Views, tuple[float, float], tuple[float, float]]:
+        """Both views, and where each is sure, from the labelled documents and what the other view says of the others. A document that is
+        learned from is judged by the words of the others' half."""
+        evidence = [evidence_of(parts[1 - h][0] + words, parts[1 - h][1] + n) for h in (0, 1)]
+        whole = evidence_of(parts[0][0] + parts[1][0] + words, parts[0][1] + parts[1][1] + n)
+        text, _ = _matrix(labelled, whole)
+        judged = text.copy()
+        judged[~test, -1] = [mean_evidence(found[i], evidence[half[i]]) for i in number[~test]]
+        told = Views(whole, np.append(surface, judged[~test, -1].mean()), np.append(spread, judged[~test, -1].std() + 1e-6))
+        x = told.bent(judged[~test])
+        more, weight, extra = pages[:0], np.zeros(0), np.zeros(0)
+        if counts is not None and len(counts):
+            more, extra = page_features(counts[["source", "lang", "length"]].to_numpy()), counts["label"].to_numpy(float)
+            weight = counts["n"].to_numpy() * min(1.0, trust * len(y) / counts["n"].sum())
+        page = lambda at: fit_logistic(np.vstack([pages[at], more]), np.append(y[at], extra), np.append(np.ones(at.sum()), weight), ridge=1.0)
+        of_text, of_page = np.zeros(len(y)), np.zeros(len(y))
+        for h in (0, 1):  # where a view is sure shows in documents that it was not fitted on
+            own = own_half == h
+            of_text[own], of_page[own] = logit(x[own], fit_logistic(x[~own], y[~own], ridge=1.0)), logit(pages[own], page(~own))
+        told = replace(told, text=fit_logistic(x, y, ridge=1.0), page=page(np.ones(len(y), bool)))
+        return told, cutoffs(of_text, y, sure), cutoffs(of_page, y, sure)
+
+    told, by_text, by_page = learned(np.zeros((2, WORDS)), np.zeros(2), None)
     for _ in range(rounds):
-        slope, curve, n, counts = _exchange(views, told, sure)
-        # The text: a step of Newton's method on the labelled documents and the others together.
-        z, w = np.hstack([x, np.ones((len(x), 1))]), min(1.0, trust * len(x) / max(n, 1.0))
-        p, penalty = sigmoid(z @ told.text), np.append(np.ones(x.shape[1]), 1e-6)
-        slope = z.T @ (p - y) + penalty * told.text + w * slope
-        curve = (z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z + np.diag(penalty) + w * curve
-        step = np.linalg.solve(curve, slope)
-        page, weight = told.page, np.ones(len(y))
-        if len(counts):
-            more = counts["n"].to_numpy() * min(1.0, trust * len(x) / counts["n"].sum())
-            both = np.vstack([pages, page_features(counts[["source", "lang", "length"]].to_numpy())])
-            page = fit_logistic(both, np.append(y, counts["label"].to_numpy(float)), np.append(weight, more), ridge=1.0)
-        told = replace(told, text=told.text - step * min(1, 5 / (np.abs(step).max() + 1e-9)), page=page)
+        told, by_text, by_page = learned(*_exchange(views, told, by_text, by_page))
+    text, _ = _matrix(labelled, told.evidence)
     raw = told.raw(text[test], places[test])
     told = replace(told, calibration=tuple(fit_logistic(r[:, None], label[test], ridge=0.1) for r in raw))
     return replace(told, combination=fit_logistic(told.calibrated(text[test], places[test]), label[test], ridge=0.1))
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = 4000, rounds: int = 3, sure: float = 0.97, trust: float = 1.0) -> Views | None:
+def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = 4000, rounds: int = 3, sure: float = 0.95, trust: float = 1.0) -> Views | None:
     """The views, fitted on at most labelled_rows labelled documents, those of the smallest hashes of their ids, and on what the
-    views say of all documents. docs: (doc_id, text, lang, source, n_chars); labels: (doc_id, quality); of rows that repeat a
-    doc_id the lowest label and the smallest row count. Documents that are held out and null ids are not learned from. sure:
-    the chance from which a view's word is taken; trust: what all words of a view weigh at most, against the labelled
-    documents. None unless each label occurs five times."""
+    views say of all others. docs: (doc_id, text, lang, source, n_chars); labels: (doc_id, quality); of rows that repeat a
+    doc_id the lowest label and the smallest row count. Documents that are held out and null ids are not learned from. sure: the share of
+    labelled documents that must bear a view out where its word is taken; trust: what all words of the text view weigh at most in the
+    page view, against the labelled documents. None unless each label occurs five times."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
     known = known.select("doc_id", (F.col("label") > 0).cast("int").alias("label"))
     rows = docs.where("doc_id IS NOT NULL").where(~is_held_out(F.col("doc_id"))).select("doc_id", "text", "lang", "source", "n_chars")
     views = frozen(viewed(rows), "views")
     # labelled_rows ids at most.
-    some = sampled(frozen(views.select("doc_id").distinct().join(known, "doc_id"), "labelled"), labelled_rows, "doc_id")
-    some = views.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min(F.struct("label", "surface", "buckets", "places")).alias("row"))
+    chosen = frozen(sampled(frozen(views.select("doc_id").distinct().join(known, "doc_id"), "labelled"), labelled_rows, "doc_id"), "chosen")
+    some = views.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("label", "surface", "buckets", "places")).alias("row"))
     labelled = some.select("doc_id", "row.*").toPandas().sort_values("doc_id", ignore_index=True)
-    return co_train(views, labelled, rounds, sure, trust) if len(labelled) else None
+    others = views.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
+    return co_train(others, labelled, rounds, sure, trust) if len(labelled) else None
 
 
 def quality(text: Column, lang: Column, source: Column, n_chars: Column, views: Views | None) -> Column:
