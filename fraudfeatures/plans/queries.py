@@ -668,14 +668,16 @@ query("login_failure_state", f"""SELECT t.user_id AS key, t.transaction_id, coun
 
 STREAM_FEATURES = ["amount", "local_hour", "user_txn_count_30d", "user_avg_ticket_30d", "device_txn_count_7d"]
 _LATEST = "QUALIFY row_number() OVER (PARTITION BY {0} ORDER BY event_timestamp DESC, transaction_id DESC) = 1"
-#: Gaussian naive Bayes with equal weight for both classes, fitted on staged transactions and applied to the stream's.
+#: Gaussian naive Bayes with equal weight for both classes (variances raised by 1e-9 of the largest, as the library does), fitted on the
+#: stream's transactions.
 STREAM_MODEL_SQL = f"""WITH users AS (SELECT * FROM int_user_txn WHERE event_timestamp <= TIMESTAMP '2024-01-20 00:00:00' {_LATEST.format('user_id')}),
  devices AS (SELECT * FROM int_device WHERE event_timestamp <= TIMESTAMP '2024-01-20 00:00:00' {_LATEST.format('device_id')}),
  inputs AS (SELECT t.transaction_id, CAST(t.amount AS DOUBLE) AS amount, CAST(t.local_hour AS DOUBLE) AS local_hour, CAST(coalesce(u.user_txn_count_30d, 0) AS DOUBLE) AS user_txn_count_30d,
   coalesce(u.user_avg_ticket_30d, 0) AS user_avg_ticket_30d, CAST(coalesce(d.device_txn_count_7d, 0) AS DOUBLE) AS device_txn_count_7d
   FROM stream_transactions t LEFT JOIN users u USING (user_id) LEFT JOIN devices d USING (device_id) WHERE t.amount > 0),
  long AS (UNPIVOT inputs ON amount, local_hour, user_txn_count_30d, user_avg_ticket_30d, device_txn_count_7d INTO NAME feature VALUE x),
- told AS (SELECT feature, is_fraud, avg(x) AS m, avg(x * x) - avg(x) * avg(x) AS v FROM long JOIN labelled USING (transaction_id) GROUP BY 1, 2),
+ means AS (SELECT feature, is_fraud, avg(x) AS m, avg(x * x) AS q FROM long JOIN labelled USING (transaction_id) GROUP BY 1, 2),
+ told AS (SELECT feature, is_fraud, m, q - m * m + (SELECT 1e-9 * max(v) FROM (SELECT avg(q) - avg(m) * avg(m) AS v FROM means GROUP BY feature)) AS v FROM means),
  sums AS (SELECT transaction_id, is_fraud, sum(-0.5 * ln(2 * pi() * v) - (x - m) * (x - m) / (2 * v)) AS s FROM long JOIN told USING (feature) GROUP BY 1, 2),
  chances AS (SELECT transaction_id, 1 / (1 + exp(sum(CASE WHEN is_fraud = 0 THEN s ELSE -s END))) AS fraud_score FROM sums GROUP BY 1)"""
 
@@ -703,13 +705,13 @@ def _scored_stream(t: Tables, scorer: scoring.StreamScorer) -> tuple[DataFrame,
     return jobs.read_apart(t.spark, f"{folder}/table", True), counts.totals["scored"]["bad"]
 
 
-@query("scored_stream", STREAM_MODEL_SQL + f""" SELECT CAST(NULL AS BIGINT) AS n_failed, transaction_id, round(fraud_score, 4) AS fraud_score, {BAND.format('fraud_score')} AS risk_band, fraud_score >= 0.5 AS is_flagged FROM (SELECT transaction_id, round(fraud_score, 6) AS fraud_score FROM chances)
+@query("scored_stream", STREAM_MODEL_SQL + f""" SELECT CAST(NULL AS BIGINT) AS n_failed, transaction_id, fraud_score, {BAND.format('fraud_score')} AS risk_band, fraud_score >= 0.5 AS is_flagged FROM (SELECT transaction_id, round(fraud_score, 6) AS fraud_score FROM chances)
  UNION ALL SELECT count(*), NULL, NULL, NULL, NULL FROM stream_transactions WHERE amount <= 0""")
 def _(t):
     """A fitted model on a stream, with features of users and devices looked up for each batch; rows that cannot be scored land apart
     and are counted while the stream runs."""
     landed, failed = _scored_stream(t, _stream_scorer(t))
-    rows = evaluation.scored_event(landed).select("transaction_id", F.round("fraud_score", 4).alias("fraud_score"), "risk_band", "is_flagged")
+    rows = evaluation.scored_event(landed).select("transaction_id", "fraud_score", "risk_band", "is_flagged")
     return rows.unionByName(t.spark.range(1).select(F.lit(failed).cast("bigint").alias("n_failed")), allowMissingColumns=True)
 
 
