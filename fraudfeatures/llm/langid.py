@@ -150,6 +150,7 @@ def fit(labelled: DataFrame, per_language: int = 300, per_document: int = 4) ->
     smallest hashes of their ids, and per_document windows of each. Null languages and texts without letters are not
     learned from; None if nothing is left."""
     some = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    # Each task keeps per_language rows of a language before they are exchanged.
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = some.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
     # per_language ids of each language.
@@ -200,6 +201,24 @@ def language(text: Column, model: ByteGru | None) -> Column:
     return F.when(F.coalesce(text.rlike(r"\p{L}"), F.lit(False)), predict(text)).otherwise(nothing)
 
 
+def least_score(judged: DataFrame, model: ByteGru) -> float:
+    """The score below which predictions are more often wrong than right, measured on (text, lang) that the model has not learned from:
+    the highest hundredth under which at least half of all predictions are wrong; 0 if there is none. Texts without letters and null
+    languages don't count."""
+    rows = judged.where(F.col("lang").isNotNull()).select("lang", language(F.col("text"), model).alias("found"))
+    rows = rows.where(F.col("found.lang_pred") != UNDETERMINED)
+    rows = rows.select(F.floor(F.col("found.score") * 100).cast("int").alias("at"), (F.col("found.lang_pred") != F.col("lang")).alias("wrong"))
+    # 101 rows at most.
+    counts = sorted(map(tuple, rows.groupBy("at").agg(F.count("*"), F.count_if("wrong")).collect()))
+    n = wrong = 0
+    least = 0.0
+    for at, more, bad in counts:
+        n, wrong = n + more, wrong + bad
+        if 2 * wrong >= n:
+            least = (at + 1) / 100
+    return least
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(~is_held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
 

@@ -3,7 +3,8 @@
 Documents are cut into windows as far as they fill them; what is left of each is packed. The rests are sorted by what they
 are about: each is known by its terms of high weight, in one random order of all terms, and the lists of these are sorted
 over all tasks by range, equal ones by a salt. Two documents begin alike with the chance of the overlap of their terms
-(MinHash), however many others there are. Shards are cut from this order, SHARD documents each, so that a first term that
+(MinHash), however many others there are. A rest that begins unlike both its neighbours goes on to the next random order, where it and the
+others that have found nothing are sorted anew; the last order keeps all. Shards are cut from these orders, so that a first term that
 too many share is split by the next ones. Each shard builds a BM25 inverted index over its rests, with
 document frequencies counted over all documents. A seed opens a window; the index returns its unused neighbours in order of their scores, and
 those that fit fill the window greedily. What no whole neighbour fills is filled by the first part of the best
@@ -26,13 +27,13 @@ from pyspark.sql import functions as F
 from .common import frozen, per_worker, table
 from .tokens import WordTokenizer
 
-SHARD = 2000  # documents of a shard, about
 KEY_SHARE = 0.5  # a document is dealt by the terms that have this share of its highest weight
-KEY_TERMS = 8  # of which the first ones are compared
-SHARD_BITS = 13  # a task numbers its shards with so many bits
+SHARD_BITS, PART_BITS = 13, 15  # a task numbers its shards with so many bits, and an order its tasks
 COMMON = 16  # a term that more than a sixteenth of a shard's documents have is common
 K1, B = 1.2, 0.75
+CLOSE = 0.5  # a text of so much of another's own score is close to it
 FULL = 2**62  # sequence ids of windows that a document fills alone begin here
+COLUMNS = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
@@ -88,26 +89,28 @@ def _counted(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return pairs >> 16, pairs & 0xFFFF, times
 
 
-def _keys(texts: list[np.ndarray], place: np.ndarray, idf: np.ndarray, mean_length: float) -> list[bytes]:
-    """Of each list, none empty, the first places of its terms of high BM25 weight; KEY_TERMS at most."""
+def _keys(texts: list[np.ndarray], places: list[np.ndarray], idf: np.ndarray, mean_length: float, key_terms: int) -> list[list[bytes]]:
+    """For each order of the terms (places), of each list, none empty, the first places of its terms of high BM25 weight; key_terms at
+    most."""
     of, terms, times = _counted(texts)
     weight = _weights(idf[terms], times, np.array([len(t) for t in texts])[of], mean_length)
     starts = np.searchsorted(of, np.arange(len(texts)))
     high = weight >= KEY_SHARE * np.maximum.reduceat(weight, starts)[of]
-    of, places = of[high], place[terms[high]]
-    order = np.lexsort((places, of))
-    of, places = of[order], places[order].astype(">u2")
-    starts = np.searchsorted(of, np.arange(len(texts) + 1))
-    return [places[a : min(b, a + KEY_TERMS)].tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+    of, terms = of[high], terms[high]
+    starts, out = np.searchsorted(of, np.arange(len(texts) + 1)).tolist(), []
+    for place in places:
+        own = place[terms]
+        own = own[np.lexsort((own, of))].astype(">u2")
+        out.append([own[a : min(b, a + key_terms)].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)])
+    return out
 
 
-def _dealt(tokens: DataFrame, window: int, idf: np.ndarray, mean_length: float) -> DataFrame:
-    """doc_id, doc_tokens, rest: the rests that are not empty, sorted over tasks by range, so that those of like terms follow
-    one another."""
+def _keyed(tokens: DataFrame, window: int, idf: np.ndarray, mean_length: float, orders: int, key_terms: int) -> DataFrame:
+    """The rests that are not empty, with a key for each order."""
     # The table is frozen, so that its row numbers are, too.
     row = F.monotonically_increasing_id()
     numbered = tokens.select("doc_id", "doc_tokens", "ids", F.xxhash64(row).alias("salt"), row.alias("row"))
-    place = np.random.default_rng(31).permutation(2**16)
+    places = [np.random.default_rng(31 + i).permutation(2**16) for i in range(orders)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -115,12 +118,32 @@ def _dealt(tokens: DataFrame, window: int, idf: np.ndarray, mean_length: float)
                 some = batch.iloc[at : at + 500]
                 rests = [_rest(x, window) for x in some["ids"]]
                 out = some[["doc_id", "doc_tokens", "salt", "row"]].astype({"doc_id": "Int64"})
-                yield out.assign(key=_keys(rests, place, idf, mean_length), rest=[x.tobytes() for x in rests])
+                keys = _keys(rests, places, idf, mean_length, key_terms)
+                yield out.assign(**{f"key_{i}": k for i, k in enumerate(keys)}, rest=[x.tobytes() for x in rests])
 
     rests = numbered.where(F.octet_length("ids") % (2 * window) > 0)
-    keyed = rests.mapInPandas(run, "doc_id long, doc_tokens long, salt long, row long, key binary, rest binary")
-    order = ["key", "salt", "row"]
-    return frozen(keyed, "keyed").repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "doc_tokens", "rest")
+    keys = ", ".join(f"key_{i} binary" for i in range(orders))
+    return frozen(rests.mapInPandas(run, f"doc_id long, doc_tokens long, salt long, row long, {keys}, rest binary"), "keyed")
+
+
+def alike(a: bytes, b: bytes, least: int) -> bool:
+    """Whether two keys begin with the same `least` terms, or are equal."""
+    return a == b or (len(a) >= 2 * least and a[: 2 * least] == b[: 2 * least])
+
+
+def told_apart(batches: Iterator[pd.DataFrame], key: str, least: int) -> Iterator[pd.DataFrame]:
+    """The rows in order, with near: whether the one before or after begins alike. A task's first and last rows have one neighbour."""
+    held, before = None, False
+    for batch in chain(batches, [None]):
+        x = held if batch is None else batch if held is None else pd.concat([held, batch], ignore_index=True)
+        if x is None or not len(x):
+            continue
+        keys = x[key].tolist()
+        after = [alike(a, b, least) for a, b in zip(keys, keys[1:], strict=False)] + [False]
+        done = len(x) if batch is None else len(x) - 1
+        near = np.array([p or n for p, n in zip([before, *after], after, strict=False)], bool)
+        yield x.iloc[:done].assign(near=near[:done])
+        before, held = after[done - 1] if done else before, x.iloc[done:]
 
 
 def _weights(idf: np.ndarray, tf: np.ndarray, sizes: np.ndarray | int, mean_length: float) -> np.ndarray:
@@ -150,6 +173,10 @@ class Bm25:
         self.starts = np.searchsorted(self.term, np.arange(len(idf) + 1))
         self.kept = np.arange(self.n)  # numbers of the lists that take part
 
+    def own(self) -> np.ndarray:
+        """The score of each list by all of its own terms."""
+        return np.bincount(self.doc, self.weight, self.n) + self.rows.sum(axis=0)
+
     def by_common(self) -> np.ndarray:
         """Of each list (row) the part of the scores of all lists that common terms give."""
         return (self.rows > 0).astype(np.float32).T @ self.rows
@@ -176,12 +203,15 @@ class Bm25:
         return out
 
 
-def fill_windows(texts: list[np.ndarray], index: Bm25, window: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of pieces (text, from, to). Each is full but for those at the end, of lengths that are powers of two."""
+def fill_windows(texts: list[np.ndarray], index: Bm25, window: int, twins: np.ndarray | None = None) -> list[list[tuple[int, int, int]]]:
+    """Sequences of pieces (text, from, to). Each is full but for those at the end, of lengths that are powers of two.
+
+    twins: the texts that something like them lies beside. Such a text, when it fills a window whose seed it is not close to, is asked
+    for its own neighbours, which then come first; so it does not part from them."""
     sizes = np.array([len(t) for t in texts], np.int64)
     used, out = sizes == 0, []
     order, at, common = iter(np.argsort(-sizes, kind="stable").tolist()), None, index.by_common()
-    indexed = len(used)
+    indexed, whole = len(used), index.own()
     while True:
         if (~used).sum() < 0.7 * indexed:
             index, indexed = index.without(used), int((~used).sum())
@@ -201,6 +231,13 @@ def fill_windows(texts: list[np.ndarray], index: Bm25, window: int) -> list[list
             room -= int(own[0])
             used[i] = True
             fits, own = fits[1:], own[1:]
+            if room and twins is not None and twins[i] and score[i] < CLOSE * whole[i]:
+                score = index.scores(texts[i], common[i])
+                close = score >= CLOSE * np.minimum(whole[i], whole)
+                near = near[~used[near]]
+                first = near[close[near]]
+                near = np.concatenate([first[np.argsort(-score[first], kind="stable")], near[~close[near]]])
+                fits, own = near, sizes[near]
         if room and not used.all():
             best = next(i for i in near.tolist() if not used[i])
             pieces.append((best, 0, room))
@@ -220,7 +257,7 @@ def fill_windows(texts: list[np.ndarray], index: Bm25, window: int) -> list[list
                 out.append(part)
 
 
-def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1) -> DataFrame:
+def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1, shard: int = 2000, orders: int = 3, key_terms: int = 8, least: int = 2) -> DataFrame:
     """Packs all rows of docs (doc_id, text) into sequences of at most `window` tokens, a power of two. A row for each
     piece: doc_id, start (ids of its document before it), length, doc_tokens, sequence_id, offset (in the sequence),
     ids (unsigned 32 bits, little-endian).
@@ -228,7 +265,12 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
     A document is its ids and then end_id; null and empty texts are end_id alone. Each id lies in exactly one piece.
     Rows with a null or repeated doc_id are documents of their own. Other columns are not read. Every sequence is full or
     has a power of two as its length, so that none needs padding. An empty table gives no rows.
+
+    A seed finds neighbours among the `shard` rests around it in one of `orders` orders; in all but the last it stays only beside a rest that
+    begins with the same `least` of up to key_terms terms.
     """
+    if not 1 <= orders <= 4:
+        raise ValueError("orders must lie between 1 and 4")
     tokens = frozen(tokenized(docs, tokenizer_path, window, end_id), "tokens")
     n = tokens.count()
     counts = _frequencies(tokens, window)
@@ -248,38 +290,58 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
                     for i in range(count // window):
                         own = wide[i * window : (i + 1) * window].tobytes()
                         rows.append((doc_id, i * window, window, count, FULL + (part << 36) + before + i, 0, own))
-                out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+                out = pd.DataFrame(rows, columns=COLUMNS)
                 yield out.astype({"doc_id": "Int64"})
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The sequences of a task, shard by shard."""
-        part, shard, rest = TaskContext.get().partitionId(), 0, None
-        for batch in chain(batches, [None]):
-            rest = batch if rest is None else rest if batch is None else pd.concat([rest, batch], ignore_index=True)
-            while rest is not None and len(rest) and (batch is None or len(rest) >= SHARD):
-                if shard >= 2**SHARD_BITS:
-                    raise ValueError(f"a task has more than {2**SHARD_BITS} shards: raise spark.sql.shuffle.partitions")
-                yield pack(rest.iloc[:SHARD], (part << SHARD_BITS | shard) << 32)
-                rest, shard = rest.iloc[SHARD:], shard + 1
+    def packed(order: int):
+        """The sequences of a task, shard by shard; and what goes on to the next order, without a sequence."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            part, number, rest = TaskContext.get().partitionId(), 0, None
+            if part >= 2**PART_BITS:
+                raise ValueError(f"more than {2**PART_BITS} tasks")
+            for batch in chain(told_apart(batches, f"key_{order}", least), [None]):
+                if batch is not None and order < orders - 1:
+                    left, batch = batch[~batch["near"]], batch[batch["near"]]
+                    none = pd.Series(None, index=left.index, dtype="Int64")
+                    out = left.assign(start=none, length=none, sequence_id=none, offset=none, ids=left["rest"])
+                    yield out.astype({"doc_id": "Int64"})[[*COLUMNS, *later]]
+                rest = batch if rest is None else rest if batch is None else pd.concat([rest, batch], ignore_index=True)
+                while rest is not None and len(rest) and (batch is None or len(rest) >= shard):
+                    if number >= 2**SHARD_BITS:
+                        raise ValueError(f"a task has more than {2**SHARD_BITS} shards: raise spark.sql.shuffle.partitions")
+                    own = pack(rest.iloc[:shard], ((order << PART_BITS | part) << SHARD_BITS | number) << 32)
+                    yield own.assign(**{c: pd.Series(None, index=own.index, dtype="Int64" if c in ("salt", "row") else object) for c in later})
+                    rest, number = rest.iloc[shard:], number + 1
+
+        return run
 
     def pack(x: pd.DataFrame, base: int) -> pd.DataFrame:
         texts = [np.frombuffer(r, "<u2") for r in x["rest"]]
         ids, total = x["doc_id"].astype("Int64").tolist(), x["doc_tokens"].tolist()
         rows = []
-        for number, pieces in enumerate(fill_windows(texts, Bm25(texts, idf, mean_length), window)):
+        for number, pieces in enumerate(fill_windows(texts, Bm25(texts, idf, mean_length), window, x["near"].to_numpy(bool))):
             offset = 0
             for i, a, b in pieces:
                 own = texts[i][a:b].astype("<u4").tobytes()
                 rows.append((ids[i], total[i] // window * window + a, b - a, total[i], base + number, offset, own))
                 offset += b - a
-        out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-        return out.astype({"doc_id": "Int64"})
+        return pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
 
     full = tokens.where(F.col("doc_tokens") >= window).mapInPandas(alone, PIECES)
     shared = idf.copy()  # a term of one document alone brings it near to no other
     shared[[term for term, df in counts.items() if df < 2]] = 0
-    dealt = _dealt(tokens, window, shared, mean_length)
-    return full.unionByName(dealt.mapInPandas(packed, PIECES))
+    out, rows = full, _keyed(tokens, window, shared, mean_length, orders, key_terms)
+    for order in range(orders):
+        later = ["salt", "row", *(f"key_{i}" for i in range(order + 1, orders))]
+        schema = ", ".join([PIECES, "salt long, row long", *(f"{c} binary" for c in later[2:])])
+        by = [f"key_{order}", "salt", "row"]
+        dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInPandas(packed(order), schema)
+        if order < orders - 1:
+            dealt = frozen(dealt, "packed")
+            rows = dealt.where("sequence_id IS NULL").withColumnRenamed("ids", "rest").select("doc_id", "doc_tokens", *later, "rest")
+        out = out.unionByName(dealt.where("sequence_id IS NOT NULL").select(*COLUMNS))
+    return out
 
 
 def pieces_digest(pieces: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fraudfeatures.llm import decontam, langid, packing, quality
-from fraudfeatures.llm.common import table
+from fraudfeatures.llm.common import is_held_out, table
 
 from test_llm_operators import DOC, ODD, check_packing, near_components, word_sets
 
@@ -32,8 +32,11 @@ def test_stages_and_their_columns(docs):
 
 def test_language_stage_is_the_operators_decision(spark, docs):
     model = langid.fit(langid.training_rows(docs))
-    rows = docs.select("doc_id", "text", "lang", langid.language(F.col("text"), model).alias("x")).collect()
-    want = [r["doc_id"] for r in rows if re.search(r"[^\W\d_]", r["text"] or "") and r["x"]["score"] >= 1.25 / len(model.languages)]
+    rows = docs.select("doc_id", "text", "lang", langid.language(F.col("text"), model).alias("x"), is_held_out(F.col("doc_id")).alias("out")).collect()
+    letters = [r for r in rows if re.search(r"[^\W\d_]", r["text"] or "")]
+    judged = [(int(r["x"]["score"] * 100), r["x"]["lang_pred"] != r["lang"]) for r in letters if r["out"] and r["lang"] is not None]
+    bounds = [0, *(at + 1 for at, _ in judged if 2 * sum(wrong for b, wrong in judged if b <= at) >= sum(b <= at for b, _ in judged))]
+    want = [r["doc_id"] for r in letters if r["x"]["score"] >= max(bounds) / 100]
     assert ids(STAGES["language_id"](spark, docs, DATA)) == sorted(want)
     assert len(want) >= 0.98 * sum(r["lang"] is not None for r in rows)
     nothing_to_learn = docs.withColumn("lang", F.lit(None).cast("string"))
@@ -41,6 +44,17 @@ def test_language_stage_is_the_operators_decision(spark, docs):
     assert ids(STAGES["language_id"](spark, nothing_to_learn, DATA)) == sorted(letters)
 
 
+def test_language_threshold_drops_what_is_mostly_wrong(spark, docs):
+    """Texts in a language whose labels are drawn at random: the network is unsure of them, and mostly wrong."""
+    rows = [(i, "".join(chr(97 + (i * 7 + j * j) % 26) if j % 5 else " " for j in range(30)), f"l{i * i % 100}", "s", 30) for i in range(3000)]
+    noise = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    both = noise.unionByName(docs.select("doc_id", "text", "lang", "source", "n_chars").withColumn("doc_id", F.col("doc_id") + 10_000))
+    kept = corpus_pipeline.language_id(spark, both, DATA)
+    assert kept.where("doc_id < 10000").count() < 1000
+    known = docs.where("lang IS NOT NULL AND length(text) > 200").count()
+    assert kept.where("doc_id >= 10000 AND lang IS NOT NULL AND length(text) > 200").count() > 0.9 * known
+
+
 def test_quality_stage_is_the_operators_decision(spark, docs):
     views = quality.fit(docs, table(spark, DATA, "labels"))
     want = [r["doc_id"] for r in docs.select("doc_id", quality.quality_of(docs, views).alias("s")).collect() if r["s"] >= 0.5]
@@ -104,4 +118,4 @@ def test_registry():
 
     names = set(__spark_entry__.queries())
     assert {"pipeline", "op1_minhash_neardup", "op10_quality"} <= names
-    assert set(__spark_entry__.oracle_sql()) <= names and packing.SHARD > 0
+    assert set(__spark_entry__.oracle_sql()) <= names and packing.K1 > 0
