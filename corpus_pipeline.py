@@ -12,15 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudfeatures.llm import decontam, langid, neardup, packing, quality
-from fraudfeatures.llm.common import fresh, frozen, table
-
-
-#: A text is kept if the probability of its language is so many times that of a guess, at least.
-ABOVE_GUESS = 1.25
+from fraudfeatures.llm.common import fresh, frozen, is_held_out, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: texts with a letter in which the network is surer of a language than a guess.
+    """Documents whose language can be told: texts with a letter whose score is not so low that, among labelled documents that the
+    network has not learned from, predictions of such scores are more often wrong than right.
 
     Null and empty texts and those without a letter go, texts of any length are read whole, repeated rows fare alike, nulls
     in other columns change nothing, and an empty table stays empty. Where no document has a language to learn from, all texts with
@@ -29,7 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(langid.training_rows(docs))
     if model is None:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    found, least = fresh(docs, "found"), min(0.9, ABOVE_GUESS / len(model.languages))
+    least = langid.least_score(docs.where(is_held_out(F.col("doc_id"))).select("text", "lang"), model)
+    found = fresh(docs, "found")
     told = docs.withColumn(found, langid.language(F.col("text"), model))
     return told.where((F.col(found)["lang_pred"] != langid.UNDETERMINED) & (F.col(found)["score"] >= least)).drop(found)
 

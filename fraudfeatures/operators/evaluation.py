@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudfeatures.operators.quantiles import exact_quantiles
+from fraudfeatures.sources.work import fresh, stored
 
 BANDS = ((0.80, "critical"), (0.50, "high"), (0.20, "medium"))
 
@@ -158,9 +159,15 @@ def categorical_encoding(df: DataFrame, train: DataFrame, column: str, method: s
     """ordinal: the value's place among train's sorted values, -1 if unknown. onehot: a column of 0 and 1 for each value,
     all 0 if unknown; as values become columns, more than `most` of them are refused."""
     if method == "ordinal":
-        order = F.row_number().over(Window.orderBy(column)) - 1
-        places = train.where(F.col(column).isNotNull()).select(column).distinct().select(column, order.alias("place"))
-        return df.join(places, column, "left").withColumn(f"{column}_code", F.coalesce("place", F.lit(-1))).drop("place")
+        # Values are sorted over all tasks and numbered in each; a row for each task tells how many lie before it.
+        at, before = fresh(df, "encoded_at"), Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+        values = train.where(F.col(column).isNotNull()).select(column).distinct().repartitionByRange(column).sortWithinPartitions(column)
+        values = stored(values.withColumn(at, F.monotonically_increasing_id()), "encoded").withColumn("task", F.shiftright(at, 33))
+        sizes = values.groupBy("task").agg(F.count("*").alias("n"))
+        sizes = sizes.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lower"))
+        place = (F.col(at).bitwiseAND(F.lit(2**33 - 1)) + F.col("lower")).alias(at)
+        places = values.join(F.broadcast(sizes), "task").select(column, place)
+        return df.join(places, column, "left").withColumn(f"{column}_code", F.coalesce(at, F.lit(-1))).drop(at)
     values = [r[0] for r in train.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(most + 1).collect()]
     if len(values) > most:
         raise ValueError(f"{column} has more than {most} values; encode it as ordinal")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fraudfeatures.functions import registry
 from fraudfeatures.operators.features import OPERATIONS
 from fraudfeatures.operators.windows import Rolling, parse_window, rolling
+from fraudfeatures.sources.work import fresh
 
 TTL = 3 * 86400
 WINDOWS = {"5m": 300, "10m": 600, "15m": 900, "1h": 3600}
@@ -50,8 +51,8 @@ def materialize_latest(features: DataFrame, key: str, start: Column | None = Non
     rows = features.where(F.col(key).isNotNull())
     for bound, kept in ((start, lambda b: F.col("event_timestamp") >= b), (end, lambda b: F.col("event_timestamp") <= b)):
         rows = rows if bound is None else rows.where(kept(bound))
-    newest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("event_timestamp"), F.desc("transaction_id")))
-    return rows.withColumn("newest_first", newest).where("newest_first = 1").drop("newest_first")
+    place, newest = fresh(rows, "newest_first"), F.row_number().over(Window.partitionBy(key).orderBy(F.desc("event_timestamp"), F.desc("transaction_id")))
+    return rows.withColumn(place, newest).where(F.col(place) == 1).drop(place)
 
 
 def online_lookup(requests: DataFrame, users: DataFrame, devices: DataFrame, merchants: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fraudfeatures.sources.work import stored
+from fraudfeatures.sources.work import fresh, stored
 
 UNITS = {"MINUTE": 60, "HOUR": 3600, "DAY": 86400}
 KINDS = ("count", "sum", "avg", "distinct")
@@ -58,7 +58,7 @@ def rolling(df: DataFrame, key: str, columns: list[Rolling], ts: str = "event_ti
         raise ValueError(f"engine {engine!r} is none of {', '.join(ENGINES)}")
     if engine == "range":
         return _ranges(df, key, columns, ts)
-    row = _fresh(df, "sweep_row")
+    row = fresh(df, "sweep_row")
     df = stored(df.withColumn(row, F.monotonically_increasing_id()), "swept")
     return df.join(_sweep(df, row, key, columns, ts), row).drop(row)
 
@@ -73,16 +73,8 @@ def windows_of(df: DataFrame, row: str, key: str, columns: list[Rolling], ts: st
     return _ranges(df, key, columns, ts).where(F.col(row).isNotNull()).select(row, *(c.name for c in columns))
 
 
-def _fresh(df: DataFrame, name: str) -> str:
-    """A column name that df does not use."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
-
-
 def _ranges(df: DataFrame, key: str, columns: list[Rolling], ts: str) -> DataFrame:
-    second = _fresh(df, "rolling_second")
+    second = fresh(df, "rolling_second")
     at = Window.partitionBy(key).orderBy(second)
     upto = lambda back: at.rangeBetween(Window.unboundedPreceding, -back)
     # Dealt by key, rows of a key and value are together as well, so that no window exchanges them again.
@@ -92,7 +84,7 @@ def _ranges(df: DataFrame, key: str, columns: list[Rolling], ts: str) -> DataFra
     gaps: dict[str, tuple[str, str]] = {}
     for i, c in enumerate(columns):
         if c.kind == "distinct" and str(c.value) not in gaps:
-            names = gaps[str(c.value)] = (_fresh(df, f"rolling_before_{i}"), _fresh(df, f"rolling_after_{i}"))
+            names = gaps[str(c.value)] = (fresh(df, f"rolling_before_{i}"), fresh(df, f"rolling_after_{i}"))
             near = Window.partitionBy(key, values[i]).orderBy(second)
             base = base.withColumns({names[0]: F.col(second) - F.lag(second).over(near), names[1]: F.lead(second).over(near) - F.col(second)})
     for i, c in enumerate(columns):
