@@ -202,20 +202,20 @@ def language(text: Column, model: ByteGru | None) -> Column:
 
 
 def least_score(judged: DataFrame, model: ByteGru) -> float:
-    """The score below which predictions are more often wrong than right, measured on (text, lang) that the model has not learned from:
-    the highest hundredth under which at least half of all predictions are wrong; 0 if there is none. Texts without letters and null
-    languages don't count."""
+    """The score from which on predictions are worth having, measured on (text, lang) that the model has not learned from: the hundredth
+    above which right predictions outnumber wrong ones by most, the lowest of equals. Texts without letters and null languages don't
+    count; without others it is 0."""
     rows = judged.where(F.col("lang").isNotNull()).select("lang", language(F.col("text"), model).alias("found"))
     rows = rows.where(F.col("found.lang_pred") != UNDETERMINED)
-    rows = rows.select(F.floor(F.col("found.score") * 100).cast("int").alias("at"), (F.col("found.lang_pred") != F.col("lang")).alias("wrong"))
+    rows = rows.select(F.floor(F.col("found.score") * 100).cast("int").alias("at"), (F.col("found.lang_pred") == F.col("lang")).alias("right"))
     # 101 rows at most.
-    counts = sorted(map(tuple, rows.groupBy("at").agg(F.count("*"), F.count_if("wrong")).collect()))
-    n = wrong = 0
-    least = 0.0
-    for at, more, bad in counts:
-        n, wrong = n + more, wrong + bad
-        if 2 * wrong >= n:
-            least = (at + 1) / 100
+    counts = rows.groupBy("at").agg((2 * F.count_if("right") - F.count("*")).alias("more"))
+    counts = sorted(map(tuple, counts.collect()))
+    lost, least, fewest = 0, 0.0, 0
+    for at, more in counts:
+        lost += more
+        if lost < fewest:
+            least, fewest = (at + 1) / 100, lost
     return least
 
 
