@@ -16,8 +16,8 @@ from fraudfeatures.llm.common import fresh, frozen, is_held_out, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told: texts with a letter whose score is not so low that, among labelled documents that the
-    network has not learned from, predictions of such scores are more often wrong than right.
+    """Documents whose language can be told: texts with a letter, of a score from which on predictions are worth having among labelled
+    documents that the network has not learned from (langid.least_score).
 
     Null and empty texts and those without a letter go, texts of any length are read whole, repeated rows fare alike, nulls
     in other columns change nothing, and an empty table stays empty. Where no document has a language to learn from, all texts with
