@@ -41,6 +41,9 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+_scratches: list[list[str]] = []  # the tables of each scratch that is open, the innermost last
+
+
 def frozen(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: a lost executor cannot change rows or order after
     this, and what follows starts from the table instead of the lineage."""
@@ -49,11 +52,36 @@ def frozen(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if _scratches:
+        _scratches[-1].append(path)
     with small_batches(spark):
         writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables frozen within are removed at the end, but for those that are frozen by the function it gives: a result must not be read
+    from anything else that was made within."""
+    made: list[str] = []
+    _scratches.append(made)
+
+    def out(df: DataFrame, name: str) -> DataFrame:
+        result = frozen(df, name)
+        path = made.pop()
+        if len(_scratches) > 1:
+            _scratches[-2].append(path)
+        return result
+
+    try:
+        yield out
+    finally:
+        _scratches.pop()
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def per_worker(key: tuple, make: Callable[[], T]) -> T:
     """What make() gives, made once in each Python worker and kept between its tasks until another thing is asked for. It is
     kept outside this package, because the functions of tasks travel by value."""

@@ -132,7 +132,10 @@ class Index:
             met.append(np.logical_or.accumulate(same, axis=1))
         if not met:
             return 1
-        return min(MOST_WALKS, int(np.searchsorted(np.concatenate(met).mean(axis=0), recall)) + 1)
+        walks = int(np.searchsorted(np.concatenate(met).mean(axis=0), recall)) + 1
+        if walks > MOST_WALKS:
+            raise ValueError(f"{MOST_WALKS} walks find less than {recall} of edited items")
+        return walks
 
     def keys(self, windows: np.ndarray) -> np.ndarray:
         """The keys of windows of one size (a row each): walks x SAMPLES columns."""

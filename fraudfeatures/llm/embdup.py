@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import frozen, sampled, table
+from .common import frozen, sampled, scratch, table
 from .components import connected_components
 from .topk import usable
 
@@ -101,6 +101,11 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.999,
     """
     if not 0 < cosine < 1 or not 0 < recall < 1:
         raise ValueError("cosine and recall must lie between 0 and 1")
+    with scratch(vectors.sparkSession) as out:
+        return out(_near(vectors, cosine, recall, seed, block), "near")
+
+
+def _near(vectors: DataFrame, cosine: float, recall: float, seed: int, block: int) -> DataFrame:
     element = vectors.schema["vector"].dataType.elementType
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
     rows = vectors.select("vec_id", "vector").withColumn("row", F.monotonically_increasing_id())

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import frozen, small_batches, table
+from .common import frozen, scratch, small_batches, table
 
 BUCKETS = 10_000
 DIGIT = 11  # bits of a key that a pass sorts by
@@ -155,7 +155,11 @@ def importance_resample(docs: DataFrame, target: DataFrame, percent: int = 25, l
     slim = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     scored = slim.mapInPandas(weigh, "doc_id string, n_features long, weight long, score long")
     scored = scored.withColumns({"doc_id": F.col("doc_id").cast("long"), "row_no": F.monotonically_increasing_id()})
-    scored = frozen(scored, "scored")
+    with scratch(docs.sparkSession) as out:
+        return out(_drawn(frozen(scored, "scored"), percent, least_words), "drawn")
+
+
+def _drawn(scored: DataFrame, percent: int, least_words: int) -> DataFrame:
     able = scored.where(F.col("n_features") >= 2 * least_words - 1).where(F.col("n_features") > 0)  # n words have 2 n - 1 features
     drawn = able.count() * percent // 100
     ranked = radix_ranked(able.select("row_no", "doc_id", "score"), [("score", True), ("doc_id", False)])

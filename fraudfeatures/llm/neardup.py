@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, per_worker, table
+from .common import frozen, per_worker, scratch, table
 from .components import connected_components
 from .words import WordHashes, shingle_set, word_hashes
 
@@ -43,11 +43,11 @@ PAIR = ["a", "a_component", "b", "b_component"]
 
 def least_depth(similarity: float, trees: int, miss: float = 2e-5) -> int:
     """The longest prefix at which a pair of this similarity shares no region in any tree with probability `miss` at
-    most."""
-    depth = DEPTH
-    while depth > 1 and (1 - similarity**depth) ** trees > miss:
-        depth -= 1
-    return depth
+    most. Similarities that the trees are too few for are refused."""
+    for depth in range(DEPTH, 0, -1):
+        if (1 - similarity**depth) ** trees <= miss:
+            return depth
+    raise ValueError(f"{trees} trees miss pairs of similarity {similarity:.2f} more often than {miss}: take more")
 
 
 def _multipliers(trees: int) -> tuple[np.ndarray, np.ndarray]:
@@ -383,6 +383,11 @@ def near_duplicate_groups(
     Columns besides doc_id and text are not read. An empty table gives no rows. A pair just at the similarity is not found with
     probability 2e-5.
     """
+    with scratch(docs.sparkSession) as out:
+        return out(_groups(docs, words, similarity, trees), "groups")
+
+
+def _groups(docs: DataFrame, words: int, similarity: tuple[int, int], trees: int) -> DataFrame:
     top, bottom = similarity
     least, plausible = least_depth(top / bottom, trees), _plausible(top / bottom, trees)
     digest = frozen(digests(docs, words, trees), "digests")

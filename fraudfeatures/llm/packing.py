@@ -14,7 +14,7 @@ into sequences whose lengths are powers of two.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from copy import copy
 from itertools import chain
 
@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, per_worker, table
+from .common import frozen, per_worker, scratch, table
 from .tokens import WordTokenizer
 
 KEY_SHARE = 0.5  # a document is dealt by the terms that have this share of its highest weight
@@ -123,7 +123,7 @@ def _keyed(tokens: DataFrame, window: int, idf: np.ndarray, mean_length: float,
 
     rests = numbered.where(F.octet_length("ids") % (2 * window) > 0)
     keys = ", ".join(f"key_{i} binary" for i in range(orders))
-    return frozen(rests.mapInPandas(run, f"doc_id long, doc_tokens long, salt long, row long, {keys}, rest binary"), "keyed")
+    return rests.mapInPandas(run, f"doc_id long, doc_tokens long, salt long, row long, {keys}, rest binary")
 
 
 def alike(a: bytes, b: bytes, least: int) -> bool:
@@ -271,7 +271,11 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
     """
     if not 1 <= orders <= 4:
         raise ValueError("orders must lie between 1 and 4")
-    tokens = frozen(tokenized(docs, tokenizer_path, window, end_id), "tokens")
+    with scratch(docs.sparkSession) as out:
+        return _packed(frozen(tokenized(docs, tokenizer_path, window, end_id), "tokens"), out, window, shard, orders, key_terms, least)
+
+
+def _packed(tokens: DataFrame, kept: Callable[[DataFrame, str], DataFrame], window: int, shard: int, orders: int, key_terms: int, least: int) -> DataFrame:
     n = tokens.count()
     counts = _frequencies(tokens, window)
     rests = F.octet_length("ids") / 2 - F.floor(F.octet_length("ids") / (2 * window)) * window
@@ -328,17 +332,17 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
                 offset += b - a
         return pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
 
-    full = tokens.where(F.col("doc_tokens") >= window).mapInPandas(alone, PIECES)
+    full = kept(tokens.where(F.col("doc_tokens") >= window).mapInPandas(alone, PIECES), "full")
     shared = idf.copy()  # a term of one document alone brings it near to no other
     shared[[term for term, df in counts.items() if df < 2]] = 0
-    out, rows = full, _keyed(tokens, window, shared, mean_length, orders, key_terms)
+    out, rows = full, kept(_keyed(tokens, window, shared, mean_length, orders, key_terms), "keyed")
     for order in range(orders):
         later = ["salt", "row", *(f"key_{i}" for i in range(order + 1, orders))]
         schema = ", ".join([PIECES, "salt long, row long", *(f"{c} binary" for c in later[2:])])
         by = [f"key_{order}", "salt", "row"]
         dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInPandas(packed(order), schema)
         if order < orders - 1:
-            dealt = frozen(dealt, "packed")
+            dealt = kept(dealt, "packed")
             rows = dealt.where("sequence_id IS NULL").withColumnRenamed("ids", "rest").select("doc_id", "doc_tokens", *later, "rest")
         out = out.unionByName(dealt.where("sequence_id IS NOT NULL").select(*COLUMNS))
     return out

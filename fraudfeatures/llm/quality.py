@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, is_held_out, per_worker, sampled, table
+from .common import frozen, is_held_out, per_worker, sampled, scratch, table
 from .linear import fit_logistic, logit, sigmoid
 from .words import WordHashes
 
@@ -291,7 +291,11 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = 4000, rounds: i
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
     known = known.select("doc_id", (F.col("label") > 0).cast("int").alias("label"))
     rows = docs.where("doc_id IS NOT NULL").where(~is_held_out(F.col("doc_id"))).select("doc_id", "text", "lang", "source", "n_chars")
-    views = frozen(viewed(rows), "views")
+    with scratch(docs.sparkSession):
+        return _fit(frozen(viewed(rows), "views"), known, labelled_rows, rounds, sure, trust)
+
+
+def _fit(views: DataFrame, known: DataFrame, labelled_rows: int, rounds: int, sure: float, trust: float) -> Views | None:
     # labelled_rows ids at most.
     chosen = frozen(sampled(frozen(views.select("doc_id").distinct().join(known, "doc_id"), "labelled"), labelled_rows, "doc_id"), "chosen")
     some = views.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("label", "surface", "buckets", "places")).alias("row"))

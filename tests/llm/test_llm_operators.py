@@ -383,6 +383,17 @@ def test_decontamination_reaches_its_recall():
     assert found[len(many.bits)] >= 0.98 * len(items) and found[len(few.bits)] <= found[len(many.bits)]
 
 
+def test_recall_that_cannot_be_reached_is_refused(monkeypatch):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(20)]
+    assert len(decontam.Index(items, 0.2, 0.99).bits) >= 1
+    monkeypatch.setattr(decontam, "MOST_WALKS", 1)
+    with pytest.raises(ValueError):
+        decontam.Index(items, 0.2, 0.999999)
+    assert neardup.least_depth(0.8, 16) >= 1
+    with pytest.raises(ValueError):
+        neardup.least_depth(0.3, 16)
+
+
 def test_decontamination_ties_and_long_texts():
     item, cache = " ".join(f"t{i}" for i in range(30)), decontam.WordHashes()
     index = decontam.Index([(0, item), (1, item)])

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fraudfeatures.llm import codes, embdup, importance
+from fraudfeatures.llm.common import checkpoint_root, frozen, scratch
 
 VECTOR = "vec_id long, vector array<double>, label int, row long, component long, code string, place long"
 
@@ -190,6 +192,26 @@ def test_near_vectors_odd_rows(spark):
         embdup.near_vectors(vectors(spark, rows), cosine=1.0)
 
 
+def test_work_tables_go_when_nothing_reads_them(spark):
+    """Of what an operator writes its result stays, also when scratches lie in each other or end by an error."""
+    root = checkpoint_root(spark).removeprefix("file:").replace("//", "/")
+    before = set(os.listdir(root))
+    with scratch(spark) as outer:
+        with scratch(spark) as inner:
+            kept = inner(frozen(spark.range(3), "x").where("id > 0"), "inner")
+        result = outer(kept.selectExpr("id + 1 AS id"), "outer")
+    assert sorted(r["id"] for r in result.collect()) == [2, 3]
+    assert {name.split("-")[0] for name in set(os.listdir(root)) - before} == {"outer"}
+    before = set(os.listdir(root))
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        frozen(spark.range(3), "y")
+        1 / 0  # noqa: B018
+    assert set(os.listdir(root)) == before
+    rows = clustered(np.random.default_rng(8), [3], 0.1, 10)
+    assert embdup.near_vectors(vectors(spark, rows)).where("n_links > 0").count() > 0
+    assert {name.split("-")[0] for name in set(os.listdir(root)) - before} == {"near"}
+
+
 def test_tables_reach_the_recall_at_the_threshold():
     """The chance of a projection against draws, and of a whole table against pairs exactly at the threshold."""
     rng = np.random.default_rng(7)
