@@ -268,18 +268,19 @@ def scored_event(df: DataFrame, service: str = "fraud_scoring_v1") -> DataFrame:
     )
 
 
-CURVE_BUCKETS = 4096
+CURVE_BUCKETS = 16_384
 
 
 def curve(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """From (score, label): for each distinct score the true and false positives at it and above (tp, fp), those at it
-    (p, n) and the totals (pos, neg). One row for each distinct score, so that ties count together. Scores between 0 and 1 are added
-    up in buckets first and then within each, so that no task sorts all scores."""
+    (p, n) and the totals (pos, neg). One row for each distinct score, so that ties count together. Scores are added up in buckets
+    first and then within each, so that no task sorts all scores; the buckets cover all numbers, a quarter of them those from 0 to 1."""
     by = by or []
     counts = scored.groupBy(*by, "score").agg(F.sum(F.col("label").cast("bigint")).alias("p"), F.count("*").alias("rows"))
-    bucket = F.floor(F.greatest(F.least(F.col("score"), F.lit(1.0)), F.lit(0.0)) * CURVE_BUCKETS)
+    finite = F.greatest(F.least(F.col("score").cast("double"), F.lit(1e300)), F.lit(-1e300))
+    bucket = F.floor((finite / (1 + F.abs(finite)) + 1) / 2 * CURVE_BUCKETS)
     counts = counts.withColumns({"n": F.col("rows") - F.col("p"), "bucket": bucket}).drop("rows")
-    # CURVE_BUCKETS rows of each group at most.
+    # CURVE_BUCKETS + 1 rows of each group at most.
     sums = counts.groupBy(*by, "bucket").agg(F.sum("p").alias("p_in"), F.sum("n").alias("n_in"))
     before = Window.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     all_ = Window.partitionBy(*by)

@@ -592,6 +592,21 @@ query("velocity_merge", "SELECT user_id, count(*) AS txn_count, CAST(sum(CAST(am
 )
 
 
+@query("velocity_merge_sketches", """SELECT device_id, count(*) AS txn_count, CAST(sum(CAST(amount AS DECIMAL(18,4))) AS DOUBLE) AS txn_amount, count(DISTINCT merchant_id) AS n_exact, true AS close
+ FROM stream_transactions WHERE time_bucket(INTERVAL 1 HOUR, event_timestamp) >= TIMESTAMP '2024-01-05 00:00:00' AND time_bucket(INTERVAL 1 HOUR, event_timestamp) < TIMESTAMP '2024-01-25 00:00:00' GROUP BY 1""")
+def _(t):
+    """Sketches that a stream stored with its windows, merged over a range of them, beside exact counts."""
+    folder = _folder(t, "sketches")
+    stream = jobs.velocity(jobs.deduplicated(_stream(t)), "device_id", "1h", "merchant_id", international=False, sketch=True)
+    buckets = jobs.upserted(stream, f"{folder}/table", ["device_id", "window_start"], f"{folder}/checkpoint", buckets=8).read()
+    since, until = (F.lit(f"2024-01-{day} 00:00:00").cast("timestamp") for day in ("05", "25"))
+    merged = jobs.velocity_merge_sketches(buckets, "device_id", "merchant_id", since, until)
+    plain = t.raw("stream_transactions").where((F.col("event_timestamp") >= since) & (F.col("event_timestamp") < until))
+    exact = plain.groupBy("device_id").agg(F.count_distinct("merchant_id").alias("n_exact"))
+    close = F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.ceil(jobs.SKETCH_ERROR * F.col("n_exact"))
+    return merged.join(exact, "device_id").select("device_id", "txn_count", "txn_amount", "n_exact", close.alias("close"))
+
+
 @query("stream_dedup", "SELECT transaction_id, user_id, amount FROM stream_transactions")
 def _(t):
     folder, stream = _folder(t, "dedup"), _stream(t)

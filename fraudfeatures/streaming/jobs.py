@@ -78,6 +78,23 @@ def velocity_merge(buckets: DataFrame, key: str, distinct: str, since: Column) -
     return sums.join(sets, key, "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
 
 
+#: Three standard errors of a sketch of 2**12 registers, relative to the count. Small counts are nearly exact.
+SKETCH_ERROR = 0.05
+
+
+def velocity_merge_sketches(buckets: DataFrame, key: str, distinct: str, since: Column, until: Column | None = None) -> DataFrame:
+    """Stored windows with sketches (velocity with sketch=True) from `since` on, and before `until` if given, merged per key: txn_count,
+    txn_amount and n_distinct, which is within SKETCH_ERROR but for one key in some hundred. A sketch has a few KB at most, however
+    many values it has seen, so that a key's windows are merged task by task."""
+    rows = buckets.where(F.col("window_start") >= since)
+    rows = rows if until is None else rows.where(F.col("window_start") < until)
+    return rows.groupBy(key).agg(
+        F.sum("txn_count").alias("txn_count"),
+        F.sum(F.col("txn_amount").cast("decimal(28,4)")).cast("double").alias("txn_amount"),
+        F.hll_sketch_estimate(F.hll_union_agg(f"{distinct}_set")).alias("n_distinct"),
+    )
+
+
 def finished_velocity(txns: DataFrame, key: str, distinct: str) -> DataFrame:
     """The hourly windows of a stream with a watermark, each once, when that has passed its end: key, window_end, txn_count. For append
     mode."""

@@ -153,6 +153,9 @@ def test_curve_and_ks_against_plain_versions(spark):
     got = {r["score"]: (r["tp"], r["fp"], r["pos"], r["neg"]) for r in evaluation.curve(spark.createDataFrame(rows, "score double, label int")).collect()}
     pos = sum(y for _, y in rows)
     assert got == {s: (sum(y for t, y in rows if t >= s), sum(1 - y for t, y in rows if t >= s), pos, len(rows) - pos) for s in {s for s, _ in rows}}
+    wide = [(rng.choice([rng.gauss(0, 1e6), rng.gauss(0, 1), float("inf"), -1e308]), int(rng.random() < 0.3)) for _ in range(500)]
+    got = {r["score"]: (r["tp"], r["fp"]) for r in evaluation.curve(spark.createDataFrame(wide, "score double, label int")).collect()}
+    assert got == {s: (sum(y for t, y in wide if t >= s), sum(1 - y for t, y in wide if t >= s)) for s in {s for s, _ in wide}}
     a, b = [rng.gauss(0, 1) for _ in range(900)], [round(rng.gauss(0.3, 2), 1) for _ in range(700)]
     frames = [spark.createDataFrame([(v,) for v in x], "v double") for x in (a, b)]
     want = max(abs(sum(v <= t for v in a) / 900 - sum(v <= t for v in b) / 700) for t in {*a, *b})

@@ -141,6 +141,8 @@ def test_services_compile_to_one_pass_for_each_key(spark, small):
     got = serving.service_features_at("fraud_full", requests, t.txns, t.logins)
     key = lambda df: sorted(map(str, df.select("request_id", *registry.online_names("fraud_full")).collect()))
     assert key(got) == key(want) and len(registry.online_names("fraud_full")) == 14
+    for swept in (serving.online_features_at(requests.drop("merchant_id"), t.txns, t.logins, "sweep"), serving.service_features_at("fraud_full", requests, t.txns, t.logins, "sweep")):
+        assert key(swept) == key(want)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

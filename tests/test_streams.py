@@ -138,6 +138,21 @@ def test_velocity_windows_grow_over_batches(spark, tmp_path):
     assert key(store.read()) == key(jobs.user_velocity(spark.createDataFrame(rows, schema), "5m"))
 
 
+def test_sketches_of_any_range_of_windows(spark):
+    """Many values over many windows, some of which repeat: the merged sketches are within the stated bound of exact counts."""
+    df = spark.range(60_000).select(
+        F.concat(F.lit("t"), "id").alias("transaction_id"), F.concat(F.lit("u"), F.col("id") % 3).alias("user_id"), F.concat(F.lit("m"), F.col("id") % 25_000).alias("merchant_id"),
+        F.lit(1.0).alias("amount"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 5).alias("event_timestamp"),
+    )
+    buckets = jobs.velocity(df, "user_id", "1h", "merchant_id", international=False, sketch=True).cache()
+    at = lambda hours: F.timestamp_seconds(F.lit(1_704_067_200 + hours * 3600))
+    for first, last in ((0, None), (10, 20), (0, 1), (40, 80)):
+        got = {r["user_id"]: (r["txn_count"], r["n_distinct"]) for r in jobs.velocity_merge_sketches(buckets, "user_id", "merchant_id", at(first), None if last is None else at(last)).collect()}
+        rows = df.where((F.col("event_timestamp") >= at(first)) & (F.col("event_timestamp") < at(last or 10**4)))
+        want = {r["user_id"]: (r["a"], r["b"]) for r in rows.groupBy("user_id").agg(F.count("*").alias("a"), F.count_distinct("merchant_id").alias("b")).collect()}
+        assert set(got) == set(want) and all(got[u][0] == n and abs(got[u][1] - d) <= jobs.SKETCH_ERROR * d for u, (n, d) in want.items()), (first, last)
+
+
 def test_counts_while_a_stream_runs(spark, tmp_path):
     batches = [[("a", 1), ("b", None), ("c", -1)], [("d", 2)], [("e", -5), ("f", 5)]]
     stream = jobs.observed(files(spark, tmp_path, batches, "k string, v int"), "checked", F.col("v") > 0)
