@@ -2,8 +2,8 @@
 
 Keys are dealt out to a fixed number of buckets by hash. A batch rewrites the buckets that it touches, whole, under a version of its
 own number: <path>/version=N/bucket_no=B. A bucket's rows are those of its greatest version whose write has ended. Nothing is changed in
-place, so that a reader keeps what it has found, a batch that fails leaves the table as it was, and a batch that is repeated starts
-from the versions before its own. Versions that newer ones have replaced are compacted away, but for the last few of each bucket.
+place: a batch that fails leaves the table as it was, a batch that is repeated starts from the versions before its own, and what a
+reader has found stays until `keep` later batches have rewritten a bucket of it. Versions beyond that are compacted away.
 """
 
 from __future__ import annotations

@@ -102,19 +102,21 @@ def test_sweep_refuses_doubles(spark):
     assert rolling(exact, "user_id", [Rolling("s", "sum", 10, "v")], engine="sweep").first()["s"] == 0.0
 
 
-def test_stored_tables_are_joined_without_an_exchange(spark, small, tmp_path):
+def test_stored_tables_are_joined_without_an_exchange(spark, small):
     t = queries.Tables(spark, small)
-    out = queries._stored_training(t)
+    key = lambda df: sorted(map(str, df.collect()))
+    want = t.training()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = queries._stored_training(t)._jdf.queryExecution().executedPlan().toString()
+        out = queries._stored_training(t).select(want.columns)
+        plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan
+        got = key(out)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    key = lambda df: sorted(map(str, df.select(out.columns).collect()))
-    assert key(out) == key(t.training())
+    assert got == key(want)
 
 
 def test_days_are_dropped_as_metadata(spark, tmp_path):
