@@ -92,6 +92,12 @@ def per_worker(key: tuple, make: Callable[[], T]) -> T:
     return kept[key]
 
 
+def forget_in_worker() -> None:
+    """Lets go of what per_worker keeps, in tasks that have no use for it."""
+    if "worker_memory" in sys.modules:
+        sys.modules["worker_memory"].__dict__.clear()
+
+
 def sampled(df: DataFrame, n: int, key: str) -> DataFrame:
     """n rows of df, or all if it has fewer: those of the smallest hashes of the key, which does not repeat. Of more, a share is
     drawn by the hash first, so that no task hands on n rows of its own."""

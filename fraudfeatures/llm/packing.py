@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, per_worker, scratch, table
+from .common import forget_in_worker, frozen, per_worker, scratch, table
 from .tokens import WordTokenizer
 
 KEY_SHARE = 0.5  # a document is dealt by the terms that have this share of its highest weight
@@ -63,6 +63,7 @@ def _frequencies(tokens: DataFrame, window: int) -> dict[int, int]:
     """In how many rests each id occurs; no longer than the vocabulary."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()  # the tokenizer and its words
         counts = np.zeros(2**16, np.int64)
         for batch in batches:
             for at in range(0, len(batch), 500):
@@ -113,6 +114,7 @@ def _keyed(tokens: DataFrame, window: int, idf: np.ndarray, mean_length: float,
     places = [np.random.default_rng(31 + i).permutation(2**16) for i in range(orders)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()
         for batch in batches:
             for at in range(0, len(batch), 500):
                 some = batch.iloc[at : at + 500]
@@ -285,6 +287,7 @@ def _packed(tokens: DataFrame, kept: Callable[[DataFrame, str], DataFrame], wind
         idf[term] = np.log1p((n - df + 0.5) / (df + 0.5))
 
     def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()
         for batch in batches:
             for at in range(0, len(batch), 500):
                 rows = []
@@ -301,6 +304,7 @@ def _packed(tokens: DataFrame, kept: Callable[[DataFrame, str], DataFrame], wind
         """The sequences of a task, shard by shard; and what goes on to the next order, without a sequence."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            forget_in_worker()
             part, number, rest = TaskContext.get().partitionId(), 0, None
             if part >= 2**PART_BITS:
                 raise ValueError(f"more than {2**PART_BITS} tasks")
