@@ -60,7 +60,7 @@ def test_top_importances(spark, small, fitted):
     _, _, model = fitted
     got = [tuple(r) for r in queries.QUERIES["top_importances"](spark, small).collect()]
     want = dict(zip(queries.MODEL_FEATURES, model.featureImportances.toArray().tolist(), strict=True))
-    assert dict(got) == want and [v for _, v in got] == sorted(want.values(), reverse=True) and sum(want.values()) == pytest.approx(1)
+    assert dict(got) == pytest.approx(want) and [v for _, v in got] == sorted((v for _, v in got), reverse=True) and sum(want.values()) == pytest.approx(1)
 
 
 def test_score_batch_calibrates_bands_and_flags(spark, small, fitted):
