@@ -203,3 +203,39 @@ def test_parity_of_two_streams(spark, small):
     lossy = queries._parity(t, "transaction_id LIKE '%7'").first()
     whole = t.txns.select("user_id", F.window("event_timestamp", "1 hour")).distinct().count()
     assert 0 < lossy["n"] < whole and lossy["off_rate"] > 0
+
+
+def many_files(spark, small, folder, copies=5):
+    """The given events again and again under keys of their own, each copy a file over all the time."""
+    events = spark.read.parquet(f"{small}/events.parquet").coalesce(1)
+    n = events.count()
+    for i in range(copies):
+        events.withColumns({"event_id": F.col("event_id") + i * n, "user_id": F.col("user_id") + i * 10**6}).write.mode("append").parquet(f"{folder}/events.parquet")
+    return queries.Tables(spark, str(folder))
+
+
+def test_slices_of_a_stream_are_batches_however_many_files_they_take(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_ROWS", 400, raising=False)
+    t, spans = many_files(spark, small, tmp_path), []
+    jobs.run_once(queries._stream(t), lambda batch, number: spans.append(tuple(batch.agg(F.min("event_timestamp"), F.max("event_timestamp"), F.count("*")).first())), f"{tmp_path}/c", "append")
+    assert len(spans) == 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False)), spans
+    assert sum(n for *_, n in spans) == t.raw("stream_transactions").count()
+
+
+def test_failed_logins_of_a_table_of_many_files(spark, small, tmp_path):
+    """Each transaction sees the failed logins before it, as a join has them."""
+    t = many_files(spark, small, tmp_path)
+    second = F.unix_timestamp("event_timestamp").alias("s")
+    txns = t.raw("stream_transactions").where("amount > 0").select("user_id", "transaction_id", second)
+    failed = t.raw("raw_login_events").where("lower(trim(login_status)) = 'failed'").select("user_id", second).distinct()
+    near = (F.col("t.user_id") == F.col("l.user_id")) & (F.col("l.s") > F.col("t.s") - 3600) & (F.col("l.s") <= F.col("t.s"))
+    joined = txns.alias("t").join(failed.alias("l"), near, "left").groupBy("t.transaction_id").agg(F.count(F.when(F.col("l.s") >= F.col("t.s") - 900, 1)).alias("a"), F.count("l.s").alias("b"))
+    want = sorted(map(tuple, joined.collect()))
+    got = queries.QUERIES["login_failure_state"](spark, str(tmp_path)).select("transaction_id", "failed_logins_15m", "failed_logins_1h")
+    assert sorted(map(tuple, got.collect())) == want and any(b for *_, b in want)
+
+
+def test_parity_of_a_table_of_many_files(spark, small, tmp_path):
+    t = many_files(spark, small, tmp_path)
+    got = queries._parity(t).first()
+    assert got["n"] == t.txns.select("user_id", F.window("event_timestamp", "1 hour")).distinct().count() and got["off_rate"] == 0
