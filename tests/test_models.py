@@ -104,6 +104,19 @@ def test_backtest_metrics(spark, small, fitted):
     assert got["psi"] == pytest.approx(want["psi"], abs=2e-6)
 
 
+def test_training_rows_are_made_once(spark, small, monkeypatch):
+    """The search for the cutoff reads stored rows, not the windows that they come from."""
+    plans, found = [], evaluation.time_cutoff
+
+    def watched(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return found(df, *args)
+
+    monkeypatch.setattr(evaluation, "time_cutoff", watched)
+    queries._trained(queries.Tables(spark, small))
+    assert plans and not any("Join" in p or "Window" in p for p in plans)
+
+
 def test_ordinal_places_of_many_values(spark):
     """Values are numbered over several tasks; a caller's own columns stay."""
     df = spark.createDataFrame([(f"v{i * 7919 % 3000:05}", i) for i in range(3000)] + [(None, -1), ("unknown", -2)], "x string, place int")
