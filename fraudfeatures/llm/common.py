@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from contextlib import contextmanager
 from types import ModuleType
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,15 +89,19 @@ def per_worker(key: tuple, make: Callable[[], T]) -> T:
     kept outside this package, because the functions of tasks travel by value."""
     kept = sys.modules.setdefault("worker_memory", ModuleType("worker_memory")).__dict__
     if key not in kept:
-        kept.clear()
+        forget_in_worker()
         kept[key] = make()
     return kept[key]
 
 
 def forget_in_worker() -> None:
-    """Lets go of what per_worker keeps, in tasks that have no use for it."""
+    """Lets go of what per_worker keeps, in tasks that have no use for it, and hands free memory back to the system: Spark keeps workers
+    that wait, several for each core, and all of them count."""
     if "worker_memory" in sys.modules:
         sys.modules["worker_memory"].__dict__.clear()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # glibc has it
 
 
 def sampled(df: DataFrame, n: int, key: str) -> DataFrame:

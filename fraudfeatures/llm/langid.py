@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import frozen, is_held_out, table
+from .common import forget_in_worker, frozen, is_held_out, table
 
 UNDETERMINED = "und"
 WINDOW = 128  # bytes
@@ -161,6 +161,7 @@ def fit(labelled: DataFrame, per_language: int = 300, per_document: int = 4) ->
     texts = some.join(chosen, ["doc_id", "lang"], "left_semi").select("doc_id", "text", "lang")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()
         for batch in batches:
             rows = []
             for doc_id, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"], strict=True):
@@ -185,6 +186,7 @@ def language(text: Column, model: ByteGru | None) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
+        forget_in_worker()
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
         best, score, at = [], [], 0
         while at < len(raw):

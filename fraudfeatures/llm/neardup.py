@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, per_worker, scratch, table
+from .common import forget_in_worker, frozen, per_worker, scratch, table
 from .components import connected_components
 from .words import WordHashes, shingle_set, word_hashes
 
@@ -149,6 +149,7 @@ def _lcp_neighbours(rows: DataFrame, least: int) -> DataFrame:
     the first of the next one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()
         places, part, first = _Places(), TaskContext.get().partitionId(), None
         ends = ["node", "component", "tree", "run"]
         for batch in batches:
@@ -192,6 +193,7 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Of pairs (PAIR), those whose signatures agree well enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()
         for x in batches:
             if len(x):
                 yield x.loc[_agreement(x["sig_a"], x["sig_b"]) >= least, PAIR]
@@ -282,6 +284,7 @@ def _mixed_blocks(nodes: DataFrame, labels: DataFrame | None, trees: int, least:
 
 def _runs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The rows of each block pair, which follow one another."""
+    forget_in_worker()
     rest = None
     for batch in batches:
         if not len(batch):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import frozen, is_held_out, per_worker, sampled, scratch, table
+from .common import forget_in_worker, frozen, is_held_out, per_worker, sampled, scratch, table
 from .linear import fit_logistic, logit, sigmoid
 from .words import WordHashes
 
@@ -178,6 +178,7 @@ def _statistics(views: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Mean and spread of the texts' surface over all documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()
         total, n = np.zeros((2, SURFACE)), 0
         for x in batches:
             if len(x):
@@ -209,6 +210,7 @@ def _exchange(views: DataFrame, told: Views, by_text: tuple[float, float], by_pa
     number of documents by the page's label, and (source, language, length, label, n) by the text's."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_in_worker()
         words, n, pages = np.zeros((2, WORDS), np.int64), np.zeros(2, np.int64), Counter()
         for x in batches:
             if not len(x):
