@@ -20,12 +20,13 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import forget_in_worker, frozen, per_worker, scratch, table
-from .tokens import WordTokenizer
+from .tokens import WordTokenizer, places, strings
 
 KEY_SHARE = 0.5  # a document is dealt by the terms that have this share of its highest weight
 SHARD_BITS, PART_BITS = 13, 15  # a task numbers its shards with so many bits, and an order its tasks
@@ -33,33 +34,63 @@ COMMON = 16  # a term that more than a sixteenth of a shard's documents have is
 K1, B = 1.2, 0.75
 CLOSE = 0.5  # a text of so much of another's own score is close to it
 FULL = 2**62  # sequence ids of windows that a document fills alone begin here
+GATHERED = 6_000_000  # bytes of texts that are tokenized at once
+TOKENIZED = ["doc_id", "start", "doc_tokens", "sequence_id", "ids", "rest"]
 COLUMNS = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def tokenized(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
-    """doc_id, doc_tokens, part, full_before, ids (unsigned 16 bits): part and full_before number the windows that
-    documents fill alone."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = per_worker((WordTokenizer.__name__, path), lambda: WordTokenizer(path))
-        part, full = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u2").tobytes()
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                some = batch.iloc[at : at + 500]
-                ids = [x + end for x in tokenizer.encode_batch([t or "" for t in some["text"]])]
-                counts = np.array([len(x) // 2 for x in ids], np.int64)
-                fills = counts // window
-                before = full + np.concatenate([[0], np.cumsum(fills)[:-1]]).astype(np.int64)
-                full += int(fills.sum())
-                yield pd.DataFrame({"doc_id": some["doc_id"].astype("Int64"), "doc_tokens": counts, "part": part, "full_before": before, "ids": ids})
+def gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """The rows, in batches of at least so many bytes but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= least:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return slim.mapInPandas(run, "doc_id long, doc_tokens long, part int, full_before long, ids binary")
 
+def tokenized(docs: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
+    """Of each document a row for each window that it fills alone, with ids (unsigned 32 bits) and a sequence_id, and one for what is left,
+    if anything is, with rest (unsigned 16 bits). start is 0 in one of them."""
 
-def _frequencies(tokens: DataFrame, window: int) -> dict[int, int]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = per_worker((WordTokenizer.__name__, path), lambda: WordTokenizer(path))
+        part, number = TaskContext.get().partitionId(), 0
+        for some in gathered(batches, GATHERED):
+            doc_id, text = (pa.concat_arrays(some[c].chunks) for c in ("doc_id", "text"))
+            at, ids = places(tokenizer.encode(text.fill_null("")))
+            counts = np.diff(at).astype(np.int64) // 2 + 1
+            last = np.zeros(counts.sum(), bool)
+            last[np.cumsum(counts) - 1] = True
+            flat = np.full(len(last), end_id, "<u2")
+            flat[~last] = ids.view("<u2")
+            fills, rests = counts // window, counts % window
+            alone = np.repeat(np.tile([True, False], len(counts)), np.stack([fills * window, rests], axis=1).ravel())
+            of, full = np.repeat(np.arange(len(counts)), fills), flat[alone]
+            start = (np.arange(len(of)) - (np.cumsum(fills) - fills)[of]) * window
+            for i in range(0, len(of), 500):
+                own = full[i * window : (i + 500) * window].astype("<u4").view(np.uint8)
+                x, n = of[i : i + 500], len(own) // (4 * window)
+                wide = strings(pa.binary(), np.arange(1, n + 1) * 4 * window, own)
+                sequence = FULL + (part << 36) + number + np.arange(n)
+                yield pa.RecordBatch.from_arrays([doc_id.take(pa.array(x)), pa.array(start[i : i + 500]), pa.array(counts[x]), pa.array(sequence), wide, pa.nulls(n, pa.binary())], TOKENIZED)
+                number += n
+            x = np.flatnonzero(rests)
+            rest = strings(pa.binary(), np.cumsum(2 * rests[x]), flat[~alone].view(np.uint8))
+            none = [pa.nulls(len(x), kind) for kind in (pa.int64(), pa.binary())]
+            left = pa.RecordBatch.from_arrays([doc_id.take(pa.array(x)), pa.array((fills * window)[x]), pa.array(counts[x]), *none, rest], TOKENIZED)
+            for i in range(0, len(x), 2000):
+                yield left.slice(i, 2000)
+
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, "doc_id long, start long, doc_tokens long, sequence_id long, ids binary, rest binary")
+
+
+def _frequencies(rests: DataFrame) -> dict[int, int]:
     """In how many rests each id occurs; no longer than the vocabulary."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -67,12 +98,12 @@ def _frequencies(tokens: DataFrame, window: int) -> dict[int, int]:
         counts = np.zeros(2**16, np.int64)
         for batch in batches:
             for at in range(0, len(batch), 500):
-                _, terms, _ = _counted([_rest(x, window) for x in batch["ids"].iloc[at : at + 500]])
+                _, terms, _ = _counted([np.frombuffer(x, "<u2") for x in batch["rest"].iloc[at : at + 500]])
                 counts += np.bincount(terms, minlength=2**16)
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"term": seen, "n": counts[seen]})
 
-    rows = tokens.select("ids").mapInPandas(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = rests.select("rest").mapInPandas(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     return {r["term"]: r["n"] for r in rows}
 
 
@@ -106,26 +137,24 @@ def _keys(texts: list[np.ndarray], places: list[np.ndarray], idf: np.ndarray, me
     return out
 
 
-def _keyed(tokens: DataFrame, window: int, idf: np.ndarray, mean_length: float, orders: int, key_terms: int) -> DataFrame:
-    """The rests that are not empty, with a key for each order."""
+def _keyed(rests: DataFrame, idf: np.ndarray, mean_length: float, orders: int, key_terms: int) -> DataFrame:
+    """The rests with a key for each order."""
     # The table is frozen, so that its row numbers are, too.
     row = F.monotonically_increasing_id()
-    numbered = tokens.select("doc_id", "doc_tokens", "ids", F.xxhash64(row).alias("salt"), row.alias("row"))
-    places = [np.random.default_rng(31 + i).permutation(2**16) for i in range(orders)]
+    numbered = rests.select("doc_id", "doc_tokens", "rest", F.xxhash64(row).alias("salt"), row.alias("row"))
+    orders_of = [np.random.default_rng(31 + i).permutation(2**16) for i in range(orders)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forget_in_worker()
         for batch in batches:
             for at in range(0, len(batch), 500):
                 some = batch.iloc[at : at + 500]
-                rests = [_rest(x, window) for x in some["ids"]]
+                keys = _keys([np.frombuffer(x, "<u2") for x in some["rest"]], orders_of, idf, mean_length, key_terms)
                 out = some[["doc_id", "doc_tokens", "salt", "row"]].astype({"doc_id": "Int64"})
-                keys = _keys(rests, places, idf, mean_length, key_terms)
-                yield out.assign(**{f"key_{i}": k for i, k in enumerate(keys)}, rest=[x.tobytes() for x in rests])
+                yield out.assign(**{f"key_{i}": k for i, k in enumerate(keys)}, rest=some["rest"])
 
-    rests = numbered.where(F.octet_length("ids") % (2 * window) > 0)
     keys = ", ".join(f"key_{i} binary" for i in range(orders))
-    return rests.mapInPandas(run, f"doc_id long, doc_tokens long, salt long, row long, {keys}, rest binary")
+    return numbered.mapInPandas(run, f"doc_id long, doc_tokens long, salt long, row long, {keys}, rest binary")
 
 
 def alike(a: bytes, b: bytes, least: int) -> bool:
@@ -152,10 +181,6 @@ def _weights(idf: np.ndarray, tf: np.ndarray, sizes: np.ndarray | int, mean_leng
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes / mean_length))
 
 
-def _rest(ids: bytes, window: int) -> np.ndarray:
-    return np.frombuffer(ids, "<u2", offset=len(ids) // (2 * window) * 2 * window)
-
-
 class Bm25:
     """An inverted index over lists of ids. Terms that many lists have are kept as rows of weights for all lists, others as
     postings."""
@@ -274,32 +299,18 @@ def retrieval_packing(docs: DataFrame, tokenizer_path: str, window: int = 2048,
     if not 1 <= orders <= 4:
         raise ValueError("orders must lie between 1 and 4")
     with scratch(docs.sparkSession) as out:
-        return _packed(frozen(tokenized(docs, tokenizer_path, window, end_id), "tokens"), out, window, shard, orders, key_terms, least)
+        return _packed(out(tokenized(docs, tokenizer_path, window, end_id), "tokens"), out, window, shard, orders, key_terms, least)
 
 
 def _packed(tokens: DataFrame, kept: Callable[[DataFrame, str], DataFrame], window: int, shard: int, orders: int, key_terms: int, least: int) -> DataFrame:
-    n = tokens.count()
-    counts = _frequencies(tokens, window)
-    rests = F.octet_length("ids") / 2 - F.floor(F.octet_length("ids") / (2 * window)) * window
-    mean_length = max(1.0, tokens.agg(F.avg(rests)).first()[0] or 1.0)
+    n, left = tokens.where("start = 0").agg(F.count("*"), F.sum(F.col("doc_tokens") % window)).first()
+    rests = tokens.where("rest IS NOT NULL")
+    counts = _frequencies(rests)
+    mean_length = max(1.0, (left or 0) / max(n, 1))
     idf = np.zeros(2**16)
     for term, df in counts.items():
         idf[term] = np.log1p((n - df + 0.5) / (df + 0.5))
 
-    def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forget_in_worker()
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                rows = []
-                some = batch.iloc[at : at + 500]
-                for doc_id, count, part, before, ids in zip(*(some[c] for c in ("doc_id", "doc_tokens", "part", "full_before", "ids")), strict=True):
-                    wide = np.frombuffer(ids, "<u2").astype("<u4")
-                    for i in range(count // window):
-                        own = wide[i * window : (i + 1) * window].tobytes()
-                        rows.append((doc_id, i * window, window, count, FULL + (part << 36) + before + i, 0, own))
-                out = pd.DataFrame(rows, columns=COLUMNS)
-                yield out.astype({"doc_id": "Int64"})
-
     def packed(order: int):
         """The sequences of a task, shard by shard; and what goes on to the next order, without a sequence."""
 
@@ -336,10 +347,10 @@ def _packed(tokens: DataFrame, kept: Callable[[DataFrame, str], DataFrame], wind
                 offset += b - a
         return pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
 
-    full = kept(tokens.where(F.col("doc_tokens") >= window).mapInPandas(alone, PIECES), "full")
+    full = tokens.where("sequence_id IS NOT NULL").withColumns({"length": F.lit(window).cast("bigint"), "offset": F.lit(0).cast("bigint")}).select(COLUMNS)
     shared = idf.copy()  # a term of one document alone brings it near to no other
     shared[[term for term, df in counts.items() if df < 2]] = 0
-    out, rows = full, kept(_keyed(tokens, window, shared, mean_length, orders, key_terms), "keyed")
+    out, rows = full, (frozen if orders > 1 else kept)(_keyed(rests, shared, mean_length, orders, key_terms), "keyed")
     for order in range(orders):
         later = ["salt", "row", *(f"key_{i}" for i in range(order + 1, orders))]
         schema = ", ".join([PIECES, "salt long, row long", *(f"{c} binary" for c in later[2:])])
