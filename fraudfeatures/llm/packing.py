@@ -34,7 +34,7 @@ COMMON = 16  # a term that more than a sixteenth of a shard's documents have is
 K1, B = 1.2, 0.75
 CLOSE = 0.5  # a text of so much of another's own score is close to it
 FULL = 2**62  # sequence ids of windows that a document fills alone begin here
-GATHERED = 6_000_000  # bytes of texts that are tokenized at once
+GATHERED = 14_000_000  # bytes of texts that are tokenized at once
 TOKENIZED = ["doc_id", "start", "doc_tokens", "sequence_id", "ids", "rest"]
 COLUMNS = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
